@@ -123,6 +123,7 @@ def fit_sorted_codes(
     known: dict[str, Sequence[Any]] | None = None,
     fill: str | None = None,
     driver_keys: int = DRIVER_KEYS,
+    one_task_keys: int | None = None,
 ) -> dict[str, Dictionary]:
     """Dense codes 0..k-1 by sorted value; missing -> -1, or ``fill`` counted as a value.
 
@@ -147,7 +148,7 @@ def fit_sorted_codes(
             out[c] = Dictionary(c, kind, T.IntegerType(), -1, pairs, size=len(pairs), fill=fill)
             continue
         groups = keyed.where(quoted(c).isNotNull()).groupBy(quoted(c).alias("_key")).agg(F.count("*").alias("_n"))
-        bounds = key_boundaries(keyed, c)
+        bounds = key_boundaries(keyed, c, one_task_keys)
         codes = prefix_sums(groups.withColumn("_one", F.lit(1)), "_key", ["_one"], bounds)
         out[c] = _as_table(codes, F.col("_one_before"), c, kind, T.LongType(), -1, fill)
     return out

@@ -298,7 +298,7 @@ def fit_features(df: DataFrame, cfg: FeatureConfig) -> FittedFeatures:
         except Exception as e:
             if cfg.on_error == "raise":
                 raise
-            log.error("%s skipped: %s", what, e)
+            log.error("%s skipped: %s", what, str(e).partition("\n")[0])
             return None
         add(step)
         return step
