@@ -213,7 +213,7 @@ _CUSTOM = {
         "transformations": [
             {"name": "ratio", "expression": "l_extendedprice / (l_quantity + 1)"},
             {"name": "gap", "expression": "l_tax - l_discount"},
-            {"name": "ratio_squared", "expression": "pow(ratio, 2)"},
+            {"name": "gap_squared", "expression": "pow(gap, 2)"},
             {"name": "broken", "expression": "no_such_column + 1"},
         ],
     },
@@ -222,14 +222,14 @@ _CUSTOM = {
 
 @query(
     """SELECT l_orderkey, l_partkey, round(l_extendedprice / (l_quantity + 1), 8) AS ratio,
-       round(l_tax - l_discount, 6) + 0.0 AS gap, round(pow(l_extendedprice / (l_quantity + 1), 2), 5) AS ratio_squared
+       round(l_tax - l_discount, 6) + 0.0 AS gap, round(pow(l_tax - l_discount, 2), 6) AS gap_squared
        FROM lineitem"""
 )
 def custom_expr(spark, sf):
     rows = table(spark, sf, "lineitem")
     out = X.fit_features(rows, FeatureConfig.from_dict(_CUSTOM)).transform(rows)
     return out.select(
-        "l_orderkey", "l_partkey", F.round("ratio", 8).alias("ratio"), r6("gap").alias("gap"), F.round("ratio_squared", 5).alias("ratio_squared")
+        "l_orderkey", "l_partkey", F.round("ratio", 8).alias("ratio"), r6("gap").alias("gap"), r6("gap_squared").alias("gap_squared")
     )
 
 

@@ -147,7 +147,7 @@ def vote_ensemble(spark, sf):
         G.train(rows, _FEATS, "label", "gradient_boosting", **_BOOST),
     ]
     out = G.vote(models, rows, [*LINE_KEY, *_FEATS])
-    singles = G._with_outputs(models, out, [*LINE_KEY, *_FEATS, "score"])
+    singles = G.member_scores(models, out.drop("prediction"), [*LINE_KEY, *_FEATS, "score"])
     gap = F.abs(F.col("score") - (F.col("m0") + F.col("m1")) / 2)
     return singles.agg(
         F.count("*").alias("n"), F.every(F.col("score").between(0, 1)).alias("in_range"), (F.max(gap) < 1e-12).alias("averaged")
@@ -174,7 +174,7 @@ def saved_model(spark, sf):
     path = fresh_dir(spark, "model")
     G.save_trained(t, path, rows)
     again = G.load_trained(spark, path)
-    # Both models read each row once: the second scores the output of the first.
-    first = t.score(rows, [c for c in rows.columns]).withColumnRenamed("p1", "before").drop("prediction", "p0")
+    # The raw row travels along, so that the second model scores it right after the first: no join.
+    first = t.score(rows.withColumn("raw", F.struct("*")), ["raw"]).select("raw.*", F.col("p1").alias("before"))
     both = again.score(first, ["before"])
     return both.agg(F.count("*").alias("n"), (F.max(F.abs(F.col("p1") - F.col("before"))) < 1e-12).alias("same"))

@@ -116,13 +116,13 @@ class _LinearModel:
         return self.intercept + sum(w * frame[c] for c, w in self.weights.items())
 
 
-@query(f"WITH {SCORED_SQL} SELECT {_KEYS}, round(margin, 6) + 0.0 AS prediction FROM scored")
+@query(f"WITH {SCORED_SQL} SELECT {_KEYS}, round(margin, 9) + 0.0 AS prediction FROM scored")
 def python_model(spark, sf):
     weights, intercept = dict(WEIGHTS), INTERCEPT
     out = P.score_with_python(
         table(spark, sf, "lineitem"), lambda: _LinearModel(weights, intercept), list(weights), LINE_KEY
     )
-    return longs(rounded(out, "prediction"), "l_linenumber")
+    return longs(out.withColumn("prediction", F.round("prediction", 9) + F.lit(0.0)), "l_linenumber")
 
 
 @query(
@@ -138,7 +138,7 @@ def stream_scoring(spark, sf):
         scored = df.withColumn("score", linear_score({"k": 0.01}))
         return scored.withColumn("risk_level", risk_level(F.col("score")))
 
-    stream = request_stream(spark, f"{sf.rstrip('/')}/events.parquet", schema)
+    stream = request_stream(spark, sf, schema, glob="events.parquet")
     base = fresh_dir(spark, "stream")
     scored = score_requests(stream, "props", contract, score, ["event_id"])
     run_available(scored, f"{base}/out", f"{base}/checkpoint")

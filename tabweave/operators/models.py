@@ -320,7 +320,7 @@ def out_of_fold(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _with_outputs(models: Sequence[Trained], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def member_scores(models: Sequence[Trained], df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Add one score column ``m<i>`` per model, one after the other: no join.
 
     The members take the same prepared columns, so none may carry its own preparation.
@@ -337,7 +337,7 @@ def _with_outputs(models: Sequence[Trained], df: DataFrame, keep: Sequence[str])
 
 def vote(models: Sequence[Trained], df: DataFrame, keep: Sequence[str], task: str = "classification") -> DataFrame:
     """Average of the models' positive probability (or prediction)."""
-    scored = _with_outputs(models, df, keep)
+    scored = member_scores(models, df, keep)
     mean = sum((F.col(f"m{i}") for i in range(len(models))), F.lit(0.0)) / F.lit(float(len(models)))
     out = scored.select(*[quoted(k) for k in keep], mean.alias("score"))
     if task == "classification":
@@ -351,7 +351,7 @@ class Stack:
     top: Trained
 
     def score(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        scored = _with_outputs(self.base, df, keep)
+        scored = member_scores(self.base, df, keep)
         return self.top.score(scored, keep)
 
 
@@ -364,7 +364,7 @@ def stack(
     for i in range(k):
         rest, held = df.where(quoted(fold) != i), df.where(quoted(fold) == i)
         fitted = [train(rest, features, label, kind, task, scale=False, **p) for kind, p in members]
-        parts.append(_with_outputs(fitted, held.select(*[quoted(c) for c in dict.fromkeys([*keep, *features])]), keep))
+        parts.append(member_scores(fitted, held.select(*[quoted(c) for c in dict.fromkeys([*keep, *features])]), keep))
     level1 = reduce(DataFrame.unionByName, parts)
     names = [f"m{i}" for i in range(len(members))]
     top_kind = "logistic_regression" if task == "classification" else "linear_regression"

@@ -12,8 +12,19 @@ from tabweave.operators.scoring import align
 from tabweave.sources.readers import parse_requests
 
 
-def request_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
-    return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(path)
+def request_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    glob: str | None = None,
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    """Files of requests as they arrive in a folder."""
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(folder)
 
 
 def score_requests(
