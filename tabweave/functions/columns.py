@@ -126,15 +126,19 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def hash_key(keys: Sequence[Column], seed: int = 42) -> Column:
-    """60-bit number from the md5 of seed and key text; the same in any SQL engine."""
-    text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+def hash_key(keys: Sequence[Column], seed: int = 42, method: str = "md5") -> Column:
+    """60-bit number from the keys. ``md5`` of seed and key text is the same in any SQL engine."""
+    if method == "md5":
+        text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
+        return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    if method == "xxhash64":
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 4)
+    raise ValueError(f"unknown hash {method!r}; use md5 or xxhash64")
 
 
-def hash_percent(keys: Sequence[Column], seed: int = 42) -> Column:
+def hash_percent(keys: Sequence[Column], seed: int = 42, method: str = "md5") -> Column:
     """Bucket 0..99 per row; needs no statistics and no shuffle."""
-    return (hash_key(keys, seed) % F.lit(100)).cast("int")
+    return (hash_key(keys, seed, method) % F.lit(100)).cast("int")
 
 
 def linear_score(weights: dict[str, float], intercept: float = 0.0) -> Column:

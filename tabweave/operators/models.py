@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -189,6 +189,12 @@ def make_estimator(
     raise ValueError(f"unknown model {kind!r} for {task}")
 
 
+def _spread(vectors: DataFrame) -> DataFrame:
+    """Rows of a few input files, over all cores; many partitions stay as they are."""
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    return vectors.repartition(cores) if vectors.rdd.getNumPartitions() < cores else vectors
+
+
 @dataclass
 class Trained:
     """Preparation, feature order and fitted model of one training run."""
@@ -239,13 +245,19 @@ def train(
         steps.append(step)
     y = quoted(label).cast("double")
     rows = ready.select(*[quoted(c).cast("double").alias(c) for c in feats], y.alias(label))
-    n, classes = rows.agg(F.count("*"), F.max(label)).first()
-    n_classes = int(classes or 0) + 1 if task == "classification" else 0
     if kind in ("gradient_boosting", "random_forest"):
         enable_checkpoints(spark)
     assembler = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="error")
-    estimator = make_estimator(kind, task, label, n, n_classes, len(feats), **params)
-    model = Pipeline(stages=[assembler, estimator]).fit(rows)
+    # Training reads its rows many times; the vectors are kept, the preparation runs once.
+    vectors = assembler.transform(rows).select("features", label).persist()
+    try:
+        n, classes = vectors.agg(F.count("*"), F.max(label)).first()
+        n_classes = int(classes or 0) + 1 if task == "classification" else 0
+        estimator = make_estimator(kind, task, label, n, n_classes, len(feats), **params)
+        fitted = estimator.fit(_spread(vectors))
+    finally:
+        vectors.unpersist()
+    model = PipelineModel(stages=[assembler, fitted])
     return Trained(FittedFeatures(steps), feats, label, task, kind, model, raw_contract)
 
 

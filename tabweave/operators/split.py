@@ -14,21 +14,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.columns import hash_percent, quoted
-from tabweave.plans.ordered import blocks_before, rank_cutoffs, take_smallest
+from tabweave.plans.ordered import RowOrder, blocks_before, rank_cutoffs, take_smallest
 
 
-def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
+def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42, method: str = "md5") -> DataFrame:
     """Exactly n rows, or all if there are fewer."""
-    return take_smallest(df, keys, n, seed)
+    return take_smallest(df, RowOrder(keys, seed, method), n)
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
 
 
-def split_by_bucket(df: DataFrame, keys: Sequence[str], test_percent: int = 20, seed: int = 42) -> DataFrame:
+def split_by_bucket(df: DataFrame, keys: Sequence[str], test_percent: int = 20, seed: int = 42, method: str = "md5") -> DataFrame:
     """Add ``split`` by hash bucket alone: sizes are approximate, no statistics needed."""
-    test = hash_percent([quoted(k) for k in keys], seed) < F.lit(test_percent)
+    test = hash_percent([quoted(k) for k in keys], seed, method) < F.lit(test_percent)
     return df.withColumn("split", _named(test))
 
 
@@ -36,10 +36,11 @@ def _named(is_test: Column) -> Column:
     return F.when(is_test, F.lit("test")).otherwise(F.lit("train"))
 
 
-def split_random(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, seed: int = 42) -> DataFrame:
+def split_random(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, seed: int = 42, method: str = "md5") -> DataFrame:
     """Add ``split``; the test part has exactly ceil(test_size * rows) rows."""
-    cut = rank_cutoffs(df, keys, lambda counts: {y: [_ceil(test_size * n)] for y, n in counts.items()}, None, seed)
-    return blocks_before(df, cut, keys, None, seed).select(*_same(df), _named(F.col("_block") == 0).alias("split"))
+    order = RowOrder(keys, seed, method)
+    cut = rank_cutoffs(df, order, lambda counts: {y: [_ceil(test_size * n)] for y, n in counts.items()})
+    return blocks_before(df, cut, order).select(*_same(df), _named(F.col("_block") == 0).alias("split"))
 
 
 def _same(df: DataFrame) -> list[Column]:
@@ -64,7 +65,7 @@ def train_quotas(counts: dict[Any, int], test_size: float) -> dict[Any, int]:
 
 
 def split_stratified(
-    df: DataFrame, keys: Sequence[str], label: str, test_size: float = 0.2, seed: int = 42
+    df: DataFrame, keys: Sequence[str], label: str, test_size: float = 0.2, seed: int = 42, method: str = "md5"
 ) -> DataFrame:
     """Add ``split`` with the class ratio kept and the total test size exact."""
 
@@ -72,8 +73,9 @@ def split_stratified(
         train = train_quotas(counts, test_size)
         return {y: [counts[y] - train[y]] for y in counts}
 
-    cut = rank_cutoffs(df, keys, ranks, label, seed)
-    marked = blocks_before(df, cut, keys, label, seed)
+    order = RowOrder(keys, seed, method)
+    cut = rank_cutoffs(df, order, ranks, label)
+    marked = blocks_before(df, cut, order, label)
     return marked.select(*_same(df), _named(F.col("_block") == 0).alias("split"))
 
 
@@ -91,7 +93,7 @@ def fold_sizes(counts: dict[Any, int], k: int) -> dict[Any, list[int]]:
     return out
 
 
-def stratified_folds(df: DataFrame, keys: Sequence[str], label: str, k: int = 5, seed: int = 42) -> DataFrame:
+def stratified_folds(df: DataFrame, keys: Sequence[str], label: str, k: int = 5, seed: int = 42, method: str = "md5") -> DataFrame:
     """Add ``fold`` 0..k-1: contiguous blocks of each class in hash order."""
     if k < 2:
         raise ValueError("folds need k >= 2")
@@ -106,12 +108,13 @@ def stratified_folds(df: DataFrame, keys: Sequence[str], label: str, k: int = 5,
             out[y] = ends
         return out
 
-    cut = rank_cutoffs(df, keys, ranks, label, seed)
-    marked = blocks_before(df, cut, keys, label, seed)
+    order = RowOrder(keys, seed, method)
+    cut = rank_cutoffs(df, order, ranks, label)
+    marked = blocks_before(df, cut, order, label)
     return marked.select(*_same(df), F.col("_block").cast("int").alias("fold"))
 
 
-def plain_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
+def plain_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42, method: str = "md5") -> DataFrame:
     """Add ``fold`` for targets without classes: k contiguous blocks of the hash order."""
 
     def ranks(counts):
@@ -119,13 +122,14 @@ def plain_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42)
         sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
         return {0: [sum(sizes[: i + 1]) for i in range(k - 1)]} if n else {}
 
-    cut = rank_cutoffs(df, keys, ranks, None, seed)
-    marked = blocks_before(df, cut, keys, None, seed)
+    order = RowOrder(keys, seed, method)
+    cut = rank_cutoffs(df, order, ranks)
+    marked = blocks_before(df, cut, order)
     return marked.select(*_same(df), F.col("_block").cast("int").alias("fold"))
 
 
 def quota_sample(
-    df: DataFrame, keys: Sequence[str], label: str, size: int = 500, seed: int = 42
+    df: DataFrame, keys: Sequence[str], label: str, size: int = 500, seed: int = 42, method: str = "md5"
 ) -> DataFrame:
     """At most ``size`` rows, at most a quarter of them positive, negatives fill the rest."""
     y = quoted(label)
@@ -133,8 +137,9 @@ def quota_sample(
     total = min(size, row["n"])
     positives = min(row["p"], total // 4)
     negatives = min(row["q"], total - positives)
-    return take_smallest(df.where(y == 1), keys, positives, seed).unionByName(
-        take_smallest(df.where(y == 0), keys, negatives, seed)
+    order = RowOrder(keys, seed, method)
+    return take_smallest(df.where(y == 1), order, positives).unionByName(
+        take_smallest(df.where(y == 0), order, negatives)
     )
 
 

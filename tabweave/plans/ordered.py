@@ -113,13 +113,18 @@ def prefix_sums(
 
 # ----------------------------------------------------------------- quantiles
 
+SKETCH_ACCURACY = 10_000
+SKETCH_MARGIN = 1e-3
+
 
 @dataclass
 class _Bracket:
+    """Values lo..hi of a column that should hold the value at a 0-based rank."""
+
     column: str
+    rank: int
     lo: float
     hi: float
-    rank: int
 
 
 def exact_quantiles(
@@ -127,30 +132,57 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact, linearly interpolated quantiles of numeric columns; nulls and NaN ignored.
 
-    Columns with few distinct values go through ``percentile``, whose state is one counter
-    per distinct value. The others are narrowed: a sketch brackets each rank, counting
-    proves the bracket, and only a bracket with few distinct values is fetched.
+    A sketch brackets each rank; counting proves the brackets, all in one pass; a bracket
+    with few distinct values is fetched as value counts, a wider one is narrowed again. A
+    short column goes through ``percentile``, which keeps one counter per distinct value.
     """
     if not wanted:
         return {}
     limit = fetch_rows or FETCH_ROWS
     vals = df.select(*[_clean(c).alias(c) for c in wanted])
-    sized = vals.agg(
-        *[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(wanted)],
-        *[F.approx_count_distinct(quoted(c)).alias(f"d{i}") for i, c in enumerate(wanted)],
-    ).first()
-    n = {c: sized[f"n{i}"] for i, c in enumerate(wanted)}
-    few = [c for i, c in enumerate(wanted) if sized[f"d{i}"] <= limit // 2]
+    aggs = []
+    for i, (c, probs) in enumerate(wanted.items()):
+        v = quoted(c)
+        around = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-SKETCH_MARGIN, SKETCH_MARGIN)]
+        aggs += [
+            F.count(v).alias(f"n{i}"),
+            F.min(v).alias(f"lo{i}"),
+            F.max(v).alias(f"hi{i}"),
+            F.percentile_approx(v, around, SKETCH_ACCURACY).alias(f"q{i}"),
+        ]
+    row = vals.agg(*aggs).first()
     out: dict[str, list[float | None]] = {}
-    if few:
+    short: list[str] = []
+    spots: dict[str, list[float]] = {}
+    todo: dict[tuple[str, int], _Bracket] = {}
+    ends: dict[str, tuple[float, float]] = {}
+    for i, (c, probs) in enumerate(wanted.items()):
+        n = row[f"n{i}"]
+        if n == 0:
+            out[c] = [None] * len(probs)
+        elif n <= limit // 2:
+            short.append(c)
+        else:
+            ends[c] = (row[f"lo{i}"], row[f"hi{i}"])
+            spots[c] = [p * (n - 1) for p in probs]
+            for k, (p, spot) in enumerate(zip(probs, spots[c])):
+                near = row[f"q{i}"][2 * k : 2 * k + 2]
+                # The outermost brackets reach to the ends, where the sketch may stop short.
+                lo = ends[c][0] if p <= SKETCH_MARGIN else near[0]
+                hi = ends[c][1] if p >= 1 - SKETCH_MARGIN else near[1]
+                for rank in {math.floor(spot), math.ceil(spot)}:
+                    todo[c, rank] = _Bracket(c, rank, lo, hi)
+    if short:
         got = vals.agg(
-            *[F.percentile(quoted(c), F.array(*[F.lit(float(p)) for p in wanted[c]])) for c in few]
+            *[F.percentile(quoted(c), F.array(*[F.lit(float(p)) for p in wanted[c]])) for c in short]
         ).first()
-        for c, qs in zip(few, got):
-            out[c] = [None] * len(wanted[c]) if qs is None else list(qs)
-    many = [c for c in wanted if c not in few]
-    if many:
-        out.update(_by_narrowing(vals, {c: wanted[c] for c in many}, n, limit))
+        out.update({c: list(qs) for c, qs in zip(short, got)})
+    found = _values_at_ranks(vals, list(todo.values()), ends, limit)
+    for c, at in spots.items():
+        out[c] = []
+        for spot in at:
+            a, b = found[c, math.floor(spot)], found[c, math.ceil(spot)]
+            out[c].append(a + (b - a) * (spot - math.floor(spot)))
     return {c: out[c] for c in wanted}
 
 
@@ -159,42 +191,29 @@ def _clean(column: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _by_narrowing(vals: DataFrame, wanted, n, limit) -> dict[str, list[float | None]]:
-    ranks: dict[str, set[int]] = {}
-    for c, probs in wanted.items():
-        spots = [p * (n[c] - 1) for p in probs]
-        ranks[c] = {math.floor(s) for s in spots} | {math.ceil(s) for s in spots}
-    found = _values_at_ranks(vals, ranks, limit)
-    out: dict[str, list[float | None]] = {}
-    for c, probs in wanted.items():
-        qs: list[float | None] = []
-        for p in probs:
-            spot = p * (n[c] - 1)
-            a, b = found[c][math.floor(spot)], found[c][math.ceil(spot)]
-            qs.append(a + (b - a) * (spot - math.floor(spot)))
-        out[c] = qs
-    return out
-
-
-def _values_at_ranks(vals: DataFrame, ranks: dict[str, set[int]], limit: int) -> dict[str, dict[int, float]]:
-    """The value at each 0-based rank of each column."""
-    found: dict[str, dict[int, float]] = {c: {} for c in ranks}
-    ends = vals.agg(*[F.struct(F.min(quoted(c)), F.max(quoted(c))) for c in ranks]).first()
-    todo = [_Bracket(c, e[0], e[1], r) for c, e in zip(ranks, ends) for r in sorted(ranks[c])]
+def _values_at_ranks(
+    vals: DataFrame, todo: list[_Bracket], ends: dict[str, tuple[float, float]], limit: int
+) -> dict[tuple[str, int], float]:
+    found: dict[tuple[str, int], float] = {}
     for _ in range(64):
         if not todo:
             return found
-        counted = _count_brackets(vals, todo)
-        ready, wide = [], []
-        for b, (below, inside, distinct) in zip(todo, counted):
-            if b.lo == b.hi:
-                found[b.column][b.rank] = b.lo
-            elif distinct <= limit // 2:
+        ready: list[tuple[_Bracket, int]] = []
+        wide: list[tuple[_Bracket, int, int]] = []
+        missed: list[_Bracket] = []
+        for b, (below, inside, distinct) in zip(todo, _count_brackets(vals, todo)):
+            if not below <= b.rank < below + inside:
+                # The sketch missed the rank: search the side that must hold it.
+                lo, hi = ends[b.column]
+                missed.append(_Bracket(b.column, b.rank, lo, b.lo) if b.rank < below else _Bracket(b.column, b.rank, b.hi, hi))
+            elif b.lo == b.hi:
+                found[b.column, b.rank] = b.lo
+            elif distinct <= limit // (2 * len(todo)) + 1000:
                 ready.append((b, below))
             else:
                 wide.append((b, below, inside))
-        _fetch_brackets(vals, ready, found, limit)
-        todo = _narrow(vals, wide)
+        _fetch_brackets(vals, ready, found)
+        todo = missed + _narrow(vals, wide)
     raise RuntimeError("quantile brackets did not converge")
 
 
@@ -202,76 +221,108 @@ def _inside(b: _Bracket) -> Column:
     return (quoted(b.column) >= F.lit(b.lo)) & (quoted(b.column) <= F.lit(b.hi))
 
 
+def _spans(brackets: Sequence[_Bracket]) -> list[tuple[str, float, float]]:
+    return sorted({(b.column, b.lo, b.hi) for b in brackets})
+
+
 def _count_brackets(vals: DataFrame, brackets: list[_Bracket]) -> list[tuple[int, int, int]]:
+    """Rows below, rows inside and roughly the distinct values inside each bracket; one pass."""
+    spans = _spans(brackets)
     aggs = []
-    for i, b in enumerate(brackets):
-        aggs.append(F.count_if(quoted(b.column) < F.lit(b.lo)).alias(f"b{i}"))
-        aggs.append(F.count_if(_inside(b)).alias(f"i{i}"))
-        aggs.append(F.approx_count_distinct(F.when(_inside(b), quoted(b.column))).alias(f"d{i}"))
+    for i, (c, lo, hi) in enumerate(spans):
+        inside = _inside(_Bracket(c, 0, lo, hi))
+        aggs += [
+            F.count_if(quoted(c) < F.lit(lo)).alias(f"b{i}"),
+            F.count_if(inside).alias(f"i{i}"),
+            F.approx_count_distinct(F.when(inside, quoted(c))).alias(f"d{i}"),
+        ]
     row = vals.agg(*aggs).first()
-    return [(row[f"b{i}"], row[f"i{i}"], row[f"d{i}"]) for i in range(len(brackets))]
-
-
-def _fetch_brackets(vals: DataFrame, ready, found, limit: int) -> None:
-    """Read value counts of the narrow brackets, each range of values once."""
-    seen: dict[tuple[str, float, float], list[tuple[float, int]]] = {}
+    got = {s: (row[f"b{i}"], row[f"i{i}"], row[f"d{i}"]) for i, s in enumerate(spans)}
+    return [got[b.column, b.lo, b.hi] for b in brackets]
+
+
+def _fetch_brackets(vals: DataFrame, ready: list[tuple[_Bracket, int]], found: dict) -> None:
+    """Value counts of all narrow brackets in one job; their sizes were checked."""
+    if not ready:
+        return
+    spans = _spans([b for b, _ in ready])
+    hits = F.array(
+        *[
+            F.when(_inside(_Bracket(c, 0, lo, hi)), F.struct(F.lit(i).alias("i"), quoted(c).alias("v")))
+            for i, (c, lo, hi) in enumerate(spans)
+        ]
+    )
+    rows = (
+        vals.select(F.explode(F.array_compact(hits)).alias("h")).groupBy("h.i", "h.v").agg(F.count("*").alias("n")).collect()
+    )
+    held: dict[int, list[tuple[float, int]]] = {}
+    for r in rows:
+        held.setdefault(r["i"], []).append((r["v"], r["n"]))
+    place = {s: i for i, s in enumerate(spans)}
     for b, below in ready:
-        span = (b.column, b.lo, b.hi)
-        if span not in seen:
-            rows = (
-                vals.where(_inside(b))
-                .groupBy(quoted(b.column).alias("v"))
-                .count()
-                .limit(2 * limit)
-                .collect()
-            )
-            seen[span] = sorted((r[0], r[1]) for r in rows)
         at = below
-        for v, k in seen[span]:
+        for v, k in sorted(held[place[b.column, b.lo, b.hi]]):
             if at <= b.rank < at + k:
-                found[b.column][b.rank] = v
+                found[b.column, b.rank] = v
                 break
             at += k
         else:
             raise RuntimeError(f"rank {b.rank} of {b.column} is outside its bracket")
 
 
-def _narrow(vals: DataFrame, wide) -> list[_Bracket]:
-    """Smaller brackets from a quantile sketch; kept only where counting proves them."""
+def _narrow(vals: DataFrame, wide: list[tuple[_Bracket, int, int]]) -> list[_Bracket]:
+    """Brackets inside the wide ones, from a sketch of only the values they hold."""
     if not wide:
         return []
-    eps, accuracy = 1e-3, 10_000
     aggs = []
     for i, (b, below, inside) in enumerate(wide):
         at = (b.rank - below) / max(inside - 1, 1)
-        probs = [max(at - eps, 0.0), min(at + eps, 1.0)]
-        aggs.append(
-            F.percentile_approx(F.when(_inside(b), quoted(b.column)), probs, accuracy).alias(f"q{i}")
-        )
+        probs = [max(at - SKETCH_MARGIN, 0.0), min(at + SKETCH_MARGIN, 1.0)]
+        v = quoted(b.column)
+        held = F.when(_inside(b), v)
+        middle = b.lo + (b.hi - b.lo) / 2
+        aggs += [
+            F.percentile_approx(held, probs, SKETCH_ACCURACY).alias(f"q{i}"),
+            F.count_if(held <= F.lit(middle)).alias(f"m{i}"),
+            F.max(F.when(held <= F.lit(middle), v)).alias(f"l{i}"),
+            F.min(F.when(held > F.lit(middle), v)).alias(f"r{i}"),
+        ]
     row = vals.agg(*aggs).first()
-    tries = [_Bracket(b.column, *row[f"q{i}"], b.rank) for i, (b, _, _) in enumerate(wide)]
     out = []
-    for (b, _, _), t, (below, inside, _) in zip(wide, tries, _count_brackets(vals, tries)):
-        if below <= b.rank < below + inside and (t.lo, t.hi) != (b.lo, b.hi):
-            out.append(t)
-            continue
-        # The rank is outside the sketched bracket, or it did not shrink: keep the half that has it.
-        mid = b.lo + (b.hi - b.lo) / 2
-        if mid in (b.lo, b.hi):
-            mid = b.lo
-        left = _Bracket(b.column, b.lo, mid, b.rank)
-        lower, held, _ = _count_brackets(vals, [left])[0]
-        if b.rank < lower + held:
-            out.append(left)
+    for i, (b, below, inside) in enumerate(wide):
+        lo, hi = row[f"q{i}"]
+        if (lo, hi) != (b.lo, b.hi):
+            out.append(_Bracket(b.column, b.rank, lo, hi))
+        elif b.rank < below + row[f"m{i}"]:
+            out.append(_Bracket(b.column, b.rank, b.lo, row[f"l{i}"]))
         else:
-            nxt = vals.agg(F.min(F.when(quoted(b.column) > F.lit(mid), quoted(b.column)))).first()[0]
-            out.append(_Bracket(b.column, nxt, b.hi, b.rank))
+            out.append(_Bracket(b.column, b.rank, row[f"r{i}"], b.hi))
     return out
 
 
 # ------------------------------------------------------------- hash cutoffs
 
 
+CUTOFF_ROWS = 20_000
+
+
+@dataclass(frozen=True)
+class RowOrder:
+    """A reproducible random order of rows: by a hash of the key columns, then by the keys.
+
+    The keys must identify a row. ``md5`` gives the same order in any SQL engine;
+    ``xxhash64`` costs a fraction of it and exists only in Spark.
+    """
+
+    keys: Sequence[str]
+    seed: int = 42
+    method: str = "md5"
+
+    def column(self) -> Column:
+        h = hash_key([quoted(k) for k in self.keys], self.seed, self.method)
+        return F.struct(h.alias("h"), *[quoted(k).alias(k) for k in self.keys])
+
+
 @dataclass
 class Cutoffs:
     """Per class, the order keys (hash, key columns) that close each block of rows."""
@@ -292,16 +343,11 @@ class _Target:
     n: int
 
 
-def order_key(keys: Sequence[str], seed: int) -> Column:
-    return F.struct(hash_key([quoted(k) for k in keys], seed).alias("h"), *[quoted(k).alias(k) for k in keys])
-
-
 def rank_cutoffs(
     df: DataFrame,
-    keys: Sequence[str],
+    order: RowOrder,
     ranks_of: Callable[[dict[Any, int]], dict[Any, list[int]]],
     class_column: str | None = None,
-    seed: int = 42,
     fetch_rows: int | None = None,
     max_classes: int = 10_000,
 ) -> Cutoffs:
@@ -311,7 +357,7 @@ def rank_cutoffs(
     many rows is split by a histogram of the next bits; only the last, narrow ranges are read.
     """
     cls = quoted(class_column) if class_column else F.lit(0)
-    rows = df.select(cls.alias("y"), order_key(keys, seed).alias("o"))
+    rows = df.select(cls.alias("y"), order.column().alias("o"))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).limit(max_classes + 1).collect()}
     if len(counts) > max_classes:
         raise ValueError(f"{class_column} has more than {max_classes} classes; it looks like a continuous value")
@@ -326,14 +372,14 @@ def rank_cutoffs(
     order_type = rows.schema["o"].dataType
     class_type = rows.schema["y"].dataType if class_column else None
     if todo:
-        limit = max(1000, (fetch_rows or FETCH_ROWS) // len(todo))
+        limit = max(100, (fetch_rows or CUTOFF_ROWS) // len(todo))
         for _ in range(HASH_BITS // 10):
             wide = [t for t in todo if t.n > limit]
             if not wide:
                 break
-            _split_ranges(rows, wide, class_column is not None)
-        for t, order in _read_ranges(rows, todo, class_column is not None):
-            points[t.cls][t.slot] = order
+            _split_ranges(rows, wide)
+        for t, point in _read_ranges(rows, todo):
+            points[t.cls][t.slot] = point
     return Cutoffs(counts, points, order_type, class_type)
 
 
@@ -356,7 +402,7 @@ def _in_ranges(rows: DataFrame, targets: list[_Target]) -> DataFrame:
     return rows.join(spans, F.col("y").eqNullSafe(F.col("ty")) & (h >= F.col("lo")) & (h < F.col("hi")))
 
 
-def _split_ranges(rows: DataFrame, wide: list[_Target], classed: bool) -> None:
+def _split_ranges(rows: DataFrame, wide: list[_Target]) -> None:
     bits = 10 if len(wide) <= 100 else 4
     step = {(t.cls, t.lo, t.hi): max(1, (t.hi - t.lo) >> bits) for t in wide}
     width = F.greatest(F.shiftright(F.col("hi") - F.col("lo"), bits), F.lit(1))
@@ -377,7 +423,7 @@ def _split_ranges(rows: DataFrame, wide: list[_Target], classed: bool) -> None:
             at += k
 
 
-def _read_ranges(rows: DataFrame, todo: list[_Target], classed: bool):
+def _read_ranges(rows: DataFrame, todo: list[_Target]):
     held: dict[tuple, list[tuple]] = {}
     for r in _in_ranges(rows, todo).select("y", "lo", "hi", "o").collect():
         held.setdefault((r["y"], r["lo"], r["hi"]), []).append(tuple(r["o"]))
@@ -387,27 +433,23 @@ def _read_ranges(rows: DataFrame, todo: list[_Target], classed: bool):
         yield t, held[(t.cls, t.lo, t.hi)][t.rank - 1]
 
 
-def blocks_before(
-    df: DataFrame, cut: Cutoffs, keys: Sequence[str], class_column: str | None = None, seed: int = 42
-) -> DataFrame:
+def blocks_before(df: DataFrame, cut: Cutoffs, order: RowOrder, class_column: str | None = None) -> DataFrame:
     """Add ``_block``: how many cutoffs of its class a row lies beyond. No shuffle.
 
     The cutoff table has one row per class (its size was checked when it was made).
     """
-    width = max((len(p) for p in cut.points.values()), default=0)
-    names = [f"_c{i}" for i in range(width)]
-    order = order_key(keys, seed)
     if class_column is None:
-        points = cut.points.get(0, [])
         out = F.lit(0)
-        for p in points:
-            out = out + (F.lit(1) if p is None else (order > _literal(p, cut.order_type)).cast("int"))
+        for p in cut.points.get(0, []):
+            out = out + (F.lit(1) if p is None else (order.column() > _literal(p, cut.order_type)).cast("int"))
         return df.withColumn("_block", out)
+    width = max((len(p) for p in cut.points.values()), default=0)
+    names = [f"_c{i}" for i in range(width)]
     schema = T.StructType(
         [T.StructField("_y", cut.class_type)] + [T.StructField(c, cut.order_type) for c in names]
     )
     table = df.sparkSession.createDataFrame([(y, *p) for y, p in cut.points.items()], schema)
-    joined = df.withColumn("_o", order).join(
+    joined = df.withColumn("_o", order.column()).join(
         F.broadcast(table), quoted(class_column).eqNullSafe(F.col("_y")), "left"
     )
     out = F.lit(0)
@@ -420,13 +462,12 @@ def _literal(values: tuple, kind: T.StructType) -> Column:
     return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, kind.fields)])
 
 
-def take_smallest(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows: those with the smallest (hash, key).
+def take_smallest(df: DataFrame, order: RowOrder, n: int) -> DataFrame:
+    """Exactly min(n, rows) rows, the first in the given order.
 
     A small n keeps n rows per task (top-k). A large one uses a cutoff and stays a filter.
     """
-    if n <= FETCH_ROWS:
-        ordered = df.withColumn("_o", order_key(keys, seed)).orderBy("_o").limit(n)
-        return ordered.drop("_o")
-    cut = rank_cutoffs(df, keys, lambda c: {y: [min(n, k)] for y, k in c.items()}, None, seed)
-    return blocks_before(df, cut, keys, None, seed).where(F.col("_block") == 0).drop("_block")
+    if n <= CUTOFF_ROWS:
+        return df.withColumn("_o", order.column()).orderBy("_o").limit(n).drop("_o")
+    cut = rank_cutoffs(df, order, lambda c: {y: [min(n, k)] for y, k in c.items()})
+    return blocks_before(df, cut, order).where(F.col("_block") == 0).drop("_block")
