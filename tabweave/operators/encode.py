@@ -55,8 +55,9 @@ class Dictionary:
         keyed = df.withColumn("_k", self._key())
         if self.pairs is not None:
             schema = T.StructType([T.StructField("_key", self.key_type), T.StructField("_v", self.value_type)])
-            pairs = spark.createDataFrame(self.pairs, schema)
-            joined = lookup_join(keyed, pairs, "_k", len(self.pairs))
+            # These pairs were collected, so their number was checked (DRIVER_KEYS).
+            pairs = F.broadcast(spark.createDataFrame(self.pairs, schema))
+            joined = keyed.join(pairs, F.col("_k") == F.col("_key"), "left").drop("_key")
         else:
             joined = lookup_join(keyed, spark.read.parquet(self.table), "_k", self.size, "_n", self.total)
         coded = F.coalesce(F.col("_v"), default)

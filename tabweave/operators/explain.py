@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from typing import Any
 
 import numpy as np
@@ -160,24 +160,24 @@ def leaf_shares(o: np.ndarray, z: np.ndarray) -> np.ndarray:
     return phi
 
 
-def tree_phi(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
+def tree_phi(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
     """Path-dependent attributions of a batch: rows x features."""
     phi = np.zeros_like(x)
-    for leaf in leaves:
-        if not leaf.features:
+    for value, features, lows, highs, accepted, shares in leaves:
+        if not features:
             continue
-        seen = x[:, leaf.features]
-        ok = (seen > np.array(leaf.lows)) & (seen <= np.array(leaf.highs))
+        seen = x[:, features]
+        ok = (seen > np.array(lows)) & (seen <= np.array(highs))
         # A NaN takes the right branch of every threshold.
-        ok |= np.isnan(seen) & np.isposinf(np.array(leaf.highs))
-        for j, values in enumerate(leaf.accepted):
+        ok |= np.isnan(seen) & np.isposinf(np.array(highs))
+        for j, values in enumerate(accepted):
             if values is not None:
                 ok[:, j] &= np.isin(seen[:, j], list(values))
         # Rows of one batch fall into few patterns of satisfied conditions.
-        patterns, where = np.unique(np.packbits(ok, axis=1), axis=0, return_inverse=True)
-        o = np.unpackbits(patterns, axis=1)[:, : len(leaf.features)].astype(float)
-        shares = leaf.value * leaf_shares(o, np.array(leaf.shares))
-        phi[:, leaf.features] += shares[where.ravel()]
+        code = ok @ (1 << np.arange(len(features), dtype=np.int64))
+        patterns, where = np.unique(code, return_inverse=True)
+        o = (patterns[:, None] >> np.arange(len(features)) & 1).astype(float)
+        phi[:, features] += (value * leaf_shares(o, np.array(shares)))[where]
     return phi
 
 
@@ -186,7 +186,8 @@ def tree_attribution(df: DataFrame, keys: Sequence[str], features: Sequence[str]
     leaves = model_leaves(model, target_class)
     base = float(sum(leaf.value * math.prod(leaf.shares) for leaf in leaves))
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(leaves)
+    # Plain tuples, so that a worker needs no class of this package to read them.
+    shared = spark.sparkContext.broadcast([astuple(leaf) for leaf in leaves])
     names, kept = list(features), list(keys)
     schema = T.StructType(
         [df.schema[k] for k in kept]

@@ -16,20 +16,19 @@ def lookup_join(
     dictionary: DataFrame,
     column: str,
     size: int,
-    count_column: str | None = None,
-    total: int | None = None,
+    count_column: str,
+    total: int,
 ) -> DataFrame:
     """Left join of ``rows`` with ``dictionary`` (key column ``_key``) on a column.
 
-    ``size`` is the known number of keys. Few keys are broadcast. Beyond that, keys that
+    ``size`` is the known number of keys, ``count_column`` the rows per key when the dictionary
+    was fitted and ``total`` their sum. Few keys are broadcast. Beyond that, keys that
     hold more than 1/HOT_SHARE of all rows, of which there can be at most HOT_SHARE, are
     joined by broadcast and never shuffled; the remaining rows are spread evenly by key.
     """
     match = quoted(column) == F.col("_key")
     if size <= BROADCAST_KEYS:
-        return rows.join(F.broadcast(dictionary), match, "left").drop("_key", *filter(None, [count_column]))
-    if count_column is None or total is None:
-        raise ValueError("a large dictionary needs row counts per key to find its hot keys")
+        return rows.join(F.broadcast(dictionary), match, "left").drop("_key", count_column)
     hot = dictionary.where(F.col(count_column) * HOT_SHARE > F.lit(total))
     hot_keys = F.broadcast(hot.select(F.col("_key").alias("_hot")))
     is_hot = quoted(column) == F.col("_hot")

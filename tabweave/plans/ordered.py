@@ -119,12 +119,18 @@ SKETCH_MARGIN = 1e-3
 
 @dataclass
 class _Bracket:
-    """Values lo..hi of a column that should hold the value at a 0-based rank."""
+    """Values lo..hi of a column that should hold the value at a 0-based rank.
+
+    ``outer`` is the smallest range proven to hold it; after a sketch missed, the next
+    bracket is halved by value instead.
+    """
 
     column: str
     rank: int
     lo: float
     hi: float
+    outer: tuple[float, float] = (-math.inf, math.inf)
+    halve: bool = False
 
 
 def exact_quantiles(
@@ -171,13 +177,13 @@ def exact_quantiles(
                 lo = ends[c][0] if p <= SKETCH_MARGIN else near[0]
                 hi = ends[c][1] if p >= 1 - SKETCH_MARGIN else near[1]
                 for rank in {math.floor(spot), math.ceil(spot)}:
-                    todo[c, rank] = _Bracket(c, rank, lo, hi)
+                    todo[c, rank] = _Bracket(c, rank, lo, hi, ends[c])
     if short:
         got = vals.agg(
             *[F.percentile(quoted(c), F.array(*[F.lit(float(p)) for p in wanted[c]])) for c in short]
         ).first()
         out.update({c: list(qs) for c, qs in zip(short, got)})
-    found = _values_at_ranks(vals, list(todo.values()), ends, limit)
+    found = _values_at_ranks(vals, list(todo.values()), limit)
     for c, at in spots.items():
         out[c] = []
         for spot in at:
@@ -191,11 +197,9 @@ def _clean(column: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _values_at_ranks(
-    vals: DataFrame, todo: list[_Bracket], ends: dict[str, tuple[float, float]], limit: int
-) -> dict[tuple[str, int], float]:
+def _values_at_ranks(vals: DataFrame, todo: list[_Bracket], limit: int) -> dict[tuple[str, int], float]:
     found: dict[tuple[str, int], float] = {}
-    for _ in range(64):
+    for _ in range(256):
         if not todo:
             return found
         ready: list[tuple[_Bracket, int]] = []
@@ -204,8 +208,8 @@ def _values_at_ranks(
         for b, (below, inside, distinct) in zip(todo, _count_brackets(vals, todo)):
             if not below <= b.rank < below + inside:
                 # The sketch missed the rank: search the side that must hold it.
-                lo, hi = ends[b.column]
-                missed.append(_Bracket(b.column, b.rank, lo, b.lo) if b.rank < below else _Bracket(b.column, b.rank, b.hi, hi))
+                lo, hi = (b.outer[0], b.lo) if b.rank < below else (b.hi, b.outer[1])
+                missed.append(_Bracket(b.column, b.rank, lo, hi, (lo, hi), True))
             elif b.lo == b.hi:
                 found[b.column, b.rank] = b.lo
             elif distinct <= limit // (2 * len(todo)) + 1000:
@@ -280,23 +284,22 @@ def _narrow(vals: DataFrame, wide: list[tuple[_Bracket, int, int]]) -> list[_Bra
         probs = [max(at - SKETCH_MARGIN, 0.0), min(at + SKETCH_MARGIN, 1.0)]
         v = quoted(b.column)
         held = F.when(_inside(b), v)
-        middle = b.lo + (b.hi - b.lo) / 2
+        middle = F.lit(b.lo / 2 + b.hi / 2)
         aggs += [
             F.percentile_approx(held, probs, SKETCH_ACCURACY).alias(f"q{i}"),
-            F.count_if(held <= F.lit(middle)).alias(f"m{i}"),
-            F.max(F.when(held <= F.lit(middle), v)).alias(f"l{i}"),
-            F.min(F.when(held > F.lit(middle), v)).alias(f"r{i}"),
+            F.count_if(held <= middle).alias(f"m{i}"),
+            F.max(F.when(held <= middle, v)).alias(f"l{i}"),
+            F.min(F.when(held > middle, v)).alias(f"r{i}"),
         ]
     row = vals.agg(*aggs).first()
     out = []
     for i, (b, below, inside) in enumerate(wide):
         lo, hi = row[f"q{i}"]
-        if (lo, hi) != (b.lo, b.hi):
-            out.append(_Bracket(b.column, b.rank, lo, hi))
-        elif b.rank < below + row[f"m{i}"]:
-            out.append(_Bracket(b.column, b.rank, b.lo, row[f"l{i}"]))
+        if b.halve or (lo, hi) == (b.lo, b.hi):
+            lo, hi = (b.lo, row[f"l{i}"]) if b.rank < below + row[f"m{i}"] else (row[f"r{i}"], b.hi)
+            out.append(_Bracket(b.column, b.rank, lo, hi, (lo, hi)))
         else:
-            out.append(_Bracket(b.column, b.rank, row[f"r{i}"], b.hi))
+            out.append(_Bracket(b.column, b.rank, lo, hi, (b.lo, b.hi)))
     return out
 
 

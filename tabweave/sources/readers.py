@@ -69,11 +69,14 @@ def read_delimited(
         .option("multiLine", line_breaks_in_quotes)
         .option("mode", "FAILFAST")
         .option("maxCharsPerColumn", -1)
+        # Nothing between two separators is null, a quoted empty text is text.
+        .option("nullValue", "\u0000")
+        .option("emptyValue", "")
     )
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     raw = reader.csv(paths, inferSchema=False)
-    tokens = [t for t in null_tokens if t]
+    tokens = list(null_tokens)
     texts = raw.select(
         *[F.when(~quoted(c).isin(tokens), quoted(c)).alias(c) if tokens else quoted(c) for c in raw.columns]
     )

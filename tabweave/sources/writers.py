@@ -38,6 +38,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
         .option("escape", '"')
         .option("emptyValue", '""')
         .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
         .csv(path)
     )
