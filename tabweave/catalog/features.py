@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tabweave.catalog.base import GAPPY_SQL, LABELLED_SQL, big, gappy_events, labelled_documents, longs, query, r6, rounded, table
-from tabweave.config import Bin, DateParts, FeatureConfig, ValidationConfig
+from tabweave.config import Bin, DateParts, Derived, FeatureConfig, ValidationConfig
 from tabweave.functions.columns import bin_code
 from tabweave.operators import features as X
 from tabweave.operators.encode import fit_first_seen_codes, fit_sorted_codes, fit_target_means
@@ -66,7 +67,7 @@ def date_parts(spark, sf):
     """SELECT o_orderkey, o_orderdate AS d, year(o_orderdate) AS d_year, isodow(o_orderdate) - 1 AS d_dayofweek FROM orders"""
 )
 def date_parse_text(spark, sf):
-    rows = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("d"))
     return longs(X.fit_dates(rows, DateParts("d", ("year", "dayofweek"))).transform(rows), "d_year", "d_dayofweek")
 
 
@@ -233,6 +234,23 @@ def custom_expr(spark, sf):
     )
 
 
+@query(
+    """SELECT l_orderkey, l_partkey, round(l_extendedprice * (1 - l_discount), 6) AS net FROM lineitem"""
+)
+def custom_registered_function(spark, sf):
+    """An expression that calls a vectorised Python function registered by name."""
+
+    @F.pandas_udf("double")
+    def net_price(price: pd.Series, discount: pd.Series) -> pd.Series:
+        return price * (1 - discount)
+
+    spark.udf.register("net_price", net_price)
+    rows = table(spark, sf, "lineitem")
+    cfg = FeatureConfig(derived=(Derived("net", "net_price(l_extendedprice, l_discount)"),), on_error="raise")
+    out = X.fit_features(rows, cfg).transform(rows)
+    return rounded(out.select("l_orderkey", "l_partkey", "net"), "net")
+
+
 _FLOW = {
     "enabled": True,
     "binning": {

@@ -178,3 +178,13 @@ def saved_model(spark, sf):
     first = t.score(rows.withColumn("raw", F.struct("*")), ["raw"]).select("raw.*", F.col("p1").alias("before"))
     both = again.score(first, ["before"])
     return both.agg(F.count("*").alias("n"), (F.max(F.abs(F.col("p1") - F.col("before"))) < 1e-12).alias("same"))
+
+
+@query(
+    """WITH d AS (SELECT event_type, date_trunc('day', ts)::timestamp AS period, sum(value) AS y FROM events GROUP BY ALL)
+       SELECT event_type, period, round(y, 6) AS y FROM d WHERE period > (SELECT max(period) FROM d) - INTERVAL 7 DAY"""
+)
+def forecast_values(spark, sf):
+    """Daily value per event type: boosted trees on lags, scored on the last week."""
+    _, scored = G.forecast(table(spark, sf, "events"), "event_type", "ts", "value", maxIter=5, maxDepth=3)
+    return rounded(scored.where(F.col("prediction").isNotNull()).drop("prediction"), "y")

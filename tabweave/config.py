@@ -65,6 +65,11 @@ class FeatureConfig:
     label: str | None = None
     on_error: str = "skip"
 
+    def needs_statistics(self) -> bool:
+        """Whether fitting reads the rows at all."""
+        widths = any(isinstance(b.bins, int) for b in self.bins)
+        return bool(widths or self.dates or self.scale_columns or self.encode_columns)
+
     @staticmethod
     def from_dict(cfg: Mapping[str, Any], label: str | None = None, on_error: str = "skip") -> "FeatureConfig":
         """Read the ``feature_engineering`` section; each part counts only if enabled."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,6 +37,11 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def typed_lit(value, kind: T.DataType) -> Column:
+    """Literal of a type. Dates and times go through text, which no time zone shifts."""
+    return F.lit(str(value) if isinstance(value, (date, datetime)) else value).cast(kind)
+
+
 def check_edges(edges: Sequence[float], labels: Sequence[str] | None) -> None:
     if len(edges) < 2:
         raise ValueError("a bin needs at least two edges")

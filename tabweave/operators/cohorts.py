@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabweave.functions.columns import quoted
 from tabweave.operators.explain import model_leaves
-from tabweave.operators.metrics import prf_binary, roc_auc
+from tabweave.operators.metrics import binary_counts, binary_ratios, roc_auc
 
 
 def error_cube(df: DataFrame, error: Column, dims: Sequence[str]) -> DataFrame:
@@ -59,17 +59,16 @@ def error_tree(df: DataFrame, error: Column, features: Sequence[str], depth: int
 def cohort_metrics(df: DataFrame, cohort: str, label: str, prediction: str, score: str) -> DataFrame:
     """Size, accuracy, precision, recall, F1 and AUC per cohort."""
     hit = (quoted(label) == quoted(prediction)).cast("double")
-    base = df.groupBy(cohort).agg(
+    counted = df.groupBy(cohort).agg(
         F.count("*").alias("n"),
         F.avg(hit).alias("accuracy"),
         F.avg((quoted(prediction) == 1).cast("double")).alias("selection_rate"),
+        *binary_counts(label, prediction),
     )
+    base = counted.select(cohort, "n", "accuracy", "selection_rate", *binary_ratios())
     # One row per cohort on each side; null cohorts match each other.
-    prf = prf_binary(df, label, prediction, [cohort]).withColumnRenamed(cohort, "_c1")
-    auc = roc_auc(df, label, score, [cohort]).withColumnRenamed(cohort, "_c2")
-    joined = base.join(prf, quoted(cohort).eqNullSafe(F.col("_c1")), "left")
-    joined = joined.join(auc, quoted(cohort).eqNullSafe(F.col("_c2")), "left")
-    return joined.drop("_c1", "_c2")
+    auc = roc_auc(df, label, score, [cohort]).withColumnRenamed(cohort, "_cohort")
+    return base.join(auc, quoted(cohort).eqNullSafe(F.col("_cohort")), "left").drop("_cohort")
 
 
 def fairness_gaps(metrics: DataFrame, names: Sequence[str] = ("accuracy", "precision", "recall", "f1", "auc")) -> DataFrame:

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabweave.functions.columns import nan_to_null, quoted
+from tabweave.functions.columns import nan_to_null, quoted, typed_lit
 from tabweave.plans.lookup import lookup_join
 from tabweave.plans.ordered import key_boundaries, prefix_sums
 from tabweave.session import fresh_dir
@@ -46,7 +46,7 @@ class Dictionary:
         if self.pairs is not None and len(self.pairs) <= CASE_KEYS:
             coded: Column | None = None
             for k, v in self.pairs:
-                hit = self._key() == F.lit(k).cast(self.key_type)
+                hit = self._key() == typed_lit(k, self.key_type)
                 val = F.lit(v).cast(self.value_type)
                 coded = F.when(hit, val) if coded is None else coded.when(hit, val)
             coded = default if coded is None else coded.otherwise(default)
@@ -59,7 +59,7 @@ class Dictionary:
             pairs = F.broadcast(spark.createDataFrame(self.pairs, schema))
             joined = keyed.join(pairs, F.col("_k") == F.col("_key"), "left").drop("_key")
         else:
-            joined = lookup_join(keyed, spark.read.parquet(self.table), "_k", self.size, "_n", self.total)
+            joined = lookup_join(keyed, spark.read.parquet(self.table), "_k", self.size, self.total)
         coded = F.coalesce(F.col("_v"), default)
         return _put(joined.drop("_k"), out, coded, df.columns).drop("_v")
 
@@ -149,7 +149,7 @@ def fit_sorted_codes(
             out[c] = Dictionary(c, kind, T.IntegerType(), -1, pairs, size=len(pairs), fill=fill)
             continue
         groups = keyed.where(quoted(c).isNotNull()).groupBy(quoted(c).alias("_key")).agg(F.count("*").alias("_n"))
-        bounds = key_boundaries(keyed, c, one_task_keys)
+        bounds = key_boundaries(keyed, c, one_task_keys, sizes[c])
         codes = prefix_sums(groups.withColumn("_one", F.lit(1)), "_key", ["_one"], bounds)
         out[c] = _as_table(codes, F.col("_one_before"), c, kind, T.LongType(), -1, fill)
     return out

@@ -30,6 +30,7 @@ from tabweave.functions.columns import (
     power,
     quoted,
     rescale,
+    typed_lit,
 )
 from tabweave.operators.encode import (
     DRIVER_KEYS,
@@ -136,7 +137,7 @@ class OneHotStep(FeatureStep):
         made = []
         for c, values in self.categories.items():
             for v in values[1:]:
-                hit = F.coalesce(quoted(c) == F.lit(v).cast(df.schema[c].dataType), F.lit(False))
+                hit = F.coalesce(quoted(c) == typed_lit(v, df.schema[c].dataType), F.lit(False))
                 made.append(hit.cast("int").alias(f"{c}_{v}"))
         return df.select(*rest, *made)
 

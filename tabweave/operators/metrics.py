@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.columns import quoted
-from tabweave.plans.lookup import BROADCAST_KEYS, HOT_SHARE
+from tabweave.plans.lookup import lookup_join
 from tabweave.plans.ordered import key_boundaries, prefix_sums
 
 
@@ -25,19 +25,25 @@ def accuracy(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ())
     return df.groupBy(*by).agg(F.count("*").alias("n"), F.avg(hit).alias("accuracy"))
 
 
-def prf_binary(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    """Precision, recall and F1 of class 1; a zero denominator gives 0."""
+def binary_counts(label: str, prediction: str) -> list[Column]:
+    """Aggregates tp, fp and fn for class 1."""
     y, p = quoted(label) == 1, quoted(prediction) == 1
-    c = df.groupBy(*by).agg(
-        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn")
-    )
+    return [F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn")]
+
+
+def binary_ratios() -> list[Column]:
+    """Precision, recall and F1 from tp, fp and fn; a zero denominator gives 0."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return c.select(
-        *by,
+    return [
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
         _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
-    )
+    ]
+
+
+def prf_binary(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall and F1 of class 1."""
+    return df.groupBy(*by).agg(*binary_counts(label, prediction)).select(*by, *binary_ratios())
 
 
 def confusion(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
@@ -110,40 +116,51 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
 
 
 def _curve(df: DataFrame, label: Column, score: str, by: Sequence[str]) -> DataFrame:
-    """Per distinct score: positives, negatives, and how many of each lie below."""
+    """Per distinct score: positives, negatives, and how many of each lie below.
+
+    Both running totals are used by ``_area``, so that both branches of the running sum need
+    the same columns and share one shuffle of the scores.
+    """
     rows = df.where(quoted(score).isNotNull() & label.isNotNull())
     bounds = key_boundaries(rows, score)
     groups = rows.groupBy(*by, quoted(score).alias("s")).agg(
         F.sum(label.cast("bigint")).alias("pos"), F.sum((1 - label).cast("bigint")).alias("neg")
     )
-    return prefix_sums(groups, "s", ["neg"], bounds, by)
+    return prefix_sums(groups, "s", ["pos", "neg"], bounds, by)
+
+
+def _area() -> Column:
+    """Pairs ranked right (ties half) over all pairs, as an aggregate of a curve."""
+    won = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
+    # The last running totals are the class sizes; as doubles their product cannot overflow.
+    positives = F.max(F.col("pos_before") + F.col("pos")).cast("double")
+    negatives = F.max(F.col("neg_before") + F.col("neg")).cast("double")
+    return F.try_divide(F.sum(won), positives * negatives)
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve, ties count half; null if a class is missing."""
     curve = _curve(df, (quoted(label) == 1).cast("int"), score, by)
-    won = F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
-    # Both factors are counts; multiplying them as double cannot overflow.
-    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return curve.groupBy(*by).agg(F.try_divide(F.sum(won.cast("double")), pairs).alias("auc"))
+    return curve.groupBy(*by).agg(_area().alias("auc"))
 
 
 def auc_weighted(df: DataFrame, label: str, scores: dict[int, str], by: Sequence[str] = ()) -> DataFrame:
     """One-vs-rest AUC per class, weighted by class support. ``scores`` maps class -> score column."""
     entries = [
         F.struct(
-            F.lit(c).alias("_class"), (quoted(label) == F.lit(c)).cast("int").alias("_hit"), quoted(s).cast("double").alias("_score")
+            F.lit(c).alias("_class"),
+            (quoted(label) == F.lit(c)).cast("int").alias("_hit"),
+            quoted(s).cast("double").alias("_score"),
         )
         for c, s in scores.items()
     ]
     long = df.select(*by, F.inline(F.array(*entries)))
     curve = _curve(long, F.col("_hit"), "_score", [*by, "_class"])
-    won = F.sum((F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))).cast("double"))
-    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    each = curve.groupBy(*by, "_class").agg(F.try_divide(won, pairs).alias("auc"), F.sum("pos").alias("support"))
+    each = curve.groupBy(*by, "_class").agg(_area().alias("auc"), F.sum("pos").alias("support"))
     # A class without positives has no AUC and no weight.
     kept = F.when(F.col("auc").isNotNull(), F.col("support"))
-    return each.groupBy(*by).agg(F.try_divide(F.sum(F.col("auc") * kept), F.sum(kept).cast("double")).alias("auc_weighted"))
+    mean = F.try_divide(F.sum(F.col("auc") * kept), F.sum(kept).cast("double"))
+    return each.groupBy(*by).agg(mean.alias("auc_weighted"))
 
 
 def cv_summary(df: DataFrame, label: str, prediction: str, fold: str) -> DataFrame:
@@ -173,44 +190,31 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[
     )
 
 
-def _average_ranks(df: DataFrame, column: str) -> DataFrame:
-    """(value, rank, count): the average rank of each distinct value."""
-    groups = df.groupBy(quoted(column).alias("v")).agg(F.count("*").alias("c"))
-    ranked = prefix_sums(groups, "v", ["c"], key_boundaries(df, column))
-    rank = F.col("c_before").cast("double") + (F.col("c") + F.lit(1)) / F.lit(2.0)
-    return ranked.select("v", rank.alias("r"), "c")
+def _average_ranks(pairs: DataFrame, rows: DataFrame, column: str, distinct: int) -> DataFrame:
+    """(_key, _v, _n): each distinct value, its average rank and its rows."""
+    groups = pairs.groupBy(quoted(column).alias("_key")).agg(F.sum("w").alias("_n"))
+    ranked = prefix_sums(groups, "_key", ["_n"], key_boundaries(rows, column, distinct=distinct))
+    rank = F.col("_n_before").cast("double") + (F.col("_n") + F.lit(1)) / F.lit(2.0)
+    return ranked.select("_key", rank.alias("_v"), "_n")
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Spearman correlation with average ranks.
 
-    Rows collapse to distinct (x, y) pairs first. Values that hold more than 1/HOT_SHARE of
-    the rows, at most HOT_SHARE of them, get their rank by broadcast; the others by key.
+    Rows collapse to distinct (x, y) pairs first, in one shuffle that the ranks of both
+    columns reuse; then both values look up their rank.
     """
     rows = df.select(quoted(x).cast("double").alias("x"), quoted(y).cast("double").alias("y")).dropna()
+    total, nx, ny = rows.agg(F.count("*"), F.approx_count_distinct("x"), F.approx_count_distinct("y")).first()
     pairs = rows.groupBy("x", "y").agg(F.count("*").alias("w"))
-    total, nx, ny = rows.agg(
-        F.count("*"), F.approx_count_distinct("x"), F.approx_count_distinct("y")
-    ).first()
-    ranked = _with_rank(pairs, _average_ranks(rows, "x"), "x", "rx", nx, total)
-    ranked = _with_rank(ranked, _average_ranks(rows, "y"), "y", "ry", ny, total)
-    w, rx, ry = F.col("w"), F.col("rx"), F.col("ry")
-    middle = F.lit((total + 1) / 2.0)
-    dx, dy = rx - middle, ry - middle
+    ranked = pairs
+    for c, distinct in (("x", nx), ("y", ny)):
+        # The number of values is an estimate; twice it is a safe bound for broadcasting.
+        ranked = lookup_join(ranked, _average_ranks(pairs, rows, c, distinct), c, 2 * distinct, total)
+        ranked = ranked.withColumnRenamed("_v", f"r{c}")
+    w, middle = F.col("w"), F.lit((total + 1) / 2.0)
+    dx, dy = F.col("rx") - middle, F.col("ry") - middle
     return ranked.agg(
         F.sum("w").alias("n"),
         F.try_divide(F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))).alias("spearman"),
     )
-
-
-def _with_rank(pairs: DataFrame, ranks: DataFrame, key: str, name: str, distinct: int, total: int) -> DataFrame:
-    ranks = ranks.select(F.col("v").alias("_v"), F.col("r").alias(name), F.col("c").alias("_c"))
-    match = F.col(key) == F.col("_v")
-    # distinct is an estimate (5 % error), hence the margin below the checked broadcast size.
-    if distinct <= BROADCAST_KEYS // 2:
-        return pairs.join(F.broadcast(ranks), match).drop("_v", "_c")
-    hot = F.broadcast(ranks.where(F.col("_c") * HOT_SHARE > F.lit(total)))
-    cold = ranks.where(F.col("_c") * HOT_SHARE <= F.lit(total))
-    near = pairs.join(hot, match)
-    far = pairs.join(F.broadcast(hot.select(F.col("_v").alias("_h"))), F.col(key) == F.col("_h"), "left_anti")
-    return near.unionByName(far.join(cold, match)).drop("_v", "_c")

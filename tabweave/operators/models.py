@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.config import DateParts, SearchConfig
-from tabweave.functions.columns import DATE_PARTS, quoted
+from tabweave.functions.columns import DATE_PARTS, quoted, typed_lit
 from tabweave.operators.encode import distinct_sizes, fit_first_seen_codes, fit_sorted_codes
 from tabweave.operators.features import STEPS, CodeStep, FeatureStep, FittedFeatures, fit_dates, fit_onehot, fit_scale
 from tabweave.operators.quality import (
@@ -463,12 +463,17 @@ def series_features(
     rows: a hot series costs one window group of that many periods. A lag looks up the
     period itself, so a missing period gives null.
     """
-    # Seconds per period.
-    seconds = {"hour": 3600, "day": 86400}[period]
-    at = F.date_trunc(period, quoted(time)).cast("timestamp_ntz")
-    totals = df.groupBy(quoted(series).alias(series), at.alias("period")).agg(F.sum(quoted(value).cast("double")).alias("y"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    indexed = totals.withColumn("_i", F.floor(F.timestamp_diff("SECOND", epoch, F.col("period")) / seconds))
+    if period not in ("hour", "day"):
+        raise ValueError(f"unknown period {period!r}; use hour or day")
+    day = quoted(time).cast("date")
+    index, at = F.unix_date(day), day.cast("timestamp_ntz")
+    if period == "hour":
+        index = index * 24 + F.hour(quoted(time))
+        at = at + F.make_dt_interval(hours=F.hour(quoted(time)))
+    stamped = df.select(
+        quoted(series).alias(series), index.alias("_i"), at.alias("period"), quoted(value).cast("double").alias("_y")
+    )
+    indexed = stamped.groupBy(series, "_i", "period").agg(F.sum("_y").alias("y"))
     order = Window.partitionBy(series).orderBy("_i")
     return indexed.select(
         quoted(series),
@@ -482,6 +487,25 @@ def series_features(
 def split_by_time(df: DataFrame, time: str, horizon: str = "7 days") -> DataFrame:
     """Add ``split``: the last ``horizon`` of the whole table is the test part."""
     last = df.agg(F.max(quoted(time))).first()[0]
-    cut = F.lit(last).cast("timestamp_ntz") - F.expr(f"INTERVAL {horizon}")
+    cut = typed_lit(last, T.TimestampNTZType()) - F.expr(f"INTERVAL {horizon}")
     return df.withColumn("split", F.when(quoted(time) > cut, F.lit("test")).otherwise(F.lit("train")))
 
+
+
+def forecast(
+    df: DataFrame, series: str, time: str, value: str, period: str = "day", horizon: str = "7 days", **params
+) -> tuple[Trained, DataFrame]:
+    """Boosted trees on lags and calendar parts; returns the model and the scored last part.
+
+    The model is fitted on the periods before the horizon; gaps in the history of a series
+    get the training median.
+    """
+    made = split_by_time(series_features(df, series, time, value, period), "period", horizon)
+    dated = made.withColumn("month", F.month("period")).withColumn("weekday", F.weekday("period"))
+    past = dated.where("split = 'train'")
+    lagged = [c for c in made.columns if c.startswith(("lag_", "mean_"))]
+    fill = FillStep({c: v for c, v in impute_values(past, lagged).items() if v is not None})
+    known = [c for c in lagged if c in fill.values]
+    feats = [*known, "month", "weekday"]
+    t = train(past, feats, "y", "gradient_boosting", "regression", preparation=FittedFeatures([fill]), **params)
+    return t, t.score(dated.where("split = 'test'"), [series, "period", "y"])

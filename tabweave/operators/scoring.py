@@ -44,10 +44,10 @@ def _plain_columns(df: DataFrame) -> list[Column]:
 
 
 def _iso(c: Column, kind: T.DataType) -> Column:
-    ts = c.cast("timestamp_ntz") if isinstance(kind, T.DateType) else c
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micro = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.when(micro.endswith(".000000"), whole).otherwise(micro)
+    text = (c.cast("timestamp_ntz") if isinstance(kind, T.DateType) else c).cast("string")
+    whole = F.replace(F.substring(text, 1, 19), F.lit(" "), F.lit("T"))
+    micros = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.when(F.length(text) > 19, F.concat(whole, F.lit("."), micros)).otherwise(whole)
 
 
 def split_rows(df: DataFrame, keys: Sequence[str], output: str = "json") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabweave.config import SearchConfig
 from tabweave.functions.columns import quoted
 from tabweave.operators import metrics as M
-from tabweave.operators.models import Trained, out_of_fold, train
+from tabweave.operators.models import Trained, out_of_fold, split_by_time, train
 from tabweave.operators.split import plain_folds, split_random, split_stratified, stratified_folds
 
 # Metric names a config may use, with the name used here.
@@ -85,20 +85,28 @@ def search(
     label: str,
     cfg: SearchConfig,
     candidates: Sequence[Candidate] | None = None,
+    time_column: str | None = None,
+    horizon: str = "7 days",
 ) -> SearchResult:
     """Judge every candidate on rows it was not trained on, then refit the best on all rows.
 
     Folds win over a validation part if both are set. After the time limit, or without
     progress over PATIENCE candidates under early stopping, no further candidate starts.
+    Forecasting is regression judged on the last ``horizon`` of ``time_column``.
     """
     if cfg.primary_metric not in METRIC_NAMES:
         raise ValueError(f"unknown metric {cfg.primary_metric!r}")
     metric = METRIC_NAMES[cfg.primary_metric]
-    task = cfg.task
+    task = "regression" if cfg.task == "forecasting" else cfg.task
     todo = choose(candidates or default_candidates(task), cfg)
     if not todo:
         raise ValueError("no candidate is allowed")
-    marked, judge = _judge(df, keys, features, label, cfg)
+    if cfg.task == "forecasting":
+        if time_column is None:
+            raise ValueError("forecasting needs the time column")
+        marked, judge = split_by_time(df, time_column, horizon), _on_held_out(keys, features, label, task)
+    else:
+        marked, judge = _judge(df, keys, features, label, cfg)
     marked = marked.persist()
     deadline = time.monotonic() + 60 * cfg.timeout_minutes if cfg.timeout_minutes else None
     better = (lambda a, b: a < b) if metric in SMALLER_IS_BETTER else (lambda a, b: a > b)
@@ -153,11 +161,15 @@ def _judge(df, keys, features, label, cfg):
     else:
         parts = split_random(df, keys, size)
 
-    def by_validation(rows: DataFrame, c: Candidate) -> DataFrame:
-        t = train(rows.where("split = 'train'"), features, label, c.kind, cfg.task, **c.params)
+    return parts, _on_held_out(keys, features, label, cfg.task)
+
+
+def _on_held_out(keys, features, label, task):
+    def judge(rows: DataFrame, c: Candidate) -> DataFrame:
+        t = train(rows.where("split = 'train'"), features, label, c.kind, task, **c.params)
         return t.score(rows.where("split = 'test'"), [*keys, label])
 
-    return parts, by_validation
+    return judge
 
 
 def ranking(board: DataFrame, metric: str) -> DataFrame:

@@ -9,34 +9,34 @@ from tabweave.functions.columns import quoted
 
 BROADCAST_KEYS = 200_000
 HOT_SHARE = 1000
+SPREAD = 1024
 
 
-def lookup_join(
-    rows: DataFrame,
-    dictionary: DataFrame,
-    column: str,
-    size: int,
-    count_column: str,
-    total: int,
-) -> DataFrame:
-    """Left join of ``rows`` with ``dictionary`` (key column ``_key``) on a column.
+def lookup_join(rows: DataFrame, dictionary: DataFrame, column: str, size: int, total: int) -> DataFrame:
+    """Add ``_v``, the dictionary's value for a column of ``rows``; null where there is none.
 
-    ``size`` is the known number of keys, ``count_column`` the rows per key when the dictionary
-    was fitted and ``total`` their sum. Few keys are broadcast. Beyond that, keys that
-    hold more than 1/HOT_SHARE of all rows, of which there can be at most HOT_SHARE, are
-    joined by broadcast and never shuffled; the remaining rows are spread evenly by key.
+    ``dictionary`` has ``_key``, ``_v`` and ``_n`` (rows per key when it was fitted); ``size`` is
+    its number of keys and ``total`` the sum of ``_n``. Few keys are broadcast. Beyond that, a
+    key with more than 1/HOT_SHARE of all rows, of which there are at most HOT_SHARE, gets its
+    value by broadcast. Its rows, and those without a key, then pass the shuffle spread over
+    all tasks, because nothing is left for them to meet there.
     """
-    match = quoted(column) == F.col("_key")
+    names = [quoted(c) for c in rows.columns]
+    key = quoted(column)
     if size <= BROADCAST_KEYS:
-        return rows.join(F.broadcast(dictionary), match, "left").drop("_key", count_column)
-    hot = dictionary.where(F.col(count_column) * HOT_SHARE > F.lit(total))
-    hot_keys = F.broadcast(hot.select(F.col("_key").alias("_hot")))
-    is_hot = quoted(column) == F.col("_hot")
-    near = rows.join(F.broadcast(hot), match, "inner")
-    # Null keys match nothing; keeping them out of the shuffle stops them from piling up in one task.
-    empty = rows.where(quoted(column).isNull())
-    rest = rows.where(quoted(column).isNotNull()).join(hot_keys, is_hot, "left_anti")
-    cold = dictionary.where(F.col(count_column) * HOT_SHARE <= F.lit(total))
-    far = rest.join(cold, match, "left")
-    out = near.unionByName(far).unionByName(empty, allowMissingColumns=True)
-    return out.drop("_key", count_column)
+        small = F.broadcast(dictionary.select("_key", "_v"))
+        return rows.join(small, key == F.col("_key"), "left").select(*names, "_v")
+    heavy = F.col("_n") * HOT_SHARE > F.lit(total)
+    hot = F.broadcast(dictionary.where(heavy).select(F.col("_key").alias("_hk"), F.col("_v").alias("_hv")))
+    # Always 0, but not a literal: as a literal it would be folded away and not be a join key.
+    never = F.least(F.col("_n"), F.lit(0)).cast("int")
+    cold = dictionary.where(~heavy).select("_key", "_v", never.alias("_at"))
+    near = rows.join(hot, key == F.col("_hk"), "left")
+    settled = key.isNull() | F.col("_hk").isNotNull()
+    # Copies of one row differ only in their partition, so that is part of the spread. A retried
+    # task computes the same spread, and no spread above 0 matches: the result cannot change.
+    mixed = F.pmod(F.xxhash64(*names), F.lit(SPREAD)) + F.spark_partition_id()
+    spread = F.lit(1) + F.pmod(mixed, F.lit(SPREAD))
+    near = near.withColumn("_to", F.when(settled, spread).otherwise(F.lit(0)).cast("int"))
+    far = near.join(cold, (key == F.col("_key")) & (F.col("_to") == F.col("_at")), "left")
+    return far.select(*names, F.coalesce("_hv", "_v").alias("_v"))

@@ -17,33 +17,40 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabweave.functions.columns import hash_key, quoted
+from tabweave.functions.columns import NUMERIC_TYPES, hash_key, quoted, typed_lit
 
 FETCH_ROWS = 200_000
 ONE_TASK_KEYS = 200_000
-MAX_RANGES = 256
+NUMBER_RANGES = 2048
+OTHER_RANGES = 256
 HASH_BITS = 60
 
 
 # ---------------------------------------------------------------- key ranges
 
 
-def key_boundaries(df: DataFrame, column: str, one_task_keys: int | None = None) -> list[Any]:
+def key_boundaries(
+    df: DataFrame, column: str, one_task_keys: int | None = None, distinct: int | None = None
+) -> list[Any]:
     """Boundaries that cut the distinct values of a column into even ranges.
 
     Distinct values, not rows, are balanced, so a hot value does not matter: callers
     aggregate by value first. The sample is a slice of the value hash and only decides
     where to cut, never which rows count. No boundaries means one range is enough.
+    ``distinct`` is the estimated number of values, if the caller has it already.
     """
     limit = one_task_keys or ONE_TASK_KEYS
-    distinct = df.agg(F.approx_count_distinct(quoted(column))).first()[0]
+    if distinct is None:
+        distinct = df.agg(F.approx_count_distinct(quoted(column))).first()[0]
     if distinct <= limit:
         return []
-    ranges = min(MAX_RANGES, max(2, math.ceil(4 * distinct / limit)))
+    most = NUMBER_RANGES if isinstance(df.schema[column].dataType, NUMERIC_TYPES) else OTHER_RANGES
+    ranges = min(most, max(2, math.ceil(4 * distinct / limit)))
     slices = max(1, distinct // (32 * ranges))
     sample = (
         df.select(quoted(column).alias("v"))
@@ -52,22 +59,31 @@ def key_boundaries(df: DataFrame, column: str, one_task_keys: int | None = None)
         .limit(FETCH_ROWS)
         .collect()
     )
-    values = sorted(r[0] for r in sample)
+    values = sorted(r[0] for r in sample if r[0] == r[0])
     if len(values) < ranges:
         return values
     return [values[len(values) * i // ranges] for i in range(1, ranges)]
 
 
-def range_id(value: Column, bounds: Sequence[Any]) -> Column:
-    """Number of boundaries <= value, as a balanced tree of comparisons."""
-
-    def build(lo: int, hi: int) -> Column:
+def with_range(df: DataFrame, key: str, bounds: Sequence[Any], output: str = "_range") -> DataFrame:
+    """Add the number of boundaries <= key. It never falls as the key grows."""
+    if not bounds:
+        return df.withColumn(output, F.lit(0))
+    if isinstance(df.schema[key].dataType, NUMERIC_TYPES):
+        # A long key may lose digits as a double, but equal keys stay together and the order holds.
+        cuts = sorted({float(b) for b in bounds})
+        splits = [-math.inf, *cuts, math.inf]
+        keyed = df.withColumn("_bucketed", quoted(key).cast("double"))
+        ranged = Bucketizer(splits=splits, inputCol="_bucketed", outputCol=output, handleInvalid="keep").transform(keyed)
+        return ranged.withColumn(output, quoted(output).cast("int")).drop("_bucketed")
+
+    def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(value < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+        return F.when(quoted(key) < typed_lit(bounds[mid], df.schema[key].dataType), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return build(0, len(bounds))
+    return df.withColumn(output, tree(0, len(bounds)))
 
 
 def prefix_sums(
@@ -81,9 +97,9 @@ def prefix_sums(
     """Add ``{s}_before``: the total of s over all smaller keys (within ``by``).
 
     ``groups`` holds one row per (by, key, then); ``then`` breaks ties of the key. Each range is sorted by its own task; range
-    totals, at most MAX_RANGES per ``by`` value, carry the offset.
+    totals, one per range and ``by`` value, carry the offset.
     """
-    ranged = groups.withColumn("_range", range_id(quoted(key), bounds))
+    ranged = with_range(groups, key, bounds)
     inside = Window.partitionBy(*by, "_range").orderBy(quoted(key), *[quoted(t) for t in then])
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(
@@ -376,8 +392,8 @@ def rank_cutoffs(
     class_type = rows.schema["y"].dataType if class_column else None
     if todo:
         limit = max(100, (fetch_rows or CUTOFF_ROWS) // len(todo))
-        for _ in range(HASH_BITS // 10):
-            wide = [t for t in todo if t.n > limit]
+        for _ in range(HASH_BITS):
+            wide = [t for t in todo if t.n > limit and t.hi - t.lo > 1]
             if not wide:
                 break
             _split_ranges(rows, wide)
@@ -427,13 +443,19 @@ def _split_ranges(rows: DataFrame, wide: list[_Target]) -> None:
 
 
 def _read_ranges(rows: DataFrame, todo: list[_Target]):
+    """The order key at each target's rank. Equal order keys arrive as one row with a count."""
     held: dict[tuple, list[tuple]] = {}
-    for r in _in_ranges(rows, todo).select("y", "lo", "hi", "o").collect():
-        held.setdefault((r["y"], r["lo"], r["hi"]), []).append(tuple(r["o"]))
+    for r in _in_ranges(rows, todo).groupBy("y", "lo", "hi", "o").agg(F.count("*").alias("n")).collect():
+        held.setdefault((r["y"], r["lo"], r["hi"]), []).append((tuple(r["o"]), r["n"]))
     for v in held.values():
-        v.sort(key=lambda o: tuple((x is not None, x) for x in o))
+        v.sort(key=lambda e: tuple((x is not None, x) for x in e[0]))
     for t in todo:
-        yield t, held[(t.cls, t.lo, t.hi)][t.rank - 1]
+        at = 0
+        for point, n in held[t.cls, t.lo, t.hi]:
+            at += n
+            if at >= t.rank:
+                yield t, point
+                break
 
 
 def blocks_before(df: DataFrame, cut: Cutoffs, order: RowOrder, class_column: str | None = None) -> DataFrame:
@@ -462,7 +484,7 @@ def blocks_before(df: DataFrame, cut: Cutoffs, order: RowOrder, class_column: st
 
 
 def _literal(values: tuple, kind: T.StructType) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, kind.fields)])
+    return F.struct(*[typed_lit(v, f.dataType).alias(f.name) for v, f in zip(values, kind.fields)])
 
 
 def take_smallest(df: DataFrame, order: RowOrder, n: int) -> DataFrame:

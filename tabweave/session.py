@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "tabweave", cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -49,6 +49,16 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tabweave/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once to the shared folder and read it back.
+
+    Later passes read columns of files instead of repeating a shuffle, also after lost executors.
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def enable_checkpoints(spark: SparkSession) -> None:
     """Point reliable checkpoints at the shared folder unless the session already does."""
     sc = spark.sparkContext

@@ -154,3 +154,31 @@ def test_callable_expression(frame):
     assert fitted.transform(df).first()["b"] == 2.0
     with pytest.raises(ValueError):
         fitted.to_json()
+
+
+def test_own_step(frame):
+    from dataclasses import dataclass
+
+    @dataclass
+    class LengthStep(X.FeatureStep):
+        column: str
+
+        def transform(self, df):
+            return df.withColumn(f"{self.column}_length", F.length(self.column))
+
+    X.STEPS["LengthStep"] = LengthStep
+    df = frame([("abc",)], "t string")
+    again = X.FittedFeatures.from_json(X.FittedFeatures([LengthStep("t")]).to_json())
+    assert again.transform(df).first()["t_length"] == 3
+
+
+def test_dates_as_categories_ignore_the_session_time_zone(frame, spark):
+    df = frame([("2024-03-31 02:30:00",), ("2024-03-31 03:30:00",)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        out = X.fit_onehot(df, ["t"]).transform(df)
+        assert sorted(r[0] for r in out.collect()) == [0, 1]
+        coded = N.fit_sorted_codes(df, ["t"])["t"].apply(df, "c")
+        assert [r["c"] for r in coded.orderBy("t").collect()] == [0, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

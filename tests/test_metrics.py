@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tabweave.operators import cohorts as C
 from tabweave.operators import metrics as M
+from tabweave.plans import lookup as L
 from tabweave.plans import ordered as O
 
 
@@ -44,8 +45,8 @@ def test_auc_weighted(scored):
 @pytest.mark.parametrize("one_task,broadcast", [(20, 10), (1_000_000, 1_000_000)])
 def test_spearman(scored, monkeypatch, one_task, broadcast):
     monkeypatch.setattr(O, "ONE_TASK_KEYS", one_task)
-    monkeypatch.setattr(M, "BROADCAST_KEYS", broadcast)
-    monkeypatch.setattr(M, "HOT_SHARE", 10)
+    monkeypatch.setattr(L, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(L, "HOT_SHARE", 10)
     pdf, df = scored
     got = M.spearman(df.withColumn("x", F.col("s") * F.col("s") + F.col("g")), "x", "s").first()
     want = (pdf["s"] ** 2 + pdf["g"]).rank().corr(pdf["s"].rank())

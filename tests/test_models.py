@@ -124,3 +124,31 @@ def test_series_features_on_a_gap(frame):
     assert got == [(3.0, None, None, None), (5.0, 3.0, None, 3.0), (7.0, None, 5.0, 5.0)]
     parts = G.split_by_time(made, "period", "2 days").groupBy("split").count().collect()
     assert dict(map(tuple, parts)) == {"train": 2, "test": 1}
+
+
+def test_hourly_series(frame):
+    df = frame([("s", "2024-01-01 23:10:00", 1.0), ("s", "2024-01-02 00:20:00", 2.0)], "k string, t string, v double")
+    made = G.series_features(df.withColumn("t", F.col("t").cast("timestamp_ntz")), "k", "t", "v", "hour", (1,), (2,))
+    got = [(str(r["period"]), r["y"], r["lag_1"]) for r in made.orderBy("period").collect()]
+    assert got == [("2024-01-01 23:00:00", 1.0, None), ("2024-01-02 00:00:00", 2.0, 1.0)]
+    with pytest.raises(ValueError):
+        G.series_features(df, "k", "t", "v", "week")
+
+
+def test_forecast_scores_only_the_last_part(spark):
+    day = F.make_dt_interval(days=(F.col("id") % 40).cast("int"))
+    df = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("k"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + day).alias("t"),
+        (F.col("id") % 7).cast("double").alias("v"),
+    )
+    _, scored = G.forecast(df, "k", "t", "v", horizon="5 days", maxIter=2, maxDepth=2)
+    assert scored.agg(F.min("period").cast("string")).first()[0] == "2024-02-05 00:00:00"
+    assert scored.where("prediction IS NULL").count() == 0
+    made = G.series_features(df, "k", "t", "v").na.fill(0)
+    cfg = SearchConfig(task="forecasting", primary_metric="rmse")
+    one = [Candidate("lr", "linear_regression", {})]
+    found = search(made, ["k", "period"], ["lag_1", "mean_7"], "y", cfg, one, time_column="period")
+    assert found.leaderboard.count() > 3
+    with pytest.raises(ValueError):
+        search(made, ["k", "period"], ["lag_1"], "y", cfg, one)

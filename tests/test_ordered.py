@@ -60,7 +60,7 @@ def test_prefix_sums_over_many_ranges(spark):
 def test_boundaries_for_text(spark):
     df = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("k"))
     bounds = O.key_boundaries(df, "k", one_task_keys=100)
-    sizes = df.groupBy(O.range_id(F.col("k"), bounds).alias("r")).count().toPandas()
+    sizes = O.with_range(df, "k", bounds, "r").groupBy("r").count().toPandas()
     assert len(bounds) > 10 and sizes["count"].max() < 4000 / len(bounds) * 6
     assert O.key_boundaries(df, "k", one_task_keys=100_000) == []
 
