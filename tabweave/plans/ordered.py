@@ -15,6 +15,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.ml.feature import Bucketizer
@@ -155,8 +157,8 @@ def exact_quantiles(
     """Exact, linearly interpolated quantiles of numeric columns; nulls and NaN ignored.
 
     A sketch brackets each rank; counting proves the brackets, all in one pass; a bracket
-    with few distinct values is fetched as value counts, a wider one is narrowed again. A
-    short column goes through ``percentile``, which keeps one counter per distinct value.
+    with few rows or few distinct values is fetched as value counts, a wider one is narrowed
+    again. A short column goes through ``percentile``, one counter per distinct value.
     """
     if not wanted:
         return {}
@@ -170,6 +172,7 @@ def exact_quantiles(
             F.count(v).alias(f"n{i}"),
             F.min(v).alias(f"lo{i}"),
             F.max(v).alias(f"hi{i}"),
+            F.approx_count_distinct(v).alias(f"d{i}"),
             F.percentile_approx(v, around, SKETCH_ACCURACY).alias(f"q{i}"),
         ]
     row = vals.agg(*aggs).first()
@@ -178,6 +181,7 @@ def exact_quantiles(
     spots: dict[str, list[float]] = {}
     todo: dict[tuple[str, int], _Bracket] = {}
     ends: dict[str, tuple[float, float]] = {}
+    coarse: set[str] = set()
     for i, (c, probs) in enumerate(wanted.items()):
         n = row[f"n{i}"]
         if n == 0:
@@ -186,6 +190,8 @@ def exact_quantiles(
             short.append(c)
         else:
             ends[c] = (row[f"lo{i}"], row[f"hi{i}"])
+            if row[f"d{i}"] <= limit // 2:
+                coarse.add(c)
             spots[c] = [p * (n - 1) for p in probs]
             for k, (p, spot) in enumerate(zip(probs, spots[c])):
                 near = row[f"q{i}"][2 * k : 2 * k + 2]
@@ -199,7 +205,7 @@ def exact_quantiles(
             *[F.percentile(quoted(c), F.array(*[F.lit(float(p)) for p in wanted[c]])) for c in short]
         ).first()
         out.update({c: list(qs) for c, qs in zip(short, got)})
-    found = _values_at_ranks(vals, list(todo.values()), limit)
+    found = _values_at_ranks(vals, list(todo.values()), coarse, limit)
     for c, at in spots.items():
         out[c] = []
         for spot in at:
@@ -213,27 +219,32 @@ def _clean(column: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _values_at_ranks(vals: DataFrame, todo: list[_Bracket], limit: int) -> dict[tuple[str, int], float]:
+def _values_at_ranks(
+    vals: DataFrame, todo: list[_Bracket], coarse: set[str], limit: int
+) -> dict[tuple[str, int], float]:
+    """The value at each rank. Columns in ``coarse`` are known to have few distinct values."""
     found: dict[tuple[str, int], float] = {}
     for _ in range(256):
         if not todo:
             return found
+        share = limit // len(todo) + 1
         ready: list[tuple[_Bracket, int]] = []
         wide: list[tuple[_Bracket, int, int]] = []
         missed: list[_Bracket] = []
-        for b, (below, inside, distinct) in zip(todo, _count_brackets(vals, todo)):
+        for b, (below, inside) in zip(todo, _count_brackets(vals, todo)):
             if not below <= b.rank < below + inside:
                 # The sketch missed the rank: search the side that must hold it.
                 lo, hi = (b.outer[0], b.lo) if b.rank < below else (b.hi, b.outer[1])
                 missed.append(_Bracket(b.column, b.rank, lo, hi, (lo, hi), True))
             elif b.lo == b.hi:
                 found[b.column, b.rank] = b.lo
-            elif distinct <= limit // (2 * len(todo)) + 1000:
+            elif b.column in coarse or inside <= share:
                 ready.append((b, below))
             else:
                 wide.append((b, below, inside))
-        _fetch_brackets(vals, ready, found)
-        todo = missed + _narrow(vals, wide)
+        narrowed, settled = _narrow(vals, wide, share)
+        _fetch_brackets(vals, ready + settled, found)
+        todo = missed + narrowed
     raise RuntimeError("quantile brackets did not converge")
 
 
@@ -245,24 +256,22 @@ def _spans(brackets: Sequence[_Bracket]) -> list[tuple[str, float, float]]:
     return sorted({(b.column, b.lo, b.hi) for b in brackets})
 
 
-def _count_brackets(vals: DataFrame, brackets: list[_Bracket]) -> list[tuple[int, int, int]]:
-    """Rows below, rows inside and roughly the distinct values inside each bracket; one pass."""
+def _count_brackets(vals: DataFrame, brackets: list[_Bracket]) -> list[tuple[int, int]]:
+    """Rows below and rows inside each bracket, counted in one pass."""
     spans = _spans(brackets)
     aggs = []
     for i, (c, lo, hi) in enumerate(spans):
-        inside = _inside(_Bracket(c, 0, lo, hi))
         aggs += [
             F.count_if(quoted(c) < F.lit(lo)).alias(f"b{i}"),
-            F.count_if(inside).alias(f"i{i}"),
-            F.approx_count_distinct(F.when(inside, quoted(c))).alias(f"d{i}"),
+            F.count_if(_inside(_Bracket(c, 0, lo, hi))).alias(f"i{i}"),
         ]
     row = vals.agg(*aggs).first()
-    got = {s: (row[f"b{i}"], row[f"i{i}"], row[f"d{i}"]) for i, s in enumerate(spans)}
+    got = {s: (row[f"b{i}"], row[f"i{i}"]) for i, s in enumerate(spans)}
     return [got[b.column, b.lo, b.hi] for b in brackets]
 
 
 def _fetch_brackets(vals: DataFrame, ready: list[tuple[_Bracket, int]], found: dict) -> None:
-    """Value counts of all narrow brackets in one job; their sizes were checked."""
+    """Value counts of all given brackets in one job; their sizes were checked."""
     if not ready:
         return
     spans = _spans([b for b, _ in ready])
@@ -272,9 +281,9 @@ def _fetch_brackets(vals: DataFrame, ready: list[tuple[_Bracket, int]], found: d
             for i, (c, lo, hi) in enumerate(spans)
         ]
     )
-    rows = (
-        vals.select(F.explode(F.array_compact(hits)).alias("h")).groupBy("h.i", "h.v").agg(F.count("*").alias("n")).collect()
-    )
+    some = reduce(or_, [_inside(_Bracket(c, 0, lo, hi)) for c, lo, hi in spans])
+    cells = vals.where(some).select(F.explode(hits).alias("h")).where(F.col("h").isNotNull())
+    rows = cells.groupBy("h.i", "h.v").agg(F.count("*").alias("n")).collect()
     held: dict[int, list[tuple[float, int]]] = {}
     for r in rows:
         held.setdefault(r["i"], []).append((r["v"], r["n"]))
@@ -290,10 +299,12 @@ def _fetch_brackets(vals: DataFrame, ready: list[tuple[_Bracket, int]], found: d
             raise RuntimeError(f"rank {b.rank} of {b.column} is outside its bracket")
 
 
-def _narrow(vals: DataFrame, wide: list[tuple[_Bracket, int, int]]) -> list[_Bracket]:
-    """Brackets inside the wide ones, from a sketch of only the values they hold."""
+def _narrow(
+    vals: DataFrame, wide: list[tuple[_Bracket, int, int]], share: int
+) -> tuple[list[_Bracket], list[tuple[_Bracket, int]]]:
+    """Smaller brackets, from a sketch of only the values inside; and brackets with few values."""
     if not wide:
-        return []
+        return [], []
     aggs = []
     for i, (b, below, inside) in enumerate(wide):
         at = (b.rank - below) / max(inside - 1, 1)
@@ -303,20 +314,23 @@ def _narrow(vals: DataFrame, wide: list[tuple[_Bracket, int, int]]) -> list[_Bra
         middle = F.lit(b.lo / 2 + b.hi / 2)
         aggs += [
             F.percentile_approx(held, probs, SKETCH_ACCURACY).alias(f"q{i}"),
+            F.approx_count_distinct(held).alias(f"d{i}"),
             F.count_if(held <= middle).alias(f"m{i}"),
             F.max(F.when(held <= middle, v)).alias(f"l{i}"),
             F.min(F.when(held > middle, v)).alias(f"r{i}"),
         ]
     row = vals.agg(*aggs).first()
-    out = []
+    narrowed, settled = [], []
     for i, (b, below, inside) in enumerate(wide):
         lo, hi = row[f"q{i}"]
-        if b.halve or (lo, hi) == (b.lo, b.hi):
+        if row[f"d{i}"] <= share // 2:
+            settled.append((b, below))
+        elif b.halve or (lo, hi) == (b.lo, b.hi):
             lo, hi = (b.lo, row[f"l{i}"]) if b.rank < below + row[f"m{i}"] else (row[f"r{i}"], b.hi)
-            out.append(_Bracket(b.column, b.rank, lo, hi, (lo, hi)))
+            narrowed.append(_Bracket(b.column, b.rank, lo, hi, (lo, hi)))
         else:
-            out.append(_Bracket(b.column, b.rank, lo, hi, (b.lo, b.hi)))
-    return out
+            narrowed.append(_Bracket(b.column, b.rank, lo, hi, (b.lo, b.hi)))
+    return narrowed, settled
 
 
 # ------------------------------------------------------------- hash cutoffs

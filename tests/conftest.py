@@ -16,6 +16,9 @@ logging.getLogger("DataFrameQueryContextLogger").setLevel(logging.CRITICAL)
 def spark():
     session = local_session("tests", 8, shuffle_partitions=4)
     session.sparkContext.setLogLevel("OFF")
+    # On tables this small, compiling a plan costs more than running it interpreted.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()
 
