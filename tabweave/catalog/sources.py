@@ -78,15 +78,15 @@ def latest_file(spark, sf):
     return R.read_latest(spark, path, schema=rows.schema)
 
 
-@query("SELECT n_nationkey::bigint AS n_nationkey, upper(n_name) AS n_name, 2::bigint AS version FROM nation")
+@query("SELECT c_custkey, upper(c_name) AS c_name, 2::bigint AS version FROM customer")
 def versioned_read(spark, sf):
     """Two registered versions; ``latest`` is the second."""
     root = fresh_dir(spark, "registry")
-    rows = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    V.register(rows, root, "nation")
-    version = V.register(rows.withColumn("n_name", F.upper("n_name")), root, "nation")
-    out = V.read_registered(spark, {"dataset_root": root, "dataset_name": "nation", "dataset_version": "latest"})
-    return longs(out.withColumn("version", F.lit(version)), "n_nationkey", "version")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name")
+    V.register(rows, root, "customer")
+    version = V.register(rows.withColumn("c_name", F.upper("c_name")), root, "customer")
+    out = V.read_registered(spark, {"dataset_root": root, "dataset_name": "customer", "dataset_version": "latest"})
+    return longs(out.withColumn("version", F.lit(version)), "version")
 
 
 @query(

@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from tabweave.config import ValidationConfig
 from tabweave.functions.columns import NUMERIC_TYPES, nan_to_null, quoted
+from tabweave.plans.lookup import BROADCAST_KEYS
 from tabweave.plans.ordered import exact_quantiles
+from tabweave.session import written
 
 # Names a target column may have instead of the wanted one, in this order.
 TARGET_ALIASES = ("CVD_RISK", "target", "label", "y")
@@ -119,7 +121,32 @@ def drop_sparse(df: DataFrame, max_missing_percentage: float = 50) -> DataFrame:
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """One row per distinct full row; nulls (and NaN) are equal to each other."""
-    return normalise_missing(df).dropDuplicates()
+    return _deduplicated(normalise_missing(df))[0]
+
+
+def _deduplicated(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """The distinct rows, and whether there was any duplicate.
+
+    Only 8 bytes per row are shuffled to find hashes that occur twice. Rows with another hash
+    are unique and stay where they are; the few others are compared in full. If there are
+    more such hashes than may be broadcast, all rows are compared in full. The hashes are kept
+    in the shared folder, so that using the result does not find them again.
+    """
+    floats = {f.name for f in rows.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    # Adding zero makes -0.0 and 0.0 one value, as they are when rows are compared.
+    parts = [quoted(c) + F.lit(0.0) if c in floats else quoted(c) for c in rows.columns]
+    hashed = rows.withColumn("_row_hash", F.xxhash64(*parts))
+    again = hashed.groupBy("_row_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_row_hash")
+    found = written(again, "hashes")
+    size = found.count()
+    if size == 0:
+        return rows, False
+    if size > BROADCAST_KEYS:
+        return rows.dropDuplicates(), True
+    twice = F.broadcast(found)
+    single = hashed.join(twice, "_row_hash", "left_anti").drop("_row_hash")
+    compared = hashed.join(twice, "_row_hash", "left_semi").drop("_row_hash").dropDuplicates()
+    return single.unionByName(compared), True
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -134,14 +161,17 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
     """Drop sparse columns, then duplicate rows."""
+    return validated(df, cfg)[0]
+
+
+def validated(df: DataFrame, cfg: ValidationConfig) -> tuple[DataFrame, bool]:
+    """The validated rows, and whether duplicates were dropped (which costs a shuffle per pass)."""
     if not cfg.enabled:
-        return df
+        return df, False
     df = normalise_missing(df)
     if cfg.check_missing_values:
         df = drop_sparse(df, cfg.max_missing_percentage)
-    if cfg.check_duplicates:
-        df = df.dropDuplicates()
-    return df
+    return _deduplicated(df) if cfg.check_duplicates else (df, False)
 
 
 def cast_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:

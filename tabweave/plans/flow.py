@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tabweave.config import FeatureConfig, ValidationConfig
 from tabweave.operators.features import FittedFeatures, fit_features
-from tabweave.operators.quality import drop_columns, validate
+from tabweave.operators.quality import drop_columns, validated
 from tabweave.session import written
 
 
@@ -23,15 +23,15 @@ def prepare(
     """Validate, drop, then fit and apply features.
 
     ``fit_rows`` selects the rows that statistics come from (the training part);
-    without it all rows count. The result is lazy. Statistics need several passes, so a
-    de-duplicated table is written once to the shared folder instead of being shuffled in each.
+    without it all rows count. The result is lazy. Statistics need several passes, so a table
+    that lost duplicates is written once to the shared folder instead of being compared in each.
     """
+    shuffled = False
     if validation is not None:
-        df = validate(df, validation)
+        df, shuffled = validated(df, validation)
     df = drop_columns(df, columns_to_drop)
     if features is None or not features.enabled:
         return df, FittedFeatures()
-    shuffled = validation is not None and validation.enabled and validation.check_duplicates
     if shuffled and features.needs_statistics():
         df = written(df, "validated")
     fitted = fit_features(df if fit_rows is None else df.where(fit_rows), features)

@@ -182,6 +182,7 @@ def exact_quantiles(
     todo: dict[tuple[str, int], _Bracket] = {}
     ends: dict[str, tuple[float, float]] = {}
     coarse: set[str] = set()
+    known: dict[tuple[str, int], float] = {}
     for i, (c, probs) in enumerate(wanted.items()):
         n = row[f"n{i}"]
         if n == 0:
@@ -198,14 +199,15 @@ def exact_quantiles(
                 # The outermost brackets reach to the ends, where the sketch may stop short.
                 lo = ends[c][0] if p <= SKETCH_MARGIN else near[0]
                 hi = ends[c][1] if p >= 1 - SKETCH_MARGIN else near[1]
-                for rank in {math.floor(spot), math.ceil(spot)}:
+                for rank in {math.floor(spot), math.ceil(spot)} - {0, n - 1}:
                     todo[c, rank] = _Bracket(c, rank, lo, hi, ends[c])
+                known[c, 0], known[c, n - 1] = ends[c]
     if short:
         got = vals.agg(
             *[F.percentile(quoted(c), F.array(*[F.lit(float(p)) for p in wanted[c]])) for c in short]
         ).first()
         out.update({c: list(qs) for c, qs in zip(short, got)})
-    found = _values_at_ranks(vals, list(todo.values()), coarse, limit)
+    found = known | _values_at_ranks(vals, list(todo.values()), coarse, limit)
     for c, at in spots.items():
         out[c] = []
         for spot in at:
@@ -410,13 +412,22 @@ def rank_cutoffs(
             wide = [t for t in todo if t.n > limit and t.hi - t.lo > 1]
             if not wide:
                 break
-            _split_ranges(rows, wide)
-        for t, point in _read_ranges(rows, todo):
+            _split_ranges(rows, wide, class_column is not None)
+        for t, point in _read_ranges(rows, todo, class_column is not None):
             points[t.cls][t.slot] = point
     return Cutoffs(counts, points, order_type, class_type)
 
 
-def _range_table(rows: DataFrame, targets: list[_Target]) -> DataFrame:
+def _in_ranges(rows: DataFrame, targets: list[_Target], classed: bool) -> DataFrame:
+    """The rows inside the targets' hash ranges, marked with the range."""
+    spans = sorted({(t.cls, t.lo, t.hi) for t in targets}, key=repr)
+    h = F.col("o.h")
+    if not classed:
+        # Without classes there are only as many ranges as blocks: a filter, no join.
+        marks = [F.when((h >= lo) & (h < hi), F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))) for _, lo, hi in spans]
+        some = reduce(or_, [(h >= lo) & (h < hi) for _, lo, hi in spans])
+        marked = rows.where(some).select("y", "o", F.explode(F.array(*marks)).alias("m")).where(F.col("m").isNotNull())
+        return marked.select("y", "o", "m.lo", "m.hi")
     schema = T.StructType(
         [
             T.StructField("ty", rows.schema["y"].dataType),
@@ -424,24 +435,18 @@ def _range_table(rows: DataFrame, targets: list[_Target]) -> DataFrame:
             T.StructField("hi", T.LongType()),
         ]
     )
-    spans = sorted({(t.cls, t.lo, t.hi) for t in targets}, key=repr)
-    return rows.sparkSession.createDataFrame(spans, schema)
-
-
-def _in_ranges(rows: DataFrame, targets: list[_Target]) -> DataFrame:
-    # The range table holds at most max_classes x block count rows, so broadcasting it is safe.
-    spans = F.broadcast(_range_table(rows, targets))
-    h = F.col("o.h")
-    return rows.join(spans, F.col("y").eqNullSafe(F.col("ty")) & (h >= F.col("lo")) & (h < F.col("hi")))
+    # One row per class and block; the number of classes was checked, so broadcasting is safe.
+    table = F.broadcast(rows.sparkSession.createDataFrame(spans, schema))
+    return rows.join(table, F.col("y").eqNullSafe(F.col("ty")) & (h >= F.col("lo")) & (h < F.col("hi")))
 
 
-def _split_ranges(rows: DataFrame, wide: list[_Target]) -> None:
+def _split_ranges(rows: DataFrame, wide: list[_Target], classed: bool) -> None:
     bits = 10 if len(wide) <= 100 else 4
     step = {(t.cls, t.lo, t.hi): max(1, (t.hi - t.lo) >> bits) for t in wide}
     width = F.greatest(F.shiftright(F.col("hi") - F.col("lo"), bits), F.lit(1))
     part = F.floor((F.col("o.h") - F.col("lo")) / width).cast("bigint")
     hist: dict[tuple, dict[int, int]] = {}
-    for r in _in_ranges(rows, wide).groupBy("y", "lo", "hi", part.alias("p")).count().collect():
+    for r in _in_ranges(rows, wide, classed).groupBy("y", "lo", "hi", part.alias("p")).count().collect():
         hist.setdefault((r["y"], r["lo"], r["hi"]), {})[r["p"]] = r["count"]
     for t in wide:
         span = (t.cls, t.lo, t.hi)
@@ -456,10 +461,10 @@ def _split_ranges(rows: DataFrame, wide: list[_Target]) -> None:
             at += k
 
 
-def _read_ranges(rows: DataFrame, todo: list[_Target]):
+def _read_ranges(rows: DataFrame, todo: list[_Target], classed: bool):
     """The order key at each target's rank. Equal order keys arrive as one row with a count."""
     held: dict[tuple, list[tuple]] = {}
-    for r in _in_ranges(rows, todo).groupBy("y", "lo", "hi", "o").agg(F.count("*").alias("n")).collect():
+    for r in _in_ranges(rows, todo, classed).groupBy("y", "lo", "hi", "o").agg(F.count("*").alias("n")).collect():
         held.setdefault((r["y"], r["lo"], r["hi"]), []).append((tuple(r["o"]), r["n"]))
     for v in held.values():
         v.sort(key=lambda e: tuple((x is not None, x) for x in e[0]))

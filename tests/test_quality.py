@@ -18,6 +18,24 @@ def test_nan_counts_as_missing_everywhere(frame):
     assert sorted(r[0] for r in Q.fill_constant(nan, 0).collect()) == [0.0, 0.0, 1.0, 3.0]
 
 
+@pytest.mark.parametrize("limit", [1, 1000])
+def test_duplicates_on_every_path(spark, monkeypatch, limit):
+    """No duplicates, a hot row that is a third of the table, and more hashes than may be broadcast."""
+    monkeypatch.setattr(Q, "BROADCAST_KEYS", limit)
+    unique = spark.range(90).select("id", (F.col("id") * 0.5).alias("v"))
+    kept, changed = Q._deduplicated(unique)
+    assert kept is unique and not changed
+    hot = F.col("id") % 3 == 0
+    rows = spark.range(90).select(
+        F.when(hot, None).otherwise(F.col("id") % 40).alias("k"),
+        F.when(hot, F.when(F.col("id") % 2 == 0, 0.0).otherwise(-0.0)).otherwise(F.lit(1.0)).alias("v"),
+        F.when(hot, "x").alias("s"),
+    )
+    got = Q.drop_duplicate_rows(rows)
+    assert got.columns == rows.columns
+    assert got.count() == rows.distinct().count() == got.distinct().count()
+
+
 def test_sparse_columns_strictly_above_the_limit(frame):
     df = frame([(1, None, None), (2, None, 1), (3, 1, None), (4, 1, None)], "id int, half int, most int")
     assert Q.sparse_columns(df, 50) == ["most"]
