@@ -42,6 +42,12 @@ def dedup(spark, sf):
     return Q.drop_duplicate_rows(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
 
 
+@query("SELECT DISTINCT text, lang, source, n_chars FROM documents")
+def dedup_wide_rows(spark, sf):
+    """Whole texts: only their hashes are shuffled, unless two rows share one."""
+    return Q.drop_duplicate_rows(table(spark, sf, "documents").drop("doc_id"))
+
+
 @query(f"WITH {LABELLED_SQL} SELECT DISTINCT lang, source, quality::double AS quality, toxic::double AS toxic FROM labelled")
 def dedup_with_nulls(spark, sf):
     rows = labelled_documents(spark, sf).drop("doc_id", "n_chars")

@@ -124,14 +124,26 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return _deduplicated(normalise_missing(df))[0]
 
 
+NARROW_ROW = 64
+
+
+def _row_bytes(schema: T.StructType) -> int:
+    """Rough width of a row: 8 bytes per number or time, 32 per text or anything else."""
+    fixed = (*NUMERIC_TYPES, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return sum(8 if isinstance(f.dataType, fixed) else 32 for f in schema.fields)
+
+
 def _deduplicated(rows: DataFrame) -> tuple[DataFrame, bool]:
-    """The distinct rows, and whether there was any duplicate.
+    """The distinct rows, and whether there was (or may have been) any duplicate.
 
-    Only 8 bytes per row are shuffled to find hashes that occur twice. Rows with another hash
-    are unique and stay where they are; the few others are compared in full. If there are
-    more such hashes than may be broadcast, all rows are compared in full. The hashes are kept
-    in the shared folder, so that using the result does not find them again.
+    Narrow rows are grouped as they are. Of wide rows only an 8-byte hash is shuffled, to find
+    hashes that occur twice. Rows with another hash are unique and stay where they are; the few
+    others are compared in full. If there are more such hashes than may be broadcast, all rows
+    are compared in full. The hashes are kept in the shared folder, so that using the result
+    does not find them again.
     """
+    if _row_bytes(rows.schema) <= NARROW_ROW:
+        return rows.dropDuplicates(), True
     floats = {f.name for f in rows.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     # Adding zero makes -0.0 and 0.0 one value, as they are when rows are compared.
     parts = [quoted(c) + F.lit(0.0) if c in floats else quoted(c) for c in rows.columns]

@@ -22,6 +22,7 @@ def test_nan_counts_as_missing_everywhere(frame):
 def test_duplicates_on_every_path(spark, monkeypatch, limit):
     """No duplicates, a hot row that is a third of the table, and more hashes than may be broadcast."""
     monkeypatch.setattr(Q, "BROADCAST_KEYS", limit)
+    monkeypatch.setattr(Q, "NARROW_ROW", 0)
     unique = spark.range(90).select("id", (F.col("id") * 0.5).alias("v"))
     kept, changed = Q._deduplicated(unique)
     assert kept is unique and not changed
