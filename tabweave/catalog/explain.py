@@ -243,6 +243,18 @@ def error_tree(spark, sf):
     return rounded(C.error_tree(rows, F.col("label") != F.col("prediction"), _TREE_FEATS), "row_share", "error_rate")
 
 
+@query(
+    f"""WITH {SCORED_SQL} SELECT 1.0::double AS row_share, round(avg((label <> prediction)::int), 6) AS error_rate FROM scored"""
+)
+def error_tree_totals(spark, sf):
+    """The cohorts of the error tree cover all rows, and their rates add up to the whole rate."""
+    tree = C.error_tree(scored_lines(spark, sf), F.col("label") != F.col("prediction"), _TREE_FEATS)
+    share = F.col("row_share")
+    return rounded(
+        tree.agg(F.sum(share).alias("row_share"), F.sum(share * F.col("error_rate")).alias("error_rate")), "row_share", "error_rate"
+    )
+
+
 _COHORT_METRICS = f"""{_COHORT_SQL}, g AS (SELECT size, count(*) AS n, avg((label = prediction)::int) AS accuracy, avg(prediction) AS selection_rate,
     count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
     count(*) FILTER (label = 1 AND prediction = 0) AS fn FROM cohort GROUP BY 1),

@@ -215,7 +215,6 @@ _CUSTOM = {
             {"name": "ratio", "expression": "l_extendedprice / (l_quantity + 1)"},
             {"name": "gap", "expression": "l_tax - l_discount"},
             {"name": "gap_squared", "expression": "pow(gap, 2)"},
-            {"name": "broken", "expression": "no_such_column + 1"},
         ],
     },
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -162,6 +163,19 @@ class SearchConfig:
         )
 
 
+def load_config(path: str) -> dict[str, Any]:
+    """Read a run config from a JSON or YAML file on the driver."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if path.endswith(".json"):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as e:
+        raise RuntimeError("YAML configs need the yaml package; JSON configs do not") from e
+    return yaml.safe_load(text)
+
+
 def check_config(cfg: Mapping[str, Any]) -> list[str]:
     """Raise ConfigError for wrong entries; return the warnings.
 

@@ -15,6 +15,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -320,6 +321,30 @@ def kernel_attribution(
     return Attribution(wide, kept, names)
 
 
+def attribute_model(trained: Any, df: DataFrame, keys: Sequence[str], background: DataFrame | None = None) -> Attribution:
+    """The method that fits the model family: linear, trees, else model-agnostic.
+
+    Linear models and boosted trees are explained on their margin, forests on the probability
+    of class 1, other classifiers on that probability through up to 100 background rows.
+    """
+    ready = trained.preparation.transform(df)
+    model = trained.model.stages[-1]
+    if getattr(model, "numClasses", 2) == 2 and hasattr(model, "coefficients"):
+        weights = dict(zip(trained.features, (float(w) for w in model.coefficients)))
+        means = background_means(ready if background is None else trained.preparation.transform(background), trained.features)
+        return linear_attribution(ready, keys, weights, float(model.intercept), means)
+    if hasattr(model, "featureImportances"):
+        return tree_attribution(ready, keys, trained.features, model)
+    base = ready if background is None else trained.preparation.transform(background)
+
+    def score(rows: DataFrame) -> DataFrame:
+        out = trained.model.transform(rows)
+        value = vector_to_array("probability")[1] if "probability" in out.columns else F.col("prediction")
+        return out.withColumn("score", value)
+
+    return kernel_attribution(ready, keys, trained.features, base, score)
+
+
 # -------------------------------------------------------------------- reports
 
 
