@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 from tabweave.catalog.base import (
     INTERCEPT,
     LINE_KEY,
-    MARGIN_SQL,
     SCORED_SQL,
     WEIGHTS,
-    big,
     hash_sql,
     longs,
     query,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tabweave.catalog.base import GAPPY_SQL, LABELLED_SQL, big, gappy_events, labelled_documents, longs, query, r6, rounded, table
+from tabweave.catalog.base import GAPPY_SQL, LABELLED_SQL, gappy_events, labelled_documents, longs, query, r6, rounded, table
 from tabweave.config import Bin, DateParts, Derived, FeatureConfig, ValidationConfig
 from tabweave.functions.columns import bin_code
 from tabweave.operators import features as X

@@ -5,14 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabweave.catalog.base import LINE_KEY, hash_sql, longs, query, r6, rounded, scored_lines, table
+from tabweave.catalog.base import LINE_KEY, query, rounded, scored_lines, table
 from tabweave.catalog.splits import _QUOTAS
 from tabweave.config import SearchConfig
 from tabweave.operators import metrics as M
 from tabweave.operators import models as G
 from tabweave.operators.search import Candidate, ranking, search
-from tabweave.operators.split import split_by_bucket, split_stratified, stratified_folds
+from tabweave.operators.split import split_stratified, stratified_folds
 from tabweave.session import fresh_dir
+from tabweave.sources.writers import write_splits
 
 _FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _FOREST = {"numTrees": 5, "maxDepth": 4}
@@ -40,7 +41,10 @@ _TEST_COUNTS = f"""WITH l AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1.0::doub
 
 def _held_out(spark, sf, kind, **params):
     """Train on 80 %, score the held-out rows: rows per class and sanity of the probabilities."""
-    rows = split_stratified(_lines(spark, sf), LINE_KEY, "label", 0.2)
+    path = fresh_dir(spark, "splits")
+    # Both parts are written once, so that training and scoring do not compute the split again.
+    write_splits(split_stratified(_lines(spark, sf), LINE_KEY, "label", 0.2), path)
+    rows = spark.read.parquet(path)
     t = G.train(rows.where("split = 'train'").drop("split"), _FEATS, "label", kind, **params)
     out = t.score(rows.where("split = 'test'"), ["label"])
     fair = F.max(F.abs(F.col("p0") + F.col("p1") - 1)) < 1e-9

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tabweave.catalog.base import LINE_KEY, big, hash_sql, longs, query, scored_lines, table
 from tabweave.operators import split as S
 

@@ -136,7 +136,9 @@ def hash_key(keys: Sequence[Column], seed: int = 42, method: str = "md5") -> Col
     """60-bit number from the keys. ``md5`` of seed and key text is the same in any SQL engine."""
     if method == "md5":
         text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
-        return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+        number = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+        # Never null; saying so spares a null check that would compute the hash twice.
+        return F.coalesce(number, F.lit(0).cast("bigint"))
     if method == "xxhash64":
         return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 4)
     raise ValueError(f"unknown hash {method!r}; use md5 or xxhash64")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabweave.config import Bin, DateParts, Derived, FeatureConfig
+from tabweave.config import Bin, DateParts, FeatureConfig
 from tabweave.functions.columns import (
     DATE_PARTS,
     NUMERIC_TYPES,

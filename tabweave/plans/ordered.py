@@ -355,7 +355,7 @@ class RowOrder:
 
     def column(self) -> Column:
         h = hash_key([quoted(k) for k in self.keys], self.seed, self.method)
-        return F.struct(h.alias("h"), *[quoted(k).alias(k) for k in self.keys])
+        return F.struct(h.alias("_hash"), *[quoted(k).alias(k) for k in self.keys])
 
 
 @dataclass
@@ -391,7 +391,8 @@ def rank_cutoffs(
     ``ranks_of`` turns class counts into wanted ranks. A range of hashes that still holds
     many rows is split by a histogram of the next bits; only the last, narrow ranges are read.
     """
-    cls = quoted(class_column) if class_column else F.lit(0)
+    # Without classes all rows are class 0, but not as a literal: a join on it stays a hash join.
+    cls = quoted(class_column) if class_column else F.when(F.spark_partition_id() < 0, 1).otherwise(0)
     rows = df.select(cls.alias("y"), order.column().alias("o"))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).limit(max_classes + 1).collect()}
     if len(counts) > max_classes:
@@ -412,22 +413,14 @@ def rank_cutoffs(
             wide = [t for t in todo if t.n > limit and t.hi - t.lo > 1]
             if not wide:
                 break
-            _split_ranges(rows, wide, class_column is not None)
-        for t, point in _read_ranges(rows, todo, class_column is not None):
+            _split_ranges(rows, wide)
+        for t, point in _read_ranges(rows, todo):
             points[t.cls][t.slot] = point
     return Cutoffs(counts, points, order_type, class_type)
 
 
-def _in_ranges(rows: DataFrame, targets: list[_Target], classed: bool) -> DataFrame:
+def _in_ranges(rows: DataFrame, targets: list[_Target]) -> DataFrame:
     """The rows inside the targets' hash ranges, marked with the range."""
-    spans = sorted({(t.cls, t.lo, t.hi) for t in targets}, key=repr)
-    h = F.col("o.h")
-    if not classed:
-        # Without classes there are only as many ranges as blocks: a filter, no join.
-        marks = [F.when((h >= lo) & (h < hi), F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))) for _, lo, hi in spans]
-        some = reduce(or_, [(h >= lo) & (h < hi) for _, lo, hi in spans])
-        marked = rows.where(some).select("y", "o", F.explode(F.array(*marks)).alias("m")).where(F.col("m").isNotNull())
-        return marked.select("y", "o", "m.lo", "m.hi")
     schema = T.StructType(
         [
             T.StructField("ty", rows.schema["y"].dataType),
@@ -435,18 +428,20 @@ def _in_ranges(rows: DataFrame, targets: list[_Target], classed: bool) -> DataFr
             T.StructField("hi", T.LongType()),
         ]
     )
+    spans = sorted({(t.cls, t.lo, t.hi) for t in targets}, key=repr)
     # One row per class and block; the number of classes was checked, so broadcasting is safe.
     table = F.broadcast(rows.sparkSession.createDataFrame(spans, schema))
+    h = F.col("o._hash")
     return rows.join(table, F.col("y").eqNullSafe(F.col("ty")) & (h >= F.col("lo")) & (h < F.col("hi")))
 
 
-def _split_ranges(rows: DataFrame, wide: list[_Target], classed: bool) -> None:
+def _split_ranges(rows: DataFrame, wide: list[_Target]) -> None:
     bits = 10 if len(wide) <= 100 else 4
     step = {(t.cls, t.lo, t.hi): max(1, (t.hi - t.lo) >> bits) for t in wide}
-    width = F.greatest(F.shiftright(F.col("hi") - F.col("lo"), bits), F.lit(1))
-    part = F.floor((F.col("o.h") - F.col("lo")) / width).cast("bigint")
+    # Whole-number division: as doubles, hashes of 60 bits would lose their last digits.
+    part = F.expr(f"(o._hash - lo) div greatest(shiftright(hi - lo, {bits}), 1)")
     hist: dict[tuple, dict[int, int]] = {}
-    for r in _in_ranges(rows, wide, classed).groupBy("y", "lo", "hi", part.alias("p")).count().collect():
+    for r in _in_ranges(rows, wide).groupBy("y", "lo", "hi", part.alias("p")).count().collect():
         hist.setdefault((r["y"], r["lo"], r["hi"]), {})[r["p"]] = r["count"]
     for t in wide:
         span = (t.cls, t.lo, t.hi)
@@ -461,10 +456,10 @@ def _split_ranges(rows: DataFrame, wide: list[_Target], classed: bool) -> None:
             at += k
 
 
-def _read_ranges(rows: DataFrame, todo: list[_Target], classed: bool):
+def _read_ranges(rows: DataFrame, todo: list[_Target]):
     """The order key at each target's rank. Equal order keys arrive as one row with a count."""
     held: dict[tuple, list[tuple]] = {}
-    for r in _in_ranges(rows, todo, classed).groupBy("y", "lo", "hi", "o").agg(F.count("*").alias("n")).collect():
+    for r in _in_ranges(rows, todo).groupBy("y", "lo", "hi", "o").agg(F.count("*").alias("n")).collect():
         held.setdefault((r["y"], r["lo"], r["hi"]), []).append((tuple(r["o"]), r["n"]))
     for v in held.values():
         v.sort(key=lambda e: tuple((x is not None, x) for x in e[0]))
@@ -485,8 +480,8 @@ def blocks_before(df: DataFrame, cut: Cutoffs, order: RowOrder, class_column: st
     if class_column is None:
         out = F.lit(0)
         for p in cut.points.get(0, []):
-            out = out + (F.lit(1) if p is None else (order.column() > _literal(p, cut.order_type)).cast("int"))
-        return df.withColumn("_block", out)
+            out = out + (F.lit(1) if p is None else (F.col("_o") > _literal(p, cut.order_type)).cast("int"))
+        return df.withColumn("_o", order.column()).withColumn("_block", out).drop("_o")
     width = max((len(p) for p in cut.points.values()), default=0)
     names = [f"_c{i}" for i in range(width)]
     schema = T.StructType(

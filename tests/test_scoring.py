@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.operators import scoring as P
-from tabweave.session import fresh_dir
 from tabweave.sources.readers import parse_requests, parse_split_requests
 from tabweave.streaming.scoring import request_stream, run_available, score_requests
 
