@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabweave.llm import html_text, mixing, quality_rules, token_counts
+from tabweave.llm import html_text, mixing, quality_rules, substring_dedup, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op4_source_mix": mixing.SQL}
@@ -43,3 +43,15 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substring_dedup.dedup(read(spark, sf, "documents"))
+    return found.select(found["id"].alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.dedup(read(spark, sf, "documents"))
+    return found.select(found["id"].alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
