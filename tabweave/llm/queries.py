@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabweave.llm import html_text, mixing, quality_rules, substring_dedup, suffix_dedup, token_counts
+from tabweave.llm import html_text, jaccard_join, mixing, quality_rules, substring_dedup, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op4_source_mix": mixing.SQL}
@@ -55,3 +55,9 @@ def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = suffix_dedup.dedup(read(spark, sf, "documents"))
     return found.select(found["id"].alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    found = jaccard_join.near_copies(read(spark, sf, "documents"))
+    return found.select(found["id"].alias("doc_id"), "n_shingles", "component_id")
