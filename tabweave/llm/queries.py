@@ -7,10 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabweave.llm import html_text, jaccard_join, mixing, quality_rules, substring_dedup, suffix_dedup, token_counts
+from tabweave.llm import decontaminate, html_text, jaccard_join, line_spread, mixing, quality_rules, substring_dedup, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op4_source_mix": mixing.SQL}
+SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL, "op4_source_mix": mixing.SQL}
 
 
 def query(fn):
@@ -61,3 +61,14 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     found = jaccard_join.near_copies(read(spark, sf, "documents"))
     return found.select(found["id"].alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op3_line_spread(spark: SparkSession, sf: str) -> DataFrame:
+    return line_spread.dedup(read(spark, sf, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query
+def op8_benchmark_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+    return found.select(found["doc"].alias("doc_id"), found["item"].alias("item_id"), "edits")
