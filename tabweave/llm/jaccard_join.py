@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tabweave.llm.arrays import BASE, Texts, mix, per_text, runs, text_of, texts
 from tabweave.llm.components import components
-from tabweave.llm.repeats import LAST, Bitmap, as_requests, bitmap, pack, request, summed, unpack
+from tabweave.llm.repeats import LAST, Bitmap, as_requests, bitmap, keyed, pack, request, row_key, summed, unpack
 from tabweave.session import written
 
 SHINGLE, PERCENT = 5, 80
@@ -425,26 +425,47 @@ def blocks(spark: SparkSession, source: DataFrame, ties: DataFrame) -> DataFrame
 
 
 def near_copies(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row: size of its set, smallest id that links reach, its own included.
+    """(id, key, n_shingles, component_id, first) of every row: size of its set, smallest id that links reach, its own included.
 
-    A null, empty or blank text has an empty set and links with nothing; equal sets link. A null id is larger than all
-    others and shown only where no other is reached. Repeated rows are rows with equal results. Other columns are not read.
+    key: `repeats.row_key` of the row. first: whether the row has the smallest (id, key) of its component. A null, empty or
+    blank text has an empty set, links with nothing and is first; equal sets link. A null id is larger than all others and
+    shown only where no other is reached. Repeated rows are rows with equal results. Other columns are not read.
     """
     spark = docs.sparkSession
-    source = docs.select(F.coalesce(docs[doc].cast("bigint"), F.lit(LAST)).alias("doc"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
+    source = keyed(docs, doc, text).select("doc", "text", "key")
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets, id_ in chunks(batches):
-            yield pa.RecordBatch.from_pydict({"doc": id_, "n_shingles": sets.sizes.astype(np.int64), "print": sets.prints.view(np.int64)})
-
-    rows = written(source.mapInArrow(describe, "doc long, n_shingles long, print long"), "rows")
-    ties = written(meetings(source, count_shingles(source, size), size), "meetings")
-    roots = components(blocks(spark, source, ties))
-    least = rows.where("n_shingles > 0").groupBy("print").agg(F.min("doc").alias("least"))
+        for batch in batches:
+            done = 0
+            for sets, id_ in chunks(iter([batch])):
+                key = batch.column(2).slice(done, len(id_))
+                done += len(id_)
+                columns = [pa.array(id_), key, pa.array(sets.sizes.astype(np.int64)), pa.array(sets.prints.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "key", "n_shingles", "print"])
+
+    rows = written(source.mapInArrow(describe, "doc long, key long, n_shingles long, print long"), "rows")
+    plain = source.select("doc", "text")
+    ties = written(meetings(plain, count_shingles(plain, size), size), "meetings")
+    roots = components(blocks(spark, plain, ties))
+    least = rows.where("n_shingles > 0").groupBy("print").agg(F.min(F.struct("doc", "key")).alias("least"))
     least = least.join(roots, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
-    of_root = least.groupBy("root").agg(F.min("least").alias("component"))
-    named = least.join(of_root, "root").select("print", "component")
-    joined = rows.join(named, "print", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc"))
-    return joined.select(F.nullif("doc", F.lit(LAST)).alias("id"), "n_shingles", F.nullif(component, F.lit(LAST)).alias("component_id"))
+    of_root = least.groupBy("root").agg(F.min("least").alias("lead"))
+    named = least.join(of_root, "root").select("print", "lead")
+    joined = rows.join(named, "print", "left").withColumn("alone", F.col("n_shingles") == 0)
+    component = F.when(F.col("alone"), F.col("doc")).otherwise(F.col("lead.doc"))
+    return joined.select(
+        F.nullif("doc", F.lit(LAST)).alias("id"),
+        "key",
+        "n_shingles",
+        F.nullif(component, F.lit(LAST)).alias("component_id"),
+        (F.col("alone") | (F.col("lead") == F.struct("doc", "key"))).alias("first"),
+    )
+
+
+def keep_first(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, the one with the smallest id, with all its columns unchanged; of repeated rows one."""
+    found = near_copies(docs, doc, text)
+    kept = found.where("first").select(F.col("key").alias("_key")).distinct()
+    rows = docs.withColumn("_key", row_key(docs, doc, text))
+    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabweave.llm import decontaminate, html_text, jaccard_join, line_spread, mixing, quality_rules, substring_dedup, suffix_dedup, token_counts
+from tabweave.llm import decontaminate, html_text, jaccard_join, line_spread, mixing, quality_rules, substring_dedup, suffix_dedup, surrogates, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL, "op4_source_mix": mixing.SQL}
@@ -72,3 +72,8 @@ def op3_line_spread(spark: SparkSession, sf: str) -> DataFrame:
 def op8_benchmark_leaks(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
     return found.select(found["doc"].alias("doc_id"), found["item"].alias("item_id"), "edits")
+
+
+@query
+def op9_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    return surrogates.replace_entities(read(spark, sf, "documents")).select("doc_id", "text", "n_entities")
