@@ -467,5 +467,7 @@ def keep_first(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
     """One row of each component, the one with the smallest id, with all its columns unchanged; of repeated rows one."""
     found = near_copies(docs, doc, text)
     kept = found.where("first").select(F.col("key").alias("_key")).distinct()
-    rows = docs.withColumn("_key", row_key(docs, doc, text))
-    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The row travels as one value, so that no name of its columns can clash.
+    rows = docs.select(row_key(docs, doc, text).alias("_key"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    one = rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"])
+    return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

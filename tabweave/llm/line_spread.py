@@ -77,21 +77,17 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str =
     found = lines(docs, doc, text, site, spread)
     gone = written(boilerplate(found, spread), "boilerplate")
     # Rows of a hot line are split by Spark's skew join; the lines themselves are few.
-    hits = found.join(gone, "line").groupBy("key").agg(F.collect_set("at").alias("_gone"))
-    rows = docs.drop("n_lines", "n_removed").withColumn("_key", row_key(docs, doc, text))
-    joined = rows.join(hits.withColumnRenamed("key", "_key"), "_key", "left")
-    parts = F.split(F.col(f"`{text}`").cast("string"), "\n")
-    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    out = joined.withColumns(
-        {
-            "n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("bigint"),
-            "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
-            text: F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(kept),
-        }
-    )
-    out = out.withColumn("n_lines", F.when(F.col("n_lines") < 0, 0).otherwise(F.col("n_lines")))
-    out = out.withColumn("n_removed", F.when(F.col("_gone").isNull(), 0).otherwise(F.col("n_removed")))
-    return out.select(*[f"`{c}`" for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    hits = found.join(gone, "line").groupBy("key").agg(F.collect_set("at").alias("gone"))
+    # The row travels as one value, so that no name of its columns can clash.
+    rows = docs.select(row_key(docs, doc, text).alias("key"), docs[text].cast("string").alias("body"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    joined = rows.join(hits, "key", "left")
+    parts = F.split("body", "\n")
+    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("gone", i)), "\n")
+    new = F.when(F.col("gone").isNull(), F.col("body")).otherwise(kept)
+    columns = [new.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    n_lines = F.when(F.col("body").isNull(), 0).otherwise(F.size(parts)).cast("bigint")
+    n_removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint")
+    return joined.select(*columns, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
 
 #: The same with exact counts throughout (DuckDB).

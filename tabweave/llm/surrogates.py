@@ -192,23 +192,26 @@ def replace_entities(docs: DataFrame, doc: str = "doc_id", text: str = "text", k
     Numbers like cards without a right check digit are no cards and stay. Repeated rows have equal results. A column called
     `n_entities` is replaced. `key` names the secret that the hashes depend on.
     """
-    columns = [c for c in docs.columns if c != "n_entities"]
-    rows = docs.select(*[docs[c] for c in columns]).withColumn("_key", row_key(docs, doc, text))
-    body = F.col(f"`{text}`").cast("string")
-    hinted = F.coalesce(F.regexp_like(body, F.lit(HINT)), F.lit(False))
+    # The row travels as one value, so that no name of its columns can clash.
+    rows = docs.select(row_key(docs, doc, text).alias("key"), docs[text].cast("string").alias("body"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    hinted = F.coalesce(F.regexp_like("body", F.lit(HINT)), F.lit(False))
     plain, candidates = rows.where(~hinted), rows.where(hinted)
-    found = candidates.select("_key", F.posexplode(F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0))).alias("at", "entity")).dropDuplicates(["_key", "at"])
+    old = F.regexp_extract_all("body", F.lit(PATTERN), F.lit(0))
+    found = candidates.select("key", F.posexplode(old).alias("at", "entity")).dropDuplicates(["key", "at"])
     found = found.withColumn("kind", kind_of(F.col("entity"))).withColumn("canon", canonical(F.col("kind"), F.col("entity")))
     found = written(found.where(f"kind <> 'card' OR {luhn_sum('canon')} % 10 = 0"), "mentions")
     made = distinct_replacements(found.select("kind", "canon"), key)
-    mentions = found.join(made, ["kind", "canon"]).select("_key", "at", poured(F.col("kind"), F.col("entity"), F.col("made")).alias("new"))
-    per_row = mentions.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("at", "new"))).alias("_new"))
-    joined = candidates.join(per_row, "_key", "left")
-    parts, old = F.split(body, PATTERN, -1), F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0))
-    told = F.transform(F.slice(parts, 2, 1 << 30), lambda p, i: F.concat(F.coalesce(F.try_element_at("_new", i), F.get(old, i)), p))
+    mentions = found.join(made, ["kind", "canon"]).select("key", "at", poured(F.col("kind"), F.col("entity"), F.col("made")).alias("new"))
+    per_row = mentions.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("at", "new"))).alias("made"))
+    joined = candidates.join(per_row, "key", "left")
+    parts = F.split("body", PATTERN, -1)
+    told = F.transform(F.slice(parts, 2, (1 << 31) - 1), lambda p, i: F.concat(F.coalesce(F.try_element_at("made", i), F.get(old, i)), p))
     whole = F.concat(F.get(parts, F.lit(0)), F.array_join(told, ""))
-    out = joined.withColumn("n_entities", F.coalesce(F.size("_new"), F.lit(0)).cast("bigint"))
-    out = out.withColumn(text, F.when(F.col("_new").isNull(), F.col(f"`{text}`")).otherwise(whole))
-    names = [f"`{c}`" for c in columns]
-    out = out.select(*names, F.when(F.col("_new").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("n_entities")).alias("n_entities"))
-    return plain.select(*names, F.lit(0).cast("bigint").alias("n_entities")).unionByName(out)
+
+    def result(some: DataFrame, new: Column, n: Column) -> DataFrame:
+        columns = [new.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns if c != "n_entities"]
+        return some.select(*columns, n.cast("bigint").alias("n_entities"))
+
+    none = F.col("made").isNull()
+    replaced = result(joined, F.when(none, F.col("body")).otherwise(whole), F.when(none, 0).otherwise(F.size("made")))
+    return result(plain, F.col("body"), F.lit(0)).unionByName(replaced)
