@@ -130,6 +130,8 @@ def repeated_windows(words: np.ndarray, bounds: np.ndarray, size: int) -> np.nda
 
 def repeated_lines(t: Texts) -> np.ndarray:
     """Lines of each text that hold a word and equal an earlier line."""
+    if not len(t.data):
+        return np.zeros(len(t), np.int64)
     breaks = np.flatnonzero(t.data == 10)
     first = np.union1d(t.bounds[:-1], breaks + 1)
     first = first[first < len(t.data)]

@@ -205,7 +205,7 @@ def replace_entities(docs: DataFrame, doc: str = "doc_id", text: str = "text", k
     per_row = mentions.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("at", "new"))).alias("made"))
     joined = candidates.join(per_row, "key", "left")
     parts = F.split("body", PATTERN, -1)
-    told = F.transform(F.slice(parts, 2, (1 << 31) - 1), lambda p, i: F.concat(F.coalesce(F.try_element_at("made", i), F.get(old, i)), p))
+    told = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p, i: F.concat(F.coalesce(F.try_element_at("made", i), F.get(old, i)), p))
     whole = F.concat(F.get(parts, F.lit(0)), F.array_join(told, ""))
 
     def result(some: DataFrame, new: Column, n: Column) -> DataFrame:
