@@ -1,6 +1,6 @@
 """Vectorised views of the texts in an Arrow batch: bytes, words, hashes of words and of runs of words.
 
-A batch is taken apart into chunks of a megabyte, each holding whole texts, so that the working memory of a task
+A batch is taken apart into chunks of half a megabyte, each holding whole texts, so that the working memory of a task
 follows the longest text and not the number of rows in a batch. Hashes are 64 bits wide and equal on every machine.
 """
 
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

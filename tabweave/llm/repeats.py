@@ -31,7 +31,7 @@ from tabweave.session import written
 
 LAST = (1 << 63) - 1
 #: Bytes of text for one bucket of the survey; bytes of contents for one bucket of the second step.
-SURVEY_BYTES, CONTENT_BYTES = 16 << 20, 6 << 20
+SURVEY_BYTES, CONTENT_BYTES = 6 << 20, 3 << 20
 #: A bitmap has 16 bits for each value, within these powers of two.
 LEAST_BITS, MOST_BITS, SEGMENT_BITS = 16, 28, 16
 
