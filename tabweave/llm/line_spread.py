@@ -47,10 +47,14 @@ def _near(estimate: Column, threshold: Column, spread: Spread) -> Column:
     return F.abs(estimate - threshold) <= F.greatest(F.lit(3), threshold * spread.near_percent / 100)
 
 
-def boilerplate(found: DataFrame, spread: Spread) -> DataFrame:
-    """The line hashes that are boilerplate (one column)."""
+def frequent(found: DataFrame, spread: Spread) -> DataFrame:
+    """The lines found often enough to stand on `min_sites` sites, written once for the steps that follow."""
     often = found.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= spread.min_sites)
-    counted = found.join(often.select("line"), "line", "left_semi")
+    return written(found.join(often.select("line"), "line", "left_semi"), "lines")
+
+
+def boilerplate(counted: DataFrame, spread: Spread) -> DataFrame:
+    """The line hashes that are boilerplate (one column), of lines found often."""
     sketches = counted.groupBy("line").agg(
         F.count("*").alias("n"),
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(spread.log_size))).alias("sites"),
@@ -74,10 +78,10 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str =
     A null text stays null with 0 lines; an empty one has one empty line. A null site is a site of its own. Repeated rows
     have equal results. Line breaks (\\n) go with the lines they end. Columns called `n_lines` or `n_removed` are replaced.
     """
-    found = lines(docs, doc, text, site, spread)
-    gone = written(boilerplate(found, spread), "boilerplate")
+    counted = frequent(lines(docs, doc, text, site, spread), spread)
+    gone = written(boilerplate(counted, spread), "boilerplate")
     # Rows of a hot line are split by Spark's skew join; the lines themselves are few.
-    hits = found.join(gone, "line").groupBy("key").agg(F.collect_set("at").alias("gone"))
+    hits = counted.join(gone, "line").groupBy("key").agg(F.collect_set("at").alias("gone"))
     # The row travels as one value, so that no name of its columns can clash.
     rows = docs.select(row_key(docs, doc, text).alias("key"), docs[text].cast("string").alias("body"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     joined = rows.join(hits, "key", "left")
