@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabweave.llm.arrays import BYTE_VALUES, LOWER, SPACE, Texts, runs, text_of, texts
+from tabweave.llm.arrays import BASE, LOWER, SPACE, Texts, text_of, texts
 
 PART_BYTES = 8 << 20
-BITS = 24
+BITS = 22
 
 
 @dataclass(frozen=True)
@@ -33,26 +33,53 @@ class Edits:
     q: int = 7
     least: int = 32
 
+    def __post_init__(self) -> None:
+        if not 1 <= self.q <= 8:
+            raise ValueError("q must be from 1 to 8")
+
     def budget(self, m: np.ndarray) -> np.ndarray:
         return np.maximum(0, np.minimum(m * self.percent // 100, (m - self.q) // self.q))
 
 
+FOLD = np.where(SPACE, np.uint8(32), LOWER)
+
+
 def folded(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the texts in lower case with single spaces, and where each ends."""
-    space = SPACE[t.data]
-    again = space.copy()
-    again[1:] &= space[:-1]
-    if len(again):
-        again[0] = False
-    starts = t.bounds[:-1][t.bounds[:-1] < len(again)]
-    again[starts] = False
-    data = LOWER[np.where(space, np.uint8(32), t.data)]
-    kept = np.concatenate(([0], np.cumsum(~again)))
-    return data[~again], kept[t.bounds]
+    data = FOLD[t.data]
+    space = data == 32
+    again = space[1:] & space[:-1]
+    inner = t.bounds[1:-1]
+    again[inner[(inner > 0) & (inner < len(data))] - 1] = False
+    if not again.any():
+        return data, t.bounds
+    keep = np.concatenate(([True], ~again))
+    return data[keep], np.concatenate(([0], np.cumsum(keep)))[t.bounds]
+
+
+def grams(data: np.ndarray, q: int) -> np.ndarray:
+    """The q bytes (8 at most) from every place on as one number."""
+    n = len(data) - q + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    wide, width = data.astype(np.uint64), 1
+    out, at = np.zeros(n, np.uint64), 0
+    while True:
+        if q & width:
+            out |= wide[at : at + n] << np.uint64(8 * at)
+            at += width
+        if at == q:
+            return out
+        wide = wide[:-width] | wide[width:] << np.uint64(8 * width)
+        width *= 2
+
+
+def slot(gram: np.ndarray) -> np.ndarray:
+    return (gram * BASE) >> np.uint64(64 - BITS)
 
 
 class Items:
-    """q-grams of some items: a bitmap and a sorted table of their hashes, and their places in items."""
+    """q-grams of some items: a bitmap and a sorted table of them, and their places in items."""
 
     def __init__(self, ids: list[int], items: list[bytes], edits: Edits):
         self.edits = edits
@@ -71,50 +98,71 @@ class Items:
         self.sizes = np.diff(self.bounds)
         self.budget = edits.budget(self.sizes)
         self.bound = self.sizes - edits.q + 1 - self.budget * edits.q
-        at, gram = runs(BYTE_VALUES[self.data], self.bounds, edits.q)
+        gram = grams(self.data, edits.q)
+        at = self._inside(np.arange(len(gram)), self.bounds)
+        gram = gram[at]
         by = np.argsort(gram, kind="stable")
         self.item = text_of(at, self.bounds)[by]
         self.place = (at - self.bounds[text_of(at, self.bounds)])[by]
         self.grams, self.start = np.unique(gram[by], return_index=True)
         self.stop = np.append(self.start[1:], len(by))
         self.bits = np.zeros(1 << BITS, bool)
-        self.bits[self.grams >> np.uint64(64 - BITS)] = True
+        self.bits[slot(self.grams)] = True
+
+    def _inside(self, at: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The places whose q-gram does not reach into the next text."""
+        return at[at + self.edits.q <= bounds[text_of(at, bounds) + 1]] if len(at) else at
 
-    def hits(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, item and diagonal (from the start of the text) of every shared q-gram."""
-        at, gram = runs(BYTE_VALUES[data], bounds, self.edits.q)
-        some = np.flatnonzero(self.bits[gram >> np.uint64(64 - BITS)])
-        at, gram = at[some], gram[some]
+    def hits(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, item, diagonal (from the start of the text) and place in the item of every shared q-gram."""
+        gram = grams(data, self.edits.q)
+        at = self._inside(np.flatnonzero(self.bits[slot(gram)]), bounds)
+        gram = gram[at]
         index = np.minimum(np.searchsorted(self.grams, gram), max(0, len(self.grams) - 1))
         same = self.grams[index] == gram if len(self.grams) else np.zeros(0, bool)
         at, index = at[same], index[same]
         count = self.stop[index] - self.start[index]
         entry = np.repeat(self.start[index] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum()) if len(index) else np.zeros(0, np.int64)
         text = np.repeat(text_of(at, bounds), count)
-        return text, self.item[entry], np.repeat(at, count) - bounds[text] - self.place[entry]
+        return text, self.item[entry], np.repeat(at, count) - bounds[text] - self.place[entry], self.place[entry]
 
     def regions(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, item and first diagonal of the bands that reach the bound."""
-        text, item, diagonal = self.hits(data, bounds)
+        text, item, diagonal, place = self.hits(data, bounds)
         if not len(text):
             return text, item, diagonal
+        n = len(self.ids)
         # A text must share enough with an item at all before its hits are counted by band.
-        pair = text * len(self.ids) + item
-        names, which, total = np.unique(pair, return_inverse=True, return_counts=True)
-        some = (total >= self.bound[names % len(self.ids)])[which]
-        text, item, diagonal = text[some], item[some], diagonal[some]
-        width = self.budget[item] + 1
-        band = diagonal // width
-        rows = np.stack((np.concatenate((text, text)), np.concatenate((item, item)), np.concatenate((band, band - 1))), axis=1)
-        if not len(rows):
-            return text, item, diagonal
-        by = np.lexsort(rows.T[::-1])
-        rows = rows[by]
-        new = np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))
-        start = np.flatnonzero(new)
-        count = np.diff(np.append(start, len(rows)))
-        rows = rows[start][count >= self.bound[rows[start, 1]]]
-        return rows[:, 0], rows[:, 1], rows[:, 2] * (self.budget[rows[:, 1]] + 1)
+        pair = text * n + item
+        names, which = np.unique(pair, return_inverse=True) if (text[-1] + 1) * n > 8 * len(pair) else (None, pair)
+        total = np.bincount(which)
+        some = np.flatnonzero(total[which] >= self.bound[item])
+        pair, item, diagonal, place = pair[some], item[some], diagonal[some], place[some]
+        if not len(some):
+            return pair, item, diagonal
+        # Cells of budget + 1 diagonals; a band is two cells in a row, so the diagonals of a passage lie in one band.
+        # Each q-gram of the item counts once in a cell.
+        cell = diagonal // (self.budget[item] + 1)
+        low, high = int(cell.min()), int(cell.max()) + 2
+        longest = int(self.sizes.max())
+        key = np.sort((pair * (high - low) + (cell - low)) * longest + place)
+        key = key[np.concatenate(([True], key[1:] != key[:-1]))] // longest
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.append(start, len(key)))
+        key = key[start]
+        follows = np.concatenate((key[1:] == key[:-1] + 1, [False]))
+        band = count + np.where(follows, np.append(count[1:], 0), 0)
+        pair, cell = key // (high - low), key % (high - low) + low
+        item = pair % n
+        good = np.flatnonzero(band >= self.bound[item])
+        return pair[good] // n, item[good], cell[good] * (self.budget[item[good]] + 1)
+
+    def _literal(self, data: np.ndarray, bounds: np.ndarray, text: int, item: int, diagonal: int) -> int:
+        """0 if the item itself stands in the band, 1 if an alignment must tell."""
+        k, size = int(self.budget[item]), int(self.sizes[item])
+        first = max(int(bounds[text]), int(bounds[text]) + diagonal - k)
+        last = min(int(bounds[text + 1]), int(bounds[text]) + diagonal + 3 * k + 3 + size)
+        return int(self.data[self.bounds[item] : self.bounds[item] + size].tobytes() not in data[first:last].tobytes())
 
     def aligned(self, data: np.ndarray, bounds: np.ndarray, text: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
         """Least edits between each item and a passage of its text whose path stays near the band."""
@@ -150,7 +198,9 @@ class Items:
         """Text, item id and least edits of every item found in the texts of a chunk."""
         data, bounds = folded(t)
         text, item, diagonal = self.regions(data, bounds)
-        edits = self.aligned(data, bounds, text, item, diagonal)
+        edits = np.array([self._literal(data, bounds, *c) for c in zip(text.tolist(), item.tolist(), diagonal.tolist())], np.int64)
+        left = np.flatnonzero(edits)
+        edits[left] = self.aligned(data, bounds, text[left], item[left], diagonal[left])
         good = edits <= self.budget[item] if len(text) else np.zeros(0, bool)
         text, item, edits = text[good], item[good], edits[good]
         by = np.lexsort((edits, item, text))
