@@ -33,7 +33,7 @@ class Mix:
     weights: tuple[int, ...] = (5, 2, 1)
     most: int = 3
     block: int = 64
-    shard_rows: int = 20_000
+    shard_rows: int = 2_000
     seed: str = "mix-1"
 
 
