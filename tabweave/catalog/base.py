@@ -63,23 +63,23 @@ def scored_lines(spark: SparkSession, sf: str) -> DataFrame:
     out = lines.withColumn("label", (F.col("l_returnflag") == "R").cast("int"))
     out = out.withColumn("margin", linear_score(WEIGHTS, INTERCEPT))
     out = out.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))))
-    return out.withColumn("prediction", (F.col("margin") > 0.5).cast("int"))
+    return out.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
 
 
 SCORED_SQL = f"""scored AS (
   SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, {MARGIN_SQL} AS margin,
-         1.0/(1.0+exp(-{MARGIN_SQL})) AS score, CASE WHEN {MARGIN_SQL} > 0.5 THEN 1 ELSE 0 END AS prediction
+         1.0/(1.0+exp(-{MARGIN_SQL})) AS score, CASE WHEN 1.0/(1.0+exp(-{MARGIN_SQL})) > 0.5 THEN 1 ELSE 0 END AS prediction
   FROM lineitem)"""
 
 
 def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
     """documents with their labels; unlabelled documents have null quality and toxic."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return docs.join(table(spark, sf, "labels"), "doc_id", "left")
 
 
 LABELLED_SQL = """labelled AS (
-  SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 

@@ -16,11 +16,13 @@ from tabweave.catalog.base import (
     scored_lines,
     table,
 )
+from tabweave.config import Bin, DateParts, FeatureConfig
 from tabweave.functions.columns import linear_score, sigmoid
 from tabweave.operators import cohorts as C
 from tabweave.operators import explain as E
 from tabweave.operators import models as G
 from tabweave.operators.split import sample_n
+from tabweave.plans.flow import prepare
 from tabweave.session import fresh_dir
 
 _KEYS = "l_orderkey, l_linenumber::bigint AS l_linenumber, l_partkey, l_suppkey"
@@ -141,8 +143,6 @@ def shap_explain_all(spark, sf):
 # ------------------------------------------------------------- fitted models
 
 _TREE_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-_TREES = {"numTrees": 5, "maxDepth": 4}
-_BOOST = {"maxIter": 5, "maxDepth": 3}
 
 
 def _training_lines(spark, sf):
@@ -161,7 +161,7 @@ def _additive(a, scored, output):
 def tree_shap_forest(spark, sf):
     """Attributions of a forest for every line; the sum equals the predicted probability."""
     rows = _training_lines(spark, sf)
-    t = G.train(rows, _TREE_FEATS, "label", "random_forest", **_TREES)
+    t = G.train(rows, _TREE_FEATS, "label", "random_forest")
     out = t.score(rows, [*LINE_KEY, *_TREE_FEATS])
     a = E.tree_attribution(out, [*LINE_KEY, "p1"], _TREE_FEATS, t.model.stages[-1])
     return _additive(a, a.df, F.col("p1"))
@@ -171,7 +171,7 @@ def tree_shap_forest(spark, sf):
 def tree_shap_boosted(spark, sf):
     """Attributions of boosted trees; sigmoid(2 x sum) equals the predicted probability."""
     rows = _training_lines(spark, sf)
-    t = G.train(rows, _TREE_FEATS, "label", "gradient_boosting", **_BOOST)
+    t = G.train(rows, _TREE_FEATS, "label", "gradient_boosting")
     out = t.score(rows, [*LINE_KEY, *_TREE_FEATS])
     a = E.tree_attribution(out, [*LINE_KEY, "p1"], _TREE_FEATS, t.model.stages[-1])
     total = sum((a.phi(f) for f in a.features), F.col("base_value"))
@@ -179,37 +179,87 @@ def tree_shap_boosted(spark, sf):
     return a.df.agg(F.count("*").alias("n"), (gap < 1e-9).alias("additive"))
 
 
-@query("SELECT 4::bigint AS features, true AS sums_to_one, true AS none_negative")
+_CORR = " UNION ALL ".join(f"SELECT '{f}' AS feature, abs(corr({f}, (l_quantity > 25)::int)) AS r FROM lineitem" for f in _TREE_FEATS)
+
+
+@query(f"WITH c AS ({_CORR}) SELECT arg_max(feature, r) AS top, count(*) AS features, true AS sums_to_one, true AS none_negative FROM c")
 def split_importances(spark, sf):
-    rows = _training_lines(spark, sf)
-    t = G.train(rows, _TREE_FEATS, "label", "random_forest", **_TREES)
+    """Of a label that follows one feature, this feature has the largest importance."""
+    rows = _training_lines(spark, sf).withColumn("label", (F.col("l_quantity") > 25).cast("double"))
+    t = G.train(rows, _TREE_FEATS, "label", "random_forest")
     v = F.col("importance")
     out = E.split_importances(t.model.stages[-1], _TREE_FEATS)
     return out.agg(
-        F.count("*").alias("features"), (F.abs(F.sum(v) - 1) < 1e-9).alias("sums_to_one"), (F.min(v) >= 0).alias("none_negative")
+        F.max_by("feature", v).alias("top"),
+        F.count("*").alias("features"),
+        (F.abs(F.sum(v) - 1) < 1e-9).alias("sums_to_one"),
+        (F.min(v) >= 0).alias("none_negative"),
     )
 
 
-_PART_W = {"p_size": 0.03, "p_retailprice": -0.002}
+@query("SELECT o_orderstatus, count(*) AS n, true AS additive FROM orders GROUP BY 1")
+def shap_positive_class(spark, sf):
+    """Attributions of a forest for each of three classes; of the positive class they sum to its probability."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
+    coded, _ = G.numeric_label(rows.withColumn("y", F.col("o_orderstatus")), "y")
+    features = ["o_totalprice", "o_custkey"]
+    t = G.train(coded, features, "y", "random_forest")
+    out = t.score(coded, ["o_orderkey", "o_orderstatus", *features])
+    long = E.positive_class(E.class_attributions(t, out, ["o_orderkey", "o_orderstatus", "p1"], 3))
+    each = long.groupBy("o_orderkey", "o_orderstatus", "p1").agg((F.max("base_value") + F.sum("shap")).alias("total"))
+    fair = F.max(F.abs(F.col("total") - F.col("p1"))) < 1e-9
+    return each.groupBy("o_orderstatus").agg(F.count("*").alias("n"), fair.alias("additive"))
+
+
+_PART_W = {"p_size": 0.03, "p_retailprice": -0.002, "name_length": 0.5, "type_length": -0.1}
+_PART_SQL = (
+    f"""p AS (SELECT *, length(p_name) AS name_length, length(p_type) AS type_length FROM part),
+        b AS (SELECT * FROM p ORDER BY {hash_sql("p_partkey")}, p_partkey LIMIT 100),
+        m AS (SELECT """
+    + ", ".join(f"avg({f}) AS m_{f}" for f in _PART_W)
+    + " FROM b), phi AS (SELECT p_partkey, "
+    + ", ".join(f"round({w} * ({f} - m_{f}), 6) + 0.0 AS phi_{f}" for f, w in _PART_W.items())
+    + ", round(1.0 + "
+    + " + ".join(f"{w} * m_{f}" for f, w in _PART_W.items())
+    + ", 6) AS base_value FROM p, m)"
+)
 
 
-@query(
-    f"""WITH b AS (SELECT * FROM part ORDER BY {hash_sql("p_partkey")}, p_partkey LIMIT 20),
-        m AS (SELECT avg(p_size) AS ms, avg(p_retailprice) AS mp FROM b)
-        SELECT p_partkey, round(0.03 * (p_size - ms), 6) + 0.0 AS phi_p_size, round(-0.002 * (p_retailprice - mp), 6) + 0.0 AS phi_p_retailprice,
-          round(1.0 + 0.03 * ms - 0.002 * mp, 6) AS base_value FROM part, m"""
-)
-def kernel_shap(spark, sf):
-    """Model-agnostic attributions of a linear scorer; its exact values are known."""
-    rows = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+def _part_attribution(rows):
     a = E.kernel_attribution(
         rows,
         ["p_partkey"],
         list(_PART_W),
-        sample_n(rows, ["p_partkey"], 20),
+        sample_n(rows, ["p_partkey"], E.BACKGROUND_ROWS),
         lambda df: df.withColumn("score", linear_score(_PART_W, 1.0)),
     )
-    return rounded(a.df.select("p_partkey", "phi_p_size", "phi_p_retailprice", "base_value"), "phi_p_size", "phi_p_retailprice", "base_value")
+    phis = [f"phi_{f}" for f in _PART_W]
+    return rounded(a.df.select("p_partkey", *phis, "base_value"), *phis, "base_value")
+
+
+def _part_rows(spark, sf):
+    rows = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_name", "p_type")
+    return rows.withColumns({"name_length": F.length("p_name"), "type_length": F.length("p_type")}).drop("p_name", "p_type")
+
+
+@query(f"WITH {_PART_SQL} SELECT * FROM phi")
+def kernel_shap(spark, sf):
+    """Model-agnostic attributions of a linear scorer over 100 background rows; its exact values are known."""
+    return _part_attribution(_part_rows(spark, sf))
+
+
+@query(
+    """WITH m AS (SELECT avg(p_size) AS s FROM part) SELECT p_size::bigint AS p_size, count(*) AS n, round(min(0.03 * (p_size - s)), 6) + 0.0 AS low,
+       round(max(0.03 * (p_size - s)), 6) + 0.0 AS high FROM part, m GROUP BY 1"""
+)
+def kernel_shap_repeated(spark, sf):
+    """Many equal rows, and a feature that is the key too: each row keeps its own attribution."""
+    rows = table(spark, sf, "part").select("p_size")
+    # The mean of a linear scorer over all rows is its score at their mean, given as one background row.
+    mean = rows.agg(F.avg("p_size").alias("p_size"))
+    a = E.kernel_attribution(rows, ["p_size"], ["p_size"], mean, lambda df: df.withColumn("score", linear_score({"p_size": 0.03}, 1.0)))
+    out = a.df.groupBy("p_size").agg(F.count("*").alias("n"), F.min("phi_p_size").alias("low"), F.max("phi_p_size").alias("high"))
+    return longs(rounded(out, "low", "high"), "p_size")
 
 
 # -------------------------------------------------------------------- cohorts
@@ -235,10 +285,25 @@ def error_cube(spark, sf):
     return longs(rounded(out, "error_rate", "coverage"), "level")
 
 
-@query()
+@query(f"WITH {SCORED_SQL} SELECT count(*) AS n, sum((label <> prediction)::int)::bigint AS errors, true AS as_told FROM scored")
 def error_tree(spark, sf):
+    """The rule of each cohort put to the rows: the cohorts hold every row once, as many and as wrong as the tree says."""
     rows = scored_lines(spark, sf)
-    return rounded(C.error_tree(rows, F.col("label") != F.col("prediction"), _TREE_FEATS), "row_share", "error_rate")
+    wrong = F.col("label") != F.col("prediction")
+    tree = C.error_tree(rows, wrong, _TREE_FEATS).collect()
+    held = [F.expr(r["cohort"]) for r in tree]
+    counts = rows.agg(
+        F.array(*[F.count_if(h) for h in held]).alias("n"),
+        F.array(*[F.count_if(h & wrong) for h in held]).alias("errors"),
+        F.count("*").alias("whole"),
+    )
+    told = [
+        (F.abs(F.col("n")[i] / F.col("whole") - F.lit(r["row_share"])) < 1e-9)
+        & (F.abs(F.coalesce(F.try_divide(F.col("errors")[i], F.col("n")[i]), F.lit(0.0)) - F.lit(r["error_rate"])) < 1e-9)
+        for i, r in enumerate(tree)
+    ]
+    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda s, x: s + x)
+    return counts.select(total("n").alias("n"), total("errors").alias("errors"), F.forall(F.array(*told), lambda t: t).alias("as_told"))
 
 
 @query(
@@ -305,3 +370,15 @@ def gather_insights(spark, sf):
         "calibration": C.calibration(scored_lines(spark, sf), "label", "score").select("bucket", "n"),
     }
     return rounded(C.gather(parts), "mean_abs_shap", "bucket", "n")
+
+
+def flagship(spark, sf):
+    """Features built on lineitem, the scorer, and its metrics per cohort of the built quantity groups."""
+    features = FeatureConfig(
+        bins=(Bin("l_quantity", [0, 10, 30, 1000], ["small", "medium", "large"], "size"),),
+        dates=(DateParts("l_shipdate", ("year", "month")),),
+    )
+    rows, _ = prepare(scored_lines(spark, sf), None, None, features)
+    return rounded(
+        C.cohort_metrics(rows, "size", "label", "prediction", "margin"), "accuracy", "selection_rate", "precision", "recall", "f1", "auc"
+    )

@@ -295,9 +295,9 @@ def feature_flow(spark, sf):
 
 
 @query(
-    f"""WITH {LABELLED_SQL}, d AS (SELECT DISTINCT lang, source, n_chars FROM labelled),
+    f"""WITH {LABELLED_SQL}, d AS (SELECT DISTINCT text, lang, source, n_chars FROM labelled),
         s AS (SELECT min(n_chars) AS lo, max(n_chars) - min(n_chars) AS w FROM d)
-        SELECT (dense_rank() OVER (ORDER BY lang) - 1)::bigint AS lang, round((n_chars - lo) / w, 6) AS n_chars,
+        SELECT text, (dense_rank() OVER (ORDER BY lang) - 1)::bigint AS lang, round((n_chars - lo) / w, 6) AS n_chars,
           CASE WHEN n_chars > 0 AND n_chars <= 500 THEN 'short' WHEN n_chars > 500 AND n_chars <= 5000 THEN 'medium'
                WHEN n_chars > 5000 AND n_chars <= 1000000 THEN 'long' END AS length_group FROM d, s"""
 )

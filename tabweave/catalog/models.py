@@ -10,14 +10,15 @@ from tabweave.catalog.splits import _QUOTAS
 from tabweave.config import SearchConfig
 from tabweave.operators import metrics as M
 from tabweave.operators import models as G
-from tabweave.operators.search import Candidate, ranking, search
+from tabweave.operators import scoring as P
+from tabweave.operators.search import ranking, search
 from tabweave.operators.split import split_stratified, stratified_folds
 from tabweave.session import fresh_dir
 from tabweave.sources.writers import write_splits
 
+# All models are trained with the library's defaults: 100 trees of depth 10, 100 rounds, five folds.
 _FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-_FOREST = {"numTrees": 5, "maxDepth": 4}
-_BOOST = {"maxIter": 5, "maxDepth": 3}
+FOLDS = 5
 
 
 def _lines(spark, sf):
@@ -55,12 +56,12 @@ def _held_out(spark, sf, kind, **params):
 
 @query(_TEST_COUNTS)
 def forest_classifier(spark, sf):
-    return _held_out(spark, sf, "random_forest", **_FOREST)
+    return _held_out(spark, sf, "random_forest")
 
 
 @query(_TEST_COUNTS)
 def boosted_classifier(spark, sf):
-    return _held_out(spark, sf, "gradient_boosting", **_BOOST)
+    return _held_out(spark, sf, "gradient_boosting")
 
 
 @query("SELECT count(*) AS n, true AS optimal FROM lineitem")
@@ -89,22 +90,59 @@ def _better_than_mean(spark, sf, kind, **params):
 
 @query("SELECT count(*) AS n, true AS explains FROM lineitem")
 def forest_regressor(spark, sf):
-    return _better_than_mean(spark, sf, "random_forest", **_FOREST)
+    return _better_than_mean(spark, sf, "random_forest", maxDepth=10)
 
 
 @query("SELECT count(*) AS n, true AS explains FROM lineitem")
 def boosted_regressor(spark, sf):
-    return _better_than_mean(spark, sf, "gradient_boosting", **_BOOST)
+    return _better_than_mean(spark, sf, "gradient_boosting")
 
 
-@query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
-def boosted_multiclass(spark, sf):
-    """Three text classes: coded labels, one boosted model per class against the rest."""
+def _classes(spark, sf):
+    """orders with three text classes as coded labels."""
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
-    coded, codes = G.numeric_label(rows.withColumn("y", F.col("o_orderstatus")), "y")
-    t = G.train(coded, ["o_totalprice", "o_custkey"], "y", "gradient_boosting", maxIter=2, maxDepth=2)
-    out = t.score(coded, ["o_orderstatus"]).where(F.col("prediction").isin([float(c) for c in codes.values()]))
-    return out.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    return G.numeric_label(rows.withColumn("y", F.col("o_orderstatus")), "y")
+
+
+_CLASS_FEATS = ["o_totalprice", "o_custkey"]
+_CLASS_SQL = "SELECT o_orderstatus, count(*) AS n, true AS sums_to_one, true AS likeliest FROM orders GROUP BY 1"
+
+
+def _class_check(out):
+    """Rows per class; probabilities of three classes sum to 1, and the prediction is the likeliest."""
+    each = F.array("p0", "p1", "p2")
+    total = F.max(F.abs(F.col("p0") + F.col("p1") + F.col("p2") - 1)) < 1e-9
+    best = F.every(F.element_at(each, F.col("prediction").cast("int") + 1) == F.array_max(each))
+    return out.groupBy("o_orderstatus").agg(F.count("*").alias("n"), total.alias("sums_to_one"), best.alias("likeliest"))
+
+
+@query(_CLASS_SQL)
+def boosted_multiclass(spark, sf):
+    """Coded labels, one boosted model per class against the rest, probabilities of all classes."""
+    coded, _ = _classes(spark, sf)
+    t = G.train(coded, _CLASS_FEATS, "y", "gradient_boosting")
+    return _class_check(t.score(coded, ["o_orderstatus"]))
+
+
+@query(_CLASS_SQL)
+def vote_multiclass(spark, sf):
+    coded, _ = _classes(spark, sf)
+    models = [G.train(coded, _CLASS_FEATS, "y", k, scale=False) for k in ("random_forest", "logistic_regression")]
+    return _class_check(G.vote(models, coded, ["o_orderstatus"]))
+
+
+@query("SELECT count(*) AS n, true AS sums_to_one, true AS same FROM orders")
+def proba_shapes(spark, sf):
+    """Probabilities where a model has them, else its prediction."""
+    coded, _ = _classes(spark, sf)
+    forest = G.train(coded, _CLASS_FEATS, "y", "random_forest").model
+    line = G.train(coded, ["o_totalprice"], "o_custkey", "linear_regression", "regression").model
+    with_p = P.predict_proba(forest, coded, ["o_orderkey", *_CLASS_FEATS])
+    both = P.proba_or_predict(line, with_p, ["o_orderkey", *_CLASS_FEATS, "p0", "p1", "p2"])
+    again = P.proba_or_predict(forest, both.drop("prediction").withColumnsRenamed({f"p{c}": f"q{c}" for c in range(3)}), ["o_totalprice", "q0", "q1", "q2"])
+    total = F.max(F.abs(F.col("p0") + F.col("p1") + F.col("p2") - 1)) < 1e-9
+    same = F.every((F.col("p0") == F.col("q0")) & (F.col("p1") == F.col("q1")) & (F.col("p2") == F.col("q2")))
+    return again.agg(F.count("*").alias("n"), total.alias("sums_to_one"), same.alias("same"))
 
 
 _AUTO = (
@@ -118,51 +156,78 @@ def auto_boosted(spark, sf):
     """Automatic features, max-abs scaling, boosted trees."""
     y = (F.col("o_orderstatus") == "F").cast("double")
     rows = table(spark, sf, "orders").withColumn("label", y).drop("o_orderstatus")
-    t = G.boosted_after_auto(rows, "label", ["o_orderkey"], **_BOOST)
+    t = G.boosted_after_auto(rows, "label", ["o_orderkey"])
     return t.score(rows, ["label"]).where(F.col("p1").between(0, 1)).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query()
+def _searched(spark, sf, **judge):
+    cfg = SearchConfig(primary_metric="AUC_weighted", blocked=("gradient_boosting",), timeout_minutes=60, **judge)
+    rows = _lines(spark, sf)
+    return rows, search(rows, LINE_KEY, _FEATS, "label", cfg)
+
+
+@query(
+    """SELECT count(*) AS n_rows, 'logistic_regression,random_forest' AS models, true AS ordered, true AS in_range, true AS recomputed,
+       true AS best_registered FROM lineitem"""
+)
 def model_leaderboard(spark, sf):
-    """Two allowed candidates, judged on three stratified folds, best first."""
-    cfg = SearchConfig(folds=3, primary_metric="AUC_weighted", blocked=("gradient_boosting",), timeout_minutes=60)
-    candidates = [
-        Candidate("random_forest", "random_forest", _FOREST),
-        Candidate("gradient_boosting", "gradient_boosting", _BOOST),
-        Candidate("logistic_regression", "logistic_regression", {}),
-    ]
-    found = search(_lines(spark, sf), LINE_KEY, _FEATS, "label", cfg, candidates)
-    return rounded(ranking(found.leaderboard, "AUC_weighted").drop("seconds"), "value")
+    """The allowed candidates judged on five stratified folds, best first; one value is computed again from its scores."""
+    rows, found = _searched(spark, sf, folds=FOLDS)
+    board = [tuple(r) for r in ranking(found.leaderboard, "AUC_weighted").select("model", "value").collect()]
+    folds = stratified_folds(rows, LINE_KEY, "label", FOLDS)
+    out = G.out_of_fold(folds, LINE_KEY, _FEATS, "label", "logistic_regression", "classification", "fold", FOLDS)
+    auc = M.auc_weighted(out, "label", {0: "p0", 1: "p1"}).first()[0]
+    values = [v for _, v in board]
+    return rows.agg(
+        F.count("*").alias("n_rows"),
+        F.lit(",".join(sorted(m for m, _ in board))).alias("models"),
+        F.lit(values == sorted(values, reverse=True)).alias("ordered"),
+        F.lit(all(0 <= v <= 1 for v in values)).alias("in_range"),
+        F.lit(abs(dict(board)["logistic_regression"] - auc) < 1e-9).alias("recomputed"),
+        F.lit(found.best.name == board[0][0] == found.model.kind).alias("best_registered"),
+    )
 
 
-@query("SELECT (l_returnflag = 'R')::int::double AS label, count(*) AS n FROM lineitem GROUP BY 1")
+@query("SELECT count(*) AS n_rows, 'logistic_regression,random_forest' AS models, true AS in_range FROM lineitem")
+def validated_search(spark, sf):
+    """The same on a validation part instead of folds."""
+    rows, found = _searched(spark, sf, validation_size=0.25)
+    board = ranking(found.leaderboard, "AUC_weighted").collect()
+    return rows.agg(
+        F.count("*").alias("n_rows"),
+        F.lit(",".join(sorted(r["model"] for r in board))).alias("models"),
+        F.lit(all(0 <= r["value"] <= 1 for r in board)).alias("in_range"),
+    )
+
+
+@query("SELECT (l_returnflag = 'R')::int::double AS label, count(*) AS n, count(*) AS n_in_range, count(*) AS n_decided FROM lineitem GROUP BY 1")
 def out_of_fold(spark, sf):
     """Each row is predicted once, by a model that never saw its fold."""
-    rows = stratified_folds(_lines(spark, sf), LINE_KEY, "label", 3)
-    out = G.out_of_fold(rows, LINE_KEY, _FEATS, "label", "random_forest", "classification", "fold", 3, **_FOREST)
-    return out.groupBy("label").agg(F.count("*").alias("n"))
+    rows = stratified_folds(_lines(spark, sf), LINE_KEY, "label", FOLDS)
+    out = G.out_of_fold(rows, LINE_KEY, _FEATS, "label", "random_forest", "classification", "fold", FOLDS)
+    decided = (F.col("prediction") == 1) == (F.col("p1") > F.col("p0"))
+    return out.groupBy("label").agg(
+        F.count("*").alias("n"), F.count_if(F.col("p1").between(0, 1)).alias("n_in_range"), F.count_if(decided).alias("n_decided")
+    )
 
 
 @query("SELECT count(*) AS n, true AS in_range, true AS averaged FROM lineitem")
 def vote_ensemble(spark, sf):
     rows = _lines(spark, sf)
-    models = [
-        G.train(rows, _FEATS, "label", "random_forest", **_FOREST),
-        G.train(rows, _FEATS, "label", "gradient_boosting", **_BOOST),
-    ]
+    models = [G.train(rows, _FEATS, "label", k) for k in ("random_forest", "gradient_boosting")]
     out = G.vote(models, rows, [*LINE_KEY, *_FEATS])
-    singles = G.member_scores(models, out.drop("prediction"), [*LINE_KEY, *_FEATS, "score"])
-    gap = F.abs(F.col("score") - (F.col("m0") + F.col("m1")) / 2)
+    singles = G.member_scores(models, out.drop("prediction"), [*LINE_KEY, *_FEATS, "p1"])
+    gap = F.abs(F.col("p1") - (F.col("m0")[1] + F.col("m1")[1]) / 2)
     return singles.agg(
-        F.count("*").alias("n"), F.every(F.col("score").between(0, 1)).alias("in_range"), (F.max(gap) < 1e-12).alias("averaged")
+        F.count("*").alias("n"), F.every(F.col("p1").between(0, 1)).alias("in_range"), (F.max(gap) < 1e-12).alias("averaged")
     )
 
 
 @query("SELECT count(*) AS n, true AS in_range FROM lineitem")
 def stack_ensemble(spark, sf):
-    rows = stratified_folds(_lines(spark, sf), LINE_KEY, "label", 2)
-    members = [("random_forest", _FOREST), ("gradient_boosting", {"maxIter": 2, "maxDepth": 2})]
-    s = G.stack(rows, _FEATS, "label", members, "fold", 2)
+    rows = stratified_folds(_lines(spark, sf), LINE_KEY, "label", FOLDS)
+    members = [("random_forest", {}), ("logistic_regression", {})]
+    s = G.stack(rows, _FEATS, "label", members, "fold", FOLDS)
     out = s.score(rows.drop("fold"), LINE_KEY)
     return out.agg(F.count("*").alias("n"), F.every(F.col("p1").between(0, 1)).alias("in_range"))
 
@@ -186,9 +251,12 @@ def saved_model(spark, sf):
 
 @query(
     """WITH d AS (SELECT event_type, date_trunc('day', ts)::timestamp AS period, sum(value) AS y FROM events GROUP BY ALL)
-       SELECT event_type, period, round(y, 6) AS y FROM d WHERE period > (SELECT max(period) FROM d) - INTERVAL 7 DAY"""
+       SELECT event_type, count(*) AS n, round(sum(y), 6) AS total, true AS in_range FROM d
+       WHERE period > (SELECT max(period) FROM d) - INTERVAL 7 DAY GROUP BY 1"""
 )
 def forecast_values(spark, sf):
-    """Daily value per event type: boosted trees on lags, scored on the last week."""
-    _, scored = G.forecast(table(spark, sf, "events"), "event_type", "ts", "value", maxIter=5, maxDepth=3)
-    return rounded(scored.where(F.col("prediction").isNotNull()).drop("prediction"), "y")
+    """Daily value per event type: boosted trees on lags, scored on the last week, within twice the values seen."""
+    _, scored = G.forecast(table(spark, sf, "events"), "event_type", "ts", "value")
+    most = scored.agg(F.max(F.abs("y"))).first()[0]
+    fair = F.every(F.abs("prediction") <= F.lit(2 * (most or 0.0)))
+    return rounded(scored.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("y").alias("total"), fair.alias("in_range")), "total")

@@ -23,7 +23,7 @@ from tabweave.operators.scoring import align
 _PROFILE = " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null,
         round(count(*) FILTER ({c} IS NULL) * 100.0 / count(*), 6)::double AS pct_null FROM labelled"""
-    for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+    for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
 )
 
 
@@ -32,14 +32,16 @@ def null_profile(spark, sf):
     return rounded(Q.null_profile(labelled_documents(spark, sf)), "pct_null")
 
 
-@query("SELECT doc_id, lang, source, n_chars FROM documents")
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def drop_sparse(spark, sf):
     return Q.drop_sparse(labelled_documents(spark, sf), 50)
 
 
-@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("SELECT DISTINCT * REPLACE (l_linenumber::bigint AS l_linenumber) FROM lineitem")
 def dedup(spark, sf):
-    return Q.drop_duplicate_rows(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    """Whole rows, every second order given twice."""
+    rows = table(spark, sf, "lineitem")
+    return longs(Q.drop_duplicate_rows(rows.unionByName(rows.where("l_orderkey % 2 = 0"))), "l_linenumber")
 
 
 @query("SELECT DISTINCT text, lang, source, n_chars FROM documents")
@@ -48,21 +50,23 @@ def dedup_wide_rows(spark, sf):
     return Q.drop_duplicate_rows(table(spark, sf, "documents").drop("doc_id"))
 
 
-@query(f"WITH {LABELLED_SQL} SELECT DISTINCT lang, source, quality::double AS quality, toxic::double AS toxic FROM labelled")
+@query(f"WITH {LABELLED_SQL} SELECT DISTINCT text, lang, source, quality::double AS quality, toxic::double AS toxic FROM labelled")
 def dedup_with_nulls(spark, sf):
     rows = labelled_documents(spark, sf).drop("doc_id", "n_chars")
     return Q.drop_duplicate_rows(Q.cast_columns(rows, {"quality": "double", "toxic": "double"}))
 
 
 @query(
-    """SELECT sum(n)::bigint AS n_rows, count(*) AS n_distinct, sum(n - 1)::bigint AS n_duplicates
-       FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)"""
+    """SELECT sum(n)::bigint AS n_rows, count(*) AS n_distinct, sum(n - 1)::bigint AS n_duplicates FROM (SELECT *, count(*) AS n
+       FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 2 = 0) GROUP BY ALL)"""
 )
 def duplicate_count(spark, sf):
-    return Q.duplicate_count(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    """Whole rows, every second order given twice."""
+    rows = table(spark, sf, "lineitem")
+    return Q.duplicate_count(rows.unionByName(rows.where("l_orderkey % 2 = 0")))
 
 
-@query(f"WITH {LABELLED_SQL} SELECT DISTINCT lang, source, n_chars FROM labelled")
+@query(f"WITH {LABELLED_SQL} SELECT DISTINCT text, lang, source, n_chars FROM labelled")
 def validate_table(spark, sf):
     rows = labelled_documents(spark, sf).drop("doc_id")
     return Q.validate(rows, ValidationConfig(max_missing_percentage=50))
@@ -99,7 +103,7 @@ def sentinel_fill(spark, sf):
 
 
 @query(
-    f"""WITH {LABELLED_SQL} SELECT doc_id, lang, source, n_chars, coalesce(quality, 0)::bigint AS quality,
+    f"""WITH {LABELLED_SQL} SELECT doc_id, text, lang, source, n_chars, coalesce(quality, 0)::bigint AS quality,
         coalesce(toxic, 0)::bigint AS toxic FROM labelled"""
 )
 def zero_fill(spark, sf):
@@ -116,7 +120,10 @@ def target_rename(spark, sf):
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS o_orderdate FROM orders"""
 )
 def coerce_dates(spark, sf):
-    text = F.when(F.col("o_orderstatus") == "P", F.lit("not a date")).otherwise(F.col("o_orderdate").cast("string"))
+    """ISO texts, American dates and texts that are no date."""
+    day = F.date_format("o_orderdate", "MM/dd/yyyy")
+    text = F.when(F.col("o_orderstatus") == "P", F.lit("not a date")).when(F.col("o_orderstatus") == "F", day)
+    text = text.otherwise(F.col("o_orderdate").cast("string"))
     rows = table(spark, sf, "orders").select("o_orderkey", text.alias("o_orderdate"))
     return Q.coerce_timestamps(rows, ["o_orderdate", "absent"])
 
@@ -168,9 +175,10 @@ def table_shape(spark, sf):
 
 
 @query(
-    f"""WITH {LABELLED_SQL} SELECT count(*) AS n_rows, count(quality) AS n_labelled, 6::bigint AS n_columns,
-        5::bigint AS feature_count, 'doc_id,lang,source,n_chars,toxic' AS feature_names, 'quality' AS target_column
-        FROM labelled"""
+    f"""WITH {LABELLED_SQL} SELECT count(*) AS n_rows, count(quality) AS n_labelled, 7::bigint AS n_columns,
+        6::bigint AS feature_count, 'doc_id,text,lang,source,n_chars,toxic' AS feature_names, 'quality' AS target_column,
+        (SELECT '{{' || string_agg('"' || quality || '":' || n, ',' ORDER BY quality) || '}}' FROM
+          (SELECT quality, count(*) AS n FROM labelled WHERE quality IS NOT NULL GROUP BY 1)) AS target_distribution FROM labelled"""
 )
 def data_summary(spark, sf):
     return Q.data_summary(labelled_documents(spark, sf), "quality")

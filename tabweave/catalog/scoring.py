@@ -21,11 +21,11 @@ def _keyed(df, *more):
 
 @query(
     f"""WITH {SCORED_SQL} SELECT {_KEYS}, round(score, 6) AS score,
-        CASE WHEN margin > 0.5 THEN 'HIGH RISK' ELSE 'LOW RISK' END AS risk_level FROM scored"""
+        CASE WHEN score > 0.5 THEN 'HIGH RISK' ELSE 'LOW RISK' END AS risk_level FROM scored"""
 )
 def predict_threshold(spark, sf):
     rows = scored_lines(spark, sf)
-    return _keyed(rows, r6("score").alias("score"), risk_level(F.col("margin")).alias("risk_level"))
+    return _keyed(rows, r6("score").alias("score"), risk_level(F.col("score")).alias("risk_level"))
 
 
 @query(f"WITH {SCORED_SQL} SELECT {_KEYS}, (1 - prediction)::double AS p0, prediction::double AS p1 FROM scored")

@@ -20,15 +20,15 @@ def csv_roundtrip(spark, sf):
     path = fresh_dir(spark, "csv")
     docs = table(spark, sf, "documents")
     W.write_delimited(docs, path)
-    return R.read_delimited(spark, path, schema=docs.schema, null_tokens=())
+    return R.read_delimited(spark, path, schema=docs.schema, null_tokens=(), line_breaks_in_quotes=True)
 
 
-@query(f"WITH {LABELLED_SQL} SELECT doc_id, lang, source, n_chars, quality::double AS quality, toxic::double AS toxic FROM labelled")
+@query(f"WITH {LABELLED_SQL} SELECT doc_id, text, lang, source, n_chars, quality::double AS quality, toxic::double AS toxic FROM labelled")
 def csv_inferred(spark, sf):
     """Types found in one pass; a whole-number column with gaps becomes float."""
     path = fresh_dir(spark, "csv") + ".csv"
     W.write_delimited(labelled_documents(spark, sf), path)
-    return R.read_table(spark, path)
+    return R.read_table(spark, path, line_breaks_in_quotes=True)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey::bigint AS c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 
-from tabweave.functions.columns import DATE_PARTS
+from tabweave.functions.columns import DATE_FORMATS, DATE_PARTS
 
 TASKS = ("regression", "classification", "forecasting")
 FEATURIZATION_MODES = ("auto", "custom", "off")
@@ -30,6 +30,7 @@ class Bin:
     bins: Sequence[float] | int
     labels: Sequence[str] | None = None
     new_column: str | None = None
+    code_column: str | None = None
 
     @property
     def output(self) -> str:
@@ -40,6 +41,7 @@ class Bin:
 class DateParts:
     column: str
     extract: Sequence[str] = ()
+    formats: Sequence[str] = DATE_FORMATS
 
 
 @dataclass(frozen=True)
@@ -84,11 +86,11 @@ class FeatureConfig:
         return FeatureConfig(
             enabled=cfg.get("enabled", True),
             bins=tuple(
-                Bin(f.get("column"), f.get("bins"), f.get("labels"), f.get("new_column"))
+                Bin(f.get("column"), f.get("bins"), f.get("labels"), f.get("new_column"), f.get("code_column"))
                 for f in part("binning").get("features") or []
             ),
             dates=tuple(
-                DateParts(c.get("column"), tuple(c.get("extract") or ()))
+                DateParts(c.get("column"), tuple(c.get("extract") or ()), tuple(c.get("formats") or DATE_FORMATS))
                 for c in part("datetime_features").get("columns") or []
             ),
             derived=tuple(Derived(t["name"], t["expression"]) for t in custom),

@@ -115,6 +115,16 @@ def date_part(value: Column, part: str) -> Column:
     return DATE_PARTS[part](value)
 
 
+# Date texts that are understood besides ISO dates and times, in this order.
+DATE_FORMATS = ("MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy", "M/d/yyyy", "yyyy/MM/dd", "dd-MMM-yyyy")
+
+
+def timestamp_of(name: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """A text column as a timestamp without zone: ISO first, then the formats in turn; null where none fits."""
+    tries = [F.try_to_timestamp(quoted(name), F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(quoted(name).try_cast("timestamp_ntz"), *tries)
+
+
 def interaction(a: Column, b: Column) -> Column:
     return a.cast("double") * b.cast("double")
 

@@ -39,7 +39,7 @@ def error_cube(df: DataFrame, error: Column, dims: Sequence[str]) -> DataFrame:
 
 
 def error_tree(df: DataFrame, error: Column, features: Sequence[str], depth: int = 3) -> DataFrame:
-    """Cohorts found by a shallow tree on the error flag: rule, rows share and error rate."""
+    """Cohorts found by a shallow tree on the error flag: rule (a SQL condition), rows share and error rate."""
     rows = df.select(*[quoted(f).cast("double").alias(f) for f in features], error.cast("double").alias("_error"))
     ready = VectorAssembler(inputCols=list(features), outputCol="_x").transform(rows)
     model = DecisionTreeClassifier(featuresCol="_x", labelCol="_error", maxDepth=depth, seed=42).fit(ready)
@@ -49,10 +49,10 @@ def error_tree(df: DataFrame, error: Column, features: Sequence[str], depth: int
         for f, lo, hi, s in zip(leaf.features, leaf.lows, leaf.highs, leaf.shares):
             share *= s
             if lo != float("-inf"):
-                parts.append(f"{features[f]} > {lo:g}")
+                parts.append(f"`{features[f]}` > {lo!r}D")
             if hi != float("inf"):
-                parts.append(f"{features[f]} <= {hi:g}")
-        out.append((" and ".join(parts) or "all", float(share), float(leaf.value)))
+                parts.append(f"`{features[f]}` <= {hi!r}D")
+        out.append((" and ".join(parts) or "true", float(share), float(leaf.value)))
     return df.sparkSession.createDataFrame(out, "cohort string, row_share double, error_rate double")
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.functions.columns import nan_to_null, quoted, typed_lit
-from tabweave.plans.lookup import lookup_join
+from tabweave.plans.lookup import key_bytes, lookup_join
 from tabweave.plans.ordered import key_boundaries, prefix_sums
-from tabweave.session import fresh_dir
+from tabweave.session import fresh_dir, written
 
 CASE_KEYS = 64
 DRIVER_KEYS = 50_000
@@ -32,6 +32,7 @@ class Dictionary:
     size: int = 0
     total: int = 0
     fill: str | None = None
+    size_bytes: int = 0
 
     def _key(self) -> Column:
         key = quoted(self.column)
@@ -55,11 +56,11 @@ class Dictionary:
         keyed = df.withColumn("_k", self._key())
         if self.pairs is not None:
             schema = T.StructType([T.StructField("_key", self.key_type), T.StructField("_v", self.value_type)])
-            # These pairs were collected, so their number was checked (DRIVER_KEYS).
-            pairs = F.broadcast(spark.createDataFrame(self.pairs, schema))
+            # Spark broadcasts these pairs if they are small.
+            pairs = spark.createDataFrame(self.pairs, schema)
             joined = keyed.join(pairs, F.col("_k") == F.col("_key"), "left").drop("_key")
         else:
-            joined = lookup_join(keyed, spark.read.parquet(self.table), "_k", self.size, self.total)
+            joined = lookup_join(keyed, spark.read.parquet(self.table), "_k", self.size_bytes, self.total)
         coded = F.coalesce(F.col("_v"), default)
         return _put(joined.drop("_k"), out, coded, df.columns).drop("_v")
 
@@ -81,6 +82,7 @@ class Dictionary:
             "size": self.size,
             "total": self.total,
             "fill": self.fill,
+            "size_bytes": self.size_bytes,
         }
 
     @staticmethod
@@ -102,20 +104,48 @@ def _put(df: DataFrame, name: str, value: Column, order: Sequence[str] | None =
     return df.select(*cols)
 
 
+def cells(df: DataFrame, columns: Sequence[str], *more: Column) -> list[DataFrame]:
+    """The columns as rows (name, value, ...), one table for each type among them; NaN is null.
+
+    One pass over the rows then serves all columns of a type.
+    """
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out = []
+    for kind, names in by_type.items():
+        value = (lambda c: nan_to_null(quoted(c))) if kind in ("float", "double") else quoted
+        entries = F.array(*[F.struct(F.lit(c).alias("name"), value(c).alias("value")) for c in names])
+        out.append(df.select(F.inline(entries), *more).where("value IS NOT NULL"))
+    return out
+
+
 def distinct_sizes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Estimated number of values per column; decides on how to compute, never on results."""
     row = df.agg(*[F.approx_count_distinct(quoted(c)) for c in columns]).first()
     return dict(zip(columns, row))
 
 
-def category_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[Any]]:
-    """Sorted distinct non-null values per column. Callers check the size first."""
+def columns_up_to(df: DataFrame, columns: Sequence[str], most: int) -> list[str]:
+    """The columns with at most so many values, exactly. Those estimated at twice as many are not counted."""
     if not columns:
-        return {}
-    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    row = df.agg(
-        *[F.collect_set(nan_to_null(quoted(c)) if c in floats else quoted(c)) for c in columns]
-    ).first()
-    return {c: sorted(vs) for c, vs in zip(columns, row)}
+        return []
+    estimate = distinct_sizes(df, columns)
+    near = [c for c in columns if estimate[c] <= 2 * most + 10]
+    found: dict[str, int] = {c: 0 for c in near}
+    for part in cells(df, near):
+        for r in part.distinct().groupBy("name").agg(F.count("*").alias("n")).collect():
+            found[r["name"]] = r["n"]
+    return [c for c in columns if c in found and found[c] <= most]
+
+
+def category_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[Any]]:
+    """Sorted distinct values per column, missing ones left out; they end up on the driver."""
+    values: dict[str, list[Any]] = {c: [] for c in columns}
+    for part in cells(df, columns):
+        for r in part.distinct().toLocalIterator():
+            values[r["name"]].append(r["value"])
+    return {c: sorted(vs) for c, vs in values.items()}
 
 
 def fit_sorted_codes(
@@ -146,7 +176,7 @@ def fit_sorted_codes(
         kind = keyed.schema[c].dataType
         if c in values:
             pairs = [(v, i) for i, v in enumerate(values[c])]
-            out[c] = Dictionary(c, kind, T.IntegerType(), -1, pairs, size=len(pairs), fill=fill)
+            out[c] = Dictionary(c, kind, T.LongType(), -1, pairs, size=len(pairs), fill=fill)
             continue
         groups = keyed.where(quoted(c).isNotNull()).groupBy(quoted(c).alias("_key")).agg(F.count("*").alias("_n"))
         bounds = key_boundaries(keyed, c, one_task_keys, sizes[c])
@@ -155,27 +185,41 @@ def fit_sorted_codes(
     return out
 
 
+def _grouped(df: DataFrame, columns: Sequence[str], more: Column, aggregate: Column, driver_keys: int) -> dict[str, Any]:
+    """Per column its values with an aggregate ``_a`` and their rows ``_n``: a list on the driver, or a table if many.
+
+    All columns of a type are grouped in one pass; the groups are written before they are read by column.
+    """
+    out: dict[str, Any] = {c: [] for c in columns}
+    for part in cells(df, columns, more):
+        groups = part.groupBy("name", "value").agg(aggregate.alias("_a"), F.count("*").alias("_n"))
+        groups = written(groups, "groups")
+        sizes = {r["name"]: r["n"] for r in groups.groupBy("name").agg(F.count("*").alias("n")).collect()}
+        small = [c for c, n in sizes.items() if n <= driver_keys]
+        for r in groups.where(F.col("name").isin(small)).collect() if small else []:
+            out[r["name"]].append((r["value"], r["_a"]))
+        for c in sizes:
+            if c not in small:
+                out[c] = groups.where(F.col("name") == c).select(F.col("value").alias("_key"), "_a", "_n")
+    return out
+
+
 def fit_first_seen_codes(
     df: DataFrame, columns: Sequence[str], order_by: str, driver_keys: int = DRIVER_KEYS
 ) -> dict[str, Dictionary]:
     """Codes by first appearance along ``order_by``; missing -> -1."""
-    sizes = distinct_sizes(df, columns)
+    groups = _grouped(df, columns, quoted(order_by).alias("_at"), F.min("_at"), driver_keys)
     out = {}
     for c in columns:
         kind = df.schema[c].dataType
-        groups = (
-            df.where(quoted(c).isNotNull())
-            .groupBy(quoted(c).alias("_key"))
-            .agg(F.min(quoted(order_by)).alias("_first"), F.count("*").alias("_n"))
-        )
-        if sizes[c] <= driver_keys:
-            rows = groups.select("_key", "_first").collect()
-            rows.sort(key=lambda r: (r["_first"], r["_key"]))
-            pairs = [(r["_key"], i) for i, r in enumerate(rows)]
-            out[c] = Dictionary(c, kind, T.IntegerType(), -1, pairs, size=len(pairs))
+        if isinstance(groups[c], list):
+            ordered = sorted(groups[c], key=lambda p: (p[1], p[0]))
+            pairs = [(k, i) for i, (k, _) in enumerate(ordered)]
+            out[c] = Dictionary(c, kind, T.LongType(), -1, pairs, size=len(pairs))
             continue
         bounds = key_boundaries(df, order_by)
-        codes = prefix_sums(groups.withColumn("_one", F.lit(1)), "_first", ["_one"], bounds, then=["_key"])
+        firsts = groups[c].withColumnRenamed("_a", "_first").withColumn("_one", F.lit(1))
+        codes = prefix_sums(firsts, "_first", ["_one"], bounds, then=["_key"])
         out[c] = _as_table(codes, F.col("_one_before"), c, kind, T.LongType(), -1, None)
     return out
 
@@ -185,20 +229,16 @@ def fit_target_means(
 ) -> dict[str, Dictionary]:
     """Mean label per category; unseen and missing -> the overall mean."""
     y = quoted(label).cast("double")
-    row = df.agg(F.avg(y), *[F.approx_count_distinct(quoted(c)) for c in columns]).first()
+    whole = df.agg(F.avg(y)).first()[0]
+    groups = _grouped(df, columns, y.alias("_y"), F.avg("_y"), driver_keys)
     out = {}
-    for c, size in zip(columns, row[1:]):
+    for c in columns:
         kind = df.schema[c].dataType
-        groups = (
-            df.where(quoted(c).isNotNull())
-            .groupBy(quoted(c).alias("_key"))
-            .agg(F.avg(y).alias("_mean"), F.count("*").alias("_n"))
-        )
-        if size <= driver_keys:
-            pairs = sorted((r["_key"], r["_mean"]) for r in groups.select("_key", "_mean").collect())
-            out[c] = Dictionary(c, kind, T.DoubleType(), row[0], pairs, size=len(pairs))
+        if isinstance(groups[c], list):
+            pairs = sorted(groups[c])
+            out[c] = Dictionary(c, kind, T.DoubleType(), whole, pairs, size=len(pairs))
         else:
-            out[c] = _as_table(groups, F.col("_mean"), c, kind, T.DoubleType(), row[0], None)
+            out[c] = _as_table(groups[c], F.col("_a"), c, kind, T.DoubleType(), whole, None)
     return out
 
 
@@ -210,4 +250,4 @@ def _as_table(
     path = fresh_dir(spark, "dictionary")
     codes.select("_key", value.cast(value_type).alias("_v"), F.col("_n").cast("bigint").alias("_n")).write.parquet(path)
     size, total = spark.read.parquet(path).agg(F.count("*"), F.sum("_n")).first()
-    return Dictionary(column, kind, value_type, default, None, path, size, total, fill)
+    return Dictionary(column, kind, value_type, default, None, path, size, total, fill, key_bytes(spark.read.parquet(path)))

@@ -11,11 +11,11 @@ import json
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import astuple, dataclass
+from functools import reduce
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,25 +161,75 @@ def leaf_shares(o: np.ndarray, z: np.ndarray) -> np.ndarray:
     return phi
 
 
+#: Conditions on the path of a leaf up to which all patterns of them get a table, and bytes of tables kept in a task.
+TABLE_CONDITIONS, TABLE_BYTES = 10, 64 << 20
+
+
+class TreeShares:
+    """Path-dependent attributions of an ensemble, for batch after batch of rows.
+
+    A condition (feature, interval) is tested once per batch, however many leaves have it. The pattern
+    of conditions that a row meets on the path of a leaf is a number, and what the leaf gives to its
+    features is looked up by that number in a table that is made once and kept while there is room.
+    """
+
+    def __init__(self, leaves: Sequence[tuple]):
+        self.conditions: dict[tuple, int] = {}
+        self.leaves = []
+        for value, features, lows, highs, accepted, shares in leaves:
+            if features:
+                met = [self.conditions.setdefault((f, lo, hi, some), len(self.conditions)) for f, lo, hi, some in zip(features, lows, highs, accepted)]
+                self.leaves.append((value, features, met, np.array(shares)))
+        self.tables: dict[int, np.ndarray] = {}
+        self.kept = 0
+
+    def _met(self, x: np.ndarray) -> np.ndarray:
+        """One row of 0 and 1 per condition. A NaN takes the right branch of every threshold."""
+        out = np.empty((len(self.conditions), len(x)), np.int32)
+        for (f, lo, hi, some), i in self.conditions.items():
+            v = x[:, f]
+            ok = (v > lo) & (v <= hi)
+            if hi == math.inf:
+                ok |= np.isnan(v)
+            if some is not None:
+                ok &= np.isin(v, list(some))
+            out[i] = ok
+        return out
+
+    def _table(self, at: int, value: float, shares: np.ndarray) -> np.ndarray:
+        """Shares (features x patterns) of a leaf for all patterns."""
+        found = self.tables.get(at)
+        if found is None:
+            d = len(shares)
+            o = (np.arange(1 << d)[:, None] >> np.arange(d) & 1).astype(float)
+            found = np.ascontiguousarray(value * leaf_shares(o, shares).T)
+            if self.kept + found.nbytes <= TABLE_BYTES:
+                self.tables[at] = found
+                self.kept += found.nbytes
+        return found
+
+    def phi(self, x: np.ndarray) -> np.ndarray:
+        """Attributions of some rows: rows x features."""
+        met = self._met(x)
+        phi = np.zeros((x.shape[1], len(x)))
+        for at, (value, features, conditions, shares) in enumerate(self.leaves):
+            code = met[conditions[0]].copy()
+            for k, c in enumerate(conditions[1:], 1):
+                code += met[c] << k
+            if len(shares) <= TABLE_CONDITIONS:
+                table = self._table(at, value, shares)
+            else:
+                patterns, code = np.unique(code, return_inverse=True)
+                o = (patterns[:, None] >> np.arange(len(shares)) & 1).astype(float)
+                table = value * leaf_shares(o, shares).T
+            for f, given in zip(features, table):
+                phi[f] += given[code]
+        return phi.T
+
+
 def tree_phi(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
-    """Path-dependent attributions of a batch: rows x features."""
-    phi = np.zeros_like(x)
-    for value, features, lows, highs, accepted, shares in leaves:
-        if not features:
-            continue
-        seen = x[:, features]
-        ok = (seen > np.array(lows)) & (seen <= np.array(highs))
-        # A NaN takes the right branch of every threshold.
-        ok |= np.isnan(seen) & np.isposinf(np.array(highs))
-        for j, values in enumerate(accepted):
-            if values is not None:
-                ok[:, j] &= np.isin(seen[:, j], list(values))
-        # Rows of one batch fall into few patterns of satisfied conditions.
-        code = ok @ (1 << np.arange(len(features), dtype=np.int64))
-        patterns, where = np.unique(code, return_inverse=True)
-        o = (patterns[:, None] >> np.arange(len(features)) & 1).astype(float)
-        phi[:, features] += (value * leaf_shares(o, np.array(shares)))[where]
-    return phi
+    """Path-dependent attributions of one batch: rows x features."""
+    return TreeShares(leaves).phi(x)
 
 
 def tree_attribution(df: DataFrame, keys: Sequence[str], features: Sequence[str], model: Any, target_class: int = 1) -> Attribution:
@@ -198,9 +248,10 @@ def tree_attribution(df: DataFrame, keys: Sequence[str], features: Sequence[str]
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shares = TreeShares(shared.value)
         for pdf in batches:
             x = pdf[[f"_x{i}" for i in range(len(names))]].to_numpy(dtype=float)
-            phi = tree_phi(x, shared.value)
+            phi = shares.phi(x)
             out = pdf[kept].copy()
             for i, f in enumerate(names):
                 out[f] = x[:, i]
@@ -218,13 +269,15 @@ def tree_attribution(df: DataFrame, keys: Sequence[str], features: Sequence[str]
 # --------------------------------------------------------------------- kernel
 
 
-def coalition_weights(m: int, exact_up_to: int = 12, coalitions: int = 2048, seed: int = 42) -> tuple[list[int], np.ndarray]:
+def coalition_weights(m: int, method: str = "exact", coalitions: int = 2048, seed: int = 42) -> tuple[list[int], np.ndarray]:
     """Coalitions as bit masks and the matrix c with phi_j = sum_S c[j, S] * v(S).
 
-    Up to ``exact_up_to`` features all coalitions with Shapley weights; beyond that a paired
-    sample with the weighted least squares solution, which is linear in v as well.
+    ``exact`` takes all 2**m coalitions with Shapley weights; ``sampled`` a paired sample with
+    the weighted least squares solution, which is linear in v as well.
     """
-    if m <= exact_up_to:
+    if method not in ("exact", "sampled"):
+        raise ValueError(f"unknown method {method!r}; use exact or sampled")
+    if method == "exact" or m < 2:
         masks = list(range(1 << m))
         c = np.zeros((m, len(masks)))
         for s in masks:
@@ -269,20 +322,22 @@ def kernel_attribution(
     background: DataFrame,
     score: Callable[[DataFrame], DataFrame],
     score_column: str = "score",
-    background_rows: int = 100,
+    method: str = "exact",
     coalitions: int = 2048,
 ) -> Attribution:
     """Attributions for any scorer, here a function that adds a score column to a DataFrame.
 
-    Each row is expanded to coalitions x background rows inside its own task, scored in bulk,
-    and summed again: since phi is linear in the scores, one grouped sum gives all phi. The
-    sum is complete before the shuffle, because the copies of a row never leave its task.
+    All rows of ``background`` are used; the caller samples. Each row is expanded to coalitions x
+    background rows inside its own task, scored in bulk, and summed again: since phi is linear in
+    the scores, one grouped sum gives all phi. The sum is complete before the shuffle, because the
+    copies of a row never leave its task. Equal rows stay apart, and a feature may be a key too.
+    ``exact`` grows with 2**features; with many features ask for ``sampled`` coalitions.
     """
     names, kept = list(features), list(keys)
-    rows = [list(r) for r in background.select(*[quoted(f).cast("double") for f in names]).limit(background_rows).collect()]
+    rows = [list(r) for r in background.select(*[quoted(f).cast("double") for f in names]).collect()]
     if not rows:
         raise ValueError("the background is empty")
-    masks, c = coalition_weights(len(names), coalitions=coalitions)
+    masks, c = coalition_weights(len(names), method, coalitions)
     design = [{"m": format(s, "x"), "c": c[:, i].tolist()} for i, s in enumerate(masks)]
     design_col = F.from_json(F.lit(json.dumps(design)), "array<struct<m:string,c:array<double>>>")
     full = format((1 << len(names)) - 1, "x")
@@ -290,59 +345,82 @@ def kernel_attribution(
     bits = [[bool(s >> j & 1) for j in range(len(names))] for s in masks]
     bits_col = F.from_json(F.lit(json.dumps(bits)), "array<array<boolean>>")
     x = [quoted(f).cast("double").alias(f"_x{i}") for i, f in enumerate(names)]
-    base = df.select(*[quoted(k) for k in kept], *x)
+    own = [quoted(k).alias(f"_k{i}") for i, k in enumerate(kept)]
+    # The number of a row is the same for all its copies, which are made in the same task.
+    base = df.select(*own, *x, F.monotonically_increasing_id().alias("_row"))
+    held = ["_row", *[f"_k{i}" for i in range(len(kept))], *[f"_x{i}" for i in range(len(names))]]
     cased = base.select("*", F.posexplode(F.arrays_zip(design_col.alias("d"), bits_col.alias("b"))).alias("_i", "_s"))
     mixed = cased.select("*", F.explode(back_col).alias("_b")).select(
-        *[quoted(k) for k in kept],
-        *[F.col(f"_x{i}") for i in range(len(names))],
+        *held,
         F.col("_s.d.m").alias("_m"),
         F.col("_s.d.c").alias("_c"),
-        *[
-            F.when(F.col("_s.b")[i], F.col(f"_x{i}")).otherwise(F.col("_b")[i]).alias(f)
-            for i, f in enumerate(names)
-            if f not in kept
-        ],
+        *[F.when(F.col("_s.b")[i], F.col(f"_x{i}")).otherwise(F.col("_b")[i]).alias(f) for i, f in enumerate(names)],
     )
     scored = score(mixed)
     n = F.lit(float(len(rows)))
     s = quoted(score_column).cast("double")
-    sums = scored.groupBy(*[quoted(k) for k in kept], *[F.col(f"_x{i}") for i in range(len(names))]).agg(
-        *[(F.sum(F.col("_c")[i] * s) / n).alias(f"phi_{f}") for i, f in enumerate(names)],
+    sums = scored.groupBy(*held).agg(
+        *[(F.sum(F.col("_c")[i] * s) / n).alias(f"_phi{i}") for i in range(len(names))],
         (F.sum(F.when(F.col("_m") == "0", s)) / n).alias("base_value"),
         (F.sum(F.when(F.col("_m") == full, s)) / n).alias("output"),
     )
     wide = sums.select(
-        *[quoted(k) for k in kept],
-        *[F.col(f"_x{i}").alias(f) for i, f in enumerate(names)],
-        *[quoted(f"phi_{f}") for f in names],
+        *[F.col(f"_k{i}").alias(k) for i, k in enumerate(kept)],
+        *[F.col(f"_x{i}").alias(f) for i, f in enumerate(names) if f not in kept],
+        *[F.col(f"_phi{i}").alias(f"phi_{f}") for i, f in enumerate(names)],
         "base_value",
         "output",
     )
     return Attribution(wide, kept, names)
 
 
-def attribute_model(trained: Any, df: DataFrame, keys: Sequence[str], background: DataFrame | None = None) -> Attribution:
+BACKGROUND_ROWS = 100
+
+
+def attribute_model(
+    trained: Any,
+    df: DataFrame,
+    keys: Sequence[str],
+    background: DataFrame | None = None,
+    target_class: int = 1,
+    method: str = "exact",
+) -> Attribution:
     """The method that fits the model family: linear, trees, else model-agnostic.
 
-    Linear models and boosted trees are explained on their margin, forests on the probability
-    of class 1, other classifiers on that probability through up to 100 background rows.
+    Linear models and boosted trees are explained on the margin of ``target_class``, forests on its
+    probability, other classifiers on that probability with ``background`` (by default a sample of
+    BACKGROUND_ROWS rows by hash of their keys) and the coalitions of ``method``.
     """
+    from tabweave.operators.models import with_probabilities
+    from tabweave.operators.split import sample_n
+
     ready = trained.preparation.transform(df)
+    given = None if background is None else trained.preparation.transform(background)
     model = trained.model.stages[-1]
+    if hasattr(model, "models"):
+        return tree_attribution(ready, keys, trained.features, model.models[target_class])
     if getattr(model, "numClasses", 2) == 2 and hasattr(model, "coefficients"):
         weights = dict(zip(trained.features, (float(w) for w in model.coefficients)))
-        means = background_means(ready if background is None else trained.preparation.transform(background), trained.features)
+        means = background_means(ready if given is None else given, trained.features)
         return linear_attribution(ready, keys, weights, float(model.intercept), means)
     if hasattr(model, "featureImportances"):
-        return tree_attribution(ready, keys, trained.features, model)
-    base = ready if background is None else trained.preparation.transform(background)
+        return tree_attribution(ready, keys, trained.features, model, target_class)
+    base = sample_n(ready, keys, BACKGROUND_ROWS) if given is None else given
 
     def score(rows: DataFrame) -> DataFrame:
-        out = trained.model.transform(rows)
-        value = vector_to_array("probability")[1] if "probability" in out.columns else F.col("prediction")
-        return out.withColumn("score", value)
+        out, classes = with_probabilities(trained.model, rows)
+        return out.withColumn("score", F.col("_proba")[target_class] if classes else F.col("prediction"))
+
+    return kernel_attribution(ready, keys, trained.features, base, score, method=method)
+
 
-    return kernel_attribution(ready, keys, trained.features, base, score)
+def class_attributions(trained: Any, df: DataFrame, keys: Sequence[str], classes: int, **how: Any) -> DataFrame:
+    """(keys, class, feature, feature_value, shap, base_value): one attribution for each class."""
+    parts = []
+    for c in range(classes):
+        long = long_table(attribute_model(trained, df, keys, target_class=c, **how))
+        parts.append(long.withColumn("class", F.lit(c)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # -------------------------------------------------------------------- reports

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tabweave.config import Bin, DateParts, FeatureConfig
 from tabweave.functions.columns import (
+    DATE_FORMATS,
     DATE_PARTS,
     NUMERIC_TYPES,
     bin_code,
@@ -30,24 +31,24 @@ from tabweave.functions.columns import (
     power,
     quoted,
     rescale,
+    timestamp_of,
     typed_lit,
 )
 from tabweave.operators.encode import (
     DRIVER_KEYS,
     Dictionary,
     category_values,
-    distinct_sizes,
     fit_sorted_codes,
     fit_target_means,
 )
 from tabweave.operators.quality import date_columns, normalise_missing
 from tabweave.plans.ordered import exact_quantiles
+from tabweave.session import lenient
 
 log = logging.getLogger(__name__)
 
 SCALE_METHODS = ("standard", "minmax", "robust", "maxabs")
 ENCODE_METHODS = ("onehot", "label", "target")
-ONEHOT_KEYS = 10_000
 
 
 class FeatureStep:
@@ -83,12 +84,10 @@ class BinStep(FeatureStep):
 class DateStep(FeatureStep):
     column: str
     parts: list[str]
+    formats: list[str] = field(default_factory=lambda: list(DATE_FORMATS))
 
     def transform(self, df):
-        if self.column in date_columns(df):
-            parsed = quoted(self.column)
-        else:
-            parsed = F.expr(f"try_cast(`{self.column}` AS timestamp_ntz)")
+        parsed = quoted(self.column) if self.column in date_columns(df) else timestamp_of(self.column, self.formats)
         out = df.withColumn(self.column, parsed)
         return out.select(
             *[quoted(c) for c in out.columns if c not in self._names()],
@@ -101,12 +100,15 @@ class DateStep(FeatureStep):
 
 @dataclass
 class DerivedStep(FeatureStep):
+    """A new column. Where an expression has no value, as a quotient by zero, it is null instead of an error."""
+
     name: str
     expression: str | Callable
 
     def transform(self, df):
-        value = self.expression(df) if callable(self.expression) else F.expr(self.expression)
-        return df.withColumn(self.name, value)
+        with lenient(df.sparkSession):
+            value = self.expression(df) if callable(self.expression) else F.expr(self.expression)
+            return df.withColumn(self.name, value)
 
     def to_dict(self):
         if callable(self.expression):
@@ -225,17 +227,24 @@ def fit_bin(df: DataFrame, b: Bin) -> BinStep:
     labels = list(b.labels) if b.labels is not None else interval_labels(list(edges))
     if not isinstance(df.schema[b.column].dataType, NUMERIC_TYPES):
         raise TypeError(f"{b.column} is not numeric and cannot be binned")
-    return BinStep(b.column, list(edges), labels, b.output)
+    return BinStep(b.column, list(edges), labels, b.output, b.code_column)
+
+
+def date_failures(df: DataFrame, dates: Sequence[DateParts]) -> dict[str, int]:
+    """Values of each text column that are no date, all columns in one pass."""
+    todo = [d for d in dates if d.column in df.columns and d.column not in date_columns(df)]
+    if not todo:
+        return {}
+    bad = [F.count_if(quoted(d.column).isNotNull() & timestamp_of(d.column, d.formats).isNull()) for d in todo]
+    return {d.column: n for d, n in zip(todo, df.agg(*bad).first())}
 
 
-def fit_dates(df: DataFrame, d: DateParts) -> DateStep:
-    """Strict: one value that is no date fails the column."""
-    if d.column not in date_columns(df):
-        bad = F.expr(f"`{d.column}` IS NOT NULL AND try_cast(`{d.column}` AS timestamp_ntz) IS NULL")
-        failures = df.agg(F.count_if(bad)).first()[0]
-        if failures:
-            raise ValueError(f"{d.column} has {failures} values that are no timestamp")
-    return DateStep(d.column, [p for p in DATE_PARTS if p in d.extract])
+def fit_dates(df: DataFrame, d: DateParts, failures: dict[str, int] | None = None) -> DateStep:
+    """Strict: one value that is no date fails the column. ``failures``: what ``date_failures`` found."""
+    wrong = (date_failures(df, [d]) if failures is None else failures).get(d.column)
+    if wrong:
+        raise ValueError(f"{d.column} has {wrong} values that are no timestamp")
+    return DateStep(d.column, [p for p in DATE_PARTS if p in d.extract], list(d.formats))
 
 
 def fit_scale(df: DataFrame, method: str, columns: Sequence[str]) -> ScaleStep:
@@ -265,17 +274,10 @@ def fit_scale(df: DataFrame, method: str, columns: Sequence[str]) -> ScaleStep:
     return ScaleStep(method, out)
 
 
-def fit_onehot(
-    df: DataFrame, columns: Sequence[str], ordered: dict[str, list[str]] | None = None, max_categories: int = ONEHOT_KEYS
-) -> OneHotStep:
-    """Sorted categories per column. One output column per value, so the width is checked first."""
+def fit_onehot(df: DataFrame, columns: Sequence[str], ordered: dict[str, list[str]] | None = None) -> OneHotStep:
+    """Sorted categories per column, one output column for each but the first, as many as there are."""
     ordered = ordered or {}
-    todo = [c for c in columns if c not in ordered]
-    sizes = distinct_sizes(df, todo) if todo else {}
-    wide = {c: n for c, n in sizes.items() if n > max_categories}
-    if wide:
-        raise ValueError(f"one-hot columns would exceed {max_categories} per input: {wide}; use label codes")
-    values = category_values(df, todo)
+    values = category_values(df, [c for c in columns if c not in ordered])
     return OneHotStep({c: list(ordered[c]) if c in ordered else values[c] for c in columns})
 
 
@@ -311,11 +313,12 @@ def fit_features(df: DataFrame, cfg: FeatureConfig) -> FittedFeatures:
         step = tolerant(f"binning {b.column}", lambda: fit_bin(df, b))
         if step is not None:
             ordered[step.output] = step.labels
+    failures = date_failures(df, cfg.dates)
     for d in cfg.dates:
         if d.column not in df.columns:
             log.warning("column %s not found for date parts", d.column)
             continue
-        tolerant(f"date parts of {d.column}", lambda: fit_dates(df, d))
+        tolerant(f"date parts of {d.column}", lambda: fit_dates(df, d, failures))
     for x in cfg.derived:
         tolerant(f"derived column {x.name}", lambda: DerivedStep(x.name, x.expression))
         ordered.pop(x.name, None)

@@ -209,8 +209,8 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     pairs = rows.groupBy("x", "y").agg(F.count("*").alias("w"))
     ranked = pairs
     for c, distinct in (("x", nx), ("y", ny)):
-        # The number of values is an estimate; twice it is a safe bound for broadcasting.
-        ranked = lookup_join(ranked, _average_ranks(pairs, rows, c, distinct), c, 2 * distinct, total)
+        # The number of values is an estimate; 100 bytes for each of them is a safe bound for broadcasting.
+        ranked = lookup_join(ranked, _average_ranks(pairs, rows, c, distinct), c, 100 * distinct, total)
         ranked = ranked.withColumnRenamed("_v", f"r{c}")
     w, middle = F.col("w"), F.lit((total + 1) / 2.0)
     dx, dy = F.col("rx") - middle, F.col("ry") - middle

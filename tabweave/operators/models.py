@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.config import DateParts, SearchConfig
 from tabweave.functions.columns import DATE_PARTS, quoted, typed_lit
-from tabweave.operators.encode import distinct_sizes, fit_first_seen_codes, fit_sorted_codes
+from tabweave.operators.encode import columns_up_to, fit_first_seen_codes, fit_sorted_codes
 from tabweave.operators.features import STEPS, CodeStep, FeatureStep, FittedFeatures, fit_dates, fit_onehot, fit_scale
 from tabweave.operators.quality import (
     boolean_columns,
@@ -138,9 +138,9 @@ def numeric_label(df: DataFrame, label: str) -> tuple[DataFrame, dict[Any, int]
     kind = df.schema[label].dataType
     if isinstance(kind, T.StringType):
         d = fit_sorted_codes(df, [label])[label]
-        if d.pairs is None:
-            raise ValueError(f"{label} has too many values for a class label")
-        return d.apply(df).withColumn(label, quoted(label).cast("double")), dict(d.pairs)
+        # One entry per class, which the caller names its predictions with.
+        codes = dict(d.pairs) if d.pairs is not None else {r["key"]: r["value"] for r in d.entries(df.sparkSession).collect()}
+        return d.apply(df).withColumn(label, quoted(label).cast("double")), codes
     if isinstance(kind, T.BooleanType):
         return df.withColumn(label, quoted(label).cast("int").cast("double")), None
     return df.withColumn(label, quoted(label).cast("double")), None
@@ -153,12 +153,13 @@ REGRESSORS = ("random_forest", "gradient_boosting", "linear_regression")
 
 
 def make_estimator(
-    kind: str, task: str, label: str, n_rows: int, n_classes: int = 2, n_features: int = 0, **params
+    kind: str, task: str, label: str, n_rows: int, n_classes: int = 2, **params
 ) -> Estimator:
-    """The Spark ML estimator of a named model with its default parameters.
+    """The Spark ML estimator of a named model with its default parameters; ``params`` overrule them.
 
     Trees split on at most ``maxBins`` quantile bins per feature, so that a node is found
-    from histograms that are combined on the map side.
+    from histograms that are combined on the map side. Spark stops a tree at 30 levels and knows no
+    least size of a node to split, so a forest keeps two rows per leaf instead.
     """
     common = {"featuresCol": "features", "labelCol": label}
     if task == "classification":
@@ -176,19 +177,46 @@ def make_estimator(
             return LogisticRegression(**common, **{**settings, **params})
     elif task == "regression":
         if kind == "random_forest":
-            settings = {"numTrees": 100, "featureSubsetStrategy": "all", "maxDepth": 10, "seed": 42}
+            settings = {"numTrees": 100, "featureSubsetStrategy": "all", "maxDepth": 30, "seed": 42}
             return RandomForestRegressor(**common, **{**settings, **params})
         if kind == "gradient_boosting":
             return GBTRegressor(**common, **{"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": 42, **params})
         if kind == "linear_regression":
-            # The normal equations need one pass but a small Gram matrix; beyond its limit iterate.
-            solver = "normal" if n_features <= 4096 else "l-bfgs"
-            return LinearRegression(**common, **{"solver": solver, "regParam": 0.0, **params})
+            # The normal equations: one pass, and a Gram matrix of up to 4096 features. For more ask for solver="l-bfgs".
+            return LinearRegression(**common, **{"solver": "normal", "regParam": 0.0, **params})
     else:
         raise ValueError(f"unknown task {task!r}")
     raise ValueError(f"unknown model {kind!r} for {task}")
 
 
+def with_probabilities(model: PipelineModel, df: DataFrame) -> tuple[DataFrame, int]:
+    """Rows with ``prediction`` and, for a classifier, ``_proba`` (one probability per class); and the number of classes.
+
+    Of one model per class against the rest, the probabilities of the classes are scaled to sum to 1.
+    """
+    last = model.stages[-1]
+    if not isinstance(last, OneVsRestModel):
+        out = model.transform(df)
+        if "probability" not in out.columns:
+            return out, 0
+        return out.withColumn("_proba", vector_to_array("probability")), last.numClasses
+    out = df
+    for stage in model.stages[:-1]:
+        out = stage.transform(out)
+    names = []
+    for i, one in enumerate(last.models):
+        one = one.copy()
+        one.setRawPredictionCol(f"_raw{i}").setProbabilityCol(f"_prob{i}").setPredictionCol(f"_pred{i}")
+        out = one.transform(out)
+        names.append(vector_to_array(f"_prob{i}")[1])
+    out = out.withColumn("_each", F.array(*names))
+    total = F.aggregate("_each", F.lit(0.0), lambda s, p: s + p)
+    out = out.withColumn("_proba", F.transform("_each", lambda p: F.coalesce(F.try_divide(p, total), F.lit(1.0 / len(names)))))
+    best = (F.array_position("_proba", F.array_max("_proba")) - 1).cast("double")
+    gone = ["_each", *[f"_{k}{i}" for i in range(len(names)) for k in ("raw", "prob", "pred")]]
+    return out.withColumn("prediction", best).drop(*gone), len(names)
+
+
 def _spread(vectors: DataFrame) -> DataFrame:
     """Rows of a few input files, over all cores; many partitions stay as they are."""
     cores = vectors.sparkSession.sparkContext.defaultParallelism
@@ -212,13 +240,9 @@ class Trained:
         return self.model.transform(self.preparation.transform(df))
 
     def score(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        out = self.transform(df)
-        cols = [quoted(k) for k in keep] + [F.col("prediction")]
-        if "probability" in out.columns:
-            n = self.model.stages[-1].numClasses
-            arr = vector_to_array("probability")
-            cols += [arr[i].alias(f"p{i}") for i in range(n)]
-        return out.select(*cols)
+        """The kept columns, the prediction and, for a classifier, a probability per class (p0, p1, ...)."""
+        out, classes = with_probabilities(self.model, self.preparation.transform(df))
+        return out.select(*[quoted(k) for k in keep], "prediction", *[F.col("_proba")[i].alias(f"p{i}") for i in range(classes)])
 
 
 def train(
@@ -253,7 +277,7 @@ def train(
     try:
         n, classes = vectors.agg(F.count("*"), F.max(label)).first()
         n_classes = int(classes or 0) + 1 if task == "classification" else 0
-        estimator = make_estimator(kind, task, label, n, n_classes, len(feats), **params)
+        estimator = make_estimator(kind, task, label, n, n_classes, **params)
         fitted = estimator.fit(_spread(vectors))
     finally:
         vectors.unpersist()
@@ -267,28 +291,33 @@ def train(
 def save_trained(t: Trained, path: str, example: DataFrame | None = None) -> None:
     """Folder with the model, its preparation and schema as JSON, and five example rows.
 
-    A large category dictionary is a table; it is copied into the folder, so that the
-    saved model does not depend on the shared scratch folder.
+    A large category dictionary is a table; it is copied into the folder and named by its place
+    there, so that the folder may be moved.
     """
     spark = SparkSession.getActiveSession()
     base = path.rstrip("/")
     t.model.write().save(f"{base}/model")
-    copied: list[str] = []
+    steps, copied = [], 0
     for s in t.preparation.steps:
         if isinstance(s, CodeStep):
-            for d in s.dictionaries.values():
+            kept = {}
+            for c, d in s.dictionaries.items():
                 if d.table is not None:
-                    kept = f"{base}/dictionaries/{len(copied)}"
-                    copied.append(kept)
-                    spark.read.parquet(d.table).write.parquet(kept)
-                    d.table = kept
+                    place = f"dictionaries/{copied}"
+                    copied += 1
+                    spark.read.parquet(d.table).write.parquet(f"{base}/{place}")
+                    d = replace(d, table=place)
+                kept[c] = d
+            s = CodeStep(kept)
+        steps.append(s)
     meta = {
         "features": t.features,
         "label": t.label,
         "task": t.task,
         "kind": t.kind,
         "contract": t.contract.jsonValue(),
-        "preparation": t.preparation.to_json(),
+        "preparation": FittedFeatures(steps).to_json(),
+        "example": example is not None,
     }
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{base}/meta")
     if example is not None:
@@ -298,8 +327,12 @@ def save_trained(t: Trained, path: str, example: DataFrame | None = None) -> Non
 def load_trained(spark: SparkSession, path: str, verify: bool = True) -> Trained:
     base = path.rstrip("/")
     meta = json.loads(spark.read.text(f"{base}/meta").first()[0])
+    preparation = FittedFeatures.from_json(meta["preparation"])
+    for s in preparation.steps:
+        for d in s.dictionaries.values() if isinstance(s, CodeStep) else ():
+            d.table = d.table and f"{base}/{d.table}"
     t = Trained(
-        FittedFeatures.from_json(meta["preparation"]),
+        preparation,
         meta["features"],
         meta["label"],
         meta["task"],
@@ -307,12 +340,9 @@ def load_trained(spark: SparkSession, path: str, verify: bool = True) -> Trained
         PipelineModel.load(f"{base}/model"),
         T.StructType.fromJson(meta["contract"]),
     )
-    if verify:
-        try:
-            example = spark.read.parquet(f"{base}/example").limit(1)
-        except Exception:
-            return t
-        if len(t.score(example, []).collect()) != 1:
+    if verify and meta["example"]:
+        example = spark.read.parquet(f"{base}/example").limit(1)
+        if len(t.score(example, []).collect()) != example.count():
             raise RuntimeError(f"the model in {path} does not score its example row")
     return t
 
@@ -333,7 +363,7 @@ def out_of_fold(
 
 
 def member_scores(models: Sequence[Trained], df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Add one score column ``m<i>`` per model, one after the other: no join.
+    """Add one column ``m<i>`` per model, the array of its class probabilities or of its one prediction: no join.
 
     The members take the same prepared columns, so none may carry its own preparation.
     """
@@ -341,20 +371,42 @@ def member_scores(models: Sequence[Trained], df: DataFrame, keep: Sequence[str])
         raise ValueError("ensemble members must share one preparation; train them on prepared rows")
     base = list(dict.fromkeys([*keep, *df.columns]))
     for i, t in enumerate(models):
-        out = t.model.transform(df)
-        value = vector_to_array("probability")[1] if "probability" in out.columns else F.col("prediction")
+        out, classes = with_probabilities(t.model, df)
+        value = F.col("_proba") if classes else F.array("prediction")
         df = out.select(*[quoted(c) for c in base], *[F.col(f"m{j}") for j in range(i)], value.alias(f"m{i}"))
     return df
 
 
 def vote(models: Sequence[Trained], df: DataFrame, keep: Sequence[str], task: str = "classification") -> DataFrame:
-    """Average of the models' positive probability (or prediction)."""
+    """Average of the models' class probabilities (p0, p1, ... and the likeliest class) or of their predictions."""
     scored = member_scores(models, df, keep)
-    mean = sum((F.col(f"m{i}") for i in range(len(models))), F.lit(0.0)) / F.lit(float(len(models)))
-    out = scored.select(*[quoted(k) for k in keep], mean.alias("score"))
-    if task == "classification":
-        return out.withColumn("prediction", (F.col("score") > 0.5).cast("double"))
-    return out.withColumn("prediction", F.col("score"))
+    members = F.array(*[F.col(f"m{i}") for i in range(len(models))])
+    width = _classes(models[0]) if task == "classification" else 1
+
+    def mean_of(c: int) -> Column:
+        return F.aggregate(members, F.lit(0.0), lambda s, p: s + p[c]) / F.lit(float(len(models)))
+
+    mean = [mean_of(c) for c in range(width)]
+    kept = [quoted(k) for k in keep]
+    if task != "classification":
+        return scored.select(*kept, mean[0].alias("prediction"))
+    out = scored.select(*kept, *[p.alias(f"p{c}") for c, p in enumerate(mean)])
+    each = F.array(*[F.col(f"p{c}") for c in range(width)])
+    return out.withColumn("prediction", (F.array_position(each, F.array_max(each)) - 1).cast("double"))
+
+
+def _classes(t: Trained) -> int:
+    last = t.model.stages[-1]
+    return len(last.models) if isinstance(last, OneVsRestModel) else last.numClasses
+
+
+def _member_columns(models: Sequence[Trained], scored: DataFrame, task: str) -> tuple[DataFrame, list[str]]:
+    """The members' scores as numbers; the probability of the first class says nothing that the others do not."""
+    made = {}
+    for i, t in enumerate(models):
+        for c in range(1, _classes(t)) if task == "classification" else (0,):
+            made[f"m{i}_{c}"] = F.col(f"m{i}")[c]
+    return scored.withColumns(made), list(made)
 
 
 @dataclass
@@ -363,7 +415,7 @@ class Stack:
     top: Trained
 
     def score(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        scored = member_scores(self.base, df, keep)
+        scored, _ = _member_columns(self.base, member_scores(self.base, df, keep), self.top.task)
         return self.top.score(scored, keep)
 
 
@@ -371,16 +423,17 @@ def stack(
     df: DataFrame, features: Sequence[str], label: str, members: Sequence[tuple[str, dict]], fold: str, k: int, task: str = "classification"
 ) -> Stack:
     """A linear model on out-of-fold scores of the members, then members refitted on all rows."""
-    parts = []
+    parts, names = [], []
     keep = [label, fold]
     for i in range(k):
         rest, held = df.where(quoted(fold) != i), df.where(quoted(fold) == i)
         fitted = [train(rest, features, label, kind, task, scale=False, **p) for kind, p in members]
-        parts.append(member_scores(fitted, held.select(*[quoted(c) for c in dict.fromkeys([*keep, *features])]), keep))
+        scored = member_scores(fitted, held.select(*[quoted(c) for c in dict.fromkeys([*keep, *features])]), keep)
+        wide, names = _member_columns(fitted, scored, task)
+        parts.append(wide.select(*names, quoted(label)))
     level1 = reduce(DataFrame.unionByName, parts)
-    names = [f"m{i}" for i in range(len(members))]
     top_kind = "logistic_regression" if task == "classification" else "linear_regression"
-    top = train(level1.select(*names, quoted(label)), names, label, top_kind, task)
+    top = train(level1, names, label, top_kind, task)
     return Stack([train(df, features, label, kind, task, scale=False, **p) for kind, p in members], top)
 
 
@@ -390,7 +443,8 @@ def stack(
 def auto_features(
     df: DataFrame, label: str, keep: Sequence[str] = (), search: SearchConfig | None = None, onehot_up_to: int = 20
 ) -> FittedFeatures:
-    """Type-driven preparation: impute numbers, encode text by its number of values, split dates.
+    """Type-driven preparation: impute numbers, split dates, one-hot columns for text of at most ``onehot_up_to``
+    values (counted, not estimated) and codes for other text. The fitted steps keep the decision.
 
     ``search`` (a SearchConfig) may drop columns, force a purpose per column, block the
     imputer or an encoder, and set the imputation strategy.
@@ -426,8 +480,7 @@ def auto_features(
         add(CastStep({c: "double" for c in forced}))
         texts = [c for c in texts if c not in forced]
     if texts:
-        sizes = distinct_sizes(df, texts)
-        few = [c for c in texts if sizes[c] <= onehot_up_to and "OneHotEncoder" not in blocked]
+        few = [] if "OneHotEncoder" in blocked else columns_up_to(df, texts, onehot_up_to)
         many = [c for c in texts if c not in few]
         if many:
             add(CodeStep(fit_sorted_codes(df, many, fill="UNKNOWN")))

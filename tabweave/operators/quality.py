@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.config import ValidationConfig
-from tabweave.functions.columns import NUMERIC_TYPES, nan_to_null, quoted
-from tabweave.plans.lookup import BROADCAST_KEYS
+from tabweave.functions.columns import DATE_FORMATS, NUMERIC_TYPES, nan_to_null, quoted, timestamp_of
 from tabweave.plans.ordered import exact_quantiles
 from tabweave.session import written
 
@@ -124,46 +124,34 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return _deduplicated(normalise_missing(df))[0]
 
 
-NARROW_ROW = 64
-
-
-def _row_bytes(schema: T.StructType) -> int:
-    """Rough width of a row: 8 bytes per number or time, 32 per text or anything else."""
-    fixed = (*NUMERIC_TYPES, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    return sum(8 if isinstance(f.dataType, fixed) else 32 for f in schema.fields)
+def _row_hash(rows: DataFrame, seed: int = 0) -> Column:
+    floats = {f.name for f in rows.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    # Adding zero makes -0.0 and 0.0 one value, as they are when rows are compared.
+    parts = [quoted(c) + F.lit(0.0) if c in floats else quoted(c) for c in rows.columns]
+    return F.xxhash64(F.lit(seed), *parts)
 
 
 def _deduplicated(rows: DataFrame) -> tuple[DataFrame, bool]:
-    """The distinct rows, and whether there was (or may have been) any duplicate.
+    """The distinct rows, and whether there was any duplicate.
 
-    Narrow rows are grouped as they are. Of wide rows only an 8-byte hash is shuffled, to find
-    hashes that occur twice. Rows with another hash are unique and stay where they are; the few
-    others are compared in full. If there are more such hashes than may be broadcast, all rows
-    are compared in full. The hashes are kept in the shared folder, so that using the result
-    does not find them again.
+    Only an 8-byte hash of each row is shuffled, to find hashes that occur twice. Rows with another
+    hash are unique; the others are compared in full. The hashes are kept in the shared folder, so
+    that using the result does not find them again; Spark broadcasts them if they are few.
     """
-    if _row_bytes(rows.schema) <= NARROW_ROW:
-        return rows.dropDuplicates(), True
-    floats = {f.name for f in rows.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    # Adding zero makes -0.0 and 0.0 one value, as they are when rows are compared.
-    parts = [quoted(c) + F.lit(0.0) if c in floats else quoted(c) for c in rows.columns]
-    hashed = rows.withColumn("_row_hash", F.xxhash64(*parts))
+    hashed = rows.withColumn("_row_hash", _row_hash(rows))
     again = hashed.groupBy("_row_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_row_hash")
     found = written(again, "hashes")
-    size = found.count()
-    if size == 0:
+    if found.isEmpty():
         return rows, False
-    if size > BROADCAST_KEYS:
-        return rows.dropDuplicates(), True
-    twice = F.broadcast(found)
-    single = hashed.join(twice, "_row_hash", "left_anti").drop("_row_hash")
-    compared = hashed.join(twice, "_row_hash", "left_semi").drop("_row_hash").dropDuplicates()
+    single = hashed.join(found, "_row_hash", "left_anti").drop("_row_hash")
+    compared = hashed.join(found, "_row_hash", "left_semi").drop("_row_hash").dropDuplicates()
     return single.unionByName(compared), True
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
+    """Rows, distinct rows and the difference; rows are compared by 128 bits of hash, which is what is shuffled."""
     rows = normalise_missing(df)
-    groups = rows.groupBy(*[quoted(c) for c in rows.columns]).agg(F.count("*").alias("_n"))
+    groups = rows.groupBy(_row_hash(rows).alias("_a"), _row_hash(rows, 1).alias("_b")).agg(F.count("*").alias("_n"))
     return groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
         F.count("*").alias("n_distinct"),
@@ -194,14 +182,14 @@ def booleans_to_int(df: DataFrame) -> DataFrame:
     return cast_columns(df, {c: "int" for c in boolean_columns(df)})
 
 
-def coerce_timestamps(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Parse the named text columns; what cannot be parsed becomes null."""
+def coerce_timestamps(df: DataFrame, names: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Parse the named text columns, ISO or in one of the formats; what cannot be parsed becomes null."""
     present = [c for c in names if c in df.columns]
 
     def parsed(c: str) -> Column:
         if c in date_columns(df):
             return quoted(c).cast("timestamp_ntz").alias(c)
-        return F.expr(f"try_cast(`{c}` AS timestamp_ntz)").alias(c)
+        return timestamp_of(c, formats).alias(c)
 
     return df.select(*[parsed(c) if c in present else quoted(c) for c in df.columns])
 
@@ -242,15 +230,20 @@ def impute_values(df: DataFrame, names: Sequence[str], strategy: str = "median")
         )
         return dict(zip(names, row.first()))
     if strategy == "most_frequent":
-        return {c: _most_frequent(df, c) for c in names}
+        return _most_frequent(df, names)
     raise ValueError(f"unknown strategy {strategy!r}; use mean, median or most_frequent")
 
 
-def _most_frequent(df: DataFrame, name: str) -> object:
-    """Most frequent value, the smallest on ties, by a grouped count: no state per value in one task."""
-    counts = normalise_missing(df.select(quoted(name).alias("v"))).where("v IS NOT NULL").groupBy("v").count()
-    top = counts.orderBy(F.desc("count"), "v").limit(1).collect()
-    return top[0]["v"] if top else None
+def _most_frequent(df: DataFrame, names: Sequence[str]) -> dict[str, object]:
+    """Most frequent value per column, the smallest on ties; the columns of a type share one grouped count."""
+    from tabweave.operators.encode import cells
+
+    out: dict[str, object] = {c: None for c in names}
+    for part in cells(df, names):
+        counts = part.groupBy("name", "value").agg(F.count("*").alias("n"))
+        best = counts.groupBy("name").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("best"))
+        out |= {r["name"]: r["best"]["value"] for r in best.collect()}
+    return out
 
 
 def fill_values(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -300,7 +293,8 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     """Rows per integer class, for 0 .. max(class), also those without rows."""
     y = quoted(label).cast("int")
     counted = df.where(y.isNotNull()).groupBy(y.alias("class")).agg(F.count("*").alias("n"))
-    span = counted.agg(F.max("class").alias("m")).select(F.explode(F.sequence(F.lit(0), F.col("m"))).alias("class"))
+    last = counted.agg(F.max("class")).first()[0]
+    span = df.sparkSession.range(0 if last is None else last + 1).select(F.col("id").cast("int").alias("class"))
     return span.join(counted, "class", "left").select("class", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -337,8 +331,10 @@ def describe(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def data_summary(df: DataFrame, label: str) -> DataFrame:
-    """One record: shape, features and target. The target's distribution is ``value_counts``."""
+    """One record: shape, features and target, with the rows of each target value as a JSON object in order of value."""
     features, _ = features_and_label(df, label)
+    # One entry per target value, and the values of a target are few.
+    counts = {str(r[label]): r["n"] for r in value_counts(df, label).collect()}
     return df.agg(
         F.count("*").alias("n_rows"),
         F.count_if(quoted(label).isNotNull()).alias("n_labelled"),
@@ -349,4 +345,5 @@ def data_summary(df: DataFrame, label: str) -> DataFrame:
         F.lit(len(features)).cast("bigint").alias("feature_count"),
         F.array_join(F.array(*[F.lit(c) for c in features]), ",").alias("feature_names"),
         F.lit(label).alias("target_column"),
+        F.lit(json.dumps(counts, sort_keys=True, separators=(",", ":"))).alias("target_distribution"),
     )

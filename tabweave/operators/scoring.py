@@ -7,12 +7,13 @@ from typing import Any
 
 import pandas as pd
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import OneVsRestModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.functions.columns import nan_to_null, quoted, risk_level, truthy_label
+from tabweave.operators.models import with_probabilities
 
 
 def align(df: DataFrame, contract: T.StructType) -> DataFrame:
@@ -89,18 +90,18 @@ def predict_proba(model: Model | None, df: DataFrame, keep: Sequence[str], task:
         raise ValueError("no fitted model")
     if task != "classification":
         raise ValueError("probabilities exist only for classification")
-    scored = model.transform(df)
-    if has_probability(model):
-        arr = vector_to_array("probability")
-        n = last_stage(model).numClasses
-        probs = [arr[i].alias(f"p{i}") for i in range(n)]
+    whole = model if isinstance(model, PipelineModel) else PipelineModel(stages=[model])
+    scored, classes = with_probabilities(whole, df)
+    if classes:
+        probs = [F.col("_proba")[i].alias(f"p{i}") for i in range(classes)]
     else:
         probs = [c.alias(f"p{i}") for i, c in enumerate(label_as_proba(F.col("prediction")))]
     return scored.select(*[quoted(k) for k in keep], *probs)
 
 
 def has_probability(model: Model) -> bool:
-    return hasattr(last_stage(model), "getProbabilityCol") and hasattr(last_stage(model), "numClasses")
+    last = last_stage(model)
+    return isinstance(last, OneVsRestModel) or hasattr(last, "getProbabilityCol") and hasattr(last, "numClasses")
 
 
 def proba_or_predict(model: Model, df: DataFrame, keep: Sequence[str]) -> DataFrame:

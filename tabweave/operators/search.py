@@ -16,6 +16,7 @@ from tabweave.functions.columns import quoted
 from tabweave.operators import metrics as M
 from tabweave.operators.models import Trained, out_of_fold, split_by_time, train
 from tabweave.operators.split import plain_folds, split_random, split_stratified, stratified_folds
+from tabweave.session import written
 
 # Metric names a config may use, with the name used here.
 METRIC_NAMES = {
@@ -66,7 +67,8 @@ def choose(candidates: Sequence[Candidate], cfg: SearchConfig) -> list[Candidate
 
 
 def evaluate(scored: DataFrame, label: str, task: str) -> dict[str, float]:
-    """All metrics of one set of predictions."""
+    """All metrics of one set of predictions, which are written once for the passes that follow."""
+    scored = written(scored, "scores")
     if task == "classification":
         classes = [c for c in scored.columns if c[:1] == "p" and c[1:].isdigit()]
         out = M.accuracy(scored, label, "prediction").first().asDict()

@@ -212,7 +212,8 @@ def exact_quantiles(
         out[c] = []
         for spot in at:
             a, b = found[c, math.floor(spot)], found[c, math.ceil(spot)]
-            out[c].append(a + (b - a) * (spot - math.floor(spot)))
+            # Between equal ends, also infinite ones, nothing is interpolated.
+            out[c].append(a if a == b else a + (b - a) * (spot - math.floor(spot)))
     return {c: out[c] for c in wanted}
 
 
@@ -345,16 +346,17 @@ CUTOFF_ROWS = 20_000
 class RowOrder:
     """A reproducible random order of rows: by a hash of the key columns, then by the keys.
 
-    The keys must identify a row. ``md5`` gives the same order in any SQL engine;
+    The keys must identify a row. ``hashed`` names the keys that the hash is of, if not all. ``md5`` gives the same order in any SQL engine;
     ``xxhash64`` costs a fraction of it and exists only in Spark.
     """
 
     keys: Sequence[str]
     seed: int = 42
     method: str = "md5"
+    hashed: Sequence[str] | None = None
 
     def column(self) -> Column:
-        h = hash_key([quoted(k) for k in self.keys], self.seed, self.method)
+        h = hash_key([quoted(k) for k in self.hashed or self.keys], self.seed, self.method)
         return F.struct(h.alias("_hash"), *[quoted(k).alias(k) for k in self.keys])
 
 
@@ -384,19 +386,16 @@ def rank_cutoffs(
     ranks_of: Callable[[dict[Any, int]], dict[Any, list[int]]],
     class_column: str | None = None,
     fetch_rows: int | None = None,
-    max_classes: int = 10_000,
 ) -> Cutoffs:
     """For each class, the order key of the row with each wanted rank (1-based; 0 = none).
 
     ``ranks_of`` turns class counts into wanted ranks. A range of hashes that still holds
     many rows is split by a histogram of the next bits; only the last, narrow ranges are read.
+    The driver holds one count and its cutoffs per class, so a column with a value per row is no class.
     """
-    # Without classes all rows are class 0, but not as a literal: a join on it stays a hash join.
-    cls = quoted(class_column) if class_column else F.when(F.spark_partition_id() < 0, 1).otherwise(0)
+    cls = quoted(class_column) if class_column else F.lit(0)
     rows = df.select(cls.alias("y"), order.column().alias("o"))
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).limit(max_classes + 1).collect()}
-    if len(counts) > max_classes:
-        raise ValueError(f"{class_column} has more than {max_classes} classes; it looks like a continuous value")
+    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     ranks = ranks_of(counts)
     points: dict[Any, list[tuple | None]] = {y: [None] * len(rs) for y, rs in ranks.items()}
     todo = [
@@ -421,6 +420,12 @@ def rank_cutoffs(
 
 def _in_ranges(rows: DataFrame, targets: list[_Target]) -> DataFrame:
     """The rows inside the targets' hash ranges, marked with the range."""
+    h = F.col("o._hash")
+    if all(t.cls == 0 for t in targets) and isinstance(rows.schema["y"].dataType, T.IntegerType) and not rows.schema["y"].nullable:
+        # Without classes the few ranges are literals.
+        ranges = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in sorted({(t.lo, t.hi) for t in targets})])
+        held = F.filter(ranges, lambda s: (h >= s["lo"]) & (h < s["hi"]))
+        return rows.select("y", "o", F.inline(held))
     schema = T.StructType(
         [
             T.StructField("ty", rows.schema["y"].dataType),
@@ -429,14 +434,13 @@ def _in_ranges(rows: DataFrame, targets: list[_Target]) -> DataFrame:
         ]
     )
     spans = sorted({(t.cls, t.lo, t.hi) for t in targets}, key=repr)
-    # One row per class and block; the number of classes was checked, so broadcasting is safe.
-    table = F.broadcast(rows.sparkSession.createDataFrame(spans, schema))
-    h = F.col("o._hash")
+    # One row per class and block, which the driver holds; Spark broadcasts it by its size.
+    table = rows.sparkSession.createDataFrame(spans, schema)
     return rows.join(table, F.col("y").eqNullSafe(F.col("ty")) & (h >= F.col("lo")) & (h < F.col("hi")))
 
 
 def _split_ranges(rows: DataFrame, wide: list[_Target]) -> None:
-    bits = 10 if len(wide) <= 100 else 4
+    bits = 16 if len(wide) <= 4 else 10 if len(wide) <= 100 else 4
     step = {(t.cls, t.lo, t.hi): max(1, (t.hi - t.lo) >> bits) for t in wide}
     # Whole-number division: as doubles, hashes of 60 bits would lose their last digits.
     part = F.expr(f"(o._hash - lo) div greatest(shiftright(hi - lo, {bits}), 1)")
@@ -473,9 +477,9 @@ def _read_ranges(rows: DataFrame, todo: list[_Target]):
 
 
 def blocks_before(df: DataFrame, cut: Cutoffs, order: RowOrder, class_column: str | None = None) -> DataFrame:
-    """Add ``_block``: how many cutoffs of its class a row lies beyond. No shuffle.
+    """Add ``_block``: how many cutoffs of its class a row lies beyond.
 
-    The cutoff table has one row per class (its size was checked when it was made).
+    The cutoff table has one row per class; Spark broadcasts it if it is small.
     """
     if class_column is None:
         out = F.lit(0)
@@ -489,7 +493,7 @@ def blocks_before(df: DataFrame, cut: Cutoffs, order: RowOrder, class_column: st
     )
     table = df.sparkSession.createDataFrame([(y, *p) for y, p in cut.points.items()], schema)
     joined = df.withColumn("_o", order.column()).join(
-        F.broadcast(table), quoted(class_column).eqNullSafe(F.col("_y")), "left"
+        table, quoted(class_column).eqNullSafe(F.col("_y")), "left"
     )
     out = F.lit(0)
     for c in names:
@@ -502,11 +506,25 @@ def _literal(values: tuple, kind: T.StructType) -> Column:
 
 
 def take_smallest(df: DataFrame, order: RowOrder, n: int) -> DataFrame:
-    """Exactly min(n, rows) rows, the first in the given order.
+    """Exactly min(n, rows) rows, the first in the given order; a filter, whatever n is.
 
-    A small n keeps n rows per task (top-k). A large one uses a cutoff and stays a filter.
+    Rows with equal keys are ordered by a hash of all their columns. Rows that agree in that too
+    are equal, so of those at the cutoff one is taken as often as rows are still wanted.
     """
-    if n <= CUTOFF_ROWS:
-        return df.withColumn("_o", order.column()).orderBy("_o").limit(n).drop("_o")
-    cut = rank_cutoffs(df, order, lambda c: {y: [min(n, k)] for y, k in c.items()})
-    return blocks_before(df, cut, order).where(F.col("_block") == 0).drop("_block")
+    whole = F.xxhash64(*[quoted(c) for c in df.columns])
+    marked = df.withColumn("_row", whole)
+    by_row = RowOrder([*order.keys, "_row"], order.seed, order.method, tuple(order.keys))
+    cut = rank_cutoffs(marked, by_row, lambda c: {y: [min(n, k)] for y, k in c.items()})
+    names = [quoted(c) for c in df.columns]
+    point = cut.points.get(0, [None])[0]
+    if point is None:
+        return df.limit(0)
+    placed = marked.withColumn("_o", by_row.column())
+    last = _literal(point, cut.order_type)
+    before = placed.where(F.col("_o") < last)
+    wanted = min(n, cut.classes[0]) - before.count()
+    at_cut = placed.where(F.col("_o") == last)
+    if wanted == at_cut.count():
+        return placed.where(F.col("_o") <= last).select(*names)
+    copies = at_cut.limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(wanted))))
+    return before.select(*names).unionByName(copies.select(*names))

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "tabweave", cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the bench; a cluster brings its own session."""
+    """A local session for tests and the bench, with a warehouse of its own; a cluster brings its own session."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tabweave-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
@@ -24,24 +27,18 @@ def local_session(app: str = "tabweave", cpus: str | int = "*", shuffle_partitio
     )
 
 
-_LOCAL_ROOT: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session, where driver and executors share one disk, may fall back
-    to a temporary folder. On a cluster a missing setting is an error.
+    Where it is not set, as in tests, the warehouse of a local session takes its place, which
+    driver and executors share there. On a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app_id = spark.sparkContext.applicationId
-    if app_id not in _LOCAL_ROOT:
-        _LOCAL_ROOT[app_id] = tempfile.mkdtemp(prefix="tabweave-")
-    return _LOCAL_ROOT[app_id]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -59,6 +56,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def lenient(spark: SparkSession) -> Iterator[None]:
+    """Expressions built meanwhile give null where they have no value, instead of an error at run time."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def enable_checkpoints(spark: SparkSession) -> None:
     """Point reliable checkpoints at the shared folder unless the session already does."""
     sc = spark.sparkContext

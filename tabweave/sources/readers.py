@@ -49,14 +49,14 @@ def read_delimited(
     sep: str = ",",
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = NULL_TOKENS,
-    line_breaks_in_quotes: bool = True,
+    line_breaks_in_quotes: bool = False,
     path_glob: str | None = None,
 ) -> DataFrame:
     """Delimited text; every file has a header line.
 
     With a schema the read is lazy; a value that does not fit is an error. Without one, one
-    extra pass finds the types: whole number, float, boolean or text. ``line_breaks_in_quotes=False``
-    lets Spark split large files; use it where quoted fields hold no line breaks.
+    extra pass finds the types: whole number, float, boolean or text. Spark splits large files;
+    ``line_breaks_in_quotes`` reads fields with line breaks, and then a file in one task.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = (

@@ -161,7 +161,7 @@ def test_kernel_attribution_equals_enumeration(linear):
 
 
 def test_sampled_coalitions_stay_additive_and_exact_for_additive_games():
-    masks, c = E.coalition_weights(14, coalitions=400)
+    masks, c = E.coalition_weights(14, "sampled", coalitions=400)
     w = np.arange(14) - 5.0
     v = np.array([2.0 + sum(w[j] for j in range(14) if s >> j & 1) for s in masks])
     assert list(c @ v) == pytest.approx(list(w))
@@ -172,3 +172,38 @@ def test_sampled_coalitions_stay_additive_and_exact_for_additive_games():
 def test_positive_class(frame):
     df = frame([(0, 0.1), (1, 0.2)], "class int, shap double")
     assert [tuple(r) for r in E.positive_class(df).collect()] == [(0.2,)]
+
+
+def test_kernel_keeps_equal_rows_apart_and_takes_features_as_keys(frame):
+    rows = frame([(1, 2.0, 3.0), (1, 2.0, 3.0), (2, 0.0, 1.0)], "k int, a double, b double")
+    back = frame([(0.0, 0.0)], "a double, b double")
+    a = E.kernel_attribution(rows, ["k", "a"], ["a", "b"], back, lambda d: d.withColumn("score", F.col("a") + F.col("b")))
+    got = sorted((r["k"], r["a"], r["phi_a"], r["phi_b"], r["base_value"]) for r in a.df.collect())
+    assert got == [(1, 2.0, 2.0, 3.0, 0.0), (1, 2.0, 2.0, 3.0, 0.0), (2, 0.0, 0.0, 1.0, 0.0)]
+    with pytest.raises(ValueError):
+        E.coalition_weights(3, "some")
+
+
+def test_tables_of_shares_equal_the_single_leaves():
+    rng = np.random.default_rng(1)
+    leaves = []
+    for _ in range(40):
+        d = int(rng.integers(0, 5))
+        fs = sorted(rng.choice(6, d, replace=False).tolist())
+        lows = [float(rng.choice([-np.inf, 0.2])) for _ in fs]
+        highs = [float(rng.choice([np.inf, 0.7])) for _ in fs]
+        some = [frozenset([0, 1]) if rng.random() < 0.2 else None for _ in fs]
+        leaves.append((float(rng.normal()), fs, lows, highs, some, rng.random(d).tolist()))
+    x = rng.random((50, 6)).round(1)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    want = np.zeros_like(x)
+    for value, fs, lows, highs, some, shares in leaves:
+        for r in range(len(x)):
+            met = []
+            for f, lo, hi, s in zip(fs, lows, highs, some):
+                v = x[r, f]
+                ok = (hi == np.inf) if np.isnan(v) else lo < v <= hi
+                met.append(ok and (s is None or v in s))
+            for f, p in zip(fs, brute_shapley(lambda c: value * np.prod([met[j] if j in c else shares[j] for j in range(len(fs))]), len(fs))):
+                want[r, f] += p
+    assert np.allclose(E.tree_phi(x, leaves), want)

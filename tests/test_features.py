@@ -36,10 +36,44 @@ def test_onehot_matches_pandas(frame):
     assert (got.to_numpy() == want.to_numpy()).all()
 
 
-def test_onehot_refuses_too_wide_input(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("k"))
+@pytest.mark.parametrize("n", [9_999, 10_001])
+def test_onehot_has_a_category_for_every_value(spark, n):
+    df = spark.range(n).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("k"))
+    assert X.fit_onehot(df, ["k"]).categories["k"] == [f"{i:06d}" for i in range(n)]
+
+
+def test_codes_are_bigint_in_every_form(spark):
+    df = spark.range(40).select(F.col("id").cast("string").alias("k"), "id")
+    for driver_keys in (40, 39):
+        sorted_, first = N.fit_sorted_codes(df, ["k"], driver_keys=driver_keys)["k"], N.fit_first_seen_codes(df, ["k"], "id", driver_keys)["k"]
+        assert {dict(c.apply(df).dtypes)["k"] for c in (sorted_, first)} == {"bigint"}
+
+
+@pytest.mark.parametrize("n", [19, 20, 21, 39, 41])
+def test_few_values_are_counted_exactly(spark, n):
+    df = spark.range(300).select((F.col("id") % n).cast("string").alias("k"), F.lit(None).cast("string").alias("none"))
+    assert N.columns_up_to(df, ["k", "none"], 20) == (["k", "none"] if n <= 20 else ["none"])
+
+
+def test_quotient_by_zero_is_null(frame):
+    df = frame([(1.0, 0.0), (4.0, 2.0)], "a double, b double")
+    for on_error in ("skip", "raise"):
+        cfg = FeatureConfig(derived=(Derived("q", "a / b"),), on_error=on_error)
+        assert sorted(r["q"] or 0 for r in X.fit_features(df, cfg).transform(df).collect()) == [0, 2.0]
+
+
+def test_dates_in_several_formats(frame):
+    df = frame([("01/15/2023",), ("2023-01-16",), ("2023-01-17 10:00:00",), (None,)], "d string")
+    got = X.fit_dates(df, DateParts("d", ("day", "hour"))).transform(df)
+    assert sorted((r["d_day"], r["d_hour"]) for r in got.where("d IS NOT NULL").collect()) == [(15, 0), (16, 0), (17, 10)]
     with pytest.raises(ValueError):
-        X.fit_onehot(df, ["k"], max_categories=50)
+        X.fit_dates(df, DateParts("d", ("day",), ()))
+
+
+def test_bin_code_column_from_a_config(frame):
+    df = frame([(5,), (15,), (99,)], "v int")
+    step = X.fit_bin(df, Bin("v", [0, 10, 20], ["a", "b"], "g", "g_code"))
+    assert sorted((r["v"], r["g"], r["g_code"]) for r in step.transform(df).collect()) == [(5, "a", 0), (15, "b", 1), (99, None, None)]
 
 
 def test_codes(frame):
@@ -60,7 +94,7 @@ def test_unseen_value_gets_the_default(frame):
 def test_every_dictionary_form_gives_the_same_codes(spark, monkeypatch, case_keys, driver_keys):
     """CASE, broadcast join and the table with hot keys; a third of the rows share one key."""
     monkeypatch.setattr(N, "CASE_KEYS", case_keys)
-    monkeypatch.setattr(L, "BROADCAST_KEYS", 5)
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 200)
     monkeypatch.setattr(L, "HOT_SHARE", 20)
     key = F.when(F.col("id") % 3 == 0, F.lit("k7")).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(
         F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))

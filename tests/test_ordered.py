@@ -80,15 +80,31 @@ def test_cutoffs_pick_exact_ranks(spark, fetch, method):
 
 
 @pytest.mark.parametrize("n", [0, 5, 1000, 5000])
-def test_take_smallest_agrees_on_both_paths(spark, n, monkeypatch):
-    df = spark.range(1000)
+def test_take_smallest_takes_the_first(spark, n):
+    df, order = spark.range(1000), O.RowOrder(["id"])
+    want = {r[0] for r in df.withColumn("o", order.column()).orderBy("o").limit(n).collect()}
+    got = [r[0] for r in O.take_smallest(df, order, n).collect()]
+    assert set(got) == want and len(got) == min(n, 1000)
+
+
+@pytest.mark.parametrize("n", [19_999, 20_000, 20_001])
+def test_take_smallest_is_exact_with_equal_keys(spark, n):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).alias("v"))
+    got = O.take_smallest(df, O.RowOrder(["k"]), n)
+    assert got.count() == n and got.schema == df.schema
+    assert got.exceptAll(df).isEmpty()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, O.take_smallest(df.repartition(7), O.RowOrder(["k"]), n).collect()))
+
+
+def test_many_classes(spark):
+    df = spark.range(24_000).select("id", (F.col("id") % 12_000).alias("y"))
     order = O.RowOrder(["id"])
-    small = {r[0] for r in O.take_smallest(df, order, n).collect()}
-    monkeypatch.setattr(O, "CUTOFF_ROWS", 0 if n else 10)
-    large = {r[0] for r in O.take_smallest(df, order, n).collect()}
-    assert small == large and len(small) == min(n, 1000)
+    cut = O.rank_cutoffs(df, order, lambda c: {y: [1] for y in c}, "y")
+    blocks = O.blocks_before(df, cut, order, "y").groupBy("y").agg(F.count_if(F.col("_block") == 0).alias("n"))
+    assert blocks.where("n <> 1").isEmpty() and len(cut.classes) == 12_000
 
 
-def test_too_many_classes(spark):
-    with pytest.raises(ValueError):
-        O.rank_cutoffs(spark.range(100), O.RowOrder(["id"]), lambda c: {}, "id", max_classes=50)
+def test_quantiles_among_infinite_values(frame):
+    inf = float("inf")
+    df = frame([(x,) for x in [-inf, 1.0, 2.0, inf, inf, inf, inf]], "v double")
+    assert O.exact_quantiles(df, {"v": [0.0, 0.25, 0.75, 0.9]}, 4)["v"] == [-inf, 1.5, inf, inf]

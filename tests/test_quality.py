@@ -18,11 +18,12 @@ def test_nan_counts_as_missing_everywhere(frame):
     assert sorted(r[0] for r in Q.fill_constant(nan, 0).collect()) == [0.0, 0.0, 1.0, 3.0]
 
 
-@pytest.mark.parametrize("limit", [1, 1000])
-def test_duplicates_on_every_path(spark, monkeypatch, limit):
-    """No duplicates, a hot row that is a third of the table, and more hashes than may be broadcast."""
-    monkeypatch.setattr(Q, "BROADCAST_KEYS", limit)
-    monkeypatch.setattr(Q, "NARROW_ROW", 0)
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_duplicates_with_and_without_broadcast(spark, limit, request):
+    """No duplicates, and a hot row that is a third of the table."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     unique = spark.range(90).select("id", (F.col("id") * 0.5).alias("v"))
     kept, changed = Q._deduplicated(unique)
     assert kept is unique and not changed
