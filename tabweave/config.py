@@ -138,7 +138,11 @@ class SearchConfig:
     column_purposes: Mapping[str, str] = field(default_factory=dict)
     drop_columns: Sequence[str] = ()
     transformer_params: Mapping[str, Any] = field(default_factory=dict)
-    ensemble: bool = False
+    vote_members: int = 0
+    time_column: str | None = None
+    series_column: str | None = None
+    horizon: str = "7 days"
+    period: str = "day"
 
     @staticmethod
     def from_dict(automl: Mapping[str, Any]) -> "SearchConfig":
@@ -161,7 +165,11 @@ class SearchConfig:
             column_purposes=dict(feat.get("column_purposes") or {}),
             drop_columns=tuple(feat.get("drop_columns") or ()),
             transformer_params=dict(feat.get("transformer_params") or {}),
-            ensemble=bool(automl.get("ensemble")),
+            vote_members=int((automl.get("ensemble") or {}).get("ensemble_iterations", 0)),
+            time_column=(automl.get("forecasting") or {}).get("time_column_name"),
+            series_column=(automl.get("forecasting") or {}).get("time_series_id_column_name"),
+            horizon=f"{(automl.get('forecasting') or {}).get('forecast_horizon', 7)} {(automl.get('forecasting') or {}).get('frequency', 'day')}s",
+            period=(automl.get("forecasting") or {}).get("frequency", "day"),
         )
 
 
@@ -231,6 +239,8 @@ def _check_features(fe: Mapping[str, Any], errors: list[str], warnings: list[str
 def _check_search(automl: Mapping[str, Any], errors: list[str], warnings: list[str]) -> None:
     if automl.get("task") not in TASKS:
         errors.append(f"automl.task must be one of {', '.join(TASKS)}")
+    if automl.get("task") == "forecasting" and not (automl.get("forecasting") or {}).get("time_column_name"):
+        errors.append("automl.forecasting.time_column_name is required")
     if "primary_metric" not in automl:
         errors.append("automl.primary_metric is required")
     training = automl.get("training")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -50,9 +51,12 @@ class Candidate:
 
 @dataclass
 class SearchResult:
+    """``members``: the best models, refitted on all rows, if the config asks for a vote of them."""
+
     leaderboard: DataFrame
     best: Candidate
     model: Trained
+    members: list[Trained] = field(default_factory=list)
 
 
 def default_candidates(task: str) -> list[Candidate]:
@@ -67,8 +71,7 @@ def choose(candidates: Sequence[Candidate], cfg: SearchConfig) -> list[Candidate
 
 
 def evaluate(scored: DataFrame, label: str, task: str) -> dict[str, float]:
-    """All metrics of one set of predictions, which are written once for the passes that follow."""
-    scored = written(scored, "scores")
+    """All metrics of one set of predictions; several passes, so the caller writes them first."""
     if task == "classification":
         classes = [c for c in scored.columns if c[:1] == "p" and c[1:].isdigit()]
         out = M.accuracy(scored, label, "prediction").first().asDict()
@@ -89,12 +92,15 @@ def search(
     candidates: Sequence[Candidate] | None = None,
     time_column: str | None = None,
     horizon: str = "7 days",
+    split: str | None = None,
 ) -> SearchResult:
     """Judge every candidate on rows it was not trained on, then refit the best on all rows.
 
     Folds win over a validation part if both are set. After the time limit, or without
     progress over PATIENCE candidates under early stopping, no further candidate starts.
-    Forecasting is regression judged on the last ``horizon`` of ``time_column``.
+    Forecasting is regression judged on the last ``horizon`` of ``time_column``. ``split`` names a
+    column that says ``train`` or ``test`` already. With ``vote_members`` the mean of that many best
+    candidates is judged too, on the scores they have; it needs keys that identify a row.
     """
     if cfg.primary_metric not in METRIC_NAMES:
         raise ValueError(f"unknown metric {cfg.primary_metric!r}")
@@ -107,12 +113,15 @@ def search(
         if time_column is None:
             raise ValueError("forecasting needs the time column")
         marked, judge = split_by_time(df, time_column, horizon), _on_held_out(keys, features, label, task)
+    elif split is not None:
+        marked, judge = df.withColumnRenamed(split, "split"), _on_held_out(keys, features, label, task)
     else:
         marked, judge = _judge(df, keys, features, label, cfg)
     marked = marked.persist()
     deadline = time.monotonic() + 60 * cfg.timeout_minutes if cfg.timeout_minutes else None
     better = (lambda a, b: a < b) if metric in SMALLER_IS_BETTER else (lambda a, b: a > b)
     results: list[tuple[Candidate, dict[str, float], float]] = []
+    scores: dict[str, DataFrame] = {}
     best: float | None = None
     stale = 0
     try:
@@ -126,7 +135,8 @@ def search(
 
                 def trial(c: Candidate):
                     start = time.monotonic()
-                    return c, evaluate(judge(marked, c), label, task), time.monotonic() - start
+                    scores[c.name] = written(judge(marked, c), "scores")
+                    return c, evaluate(scores[c.name], label, task), time.monotonic() - start
 
                 for c, found, took in pool.map(trial, batch):
                     results.append((c, found, took))
@@ -137,16 +147,33 @@ def search(
                         stale += 1
     finally:
         marked.unpersist()
-    winner = results[0]
-    for r in results[1:]:
-        if better(r[1][metric], winner[1][metric]):
-            winner = r
+    ranked = sorted(results, key=lambda r: r[1][metric] * (1 if metric in SMALLER_IS_BETTER else -1))
+    winner, chosen = ranked[0], ranked[: cfg.vote_members]
+    if len(chosen) > 1:
+        start = time.monotonic()
+        found = evaluate(written(mean_scores([scores[c.name] for c, _, _ in chosen], keys, label, task), "scores"), label, task)
+        results.append((Candidate("voting_ensemble", "vote", {}), found, time.monotonic() - start))
     rows = [(c.name, c.kind, m, float(v), took) for c, found, took in results for m, v in found.items() if v is not None]
     board = df.sparkSession.createDataFrame(
         rows, "model string, kind string, metric string, value double, seconds double"
     )
-    model = train(df, features, label, winner[0].kind, task, **winner[0].params)
-    return SearchResult(board, winner[0], model)
+    rest = df if split is None else df.drop(split)
+    members = [train(rest, features, label, c.kind, task, **c.params) for c, _, _ in chosen] if len(chosen) > 1 else []
+    model = members[0] if members else train(rest, features, label, winner[0].kind, task, **winner[0].params)
+    return SearchResult(board, winner[0], model, members)
+
+
+def mean_scores(scored: Sequence[DataFrame], keys: Sequence[str], label: str, task: str) -> DataFrame:
+    """The mean of several models' scores of the same rows, and what it predicts."""
+    names = [c for c in scored[0].columns if c[:1] == "p" and c[1:].isdigit()] if task == "classification" else ["prediction"]
+    parts = [s.select(*[quoted(k) for k in keys], quoted(label), *names) for s in scored]
+    whole = reduce(DataFrame.unionByName, parts).groupBy(*[quoted(k) for k in keys]).agg(
+        F.first(quoted(label)).alias(label), *[F.avg(n).alias(n) for n in names]
+    )
+    if task != "classification":
+        return whole
+    each = F.array(*names)
+    return whole.withColumn("prediction", (F.array_position(each, F.array_max(each)) - 1).cast("double"))
 
 
 def _judge(df, keys, features, label, cfg):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,9 +38,13 @@ def prepare(
     return fitted.transform(df), fitted
 
 
-def prepare_from_config(spark: SparkSession, cfg: Mapping[str, Any], fit_rows: Column | None = None):
+def prepare_from_config(
+    spark: SparkSession, cfg: Mapping[str, Any], fit_rows: Column | None = None, mark: Callable[[DataFrame], DataFrame] | None = None
+):
     """The same, from a run config. An empty validation section skips validation.
 
+    ``mark`` adds columns to the validated rows before features are fitted; ``fit_rows`` may use them.
+
     A registered table (``use_existing_dataset``) is taken as it is, without preparation.
     """
     from tabweave.sources.readers import read_table
@@ -48,13 +52,13 @@ def prepare_from_config(spark: SparkSession, cfg: Mapping[str, Any], fit_rows: C
 
     data = cfg["data"]
     if data.get("use_existing_dataset", False):
-        return read_registered(spark, data), FittedFeatures()
+        rows = read_registered(spark, data)
+        return rows if mark is None else mark(rows), FittedFeatures()
     df = read_table(spark, data["input_path"])
     section = data.get("validation") or {}
-    return prepare(
-        df,
-        ValidationConfig.from_dict(section) if section else None,
-        data.get("columns_to_drop"),
-        FeatureConfig.from_dict(cfg.get("feature_engineering") or {}, data.get("label_column")),
-        fit_rows,
-    )
+    validation = ValidationConfig.from_dict(section) if section else None
+    features = FeatureConfig.from_dict(cfg.get("feature_engineering") or {}, data.get("label_column"))
+    if mark is None:
+        return prepare(df, validation, data.get("columns_to_drop"), features, fit_rows)
+    clean, _ = prepare(df, validation, data.get("columns_to_drop"))
+    return prepare(mark(clean), None, None, features, fit_rows)

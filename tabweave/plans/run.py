@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +13,9 @@ from tabweave.config import SearchConfig, check_config
 from tabweave.functions.columns import quoted
 from tabweave.operators.explain import attribute_model, explain_all
 from tabweave.operators.features import FittedFeatures
-from tabweave.operators.models import Trained, auto_features, numeric_label, save_trained
+from tabweave.operators.models import Trained, auto_features, numeric_label, save_trained, series_features
 from tabweave.operators.search import Candidate, SearchResult, search
+from tabweave.operators.split import split_by_bucket
 from tabweave.plans.flow import prepare_from_config
 from tabweave.session import written
 from tabweave.sources.versions import register
@@ -40,7 +41,9 @@ def run_training(
     """Check the config, prepare the table, search models, and write what ``output`` asks for.
 
     ``keys`` identify a row for splits and explanations. Without them a hash of all columns
-    does, for which the validation should drop duplicates. Output goes below the paths
+    does, for which the validation should drop duplicates. With a validation part instead of folds,
+    features and encoders are fitted on the training part only, unless ``data.fit_on_all_rows`` says
+    otherwise; folds share one preparation. Output goes below the paths
     ``preprocessed_data_path``, ``model_path`` and ``explanations_output_path``; a
     ``dataset_root`` in ``data`` registers the prepared table as a new version.
     """
@@ -49,10 +52,19 @@ def run_training(
     label = data["label_column"]
     stamp = run_stamp()
     paths: dict[str, str] = {}
-    table, _ = prepare_from_config(spark, cfg)
+    how = SearchConfig.from_dict(cfg["automl"])
     keep = list(keys or ["row_key"])
-    if keys is None:
-        table = table.withColumn("row_key", F.xxhash64(*[quoted(c) for c in table.columns]))
+    parted = not how.folds and how.task != "forecasting" and not data.get("fit_on_all_rows", False)
+
+    def marked(rows: DataFrame) -> DataFrame:
+        """Rows with their key and, where preparation is fitted on one part, the part."""
+        if keys is None:
+            rows = rows.withColumn("row_key", F.xxhash64(*[quoted(c) for c in rows.columns]))
+        if parted:
+            rows = split_by_bucket(rows, keep, round(100 * (how.validation_size or 0.2)), method="xxhash64")
+        return rows
+
+    table, _ = prepare_from_config(spark, cfg, F.col("split") == "train" if parted else None, marked)
     # Search reads the table many times, so it starts from files.
     if out.get("save_preprocessed_data", True) and out.get("preprocessed_data_path"):
         paths["preprocessed"] = write_prepared(table, out["preprocessed_data_path"], stamp=stamp)
@@ -63,12 +75,23 @@ def run_training(
     if data.get("dataset_root") and not data.get("use_existing_dataset", False):
         version = register(table, data["dataset_root"], data["dataset_name"])
 
-    how = SearchConfig.from_dict(cfg["automl"])
+    if how.task == "forecasting":
+        if how.series_column is None:
+            table, how = table.withColumn("series", F.lit("all")), replace(how, series_column="series")
+        made = series_features(table, how.series_column, how.time_column, label, how.period)
+        table = made.withColumns({"month": F.month("period"), "weekday": F.weekday("period")}).withColumnRenamed("y", label)
+        keep = [how.series_column, "period"]
+        table = table.dropna(subset=[c for c in table.columns if c not in keep])
     table, _ = numeric_label(table, label) if how.task == "classification" else (table, None)
-    auto = FittedFeatures() if how.featurization == "off" else auto_features(table, label, keep, how)
+    extra = ["split"] if parted else []
+    fit_rows = table.where("split = 'train'") if parted else table
+    auto = FittedFeatures() if how.featurization == "off" else auto_features(fit_rows, label, [*keep, *extra], how)
     ready = auto.transform(table)
-    features = [c for c in ready.columns if c != label and c not in keep]
-    found = search(ready, keep, features, label, how, candidates)
+    features = [c for c in ready.columns if c != label and c not in keep and c not in extra]
+    found = search(
+        ready, keep, features, label, how, candidates, "period" if how.task == "forecasting" else None, how.horizon, "split" if parted else None
+    )
+    ready, table = ready.drop(*extra), table.drop(*extra)
     best = found.model
     if out.get("register_model", True) and out.get("model_path"):
         paths["model"] = f"{out['model_path'].rstrip('/')}/{out.get('model_name', 'model')}_{stamp}"

@@ -98,3 +98,46 @@ def test_attribution_of_several_classes_is_model_agnostic(spark):
     total = sum((a.phi(f) for f in names), F.col("base_value"))
     both = a.df.select("row_id", total.alias("total")).join(t.score(rows, ["row_id"]), "row_id")
     assert both.agg(F.max(F.abs(F.col("total") - F.col("p1")))).first()[0] < 1e-9
+
+
+def test_regression_run_fits_on_the_training_part(spark, config, tmp_path):
+    cfg = json.loads(json.dumps(config))
+    cfg["data"] = {**cfg["data"], "label_column": "cholesterol"}
+    del cfg["data"]["dataset_root"]
+    cfg["feature_engineering"]["scaling"] = {"enabled": True, "columns": ["bmi"]}
+    cfg["automl"] = {
+        "task": "regression",
+        "primary_metric": "r2_score",
+        "training": {"validation_size": 0.3},
+        "ensemble": {"ensemble_iterations": 2},
+    }
+    cfg["output"] = {"model_path": str(tmp_path / "models")}
+    some = [Candidate("line", "linear_regression", {}), Candidate("trees", "random_forest", {"numTrees": 3, "maxDepth": 3})]
+    got = run_training(spark, cfg, candidates=some)
+    board = {r["model"]: r["value"] for r in got.found.leaderboard.where("metric = 'r2'").collect()}
+    assert board.keys() == {"line", "trees", "voting_ensemble"} and len(got.found.members) == 2
+    assert "split" not in got.found.model.features and "split" not in got.table.columns
+    everywhere = run_training(spark, {**cfg, "data": {**cfg["data"], "fit_on_all_rows": True}}, candidates=some[:1])
+    scaled = [r.table.agg(F.avg("bmi")).first()[0] for r in (got, everywhere)]
+    assert abs(scaled[1]) < 1e-9 < abs(scaled[0])
+
+
+def test_forecasting_run(spark, config, tmp_path):
+    days = spark.range(120).select(F.date_add(F.lit("2023-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("day"), (10.0 + F.col("id") % 7).alias("sold"))
+    write_delimited(days, str(tmp_path / "t.csv"))
+    cfg = {
+        "experiment": {"name": "e"},
+        "data": {"input_path": str(tmp_path / "t.csv"), "dataset_name": "t", "label_column": "sold"},
+        "compute": {"cluster_name": "c"},
+        "automl": {
+            "task": "forecasting",
+            "primary_metric": "r2_score",
+            "training": {"experiment_timeout_minutes": 5, "validation_size": 0.2},
+            "forecasting": {"time_column_name": "day", "forecast_horizon": 14},
+        },
+        "output": {},
+    }
+    got = run_training(spark, cfg, candidates=[Candidate("trees", "random_forest", {"numTrees": 5, "maxDepth": 5})])
+    assert got.found.leaderboard.where("metric = 'r2'").first()["value"] > 0.9 and "lag_7" in got.found.model.features
+    with pytest.raises(ConfigError):
+        run_training(spark, {**cfg, "automl": {**cfg["automl"], "forecasting": {}}})
