@@ -19,6 +19,18 @@ def con():
     return connect(SF)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    """The queries run as they do outside of tests, with generated code."""
+    settings = ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")
+    before = [spark.conf.get(s) for s in settings]
+    spark.conf.set(settings[0], "true")
+    spark.conf.set(settings[1], "FALLBACK")
+    yield
+    for s, v in zip(settings, before):
+        spark.conf.set(s, v)
+
+
 def test_registry():
     assert set(SQL) <= set(QUERIES)
 
