@@ -1,6 +1,6 @@
 """Vectorised views of the texts in an Arrow batch: bytes, words, hashes of words and of runs of words.
 
-A batch is taken apart into chunks of half a megabyte, each holding whole texts, so that the working memory of a task
+A batch is taken apart into chunks of a quarter of a megabyte, each holding whole texts, so that the working memory of a task
 follows the longest text and not the number of rows in a batch. Hashes are 64 bits wide and equal on every machine.
 """
 
@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -40,15 +40,15 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-@lru_cache(maxsize=1)
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(int(BASE), n), _powers(pow(int(BASE), -1, 1 << 64), n)
+_TABLES: list[np.ndarray] = []
 
 
 def tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, n of each at least."""
-    size = 1 << max(16, (n - 1).bit_length())
-    return _tables(size)
+    """Powers of the base and of its inverse, n of each at least; kept by a worker for the longest text so far."""
+    if not _TABLES or len(_TABLES[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        _TABLES[:] = _powers(int(BASE), size), _powers(pow(int(BASE), -1, 1 << 64), size)
+    return _TABLES[0], _TABLES[1]
 
 
 def sums(values: np.ndarray) -> np.ndarray:

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ from tabweave.session import written
 
 SHINGLE, PERCENT = 5, 80
 LEVELS = (2, 8, 64)
-COUNT_BYTES = 48 << 20
-MOST_BITS = 27
+COUNT_BYTES = 12 << 20
+MOST_BITS = 26
 #: Tokens of one block in one task; above, a block is cut. Tokens of blocks that share a task.
 BLOCK_TOKENS, TASK_TOKENS = 4 << 20, 1 << 20
 #: Ways in which sets that meet at a shingle of the last level are dealt.
@@ -206,15 +207,15 @@ def meetings(source: DataFrame, order: Order, size: int) -> DataFrame:
 
     sent = source.mapInArrow(send, "bucket long, cell binary")
     tied = written(sent.groupBy("bucket").applyInArrow(tie, "a long, b long, low long, head_low long, token long"), "ties")
+    shared.destroy()
     heads = tied.where("token IS NOT NULL").select("token", "a", "low")
     least = heads.groupBy("token").agg(F.min(F.struct("a", "low")).alias("m"))
     across = heads.join(least, "token").select("a", F.col("m.a").alias("b"), "low", F.col("m.low").alias("head_low"))
     return tied.drop("token").unionByName(across).where("a <> b").distinct()
 
 
-def set_contents(source: DataFrame, wanted: Bitmap) -> DataFrame:
+def set_contents(source: DataFrame, shared: Broadcast[Bitmap]) -> DataFrame:
     """(print, low, tokens) of the sets asked for, from the document that was named with each."""
-    shared = source.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets, doc in chunks(batches):
@@ -412,9 +413,10 @@ def blocks(spark: SparkSession, source: DataFrame, ties: DataFrame) -> DataFrame
     """Links (a, b) between sets, enough to connect all that links connect."""
     low = ties.select("a", "low").unionByName(ties.select(F.col("b").alias("a"), F.col("head_low").alias("low"))).groupBy("a").agg(F.min("low").alias("low"))
     members = written(components(ties).join(low, F.col("node") == F.col("a")).select(F.col("node").alias("region"), F.col("root").alias("block"), "low"), "blocks")
-    wanted = bitmap(as_requests(members), members.count())
+    wanted = spark.sparkContext.broadcast(bitmap(as_requests(members), members.count()))
     sent = set_contents(source, wanted).join(members.select(F.col("region").alias("print"), "block", F.col("low").alias("from")), "print")
     sent = written(sent.where("low = from").select("block", "print", "tokens", (F.octet_length("tokens") / 8).cast("bigint").alias("n")).dropDuplicates(["print"]), "sets")
+    wanted.destroy()
     sizes = sent.groupBy("block").agg(F.sum("n").alias("total"))
     total = sizes.agg(F.sum("total")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK_TOKENS))

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -242,9 +243,8 @@ def as_requests(found: DataFrame) -> DataFrame:
     return found.select("region", "low").mapInArrow(run, "value long")
 
 
-def contents(source: DataFrame, grain: Grain, wanted: Bitmap) -> DataFrame:
+def contents(source: DataFrame, grain: Grain, shared: Broadcast[Bitmap]) -> DataFrame:
     """(anchor, region, doc, left, content) of the regions asked for, from the document that was named with each."""
-    shared = source.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, _, doc in frames(batches):
@@ -318,12 +318,13 @@ def spans(docs: DataFrame, grain: Grain, doc: str = "doc_id", text: str = "text"
     found = written(survey(source, grain), "survey")
     differing = found.where("differs")
     n = differing.count()
-    wanted = bitmap(as_requests(differing), n)
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(as_requests(differing), n))
     width = grain.window * (2 if grain.earlier_only else 1) * 10
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * width / CONTENT_BYTES))
     parts = solved(contents(source, grain, wanted), grain, buckets)
     whole = found.where("again").select("region", F.lit(0).alias("first"), F.lit(grain.window - grain.gram).alias("last"), "low")
     verdicts = written(whole.unionByName(parts), "verdicts")
+    wanted.destroy()
     asked = verdicts.select("region")
     at = places(source, grain, bitmap(asked, asked.count()))
     joined = at.join(verdicts, "region")
