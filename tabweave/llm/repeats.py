@@ -7,7 +7,7 @@ windows have the same anchors. So windows can only be equal if they meet at an a
    chunk, packed into one binary cell per chunk and bucket. A group of one anchor shows which regions are found in several
    places; where regions differ, only parts of them may be.
 2. Contents. One copy of each differing region is sent to the bucket of its anchor, where the operator's own method
-   decides which windows are equal.
+   decides which windows are equal. Regions of an anchor that has too many for one task are dealt by window instead.
 3. Verdicts go back to the places of the regions by a join, and from there to the documents as spans.
 
 Anchors that matter are picked on the second and third reading of the documents with a bitmap of bounded size; a full
@@ -25,14 +25,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabweave.llm.arrays import BASE, Texts, minimizers, mix, runs, span_hash, sums, text_of, texts
+from tabweave.llm.arrays import BASE, BYTE_VALUES, Texts, minimizers, mix, runs, span_hash, sums, text_of, texts
 from tabweave.session import written
 
 LAST = (1 << 63) - 1
 #: Bytes of text for one bucket of the survey; bytes of contents for one bucket of the second step.
 SURVEY_BYTES, CONTENT_BYTES = 6 << 20, 3 << 20
+#: Differing regions of one anchor that go to one task; of more, every window is compared by its hash.
+TASK_REGIONS = 20_000
 #: A bitmap has 16 bits for each value, within these powers of two.
 LEAST_BITS, MOST_BITS, SEGMENT_BITS = 16, 28, 16
 
@@ -286,6 +289,36 @@ def solved(sent: DataFrame, grain: Grain, buckets: int) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(run, "region long, first int, last int, low long")
 
 
+def by_window(sent: DataFrame, grain: Grain) -> DataFrame:
+    """What `solved` returns, for anchors with more regions than a task should hold: equal windows meet by their hash.
+
+    Windows are summed up before they are shuffled, so a window of all regions is one row per task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor, region, doc, left = (batch.column(i).to_numpy() for i in range(4))
+            cells = [c.as_py() for c in batch.column(4)]
+            data = np.frombuffer(b"".join(cells), grain.raw(Texts(0, np.zeros(0, np.uint8), np.zeros(1, np.int64))).dtype)
+            bounds = np.concatenate(([0], np.cumsum([len(c) // data.itemsize for c in cells]))).astype(np.int64)
+            first, window = runs(BYTE_VALUES[data] if data.dtype == np.uint8 else data, bounds, grain.window)
+            of = text_of(first, bounds)
+            offset = left[of] - (first - bounds[of])
+            some = np.flatnonzero((offset >= 0) & (offset <= grain.window - grain.gram))
+            of, offset, window = of[some], offset[some], window[some]
+            name = mix(window + offset.astype(np.uint64) * BASE) ^ anchor[of].view(np.uint64)
+            yield pa.RecordBatch.from_pydict({"window": mix(name).view(np.int64), "region": region[of], "offset": offset.astype(np.int32), "doc": doc[of]})
+
+    rows = sent.select("anchor", "region", "doc", "left", "content").mapInArrow(run, "window long, region long, offset int, doc long")
+    rows = written(rows.groupBy("window", "region", "offset").agg(F.min("doc").alias("doc")), "windows")
+    equal = rows.groupBy("window").agg(F.min("doc").alias("low"), F.count("*").alias("n")).where("n > 1")
+    found = rows.join(equal, "window")
+    found = found.where("low < doc") if grain.earlier_only else found.withColumn("low", F.lit(-1).cast("bigint"))
+    order = W.partitionBy("region", "low").orderBy("offset")
+    lined = found.withColumn("line", F.col("offset") - F.row_number().over(order))
+    return lined.groupBy("region", "low", "line").agg(F.min("offset").alias("first"), F.max("offset").alias("last")).select("region", "first", "last", "low")
+
+
 def places(source: DataFrame, grain: Grain, wanted: Bitmap) -> DataFrame:
     """(key, doc, region, at, left, right) of every place of the regions in the bitmap."""
     shared = source.sparkSession.sparkContext.broadcast(wanted)
@@ -321,7 +354,9 @@ def spans(docs: DataFrame, grain: Grain, doc: str = "doc_id", text: str = "text"
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(as_requests(differing), n))
     width = grain.window * (2 if grain.earlier_only else 1) * 10
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * width / CONTENT_BYTES))
-    parts = solved(contents(source, grain, wanted), grain, buckets)
+    sent = written(contents(source, grain, wanted), "contents")
+    crowded = sent.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > TASK_REGIONS).select("anchor")
+    parts = solved(sent.join(crowded, "anchor", "left_anti"), grain, buckets).unionByName(by_window(sent.join(crowded, "anchor", "left_semi"), grain))
     whole = found.where("again").select("region", F.lit(0).alias("first"), F.lit(grain.window - grain.gram).alias("last"), "low")
     verdicts = written(whole.unionByName(parts), "verdicts")
     wanted.destroy()

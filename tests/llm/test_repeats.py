@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tabweave.llm import substring_dedup, suffix_dedup
+from tabweave.llm import repeats, substring_dedup, suffix_dedup
 from tabweave.llm.repeats import Regions
 
 LAST = 1 << 63
@@ -63,6 +63,16 @@ def test_bytes_against_all_windows(odd, odd_rows):
     assert sorted(got, key=key) == sorted(plain_bytes([r[:2] for r in rows]), key=key)
 
 
+@pytest.mark.parametrize("most", [0, 2])
+def test_crowded_anchors_give_the_same(odd, odd_rows, monkeypatch, most):
+    monkeypatch.setattr(repeats, "TASK_REGIONS", most)
+    small, rows = odd.where("text IS NULL OR length(text) < 50000"), [r[:2] for r in odd_rows if r[1] is None or len(r[1]) < 50_000]
+    got = [tuple(r) for r in substring_dedup.dedup(small).drop("kept").collect()]
+    assert sorted(got, key=key) == sorted(plain_words(rows), key=key)
+    got = [tuple(r) for r in suffix_dedup.dedup(small).drop("kept").collect()]
+    assert sorted(got, key=key) == sorted(plain_bytes(rows), key=key)
+
+
 @pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
 def test_no_rows(no_docs, module):
     assert module.dedup(no_docs).count() == 0
