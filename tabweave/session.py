@@ -43,7 +43,17 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, not yet existing path below the shared folder."""
-    return f"{shared_root(spark)}/tabweave/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tabweave/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application, once nothing made from them is needed any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
