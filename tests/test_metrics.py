@@ -45,7 +45,7 @@ def test_auc_weighted(scored):
 @pytest.mark.parametrize("one_task,broadcast", [(20, 10), (1_000_000, 1_000_000)])
 def test_spearman(scored, monkeypatch, one_task, broadcast):
     monkeypatch.setattr(O, "ONE_TASK_KEYS", one_task)
-    monkeypatch.setattr(L, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(L, "BROADCAST_BYTES", broadcast)
     monkeypatch.setattr(L, "HOT_SHARE", 10)
     pdf, df = scored
     got = M.spearman(df.withColumn("x", F.col("s") * F.col("s") + F.col("g")), "x", "s").first()

@@ -20,7 +20,7 @@ def put(path, text):
 
 def test_types_are_found_like_a_flat_file_reader_does(spark, tmp_path):
     p = put(tmp_path / "t.csv", 'n,gap,f,b,t,d,z\n1,1,1.5,True,None,2024-01-01,\n02,NA,2,False,x,2024-01-02,\n3,,nan,TRUE,"a ""q""\nb",,\n')
-    df = R.read_table(spark, p)
+    df = R.read_table(spark, p, line_breaks_in_quotes=True)
     assert dict(df.dtypes) == {"n": "bigint", "gap": "double", "f": "double", "b": "boolean", "t": "string", "d": "string", "z": "double"}
     rows = df.orderBy("n").collect()
     assert [r["t"] for r in rows] == ["None", "x", 'a "q"\nb']
@@ -91,7 +91,7 @@ def test_writers(spark, frame, tmp_path):
     df = frame([(1, "a,b", None), (2, "", 'q"\n')], "id int, t string, u string")
     path = W.write_prepared(df, str(tmp_path), "csv", "20240101_000000")
     assert path.endswith("preprocessed_20240101_000000")
-    back = R.read_delimited(spark, path, schema=df.schema, null_tokens=()).orderBy("id").collect()
+    back = R.read_delimited(spark, path, schema=df.schema, null_tokens=(), line_breaks_in_quotes=True).orderBy("id").collect()
     assert [tuple(r) for r in back] == [(1, "a,b", None), (2, "", 'q"\n')]
     with pytest.raises(ValueError):
         W.write_prepared(df, str(tmp_path), "xlsx")
