@@ -246,14 +246,18 @@ def as_requests(found: DataFrame) -> DataFrame:
     return found.select("region", "low").mapInArrow(run, "value long")
 
 
-def contents(source: DataFrame, grain: Grain, shared: Broadcast[Bitmap]) -> DataFrame:
-    """(anchor, region, doc, left, content) of the regions asked for, from the document that was named with each."""
+def contents(source: DataFrame, grain: Grain, shared: Broadcast[tuple[Bitmap, Bitmap]]) -> DataFrame:
+    """(anchor, region, doc, left, content, crowded) of the regions asked for, from the document that was named with each.
+
+    shared: bitmaps of the regions asked for and of the crowded anchors.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, _, doc in frames(batches):
             found = anchors(t, grain)
             low = doc[found.text]
-            some = np.flatnonzero(shared.value.has(request(found.region, low)))
+            wanted, crowded = shared.value
+            some = np.flatnonzero(wanted.has(request(found.region, low)))
             if len(some):
                 found, low, raw = found.only(some), low[some], grain.raw(t)
                 yield pa.RecordBatch.from_pydict(
@@ -263,10 +267,11 @@ def contents(source: DataFrame, grain: Grain, shared: Broadcast[Bitmap]) -> Data
                         "doc": low,
                         "left": (found.at - found.first).astype(np.int32),
                         "content": pa.array([raw[a:b].tobytes() for a, b in zip(found.first, found.last)], pa.binary()),
+                        "crowded": crowded.has(found.anchor),
                     }
                 )
 
-    return source.mapInArrow(run, "anchor long, region long, doc long, left int, content binary")
+    return source.mapInArrow(run, "anchor long, region long, doc long, left int, content binary, crowded boolean")
 
 
 def solved(sent: DataFrame, grain: Grain, buckets: int) -> DataFrame:
@@ -351,12 +356,17 @@ def spans(docs: DataFrame, grain: Grain, doc: str = "doc_id", text: str = "text"
     found = written(survey(source, grain), "survey")
     differing = found.where("differs")
     n = differing.count()
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(as_requests(differing), n))
+    crowded = differing.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > TASK_REGIONS).select("anchor")
+    n_crowded = crowded.count()
+    wanted = docs.sparkSession.sparkContext.broadcast((bitmap(as_requests(differing), n), bitmap(crowded, n_crowded)))
     width = grain.window * (2 if grain.earlier_only else 1) * 10
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * width / CONTENT_BYTES))
-    sent = written(contents(source, grain, wanted), "contents")
-    crowded = sent.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > TASK_REGIONS).select("anchor")
-    parts = solved(sent.join(crowded, "anchor", "left_anti"), grain, buckets).unionByName(by_window(sent.join(crowded, "anchor", "left_semi"), grain))
+    sent = contents(source, grain, wanted)
+    if n_crowded:
+        sent = written(sent, "contents")
+        parts = solved(sent.where("NOT crowded"), grain, buckets).unionByName(by_window(sent.where("crowded"), grain))
+    else:
+        parts = solved(sent, grain, buckets)
     whole = found.where("again").select("region", F.lit(0).alias("first"), F.lit(grain.window - grain.gram).alias("last"), "low")
     verdicts = written(whole.unionByName(parts), "verdicts")
     wanted.destroy()
