@@ -7,6 +7,11 @@ surroundings and are left to the near-copy join. Lines too short to tell, and li
 Per line hash, HyperLogLog sketches of the sites and of the surroundings merge by aggregation, before and after the
 shuffle, so a line found everywhere is one small row per task. Lines whose estimates lie near a threshold get exact
 distinct counts. Boilerplate lines leave every document; everything else of a text stays as it is.
+
+The SQL fixes that rule for the query. With `by_content` (the pipeline), copies of a document are one document on one site,
+a run of widespread lines is judged by what surrounds the run, and short lines count too, from `min_sites_short` sites.
+Where widespread lines are more than half of a document, as in near copies, its lines keep their own neighbours. All of
+that is counted exactly.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabweave.llm.mixing import n_words
@@ -31,6 +37,9 @@ class Spread:
     min_chars: int = 16
     near_percent: int = 20
     log_size: int = 12
+    by_content: bool = False
+    min_sites_short: int = 20
+    max_spread_percent: int = 50
 
 
 def lines(docs: DataFrame, doc: str, text: str, site: str, spread: Spread) -> DataFrame:
@@ -72,14 +81,47 @@ def boilerplate(counted: DataFrame, spread: Spread) -> DataFrame:
     return judged.where("NOT near").select("line").unionByName(exact.select("line"))
 
 
+def runs_of_lines(docs: DataFrame, doc: str, text: str, site: str, spread: Spread) -> DataFrame:
+    """(key, content, all, at, rank, size, line, short, site, before, after) of every line with a letter; ranks skip blank lines."""
+    rows = docs.select(row_key(docs, doc, text).alias("key"), F.xxhash64(docs[text]).alias("content"), docs[site].cast("string").alias("site"), F.split(docs[text].cast("string"), "\n").alias("parts"))
+    own = F.filter(F.transform("parts", lambda p, i: F.struct(i.alias("at"), F.trim(p).alias("line"))), lambda x: n_words(x["line"]) > 0)
+    rows = rows.select("key", "content", "site", own.alias("own")).withColumn("all", F.aggregate("own", F.lit(0), lambda n, x: n + F.length(x["line"])))
+    out = rows.select("key", "content", "site", "all", "own", F.posexplode("own").alias("rank", "x")).where(F.regexp_like("x.line", F.lit(r"\p{L}")))
+    short = (F.length("x.line") < spread.min_chars) | (n_words(F.col("x.line")) < spread.min_words)
+    # The first line has no line before it, and is not told from an empty one.
+    before = F.when(F.col("rank") > 0, F.get("own", F.col("rank") - 1)["line"])
+    after = F.get("own", F.col("rank") + 1)["line"]
+    hashes = [F.xxhash64("x.line").alias("line"), F.xxhash64(before).alias("before"), F.xxhash64(after).alias("after")]
+    return out.select("key", "content", "all", F.col("x.at").alias("at"), "rank", F.length("x.line").alias("size"), short.alias("short"), F.coalesce("site", F.lit("")).alias("site"), *hashes)
+
+
+def boilerplate_by_content(counted: DataFrame, spread: Spread) -> DataFrame:
+    """The line hashes that are boilerplate (one column), each document content counted once."""
+    once = counted.groupBy("line", "content").agg(F.min("site").alias("site"), F.first("short").alias("short"))
+    sites = once.groupBy("line", "site").agg(F.count("*").alias("n"), F.first("short").alias("short"))
+    sites = sites.groupBy("line").agg(F.count("*").alias("sites"), F.sum("n").alias("contents"), F.first("short").alias("short"))
+    wide = written(sites.where(F.col("sites") >= F.when(F.col("short"), spread.min_sites_short).otherwise(spread.min_sites)).select("line", "contents"), "widespread")
+    places = counted.join(wide.select("line"), "line", "left_semi").dropDuplicates(["content", "rank"])
+    # Neighbouring widespread lines have one difference of rank and number, and are one run.
+    places = places.withColumn("run", F.col("rank") - F.row_number().over(W.partitionBy("content").orderBy("rank")))
+    run = W.partitionBy("content", "run")
+    mostly = F.sum("size").over(W.partitionBy("content")) * 100 > F.col("all") * spread.max_spread_percent
+    ends = [F.min_by("before", "rank").over(run), F.max_by("after", "rank").over(run)]
+    around = F.when(mostly, F.xxhash64("before", "after")).otherwise(F.xxhash64(*ends))
+    seen = places.select("content", "line", around.alias("around")).groupBy("line", "content").agg(F.min("around").alias("around"))
+    contexts = seen.groupBy("line", "around").agg(F.lit(1).alias("one")).groupBy("line").agg(F.count("*").alias("contexts"))
+    return contexts.join(wide, "line").where(F.col("contexts") * 100 >= F.col("contents") * spread.min_contexts_percent).select("line")
+
+
 def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source", spread: Spread = Spread()) -> DataFrame:
     """All rows and columns of `docs`, boilerplate lines cut from the text, with `n_lines` and `n_removed` added.
 
     A null text stays null with 0 lines; an empty one has one empty line. A null site is a site of its own. Repeated rows
     have equal results. Line breaks (\\n) go with the lines they end. Columns called `n_lines` or `n_removed` are replaced.
     """
-    counted = frequent(lines(docs, doc, text, site, spread), spread)
-    gone = written(boilerplate(counted, spread), "boilerplate")
+    found, judge = (runs_of_lines, boilerplate_by_content) if spread.by_content else (lines, boilerplate)
+    counted = frequent(found(docs, doc, text, site, spread), spread)
+    gone = written(judge(counted, spread), "boilerplate")
     # Rows of a hot line are split by Spark's skew join; the lines themselves are few.
     hits = counted.join(gone, "line").groupBy("key").agg(F.collect_set("at").alias("gone"))
     # The row travels as one value, so that no name of its columns can clash.

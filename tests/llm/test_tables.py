@@ -55,6 +55,33 @@ def test_lines_against_exact_counts(spark):
     assert by_id[200].n_removed == 0 and by_id[1].n_removed == 2 and by_id[340].n_removed == 0 and by_id[350].n_removed == 1 and by_id[902].text == ""
 
 
+def test_blocks_and_copies_in_the_line_stage(spark):
+    own = lambda i: [f"own text of document {i}, line {k}, long enough to outweigh what follows" for k in range(5)]
+    footer = ["The first line of a footer of several.", "The second line of that footer.", "", "Contact us", "The last line of the footer."]
+    page, often = "A line on pages that are copied as a whole.", "Log in"
+    rows = [(i, "\n".join([*own(i), *footer]), f"site{i % 30}") for i in range(60)]
+    # Ten documents, three copies of each, every document on another site.
+    rows += [(100 + 3 * i + k, "\n".join([own(100 + i)[0], page, *own(100 + i)[1:]]), f"site{i}") for i in range(10) for k in range(3)]
+    rows += [(200 + i, "\n".join([own(200 + i)[0], often, *own(200 + i)[1:]]), f"site{i}") for i in range(25)]
+    rows += [(300 + i, "\n".join([own(300 + i)[0], "Few sites", *own(300 + i)[1:]]), f"site{i}") for i in range(10)]
+    # Exact copies on many sites, and near copies with one line of their own.
+    rows += [(400 + i, "\n".join(own(400)), f"site{i}") for i in range(20)]
+    rows += [(500 + i, "\n".join([*own(500)[:2], f"near copy number {i}", *own(500)[2:]]), f"site{i}") for i in range(20)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], schema).repartition(4)
+    got = {r.doc_id: r.text for r in corpus_pipeline.boilerplate(spark, docs, "").collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        left = text.split("\n")
+        gone = {*footer, page, often} - {""}
+        want = "\n".join(p for p in left if p not in gone)
+        if i < 500:
+            assert got[i] == want, i
+        else:
+            # Only the lines beside the edited one have neighbours of their own.
+            assert {*own(500)[:1], f"near copy number {i - 500}", *own(500)[3:]} <= {*got[i].split("\n")}
+
+
 def test_lines_of_odd_rows(odd, odd_rows, no_docs):
     got = line_spread.dedup(odd)
     assert got.count() == len(odd_rows) and got.drop("n_lines", "n_removed").columns == odd.columns
