@@ -5,13 +5,17 @@ they hold. Every block of text gives points for its length and commas to its con
 ancestor and a third to the one above; points of a container shrink with the share of its text inside links. The best
 container (or the article around it) and the siblings that look like text are kept, whole and in page order.
 
+Words of class or id are weaker signs: the page is read with such elements first, and again without those that hold neither
+the main element, nor the article with most points, nor (where nothing else looks like content) most points of the page.
+
 A page is one row: work and memory follow the longest page, nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -61,6 +65,10 @@ NEUTRAL_BEFORE = frozenset("has no with without".split())
 CONTENT_WORDS = frozenset("article content entry main post story text body".split())
 BONUS = 25.0
 
+#: The open elements that a start tag ends; elements that such a search does not go beyond.
+ENDS = {tag: [k for k, by in ENDED_BY.items() if tag in by] for tag in frozenset().union(*ENDED_BY.values())}
+BARRIERS = (*SCOPE["p"], *SCOPE["li"], "dl")
+
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)} if text.strip(" /") else {}
@@ -78,10 +86,17 @@ def _names(value: str) -> set[str]:
 class Page:
     """Elements of a page (parallel lists) and its text pieces in order; a piece None ends a block."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, without: frozenset[int] = frozenset()):
+        """`without`: numbers of elements to hide."""
         self.tags, self.parents, self.bonus, self.starts, self.ends = ["#"], [-1], [0.0], [0], [0]
         self.pieces: list[tuple[int, str | None, bool]] = []
         self._open, self._hidden, self._links = [0], -1, 0
+        #: Depths of the open elements by tag.
+        self._at: dict[str, list[int]] = defaultdict(list)
+        self._without = without
+        #: Elements with a left-out word; main elements and articles, and whether they are more than an article.
+        self.doubtful: set[int] = set()
+        self.mains: dict[int, bool] = {}
         self._read(html)
         self.ends[0] = len(self.pieces)
 
@@ -116,13 +131,9 @@ class Page:
             self.pieces.append((self._open[-1], None, False))
 
     def _start(self, tag: str, attributes: dict[str, str]) -> None:
-        for i in range(len(self._open) - 1, max(0, len(self._open) - 200), -1):
-            kind = self.tags[self._open[i]]
-            if tag in ENDED_BY.get(kind, ()):
-                self._close_to(i)
-                break
-            if kind in SCOPE["p"] or kind in SCOPE["li"] or kind == "dl":
-                break
+        if ended := self._depth(ENDS.get(tag, ())):
+            if ended >= self._depth(BARRIERS):
+                self._close_to(ended)
         if tag == "br":
             self._text(" ")
         if tag in BLOCK:
@@ -138,25 +149,28 @@ class Page:
         self.bonus.append(BONUS if main or tag in BLOCK and words & CONTENT_WORDS else 0.0)
         self.starts.append(len(self.pieces))
         self.ends.append(-1)
+        self._at[tag].append(len(self._open))
         self._open.append(node)
         self._links += tag == "a"
         style = attributes.get("style", "").replace(" ", "").lower()
         unseen = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style
-        unwanted = tag in LEFT_OUT and not (tag == "header" and self._within("article"))
-        unwanted |= role in LEFT_OUT_ROLES or bool(words & LEFT_OUT_WORDS) and not main and tag not in ("body", "html")
-        if self._hidden < 0 and (unseen or unwanted):
+        unwanted = tag in LEFT_OUT and not (tag == "header" and self._at["article"]) or role in LEFT_OUT_ROLES
+        if words & LEFT_OUT_WORDS and not main and tag not in ("body", "html"):
+            self.doubtful.add(node)
+        elif main and not words & LEFT_OUT_WORDS:
+            self.mains[node] = not (tag == "article" or role == "article") or attributes.get("itemprop") == "articleBody"
+        if self._hidden < 0 and (unseen or unwanted or node in self._without):
             self._hidden = len(self._open) - 1
 
-    def _within(self, tag: str) -> bool:
-        return any(self.tags[i] == tag for i in self._open[-30:])
+    def _depth(self, tags: Iterable[str]) -> int:
+        """Depth of the innermost open element of some tags, 0 without any."""
+        return max((self._at[t][-1] for t in tags if self._at.get(t)), default=0)
 
     def _end(self, tag: str) -> None:
         if tag in ("body", "html"):
             return
-        for i in range(len(self._open) - 1, 0, -1):
-            if self.tags[self._open[i]] == tag:
-                self._close_to(i)
-                return
+        if at := self._depth((tag,)):
+            self._close_to(at)
 
     def _close_to(self, depth: int) -> None:
         while len(self._open) > depth:
@@ -164,6 +178,7 @@ class Page:
             if self.tags[node] in BLOCK:
                 self._boundary()
             self._open.pop()
+            self._at[self.tags[node]].pop()
             self._links -= self.tags[node] == "a"
             self.ends[node] = len(self.pieces)
             if self._hidden >= len(self._open):
@@ -183,6 +198,33 @@ class Page:
                     yield node, joined, linked
                 parts, linked = [], 0
 
+    def left_out(self) -> frozenset[int]:
+        """The doubtful elements that do not hold the article."""
+        n = len(self.tags)
+        points = [0.0] * n
+        for node, text, link in self.blocks(0, len(self.pieces)):
+            points[node] += (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - min(1.0, link / len(text)))
+        for i in range(n - 1, 0, -1):
+            points[self.parents[i]] += points[i]
+        articles = [i for i, more in self.mains.items() if not more and points[i]]
+        holders = {max(articles, key=lambda i: (points[i], -i))} if articles else set()
+        holders |= {i for i, more in self.mains.items() if more and points[i]}
+        holds = [i in holders for i in range(n)]
+        for i in range(n - 1, 0, -1):
+            holds[self.parents[i]] |= holds[i]
+        # For each element the doubtful one around it (or itself), and content known in that and outside of it.
+        around, known, out = [0] * n, [0] * n, set()
+        for i in range(1, n):
+            around[i] = i if i in self.doubtful else around[self.parents[i]]
+            known[around[i]] += self.bonus[i] > 0 and points[i] > 0 and i not in self.doubtful
+        outside = [0] * n
+        for i in range(1, n):
+            up = around[self.parents[i]]
+            outside[i] = outside[up] + known[up] if i in self.doubtful else 0
+            if i in self.doubtful and not holds[i] and (outside[i] or 2 * points[i] <= points[0]):
+                out.add(i)
+        return frozenset(out)
+
     def _container(self, node: int) -> int:
         """The element that a block of text gives its points to."""
         while node and self.tags[node] not in BLOCK:
@@ -238,7 +280,11 @@ class Page:
 
 def main_text(html: str | None) -> str:
     """The article of a page: character references decoded, white space inside a block one space, blocks joined by \\n."""
-    return Page(html).main_text() if html else ""
+    if not html:
+        return ""
+    page = Page(html)
+    out = page.left_out() if page.doubtful else None
+    return out and Page(html, out).main_text() or page.main_text()
 
 
 def extract(pages: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), html: str = "html") -> DataFrame:

@@ -118,6 +118,25 @@ PAGES = {
 }
 
 
+BODY = "<p>A first paragraph, with commas, and more, that goes on.</p><p>A second paragraph, with commas.</p>"
+TEXT = "A first paragraph, with commas, and more, that goes on.\nA second paragraph, with commas."
+WRAPPED = {
+    f"<div class='content-sidebar-wrap'><main>{BODY}</main><div class=sidebar><p>Other, things.</p></div></div>": TEXT,
+    f"<div class='layout sidebar-right'><div><div class=content>{BODY}</div></div></div><div class=promo>Buy, now.</div>": TEXT,
+    f"<div id='page' class='site cookies-not-set'><article>{BODY}</article><div class=related><article><p>A card, short.</p></article></div></div>": TEXT,
+    f"<div class=content>{BODY}</div><div class=comments>{BODY * 5}</div>": TEXT,
+    f"<article>{BODY}</article><div id=comments><article class=comment>{BODY * 5}</article></div>": TEXT,
+    "<div class='cookie-notice'>We use cookies.</div>": "We use cookies.",
+    f"<article>{'<div>' * 40}<header><h1>Title</h1></header>{BODY}": f"Title\n{TEXT}",
+    f"<article><ul><li>a{'<i>' * 300}b<li>c</ul></article>": "ab\nc",
+}
+
+
+@pytest.mark.parametrize("html", WRAPPED)
+def test_layout_words_do_not_hide_the_article(html):
+    assert html_text.main_text(html) == WRAPPED[html]
+
+
 @pytest.mark.parametrize("html", PAGES)
 def test_main_text(html):
     assert html_text.main_text(html) == PAGES[html]
