@@ -34,7 +34,8 @@ PARTS = {
 ENDINGS = {"latin_m": "", "latin_f": "", "cyrillic_m": "ов", "cyrillic_f": "ова"}
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAME = r"\p{Lu}[\p{L}'’-]+"
+#: A word of a name, without the s of a possessive.
+_NAME = r"\p{Lu}(?:\p{L}|['’-](?!s(?!\p{L}))(?=\p{L}))+"
 _TITLE = "(?:" + "|".join(MALE + FEMALE) + r")\.?"
 #: Kind, pattern, what may not or must stand before and after. The first that fits counts.
 KINDS = [
@@ -51,7 +52,7 @@ KINDS = [
         r"(?<![A-Za-z0-9+/_-])(?<=(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)",
         "",
     ),
-    ("name", rf"{_TITLE} {_NAME}(?: {_NAME})?", r"(?<![\p{L}\p{N}])", ""),
+    ("name", rf"{_TITLE} (?:(?:\p{{Lu}}\.|{_NAME}) )*{_NAME}", r"(?<![\p{L}\p{N}])", ""),
 ]
 #: A text without any of these holds no entity.
 HINT = rf"[0-9@]|AKIA|ASIA|sk-|gh[pousr]_|(?<!\p{{L}}){_TITLE} \p{{Lu}}"
@@ -113,17 +114,20 @@ def _alike(text: str, shift: int = 0, h: str = "h", letters: int = 26) -> str:
     return f"IF(length({text}) = 0, '', array_join(transform(sequence(1, greatest(1, length({text}))), i -> {each}), ''))"
 
 
-def replacement(key: str) -> Column:
-    """Replacement in canonical form, from columns kind, canon and attempt."""
+def replacement(key: str, shared: str = "0") -> Column:
+    """Replacement in canonical form, from columns kind, canon and attempt; `shared` is the attempt of its family name or domain."""
 
-    def hashed(what: str) -> str:
-        parts = f"concat_ws('|', '{key}', kind, {what}, cast(attempt AS string)"
+    def hashed(what: str, attempt: str = "attempt") -> str:
+        parts = f"concat_ws('|', '{key}', kind, {what}, cast({attempt} AS string)"
         return f"concat(sha2({parts}, '0'), 256), sha2({parts}, '1'), 256))"
 
     h = hashed("canon")
     domain, local = "substring_index(canon, '@', -1)", "substring_index(canon, '@', 1)"
     labels = f"substring({domain}, 1, length({domain}) - length(substring_index({domain}, '.', -1)) - 1)"
-    email = f"concat({_alike(local)}, '@', {_alike(labels, 0, 'dh')}, '.example')"
+    # Short parts have few replacements; late attempts are longer.
+    more = {h: "concat(" + ", ".join(f"char(97 + {_byte(str(k), h)} % 26)" for k in range(50, 56)) + ")" for h in ("h", "dh")}
+    longer = {h: f"IF({a} < 6, '', {more[h]})" for h, a in (("h", "attempt"), ("dh", shared))}
+    email = f"concat({_alike(local)}, {longer['h']}, '@', {_alike(labels, 0, 'dh')}, {longer['dh']}, '.example')"
     ip = "concat_ws('.', '10', " + ", ".join(f"cast({_byte(str(k))} AS string)" for k in range(3)) + ")"
     body = f"concat(substring(canon, 1, 1), substring({_alike('canon')}, 2, length(canon) - 2))"
     card = f"concat({body}, cast((10 - {luhn_sum(f'concat({body}, 0)')} % 10) % 10 AS string))"
@@ -150,7 +154,7 @@ def replacement(key: str) -> Column:
     kinds = {"email": email, "ip": ip, "card": card, "phone": phone, "ssn": ssn, "iban": iban, "secret": secret, "name": name}
     whole = "CASE kind " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in kinds.items()) + " END"
     # The hashes are bound once, as variables of a function over a one-element array.
-    return F.expr(f"element_at(transform(array(struct({h} AS h, {hashed(domain)} AS dh, {hashed(family)} AS fh)), v -> {_bound(whole)}), 1)")
+    return F.expr(f"element_at(transform(array(struct({h} AS h, {hashed(domain, shared)} AS dh, {hashed(family, shared)} AS fh)), v -> {_bound(whole)}), 1)")
 
 
 def _bound(sql: str) -> str:
@@ -159,20 +163,36 @@ def _bound(sql: str) -> str:
     return sql
 
 
-def distinct_replacements(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canon, made): one replacement for each entity, none shared, none an entity itself."""
-    base = written(entities.groupBy("kind", "canon").agg(F.lit(0).alias("attempt")), "entities")
+def _settled(base: DataFrame, made: Column) -> DataFrame:
+    """`base` with attempt and made, as soon as no two rows of a kind (and title) share one and none is real."""
+    title = F.when(F.col("kind") == "name", F.substring("canon", 1, 2)).otherwise("").alias("title")
     now = base
     while True:
-        now = written(now.withColumn("made", replacement(key)), "replacements")
-        shared = now.groupBy("kind", "made").agg(F.min("canon").alias("first"), F.count("*").alias("n")).where("n > 1").select("kind", "made", "first")
+        now = written(now.withColumn("made", made), "replacements")
+        shared = now.groupBy("kind", title, "made").agg(F.min("canon").alias("first"), F.count("*").alias("n")).where("n > 1").select("kind", "title", "made", "first")
         real = base.select("kind", F.when(F.col("kind") == "name", F.substring("canon", 3, 1 << 30)).otherwise(F.col("canon")).alias("made"), F.lit(True).alias("real")).distinct()
-        judged = now.join(shared, ["kind", "made"], "left").join(real, ["kind", "made"], "left")
+        judged = now.select("*", title).join(shared, ["kind", "title", "made"], "left").join(real, ["kind", "made"], "left")
         again = F.coalesce("real", F.lit(False)) | F.coalesce(F.col("first") != F.col("canon"), F.lit(False))
-        judged = judged.select("kind", "canon", "attempt", "made", again.alias("again"))
+        judged = written(judged.select(*now.columns, again.alias("again")), "judged")
         if judged.where("again").isEmpty():
-            return now.select("kind", "canon", "made")
-        now = judged.select("kind", "canon", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+            return now
+        now = judged.withColumn("attempt", F.col("attempt") + F.col("again").cast("int")).select(*base.columns)
+
+
+def distinct_replacements(entities: DataFrame, key: str) -> DataFrame:
+    """(kind, canon, made): one replacement for each entity, none shared (but by titles, which stay), none an entity itself.
+
+    Family names and domains are settled first, by themselves: whoever shares one goes on sharing it.
+    """
+    base = entities.groupBy("kind", "canon").agg(F.lit(0).alias("attempt"))
+    last = F.when(F.col("kind") == "name", F.concat(F.lit("m|"), F.substring_index(F.substring("canon", 3, 1 << 30), " ", -1))).when(F.col("kind") == "email", F.concat(F.lit("x@"), F.substring_index("canon", "@", -1)))
+    base = written(base.withColumn("part", last), "entities")
+    parts = base.where("part IS NOT NULL").select("kind", F.col("part").alias("canon")).distinct().withColumn("attempt", F.lit(0))
+    # All domains are judged by themselves: the part before the @ is the same for all.
+    alone = F.when(F.col("kind") == "email", F.concat(F.lit("x@"), F.substring_index(replacement(key, "attempt"), "@", -1))).otherwise(replacement(key, "attempt"))
+    settled = _settled(written(parts, "shared-parts"), alone).select("kind", F.col("canon").alias("part"), F.col("attempt").alias("part_attempt"))
+    base = base.join(settled, ["kind", "part"], "left").select("kind", "canon", "attempt", F.coalesce("part_attempt", F.lit(0)).alias("part_attempt"))
+    return _settled(written(base, "entities"), replacement(key, "part_attempt")).select("kind", "canon", "made")
 
 
 def poured(kind: Column, entity: Column, made: Column) -> Column:

@@ -214,6 +214,19 @@ def test_colliding_replacements_are_made_anew(spark):
     same(surrogates.distinct_replacements(entities, "k"), [tuple(r) for r in made])
 
 
+def test_family_names_and_domains_stay_shared(spark):
+    given = [f"{a}{b}" for a in "Ab Ce Di Fo Gu".split() for b in "ra ne li mo tu ka".split()]
+    texts = [f"Mr {g} Smith wrote from {g.lower()}@mail.test." for g in given]
+    texts += ["Mr Smith met Mrs Smith.", "Mr Smith's car.", "Mr John Fitzgerald Smith left.", "Mr J. Smith left.", "a@x.test b@x.test"]
+    new = {r.doc_id: r.text for r in surrogates.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    n = len(given)
+    family = re.match(r"Mr (\w+) met Mrs (\w+)\.", new[n]).groups()
+    assert family[0] == family[1] != "Smith" and new[n + 1] == f"Mr {family[0]}'s car."
+    people = [re.match(r"Mr (\w+) (\w+) wrote from \w+@(\S+)\.$", new[i]).groups() for i in range(n)]
+    assert {f for _, f, _ in people} == {family[0]} and len({g for g, _, _ in people}) == n and len({d for _, _, d in people}) == 1
+    assert all(re.fullmatch(rf"Mr \w+ {family[0]} left\.", new[n + k]) for k in (2, 3))
+
+
 def test_surrogates_of_odd_rows(odd, odd_rows, no_docs):
     got = surrogates.replace_entities(odd)
     assert got.columns == [*odd.columns, "n_entities"]
