@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabweave.llm import decontaminate, html_text, jaccard_join, line_spread, mixing, quality_rules, substring_dedup, suffix_dedup, surrogates, token_counts
+from tabweave.llm import decontaminate, html_text, jaccard_join, line_spread, mixing, pieces, quality_rules, substring_dedup, suffix_dedup, surrogates, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL, "op4_source_mix": mixing.SQL}
@@ -77,3 +78,11 @@ def op8_benchmark_leaks(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_surrogates(spark: SparkSession, sf: str) -> DataFrame:
     return surrogates.replace_entities(read(spark, sf, "documents")).select("doc_id", "text", "n_entities")
+
+
+@query
+def op13_piece_ids(spark: SparkSession, sf: str) -> DataFrame:
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    found = pieces.decode(pieces.encode(read(spark, sf, "documents"), model).withColumn("copy", F.col("ids")), model, ids="copy")
+    digest = F.sha2(F.array_join("ids", ","), 256)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
