@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm import decontaminate, filter_audit, html_text, jaccard_join, line_spread, mixing, pieces, quality_rules, substring_dedup, suffix_dedup, surrogates, token_counts
+from tabweave.llm import decontaminate, filter_audit, html_text, jaccard_join, line_spread, mixing, pieces, quality_rules, ranked_search, substring_dedup, suffix_dedup, surrogates, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL, "op4_source_mix": mixing.SQL, "op12_filter_audit": filter_audit.SQL}
+SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL, "op4_source_mix": mixing.SQL, "op11_ranked_search": ranked_search.SQL, "op12_filter_audit": filter_audit.SQL}
 
 
 def query(fn):
@@ -83,7 +83,7 @@ def op9_surrogates(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op13_piece_ids(spark: SparkSession, sf: str) -> DataFrame:
     model = str(public_tokenizers.path("piece_bpe_32k.model"))
-    found = pieces.decode(pieces.encode(read(spark, sf, "documents"), model).withColumn("copy", F.col("ids")), model, ids="copy")
+    found = pieces.encode(read(spark, sf, "documents"), model, decoded="decoded")
     digest = F.sha2(F.array_join("ids", ","), 256)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -91,3 +91,11 @@ def op13_piece_ids(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.interactions(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    counted = ranked_search.totals(docs)
+    index = ranked_search.write_index(ranked_search.build(docs, counted=counted))
+    return ranked_search.search(index, read(spark, sf, "benchmark"), counted[0]).select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
