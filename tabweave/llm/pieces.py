@@ -14,9 +14,10 @@ short parts are kept in a bounded table of the worker.
 
 from __future__ import annotations
 
-import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, groupby
 from pathlib import Path
 
 import ahocorasick
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-CACHE = 1 << 17
+CACHE = 1 << 18
 LONGEST = 48
 NEVER = float("inf")
 #: Rows whose ids are handed over at once hold about so many ids.
@@ -49,29 +50,30 @@ class Pieces:
         self.prefix = SPACE if rule.add_dummy_prefix else ""
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == 1}
         self.rank = {p.piece: -p.score for p in proto.pieces if p.type == 1}
-        self.byte_ids = [i for i, p in enumerate(proto.pieces) if p.type == 6]
-        self.byte_of = {i: int(proto.pieces[i].piece[3:5], 16) for i in self.byte_ids}
+        self.byte_of = {i: int(p.piece[3:5], 16) for i, p in enumerate(proto.pieces) if p.type == 6}
+        self.silent = {i for i, p in enumerate(proto.pieces) if p.type == 3}
         self.id_of_byte = {b: i for i, b in self.byte_of.items()}
         if len(self.id_of_byte) != 256:
             raise ValueError("the model has no piece for some bytes")
-        self.unknown = {i for i, p in enumerate(proto.pieces) if p.type == 2}
-        self.unknown_text = trained.unk_surface
-        self.texts = ["" if p.type == 3 else p.piece.replace(SPACE, " ") for p in proto.pieces]
-        self.raw = ["" if p.type == 3 else p.piece for p in proto.pieces]
+        text = {1: lambda p: p.replace(SPACE, " ").encode(), 2: lambda p: trained.unk_surface.encode(), 3: lambda p: b"", 6: lambda p: bytes([int(p[3:5], 16)])}
+        self.bytes = [text[p.type](p.piece) for p in proto.pieces]
         self.number = {i: p for p, i in self.ids.items()}
         self._steps: dict[str, tuple | None] = {}
         whole = {p: i for p, i in self.ids.items() if self.steps(p) is not None} if stable is None else {self.number[i]: i for i in stable}
         self.stable = list(whole.values())
         self._steps.clear()
-        #: Neighbours inside some piece; no merge crosses any others.
-        self.pairs = {p[i : i + 2] for p in whole for i in range(len(p) - 1)}
+        pairs = {pair for p in whole for pair in zip(p, p[1:])}
+        letters = sorted({c for pair in pairs for c in pair})
+        #: A number for each character that has a neighbour in some piece, and which of them are neighbours there.
+        self.letter = np.zeros(sys.maxunicode + 1, np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.joined = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        for x, y in pairs:
+            self.joined[self.letter[ord(x)], self.letter[ord(y)]] = True
         self.automaton = ahocorasick.Automaton()
         for p, i in whole.items():
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
-        by_words = not any(p[1] == SPACE != p[0] for p in self.pairs)
-        alone = re.escape("".join(c for c in "\n\r\t\v\f" if c not in self.ids))
-        self.split = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]+" if by_words and alone else "[\\s\\S]+").findall
         self._fits: dict[int, bool] = {}
         self._new: dict[str, tuple[int, ...]] = {}
         self._old: dict[str, tuple[int, ...]] = {}
@@ -126,7 +128,7 @@ class Pieces:
                 pair = before << 32 | token
                 good = fits.get(pair)
                 if good is None:
-                    if len(fits) >= 4 * CACHE:
+                    if len(fits) >= CACHE:
                         fits.clear()
                     good = fits[pair] = self._stay(before, token)
                 if not good:
@@ -149,14 +151,6 @@ class Pieces:
         out.reverse()
         return out
 
-    def _remembered(self, part: str) -> tuple[int, ...] | None:
-        ids = self._new.get(part)
-        if ids is None:
-            ids = self._old.get(part)
-            if ids is not None:
-                self._remember(part, ids)
-        return ids
-
     def _remember(self, part: str, ids: tuple[int, ...]) -> None:
         if len(part) <= LONGEST:
             if len(self._new) >= CACHE:
@@ -164,63 +158,39 @@ class Pieces:
             self._new[part] = ids
 
     def _missed(self, part: str) -> tuple[int, ...]:
-        """Ids of a part that is not remembered, from those of pieces of it that no merge joins."""
-        ids = self._old.get(part)
-        if ids is None:
-            pairs = self.pairs
-            cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in pairs]
-            if cuts:
-                found: list[int] = []
-                for a, b in zip([0, *cuts], [*cuts, len(part)]):
-                    own = self._remembered(part[a:b])
-                    if own is None:
-                        own = tuple(self.part_ids(part[a:b]))
-                        self._remember(part[a:b], own)
-                    found += own
-                ids = tuple(found)
-            else:
-                ids = tuple(self.part_ids(part))
+        ids = self._new.get(part) or self._old.get(part) or tuple(self.part_ids(part))
         self._remember(part, ids)
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text as the library gives them, without begin or end."""
+    def parts(self, text: str) -> list[str]:
+        """The text cut where no merge can join what stands on both sides."""
         if not text:
             return []
-        out: list[int] = []
-        for part in self.split(self.prefix + text.replace(" ", SPACE)):
-            out += self._new.get(part) or self._missed(part)
-        return out
+        letter = self.letter[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        cut = (np.flatnonzero(~self.joined[letter[:-1], letter[1:]]) + 1).tolist()
+        return [text[a:b] for a, b in zip([0, *cut], [*cut, len(text)])]
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text as the library gives them, without begin or end."""
+        parts = self.parts(self.prefix + text.replace(" ", SPACE) if text else "")
+        found = list(map(self._new.get, parts))
+        if None in found:
+            found = [self._missed(part) if ids is None else ids for part, ids in zip(parts, found)]
+        return np.fromiter(chain.from_iterable(found), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids as the library gives it: one leading space goes, bytes are put together, broken ones replaced."""
-        if not ids:
-            return ""
-        if not self.prefix:
-            first = 0
-        else:
-            first = next((k for k, i in enumerate(ids) if self.raw[i]), len(ids))
-        if self.byte_of.keys().isdisjoint(ids) and self.unknown.isdisjoint(ids):
-            text = "".join(map(self.texts.__getitem__, ids))
-            return text[1:] if self.prefix and first < len(ids) and self.raw[ids[first]].startswith(SPACE) else text
-        out, run, stripped = [], bytearray(), not self.prefix
-        for i in ids:
-            if i in self.byte_of:
-                run.append(self.byte_of[i])
-                continue
-            if run:
-                out.append(from_bytes(bytes(run)))
-                run.clear()
-                stripped = True
-            piece = self.unknown_text if i in self.unknown else self.texts[i]
-            if not stripped and i not in self.unknown and piece:
-                piece, stripped = (piece[1:] if self.raw[i].startswith(SPACE) else piece), True
-            elif piece:
-                stripped = True
-            out.append(piece)
-        if run:
-            out.append(from_bytes(bytes(run)))
-        return "".join(out)
+        first = next((i for i in ids if self.bytes[i]), None)
+        space = self.prefix and first in self.number and self.number[first].startswith(SPACE)
+        try:
+            if not self.silent.isdisjoint(ids):
+                raise ValueError
+            # A piece begins with the first byte of a character, so the whole is sound if each run of bytes is.
+            return b"".join(map(self.bytes.__getitem__, ids)).decode()[bool(space) :]
+        except ValueError:
+            # A piece without a text ends a run of bytes, too.
+            out = [from_bytes(b"".join(map(self.bytes.__getitem__, run))) for _, run in groupby(ids, self.byte_of.__contains__)]
+            return "".join(out)[bool(space) :]
 
 
 def from_bytes(run: bytes) -> str:
@@ -252,18 +222,19 @@ def _schema(table: DataFrame, more: str) -> str:
     return ", ".join([*[f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in table.schema.fields], more])
 
 
-def encode(docs: DataFrame, model: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """Key columns of every row with `ids`, the ids of its whole text.
+def encode(docs: DataFrame, model: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text", decoded: str | None = None) -> DataFrame:
+    """Key columns of every row with `ids`, the ids of its whole text, and on demand a column with the text of these ids.
 
     model: path of a SentencePiece model on the driver, a BPE with byte fallback and without normalisation (else
-    ValueError); its content is broadcast. No begin or end ids and no sampling. A null or empty text has no ids. Each row is
-    encoded by itself, repeated ones alike; other columns are not read. A very long text takes memory in proportion to it.
+    ValueError); its content is broadcast. No begin or end ids and no sampling. A null or empty text has no ids and decodes
+    to an empty text. Each row is encoded by itself, repeated ones alike; other columns are not read. A very long text takes
+    memory in proportion to it.
     """
     content = Path(model).read_bytes()
     shared = docs.sparkSession.sparkContext.broadcast((content, tuple(_pieces(content).stable)))
     source = docs.select(*[docs[k] for k in keys], docs[text].cast("string").alias("_text"))
     head = source.select(*[source[k] for k in keys])
-    names = [*keys, "ids"]
+    names = [*keys, "ids", *([decoded] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(*shared.value)
@@ -272,12 +243,13 @@ def encode(docs: DataFrame, model: str, keys: tuple[str, ...] = ("doc_id",), tex
             own = batch.slice(first, len(found))
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
             values = np.concatenate([np.zeros(0, np.int32), *found])
-            return pa.RecordBatch.from_arrays([*[own.column(i) for i in range(len(keys))], pa.ListArray.from_arrays(offsets, values)], names=names)
+            more = [pa.array([pieces.decode(x.tolist()) for x in found], pa.string())] if decoded else []
+            return pa.RecordBatch.from_arrays([*[own.column(i) for i in range(len(keys))], pa.ListArray.from_arrays(offsets, values), *more], names=names)
 
         for batch in batches:
             first, size, found = 0, 0, []
             for cell in batch.column(len(keys)):
-                found.append(np.array(pieces.encode(cell.as_py() or ""), np.int32))
+                found.append(pieces.encode(cell.as_py() or ""))
                 size += len(found[-1])
                 if size >= BATCH_IDS:
                     yield rows(batch, first, found)
@@ -285,7 +257,7 @@ def encode(docs: DataFrame, model: str, keys: tuple[str, ...] = ("doc_id",), tex
             if found:
                 yield rows(batch, first, found)
 
-    return source.mapInArrow(run, _schema(head, "ids array<int>"))
+    return source.mapInArrow(run, _schema(head, f"ids array<int>, `{decoded}` string" if decoded else "ids array<int>"))
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
