@@ -16,6 +16,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,8 +77,22 @@ class Leaf:
     shares: list[float]
 
 
-def model_leaves(model: Any, target_class: int = 1) -> list[Leaf]:
-    """Leaves of a Spark tree ensemble, scaled so that their sum is the model output.
+@dataclass
+class Tree:
+    """Nodes of one tree by number, the root first: feature, threshold or left categories (and how many there are), children, value, cover share of the parent."""
+
+    features: list[int]
+    cuts: list[float]
+    chosen: list[frozenset[int] | None]
+    arity: list[int]
+    left: list[int]
+    right: list[int]
+    values: list[float]
+    shares: list[float]
+
+
+def model_trees(model: Any, target_class: int = 1) -> list[Tree]:
+    """Trees of a Spark tree ensemble, scaled so that their sum is the model output.
 
     The node table is read from the saved model; its size is the size of the model.
     Boosted classifiers give the margin, forests the class probability or the mean.
@@ -86,19 +101,49 @@ def model_leaves(model: Any, target_class: int = 1) -> list[Leaf]:
     path = fresh_dir(spark, "trees")
     model.save(path)
     stored = spark.read.parquet(f"{path}/data")
-    trees: dict[int, dict[int, Any]] = {}
     single = "treeID" not in stored.columns
     nodes = stored.select(F.lit(0).alias("treeID"), F.struct(*stored.columns).alias("nodeData")) if single else stored
+    by_tree: dict[int, dict[int, Any]] = {}
     for r in nodes.collect():
-        trees.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
+        by_tree.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
     names = type(model).__name__
     boosted = names.startswith("GBT")
     classifies = "Classification" in names and not boosted
-    weights = list(getattr(model, "treeWeights", [1.0] * len(trees)))
+    weights = list(getattr(model, "treeWeights", [1.0] * len(by_tree)))
+    return [_tree(by_tree[t], weights[t] if boosted else 1.0 / len(by_tree), classifies, target_class) for t in sorted(by_tree)]
+
+
+def _tree(nodes: dict[int, Any], scale: float, classifies: bool, target: int) -> Tree:
+    place = {n: i for i, n in enumerate(sorted(nodes))}
+    out = Tree([], [], [], [], [], [], [], [1.0] * len(nodes))
+    for n in sorted(nodes):
+        node, split = nodes[n], nodes[n]["split"]
+        inner = node["leftChild"] >= 0
+        by_set = inner and split["numCategories"] >= 0
+        stats = node["impurityStats"]
+        value = (stats[target] / sum(stats) if sum(stats) else 0.0) if classifies else node["prediction"]
+        out.features.append(split["featureIndex"] if inner else -1)
+        out.cuts.append(split["leftCategoriesOrThreshold"][0] if inner and not by_set else math.nan)
+        out.chosen.append(frozenset(int(c) for c in split["leftCategoriesOrThreshold"]) if by_set else None)
+        out.arity.append(split["numCategories"] if by_set else 0)
+        out.values.append(scale * value)
+        for side, children in (("leftChild", out.left), ("rightChild", out.right)):
+            children.append(place[node[side]] if inner else -1)
+            if inner:
+                out.shares[place[node[side]]] = nodes[node[side]]["rawCount"] / node["rawCount"] if node["rawCount"] else 0.0
+    return out
+
+
+def model_leaves(model: Any, target_class: int = 1) -> list[Leaf]:
+    """Leaves of a Spark tree ensemble, scaled so that their sum is the model output."""
+    return tree_leaves(model_trees(model, target_class))
+
+
+def tree_leaves(trees: Sequence[Tree]) -> list[Leaf]:
+    """The leaves of all trees with what their paths ask of each feature."""
     out: list[Leaf] = []
-    for t in sorted(trees):
-        scale = weights[t] if boosted else 1.0 / len(trees)
-        _walk(trees[t], trees[t][0], {}, scale, classifies, target_class, out)
+    for t in trees:
+        _walk(t, 0, {}, out)
     return out
 
 
@@ -108,137 +153,212 @@ def _session():
     return SparkSession.getActiveSession()
 
 
-def _walk(nodes, node, path, scale, classifies, target, out) -> None:
-    if node["leftChild"] < 0:
-        if classifies:
-            stats = node["impurityStats"]
-            value = stats[target] / sum(stats) if sum(stats) else 0.0
-        else:
-            value = node["prediction"]
+def _walk(t: Tree, i: int, path: dict[int, tuple], out: list[Leaf]) -> None:
+    f = t.features[i]
+    if f < 0:
         fs = sorted(path)
-        out.append(
-            Leaf(
-                scale * value,
-                fs,
-                [path[f][0] for f in fs],
-                [path[f][1] for f in fs],
-                [path[f][2] for f in fs],
-                [path[f][3] for f in fs],
-            )
-        )
+        out.append(Leaf(t.values[i], fs, *[[path[g][k] for g in fs] for k in range(4)]))
         return
-    split = node["split"]
-    f, cut, arity = split["featureIndex"], split["leftCategoriesOrThreshold"], split["numCategories"]
-    for child_id, left in ((node["leftChild"], True), (node["rightChild"], False)):
-        child = nodes[child_id]
+    for child, left in ((t.left[i], True), (t.right[i], False)):
         lo, hi, accepted, share = path.get(f, (-math.inf, math.inf, None, 1.0))
-        if arity < 0:
-            lo, hi = (lo, min(hi, cut[0])) if left else (max(lo, cut[0]), hi)
+        if t.chosen[i] is None:
+            lo, hi = (lo, min(hi, t.cuts[i])) if left else (max(lo, t.cuts[i]), hi)
         else:
-            chosen = frozenset(int(c) for c in cut)
-            side = chosen if left else frozenset(range(arity)) - chosen
+            side = t.chosen[i] if left else frozenset([*range(t.arity[i]), OTHER]) - t.chosen[i]
             accepted = side if accepted is None else accepted & side
-        share *= child["rawCount"] / node["rawCount"] if node["rawCount"] else 0.0
-        _walk(nodes, child, {**path, f: (lo, hi, accepted, share)}, scale, classifies, target, out)
+        _walk(t, child, {**path, f: (lo, hi, accepted, share * t.shares[child])}, out)
 
 
-def leaf_shares(o: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Shapley shares of the game prod_j (in S ? o_j : z_j), one row of ``o`` per case.
+#: Every value that is none of a feature's categories; it goes right at each split.
+OTHER = -1
+#: Bytes of the table of all cells of an ensemble, which is broadcast, and additions for it, up to which it is made.
+GRID_BYTES, GRID_STEPS = 64 << 20, 1 << 31
+#: Rows whose paths are walked at once; the memory of a walk is this times the depth, however many nodes there are.
+WALK_ROWS = 4096
 
-    The sum over coalitions of one size is a coefficient of prod_(j != i) (z_j + o_j t).
-    """
-    cases, d = o.shape
-    size_weight = np.array([math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)])
-    phi = np.empty((cases, d))
-    for i in range(d):
-        poly = np.zeros((cases, d))
-        poly[:, 0] = 1.0
-        for j in range(d):
-            if j != i:
-                poly[:, 1:] = poly[:, 1:] * z[j] + poly[:, :-1] * o[:, [j]]
-                poly[:, 0] *= z[j]
-        phi[:, i] = (o[:, i] - z[i]) * (poly @ size_weight)
-    return phi
-
-
-#: Conditions on the path of a leaf up to which all patterns of them get a table, and bytes of tables kept in a task.
-TABLE_CONDITIONS, TABLE_BYTES = 10, 64 << 20
-
-
-class TreeShares:
-    """Path-dependent attributions of an ensemble, for batch after batch of rows.
-
-    A condition (feature, interval) is tested once per batch, however many leaves have it. The pattern
-    of conditions that a row meets on the path of a leaf is a number, and what the leaf gives to its
-    features is looked up by that number in a table that is made once and kept while there is room.
+
+def _cells(leaves: Sequence[tuple]) -> dict[int, np.ndarray]:
+    """Upper ends of the cells of each feature that a leaf asks for; the last cell is open and holds NaN, too."""
+    ends: dict[int, set[float]] = {}
+    for _, features, lows, highs, accepted, _ in leaves:
+        for f, lo, hi, some in zip(features, lows, highs, accepted):
+            own = ends.setdefault(f, set())
+            own.update(v for v in (lo, hi) if math.isfinite(v))
+            # A category is a cell of its own.
+            own.update(v for c in some or () if c != OTHER for v in (float(c), float(np.nextafter(c, -math.inf))))
+    return {f: np.array(sorted(v)) for f, v in sorted(ends.items())}
+
+
+class GridShares:
+    """Path-dependent attributions of an ensemble as a table of all cells of its features.
+
+    Between two neighbouring thresholds of a feature the ensemble is constant, and Spark's trees share the thresholds of
+    their histogram bins. For each set S of features, what the ensemble is expected to give when S is known is a sum of boxes
+    over the cells of S, one box per leaf, and takes differences at the boxes' corners and running sums. All attributions of a
+    cell are weighted differences of these tables. A row looks its cell up, whatever the number of leaves.
     """
 
     def __init__(self, leaves: Sequence[tuple]):
-        self.conditions: dict[tuple, int] = {}
-        self.leaves = []
+        self.ends = _cells(leaves)
+        self.names = list(self.ends)
+        m = len(self.names)
+        self.shape = tuple(len(self.ends[f]) + 1 for f in self.names)
+        boxes = self._boxes(leaves)
+        value = np.array([b[0] for b in boxes])
+        first, last, run, share = (np.array([b[k] for b in boxes]).reshape(len(boxes), m) for k in (1, 2, 3, 4))
+        self.table = np.zeros((*self.shape, m))
+        self.base = 0.0
+        for s in range(1 << m):
+            known = [j for j in range(m) if s >> j & 1]
+            # Of the runs of a feature that is not known, one stands for all.
+            weight = value * np.prod(np.where([[s >> j & 1 for j in range(m)]], 1.0, share * (run == 0)), axis=1)
+            shape = tuple(self.shape[j] + 1 for j in known)
+            sums = np.zeros(math.prod(shape))
+            for corner in range(1 << len(known)):
+                at = np.zeros(len(boxes), np.int64)
+                for k, j in enumerate(known):
+                    at = at * shape[k] + (last[:, j] + 1 if corner >> k & 1 else first[:, j])
+                sums += (-1) ** corner.bit_count() * np.bincount(at, weight, len(sums))
+            sums = sums.reshape(shape)
+            for k in range(len(known)):
+                sums = np.cumsum(sums, axis=k)
+            sums = sums[tuple(slice(0, n - 1) for n in shape)]
+            sums = sums.reshape([self.shape[j] if j in known else 1 for j in range(m)])
+            if not known:
+                self.base = float(sums.sum())
+            for j in range(m):
+                others = len(known) - (s >> j & 1)
+                size_weight = math.factorial(others) * math.factorial(m - 1 - others) / math.factorial(m)
+                self.table[..., j] += (size_weight if s >> j & 1 else -size_weight) * sums
+        self.table = self.table.reshape(-1, m)
+
+    def _boxes(self, leaves: Sequence[tuple]) -> list[tuple]:
+        """(value, first cells, last cells, numbers of the runs, shares) of boxes; a set of cells in several runs gives several."""
+        out = []
         for value, features, lows, highs, accepted, shares in leaves:
-            if features:
-                met = [self.conditions.setdefault((f, lo, hi, some), len(self.conditions)) for f, lo, hi, some in zip(features, lows, highs, accepted)]
-                self.leaves.append((value, features, met, np.array(shares)))
-        self.tables: dict[int, np.ndarray] = {}
-        self.kept = 0
-
-    def _met(self, x: np.ndarray) -> np.ndarray:
-        """One row of 0 and 1 per condition. A NaN takes the right branch of every threshold."""
-        out = np.empty((len(self.conditions), len(x)), np.int32)
-        for (f, lo, hi, some), i in self.conditions.items():
-            v = x[:, f]
-            ok = (v > lo) & (v <= hi)
-            if hi == math.inf:
-                ok |= np.isnan(v)
-            if some is not None:
-                ok &= np.isin(v, list(some))
-            out[i] = ok
+            asked = {f: k for k, f in enumerate(features)}
+            ways = [((), (), ())]
+            share = []
+            for f, n in zip(self.names, self.shape):
+                k = asked.get(f)
+                share.append(1.0 if k is None else shares[k])
+                runs = [(0, n - 1)] if k is None else self._runs(f, n, lows[k], highs[k], accepted[k])
+                ways = [((*a, x), (*b, y), (*c, r)) for a, b, c in ways for r, (x, y) in enumerate(runs)]
+            out += [(value, *way, share) for way in ways]
+        return out
+
+    def _runs(self, f: int, n: int, lo: float, hi: float, some: frozenset[int] | None) -> list[tuple[int, int]]:
+        ends = self.ends[f]
+        first = 0 if lo == -math.inf else int(np.searchsorted(ends, lo)) + 1
+        last = n - 1 if hi == math.inf else int(np.searchsorted(ends, hi))
+        good = np.zeros(n, bool)
+        good[first : last + 1] = True
+        if some is not None:
+            inside = np.zeros(n, bool)
+            # Below each end: a category if its lower neighbour is an end as well.
+            single = {int(np.searchsorted(ends, c)): int(c) for c in ends[1:] if c == int(c) and np.nextafter(c, -math.inf) in ends}
+            single |= {0: int(ends[0])} if ends[0] == int(ends[0]) and np.nextafter(ends[0], -math.inf) in ends else {}
+            for cell in range(n):
+                inside[cell] = single[cell] in some if cell in single else OTHER in some
+            good &= inside
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], good.astype(int), [0]))))
+        # A path may ask for what no value meets.
+        return [(int(a), int(b) - 1) for a, b in zip(edge[::2], edge[1::2])] or [(0, -1)]
+
+    @staticmethod
+    def fits(leaves: Sequence[tuple]) -> bool:
+        """Whether the table stays below its limits."""
+        ends = _cells(leaves)
+        cells, m = math.prod(len(e) + 1 for e in ends.values()), len(ends)
+        return cells * max(1, m) * 8 <= GRID_BYTES and (len(leaves) * 3**m + cells * m * 2**m) <= GRID_STEPS
+
+    def phi(self, x: np.ndarray) -> np.ndarray:
+        """Attributions of some rows: rows x features."""
+        out = np.zeros(x.shape)
+        at = np.zeros(len(x), np.int64)
+        for f, n in zip(self.names, self.shape):
+            at = at * n + np.searchsorted(self.ends[f], x[:, f])
+        out[:, self.names] = self.table[at]
         return out
 
-    def _table(self, at: int, value: float, shares: np.ndarray) -> np.ndarray:
-        """Shares (features x patterns) of a leaf for all patterns."""
-        found = self.tables.get(at)
-        if found is None:
-            d = len(shares)
-            o = (np.arange(1 << d)[:, None] >> np.arange(d) & 1).astype(float)
-            found = np.ascontiguousarray(value * leaf_shares(o, shares).T)
-            if self.kept + found.nbytes <= TABLE_BYTES:
-                self.tables[at] = found
-                self.kept += found.nbytes
-        return found
+
+class PathShares:
+    """Path-dependent attributions by one walk over each tree for a block of rows.
+
+    Going down, a row carries for each feature of the path whether it meets what the path asks (o) and the cover share of that
+    (z). The share of feature j in a leaf is an integral over t of (o_j - z_j) times the product of o_i t + z_i (1 - t) over the
+    other features, a polynomial that a few nodes t integrate exactly. So the product at the nodes is all that is carried: an
+    edge divides the old factor of its feature out and multiplies the new one in, and going up the sums over the leaves below an
+    edge give that feature its part. The work is linear in the number of nodes.
+    """
+
+    def __init__(self, trees: Sequence[Tree]):
+        self.trees = list(trees)
+        width = max((_width(t, 0, frozenset()) for t in trees), default=1)
+        t, w = np.polynomial.legendre.leggauss(max(1, (width + 1) // 2))
+        self.t, self.w = (t[:, None] + 1) / 2, w / 2
+        self.base = sum(_expected(t, 0) for t in trees)
 
     def phi(self, x: np.ndarray) -> np.ndarray:
         """Attributions of some rows: rows x features."""
-        met = self._met(x)
-        phi = np.zeros((x.shape[1], len(x)))
-        for at, (value, features, conditions, shares) in enumerate(self.leaves):
-            code = met[conditions[0]].copy()
-            for k, c in enumerate(conditions[1:], 1):
-                code += met[c] << k
-            if len(shares) <= TABLE_CONDITIONS:
-                table = self._table(at, value, shares)
-            else:
-                patterns, code = np.unique(code, return_inverse=True)
-                o = (patterns[:, None] >> np.arange(len(shares)) & 1).astype(float)
-                table = value * leaf_shares(o, shares).T
-            for f, given in zip(features, table):
-                phi[f] += given[code]
-        return phi.T
+        out = np.zeros((x.shape[1], len(x)))
+        for a in range(0, len(x), WALK_ROWS):
+            block = np.ascontiguousarray(x[a : a + WALK_ROWS].T)
+            for t in self.trees:
+                self._descend(t, 0, block, {}, np.ones((len(self.t), block.shape[1])), out[:, a : a + WALK_ROWS])
+        return out.T
+
+    def _descend(self, t: Tree, i: int, x: np.ndarray, held: dict[int, tuple], product: np.ndarray, phi: np.ndarray) -> np.ndarray:
+        """Sum of value times product over the leaves below a node, at each t; adds what the edges below give to `phi`."""
+        f = t.features[i]
+        if f < 0:
+            return t.values[i] * product
+        # A NaN goes right at every threshold.
+        goes_left = x[f] <= t.cuts[i] if t.chosen[i] is None else np.isin(x[f], list(t.chosen[i]))
+        met, share, _, gain = held.get(f, (None, 1.0, None, None))
+        rest = product if met is None else product * held[f][2]
+        total = np.zeros_like(product)
+        for child, goes in ((t.left[i], goes_left), (t.right[i], ~goes_left)):
+            o = (goes if met is None else goes & met).astype(float)
+            z = share * t.shares[child]
+            factor = o * self.t + z * (1 - self.t)
+            inverse = np.divide(1.0, factor, out=np.zeros_like(factor), where=factor > 0)
+            own = (o - z) * inverse
+            below = self._descend(t, child, x, {**held, f: (o > 0, z, inverse, own)}, rest * factor, phi)
+            phi[f] += np.einsum("q,qr,qr->r", self.w, own if gain is None else own - gain, below)
+            total += below
+        return total
+
+
+def _width(t: Tree, i: int, seen: frozenset[int]) -> int:
+    if t.features[i] < 0:
+        return len(seen)
+    seen = seen | {t.features[i]}
+    return max(_width(t, t.left[i], seen), _width(t, t.right[i], seen))
+
+
+def _expected(t: Tree, i: int) -> float:
+    if t.features[i] < 0:
+        return t.values[i]
+    return sum(t.shares[c] * _expected(t, c) for c in (t.left[i], t.right[i]))
 
 
 def tree_phi(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
     """Path-dependent attributions of one batch: rows x features."""
-    return TreeShares(leaves).phi(x)
+    return GridShares(leaves).phi(x)
+
+
+def tree_shares(trees: Sequence[Tree]) -> GridShares | PathShares:
+    """A table of cells where it is small enough, else walks over the trees; both are exact."""
+    leaves = [astuple(leaf) for leaf in tree_leaves(trees)]
+    return GridShares(leaves) if GridShares.fits(leaves) else PathShares(trees)
 
 
 def tree_attribution(df: DataFrame, keys: Sequence[str], features: Sequence[str], model: Any, target_class: int = 1) -> Attribution:
-    """Tree attributions of every row, in Arrow batches; only the model is sent to the tasks."""
-    leaves = model_leaves(model, target_class)
-    base = float(sum(leaf.value * math.prod(leaf.shares) for leaf in leaves))
-    spark = df.sparkSession
-    # Plain tuples, so that a worker needs no class of this package to read them.
-    shared = spark.sparkContext.broadcast([astuple(leaf) for leaf in leaves])
+    """Tree attributions of every row, in Arrow batches; only the model, or a table of its cells, is sent to the tasks."""
+    shares = tree_shares(model_trees(model, target_class))
+    base = float(shares.base)
+    shared = df.sparkSession.sparkContext.broadcast(shares)
     names, kept = list(features), list(keys)
     schema = T.StructType(
         [df.schema[k] for k in kept]
@@ -246,24 +366,20 @@ def tree_attribution(df: DataFrame, keys: Sequence[str], features: Sequence[str]
         + [T.StructField(f"phi_{f}", T.DoubleType()) for f in names]
         + [T.StructField("base_value", T.DoubleType())]
     )
+    columns = [f.name for f in schema]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shares = TreeShares(shared.value)
-        for pdf in batches:
-            x = pdf[[f"_x{i}" for i in range(len(names))]].to_numpy(dtype=float)
-            phi = shares.phi(x)
-            out = pdf[kept].copy()
-            for i, f in enumerate(names):
-                out[f] = x[:, i]
-            for i, f in enumerate(names):
-                out[f"phi_{f}"] = phi[:, i]
-            out["base_value"] = base
-            yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [batch.column(i) for i in range(len(kept), batch.num_columns)]
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in own], axis=1) if own else np.zeros((batch.num_rows, 0))
+            phi = shared.value.phi(x)
+            parts = [*[batch.column(i) for i in range(len(kept))], *own, *[pa.array(phi[:, i]) for i in range(len(names))]]
+            yield pa.RecordBatch.from_arrays([*parts, pa.array(np.full(batch.num_rows, base))], names=columns)
 
     inputs = df.select(
         *[quoted(k) for k in kept], *[quoted(f).cast("double").alias(f"_x{i}") for i, f in enumerate(names)]
     )
-    return Attribution(inputs.mapInPandas(run, schema), kept, names)
+    return Attribution(inputs.mapInArrow(run, schema), kept, names)
 
 
 # --------------------------------------------------------------------- kernel

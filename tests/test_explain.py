@@ -84,14 +84,67 @@ def test_tree_attribution_equals_enumeration(training, make):
     assert a.df.agg(F.max(F.abs(total - F.col("out")))).first()[0] < 1e-9
 
 
-def test_leaf_shares_with_many_features():
-    rng = np.random.default_rng(0)
-    o = rng.integers(0, 2, (4, 7)).astype(float)
-    z = rng.random(7)
-    got = E.leaf_shares(o, z)
-    for row, phi in zip(o, got):
-        game = lambda s: math.prod(row[j] if j in s else z[j] for j in range(7))
-        assert list(phi) == pytest.approx(list(brute_shapley(game, 7)))
+def random_tree(rng, depth, m, categorical=()):
+    t = E.Tree([], [], [], [], [], [], [], [])
+
+    def grow(d):
+        i = len(t.features)
+        for column in (t.features, t.cuts, t.chosen, t.arity, t.left, t.right, t.values, t.shares):
+            column.append(None)
+        t.features[i], t.cuts[i], t.left[i], t.right[i], t.values[i] = -1, math.nan, -1, -1, float(rng.normal())
+        t.shares[i] = 1.0
+        if d and rng.random() < 0.9:
+            f = t.features[i] = int(rng.integers(0, m))
+            if f in categorical:
+                t.arity[i] = 4
+                t.chosen[i] = frozenset(rng.choice(4, rng.integers(1, 4), replace=False).tolist())
+            else:
+                t.cuts[i] = round(rng.random(), 1)
+            t.left[i], t.right[i] = grow(d - 1), grow(d - 1)
+            t.shares[t.left[i]] = float(rng.uniform(0.1, 0.9))
+            t.shares[t.right[i]] = 1 - t.shares[t.left[i]]
+        return i
+
+    grow(depth)
+    return t
+
+
+def expected_given(t, i, x, s):
+    """What a tree gives on average when the features in s are known."""
+    f = t.features[i]
+    if f < 0:
+        return t.values[i]
+    left, right = t.left[i], t.right[i]
+    if f in s:
+        goes_left = x[f] <= t.cuts[i] if t.chosen[i] is None else x[f] in t.chosen[i]
+        return expected_given(t, left if goes_left else right, x, s)
+    return t.shares[left] * expected_given(t, left, x, s) + t.shares[right] * expected_given(t, right, x, s)
+
+
+@pytest.mark.parametrize(("depth", "m", "categorical"), [(3, 2, ()), (6, 4, (1,)), (7, 5, (0, 4)), (1, 3, ())])
+def test_table_and_walk_equal_enumeration(depth, m, categorical):
+    rng = np.random.default_rng(depth)
+    trees = [random_tree(rng, depth, m, categorical) for _ in range(5)]
+    x = rng.random((25, m)).round(1)
+    x[:, list(categorical)] = rng.integers(0, 6, (25, len(categorical)))
+    x[rng.random(x.shape) < 0.05] = np.nan
+    leaves = [E.astuple(leaf) for leaf in E.tree_leaves(trees)]
+    assert E.GridShares.fits(leaves)
+    grid, walk = E.GridShares(leaves), E.PathShares(trees)
+    want = np.array([sum(brute_shapley(lambda s: expected_given(t, 0, r, s), m) for t in trees) for r in x])
+    assert np.allclose(grid.phi(x), want) and np.allclose(walk.phi(x), want)
+    assert grid.base == pytest.approx(walk.base) == pytest.approx(sum(expected_given(t, 0, x[0], ()) for t in trees))
+
+
+def test_wide_trees_are_walked_and_add_up(monkeypatch):
+    rng = np.random.default_rng(11)
+    trees = [random_tree(rng, 9, 30) for _ in range(4)]
+    x = rng.random((300, 30))
+    monkeypatch.setattr(E, "WALK_ROWS", 128)
+    shares = E.tree_shares(trees)
+    assert isinstance(shares, E.PathShares)
+    output = [sum(expected_given(t, 0, r, range(30)) for t in trees) for r in x]
+    assert np.allclose(shares.phi(x).sum(axis=1) + shares.base, output)
 
 
 @pytest.fixture(scope="module")
