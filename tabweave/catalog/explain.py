@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tabweave.catalog.base import (
@@ -262,6 +263,50 @@ def kernel_shap_repeated(spark, sf):
     return longs(rounded(out, "low", "high"), "p_size")
 
 
+# A scorer of twelve features with one product of two of them, whose exact attributions are known.
+_WIDE_W = {
+    "l_quantity": 0.02, "l_extendedprice": 0.00001, "l_discount": 3.0, "l_tax": -2.0, "l_linenumber": 0.1, "l_partkey": 0.0001, "l_suppkey": -0.001,
+    "year": 0.05, "month": -0.03, "day": 0.01, "returned": 0.7, "open": -0.4,
+}
+_WIDE_PAIR = 0.5
+_WIDE_LINES = """p AS (SELECT *, year(l_shipdate) AS year, month(l_shipdate) AS month, day(l_shipdate) AS day,
+    (l_returnflag = 'R')::int AS returned, (l_linestatus = 'O')::int AS open FROM lineitem)"""
+_WIDE_SQL = (
+    f"""WITH {_WIDE_LINES}, b AS (SELECT * FROM p ORDER BY {hash_sql(*LINE_KEY)}, {", ".join(LINE_KEY)} LIMIT 100),
+        m AS (SELECT avg(l_quantity * l_tax) AS pair, """
+    + ", ".join(f"avg({f}) AS m_{f}" for f in _WIDE_W)
+    + f" FROM b) SELECT {', '.join(LINE_KEY)}, "
+    + ", ".join(
+        f"round({w} * ({f} - m_{f})"
+        + {
+            "l_quantity": f" + {_WIDE_PAIR / 2} * (l_quantity * m_l_tax - pair + l_quantity * l_tax - m_l_quantity * l_tax)",
+            "l_tax": f" + {_WIDE_PAIR / 2} * (l_tax * m_l_quantity - pair + l_quantity * l_tax - m_l_tax * l_quantity)",
+        }.get(f, "")
+        + f", 6) + 0.0 AS phi_{f}"
+        for f, w in _WIDE_W.items()
+    )
+    + " FROM p, m"
+)
+
+
+def _wide_score(x):
+    """The scorer in array form: rows x features to scores."""
+    return x @ np.array(list(_WIDE_W.values())) + _WIDE_PAIR * x[:, 0] * x[:, 3]
+
+
+@query(_WIDE_SQL)
+def kernel_shap_wide(spark, sf):
+    """Twelve features and 100 background rows for every line, scored in arrays; products of two are exact under paired coalitions."""
+    day = F.col("l_shipdate")
+    made = {"year": F.year(day), "month": F.month(day), "day": F.day(day)}
+    flags = {"returned": (F.col("l_returnflag") == "R").cast("int"), "open": (F.col("l_linestatus") == "O").cast("int")}
+    rows = table(spark, sf, "lineitem").withColumns({**made, **flags})
+    background = sample_n(rows, LINE_KEY, E.BACKGROUND_ROWS)
+    a = E.array_attribution(rows, LINE_KEY, list(_WIDE_W), background, _wide_score, method="sampled", coalitions=32)
+    phis = [f"phi_{f}" for f in _WIDE_W]
+    return rounded(a.df.select(*LINE_KEY, *phis), *phis)
+
+
 # -------------------------------------------------------------------- cohorts
 
 

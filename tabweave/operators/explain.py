@@ -443,16 +443,15 @@ def kernel_attribution(
 ) -> Attribution:
     """Attributions for any scorer, here a function that adds a score column to a DataFrame.
 
-    All rows of ``background`` are used; the caller samples. Each row is expanded to coalitions x
+    A scorer that works on arrays is better explained by ``array_attribution``, which multiplies no rows. All rows of
+    ``background`` are used; the caller samples. Each row is expanded to coalitions x
     background rows inside its own task, scored in bulk, and summed again: since phi is linear in
     the scores, one grouped sum gives all phi. The sum is complete before the shuffle, because the
     copies of a row never leave its task. Equal rows stay apart, and a feature may be a key too.
     ``exact`` grows with 2**features; with many features ask for ``sampled`` coalitions.
     """
     names, kept = list(features), list(keys)
-    rows = [list(r) for r in background.select(*[quoted(f).cast("double") for f in names]).collect()]
-    if not rows:
-        raise ValueError("the background is empty")
+    rows = [[None if math.isnan(v) else v for v in r] for r in background_values(background, names).tolist()]
     masks, c = coalition_weights(len(names), method, coalitions)
     design = [{"m": format(s, "x"), "c": c[:, i].tolist()} for i, s in enumerate(masks)]
     design_col = F.from_json(F.lit(json.dumps(design)), "array<struct<m:string,c:array<double>>>")
@@ -491,6 +490,122 @@ def kernel_attribution(
 
 
 BACKGROUND_ROWS = 100
+#: Bytes of background values that are sent to the tasks, and values a task scores at once.
+BACKGROUND_BYTES, SCORED_AT_ONCE = 8 << 20, 1 << 21
+
+
+def background_values(background: DataFrame, features: Sequence[str]) -> np.ndarray:
+    """The background as an array of rows x features; more than BACKGROUND_BYTES of it, or none, is an error."""
+    most = max(1, BACKGROUND_BYTES // (8 * max(1, len(features))))
+    rows = background.select(*[quoted(f).cast("double") for f in features]).limit(most + 1).collect()
+    if not rows:
+        raise ValueError("the background is empty")
+    if len(rows) > most:
+        raise ValueError(f"the background has more than {most} rows; sample it first, for example with sample_n")
+    return np.array([[math.nan if v is None else v for v in r] for r in rows], dtype=float).reshape(len(rows), len(features))
+
+
+class CoalitionScores:
+    """Attributions of a block of rows by a model in array form.
+
+    A row takes its own values for the features of a coalition and each background row's for the others; the mean over the
+    background is the coalition's worth. Rows, and coalitions if need be, are taken in blocks, so that at most SCORED_AT_ONCE
+    values stand in memory, and the weighted least squares solution is one product with a fixed matrix.
+    """
+
+    def __init__(self, predict: Callable[[np.ndarray], np.ndarray] | None, background: np.ndarray, method: str = "exact", coalitions: int = 2048):
+        m = background.shape[1]
+        masks, self.solution = coalition_weights(m, method, coalitions)
+        self.known = np.array([[s >> j & 1 for j in range(m)] for s in masks], dtype=bool).reshape(len(masks), m)
+        self.full = masks.index((1 << m) - 1)
+        self.predict, self.background = predict, background
+
+    def worth(self, x: np.ndarray) -> np.ndarray:
+        """Rows x coalitions."""
+        n, m = self.background.shape
+        out = np.empty((len(x), len(self.known)))
+        some = max(1, SCORED_AT_ONCE // (n * max(1, m)))
+        for c in range(0, len(self.known), some):
+            known = self.known[c : c + some]
+            rows = max(1, some // len(known))
+            for r in range(0, len(x), rows):
+                part = x[r : r + rows]
+                mixed = np.where(known[None, :, None, :], part[:, None, None, :], self.background[None, None])
+                scores = np.asarray(self.predict(mixed.reshape(-1, m)), dtype=float)
+                out[r : r + rows, c : c + some] = scores.reshape(len(part), len(known), n).mean(axis=2)
+        return out
+
+    def phi(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Attributions (rows x features), base value and model output of each row."""
+        worth = self.worth(x)
+        return worth @ self.solution.T, worth[:, 0], worth[:, self.full]
+
+
+def array_attribution(
+    df: DataFrame,
+    keys: Sequence[str],
+    features: Sequence[str],
+    background: DataFrame,
+    predict: Callable[[np.ndarray], np.ndarray],
+    method: str = "exact",
+    coalitions: int = 2048,
+) -> Attribution:
+    """Attributions for a scorer in array form: a function from rows x features to one score per row.
+
+    Coalitions and background rows are mixed and scored inside the Arrow batches of a task; no row is multiplied in the plan
+    and nothing is shuffled. Only the background (checked, see ``background_values``) and the function are sent to the tasks.
+    A null value is NaN. ``exact`` grows with 2**features; with many features ask for ``sampled`` coalitions.
+    """
+    names, kept = list(features), list(keys)
+    shared = df.sparkSession.sparkContext.broadcast(CoalitionScores(None, background_values(background, names), method, coalitions))
+    own = [f for f in names if f not in kept]
+    schema = T.StructType(
+        [df.schema[k] for k in kept]
+        + [T.StructField(f, T.DoubleType()) for f in [*own, *[f"phi_{f}" for f in names], "base_value", "output"]]
+    )
+    columns = [f.name for f in schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The function travels with the task, so that it may come from anywhere.
+        scores = shared.value
+        scores.predict = predict
+        for batch in batches:
+            values = {f: batch.column(len(kept) + i) for i, f in enumerate(names)}
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in values.values()], axis=1)
+            phi, base, output = scores.phi(x)
+            parts = [*[batch.column(i) for i in range(len(kept))], *[values[f] for f in own]]
+            yield pa.RecordBatch.from_arrays([*parts, *[pa.array(np.ascontiguousarray(c)) for c in (*phi.T, base, output)]], names=columns)
+
+    inputs = df.select(*[quoted(k) for k in kept], *[quoted(f).cast("double").alias(f"_x{i}") for i, f in enumerate(names)])
+    return Attribution(inputs.mapInArrow(run, schema), kept, names)
+
+
+@dataclass
+class LinearScore:
+    """Array form of a linear model; ``target`` is the class whose probability is the score, None the value itself."""
+
+    weights: np.ndarray
+    intercepts: np.ndarray
+    target: int | None = None
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        raw = x @ self.weights.T + self.intercepts
+        if self.target is None:
+            return raw[:, 0]
+        if raw.shape[1] == 1:
+            p = 1 / (1 + np.exp(-raw[:, 0]))
+            return p if self.target == 1 else 1 - p
+        raw = np.exp(raw - raw.max(axis=1, keepdims=True))
+        return raw[:, self.target] / raw.sum(axis=1)
+
+
+def array_form(model: Any, target_class: int = 1) -> LinearScore | None:
+    """A Spark linear or logistic model as a function of arrays; None for other models."""
+    if hasattr(model, "coefficientMatrix"):
+        return LinearScore(model.coefficientMatrix.toArray(), model.interceptVector.toArray(), target_class)
+    if hasattr(model, "coefficients"):
+        return LinearScore(model.coefficients.toArray()[None, :], np.array([model.intercept]))
+    return None
 
 
 def attribute_model(
@@ -505,7 +620,8 @@ def attribute_model(
 
     Linear models and boosted trees are explained on the margin of ``target_class``, forests on its
     probability, other classifiers on that probability with ``background`` (by default a sample of
-    BACKGROUND_ROWS rows by hash of their keys) and the coalitions of ``method``.
+    BACKGROUND_ROWS rows by hash of their keys) and the coalitions of ``method``; those that have an array form are scored
+    in arrays.
     """
     from tabweave.operators.models import with_probabilities
     from tabweave.operators.split import sample_n
@@ -522,6 +638,9 @@ def attribute_model(
     if hasattr(model, "featureImportances"):
         return tree_attribution(ready, keys, trained.features, model, target_class)
     base = sample_n(ready, keys, BACKGROUND_ROWS) if given is None else given
+    arrays = array_form(model, target_class)
+    if arrays is not None:
+        return array_attribution(ready, keys, trained.features, base, arrays, method)
 
     def score(rows: DataFrame) -> DataFrame:
         out, classes = with_probabilities(trained.model, rows)

@@ -260,3 +260,64 @@ def test_tables_of_shares_equal_the_single_leaves():
             for f, p in zip(fs, brute_shapley(lambda c: value * np.prod([met[j] if j in c else shares[j] for j in range(len(fs))]), len(fs))):
                 want[r, f] += p
     assert np.allclose(E.tree_phi(x, leaves), want)
+
+
+def test_array_attribution_equals_enumeration_and_multiplies_no_rows(linear, monkeypatch):
+    df, _ = linear
+    curved = lambda x: x[:, 0] * x[:, 1] + np.exp(x[:, 2])
+    back = df.orderBy("id").limit(4)
+    b = np.array([[r["a"], r["b"], r["c"]] for r in back.collect()])
+    for at_once in (1, 40, 1 << 21):
+        monkeypatch.setattr(E, "SCORED_AT_ONCE", at_once)
+        a = E.array_attribution(df, ["id", "a"], ["a", "b", "c"], back, curved)
+        assert a.df.columns == ["id", "a", "b", "c", "phi_a", "phi_b", "phi_c", "base_value", "output"]
+        plan = a.df._jdf.queryExecution().toString()
+        assert "Generate" not in plan and "Aggregate" not in plan and a.df.count() == df.count()
+        for r in a.df.orderBy("id").limit(5).collect():
+            x = np.array([[r["a"], r["b"], r["c"]]])
+
+            def v(s):
+                mixed = b.copy()
+                for j in s:
+                    mixed[:, j] = x[0, j]
+                return curved(mixed).mean()
+
+            assert [r["phi_a"], r["phi_b"], r["phi_c"]] == pytest.approx(list(brute_shapley(v, 3)))
+            assert (r["base_value"], r["output"]) == pytest.approx((v(()), float(curved(x)[0])))
+
+
+def test_sampled_coalitions_are_exact_for_products_of_two():
+    rng = np.random.default_rng(3)
+    back, x = rng.normal(size=(6, 9)), rng.normal(size=(3, 9))
+    w = rng.normal(size=9)
+    phi, _, _ = E.CoalitionScores(lambda z: z @ w + z[:, 2] * z[:, 7], back, "sampled", 60).phi(x)
+    exact, _, _ = E.CoalitionScores(lambda z: z @ w + z[:, 2] * z[:, 7], back).phi(x)
+    assert np.allclose(phi, exact)
+
+
+def test_background_is_checked(linear, monkeypatch):
+    df, _ = linear
+    with pytest.raises(ValueError):
+        E.background_values(df.limit(0), ["a"])
+    monkeypatch.setattr(E, "BACKGROUND_BYTES", 8 * 49)
+    with pytest.raises(ValueError):
+        E.background_values(df, ["a"])
+    assert E.background_values(df.limit(49), ["a"]).shape == (49, 1)
+
+
+def test_models_in_array_form(frame):
+    from pyspark.ml.linalg import Vectors
+
+    from tabweave.operators import models as G
+
+    rng = np.random.default_rng(7)
+    rows = frame([(i, *map(float, rng.normal(size=2)), float(i % 3)) for i in range(90)], "id int, a double, b double, y double")
+    t = G.train(rows, ["a", "b"], "y", "logistic_regression")
+    a = E.attribute_model(t, rows, ["id"], rows.limit(10), target_class=2)
+    want = {r.id: r.p2 for r in t.score(rows, ["id"]).collect()}
+    got = a.df.collect()
+    assert len(got) == 90 and all(r.output == pytest.approx(want[r.id]) == pytest.approx(r.base_value + r.phi_a + r.phi_b) for r in got)
+    line = G.train(rows, ["a"], "b", "linear_regression", "regression")
+    score = E.array_form(line.model.stages[-1])
+    assert score(np.array([[2.0]]))[0] == pytest.approx(line.model.stages[-1].predict(Vectors.dense(2.0)))
+    assert E.array_form(object()) is None
