@@ -54,7 +54,7 @@ def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    found = suffix_dedup.dedup(read(spark, sf, "documents"))
+    found = suffix_dedup.dedup(read(spark, sf, "documents"), with_kept=False)
     return found.select(found["id"].alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

@@ -129,8 +129,8 @@ def pack(rows: dict[str, np.ndarray]) -> bytes:
     return b"".join(np.ascontiguousarray(rows[f], SURVEY[f]).tobytes() for f in SURVEY.names)
 
 
-def unpack(cell: bytes) -> dict[str, np.ndarray]:
-    n, at, out = len(cell) // SURVEY.itemsize, 0, {}
+def unpack(cell: pa.Buffer) -> dict[str, np.ndarray]:
+    n, at, out = cell.size // SURVEY.itemsize, 0, {}
     for f in SURVEY.names:
         out[f] = np.frombuffer(cell, SURVEY[f], n, at)
         at += n * SURVEY[f].itemsize
@@ -178,8 +178,8 @@ def survey(source: DataFrame, grain: Grain) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()), "cell": pa.array(cells, pa.binary())})
 
     def gather(table: pa.Table) -> pa.Table:
-        cells = [unpack(c.as_py()) for c in table.column("cell")]
-        rows = summed({k: np.concatenate([c[k] for c in cells]) for k in SURVEY.names})
+        cells = [unpack(c.as_buffer()) for c in table.column("cell")]
+        rows = summed({k: np.concatenate([c.pop(k) for c in cells]) for k in SURVEY.names})
         new = np.ones(len(rows["anchor"]), bool)
         new[1:] = rows["anchor"][1:] != rows["anchor"][:-1]
         at = np.flatnonzero(new)
@@ -274,6 +274,15 @@ def contents(source: DataFrame, grain: Grain, shared: Broadcast[tuple[Bitmap, Bi
     return source.mapInArrow(run, "anchor long, region long, doc long, left int, content binary, crowded boolean")
 
 
+def joined(cells: pa.Array, grain: Grain) -> tuple[np.ndarray, np.ndarray]:
+    """Units of some contents one after the other, without a copy, and where each begins and ends."""
+    kind = grain.raw(Texts(0, np.zeros(0, np.uint8), np.zeros(1, np.int64))).dtype
+    _, offsets, data = cells.buffers()
+    at = np.frombuffer(offsets, np.int32)[cells.offset : cells.offset + len(cells) + 1].astype(np.int64)
+    data = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if len(cells) and data is not None else np.zeros(0, np.uint8)
+    return data.view(kind), (at - at[0]) // kind.itemsize
+
+
 def solved(sent: DataFrame, grain: Grain, buckets: int) -> DataFrame:
     """(region, first, last, low) of the windows of differing regions that are found elsewhere."""
 
@@ -283,10 +292,8 @@ def solved(sent: DataFrame, grain: Grain, buckets: int) -> DataFrame:
         new = np.ones(len(by), bool)
         new[1:] = region[by][1:] != region[by][:-1]
         by = by[new]
-        cells = table.column("content").combine_chunks().take(pa.array(by))
-        joined = np.frombuffer(b"".join(c.as_py() for c in cells), grain.raw(Texts(0, np.zeros(0, np.uint8), np.zeros(1, np.int64))).dtype)
-        sizes = np.array([len(c.as_py()) for c in cells], np.int64) // joined.itemsize
-        regions = Regions(anchor[by], region[by], doc[by], left[by].astype(np.int64), joined, np.concatenate(([0], np.cumsum(sizes))))
+        data, bounds = joined(table.column("content").combine_chunks().take(pa.array(by)), grain)
+        regions = Regions(anchor[by], region[by], doc[by], left[by].astype(np.int64), data, bounds)
         index, first, last, low = grain.solve(regions)
         return pa.table({"region": regions.region[index], "first": first.astype(np.int32), "last": last.astype(np.int32), "low": low})
 
@@ -303,9 +310,7 @@ def by_window(sent: DataFrame, grain: Grain) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             anchor, region, doc, left = (batch.column(i).to_numpy() for i in range(4))
-            cells = [c.as_py() for c in batch.column(4)]
-            data = np.frombuffer(b"".join(cells), grain.raw(Texts(0, np.zeros(0, np.uint8), np.zeros(1, np.int64))).dtype)
-            bounds = np.concatenate(([0], np.cumsum([len(c) // data.itemsize for c in cells]))).astype(np.int64)
+            data, bounds = joined(batch.column(4), grain)
             first, window = runs(BYTE_VALUES[data] if data.dtype == np.uint8 else data, bounds, grain.window)
             of = text_of(first, bounds)
             offset = left[of] - (first - bounds[of])
@@ -372,14 +377,15 @@ def spans(docs: DataFrame, grain: Grain, doc: str = "doc_id", text: str = "text"
     wanted.destroy()
     asked = verdicts.select("region")
     at = places(source, grain, bitmap(asked, asked.count()))
-    joined = at.join(verdicts, "region")
+    found = at.join(verdicts, "region")
     if grain.earlier_only:
-        joined = joined.where("low < doc")
+        found = found.where("low < doc")
     span = F.struct(
         F.greatest(F.col("at") - F.col("left"), F.col("at") - F.col("last")).alias("first"),
         F.least(F.col("at") + F.col("right"), F.col("at") - F.col("first") + grain.window).alias("last"),
     )
-    return joined.groupBy("key").agg(F.collect_list(span).alias("spans"))
+    # A set: rows that agree in document and text name the same spans, however many they are.
+    return found.groupBy("key").agg(F.collect_set(span).alias("spans"))
 
 
 def applied(docs: DataFrame, found: DataFrame, doc: str, text: str, run: Callable, schema: str) -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tabweave.llm.arrays import BYTE_VALUES, covered, mix, span_hash, sums
+from tabweave.llm.arrays import BYTE_VALUES, covered, mix
 from tabweave.llm.repeats import Grain, Regions, applied, spans
 
 WINDOW, GRAM = 400, 300
@@ -53,9 +53,10 @@ def letters(regions: Regions) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     first = np.minimum(starts[owner] + place * BLOCK, end)
     last = np.minimum(first + BLOCK, end)
     padded = np.concatenate((regions.data, np.zeros(BLOCK, np.uint8)))
-    cells = padded[first[:, None] + np.arange(BLOCK)]
+    cells = np.lib.stride_tricks.sliding_window_view(padded, BLOCK)[first]
     cells[np.arange(BLOCK) >= (last - first)[:, None]] = 0
-    keys = np.ascontiguousarray(cells).view(">u8").astype(np.uint64)
+    keys = cells.view(">u8").astype(np.uint64)
+    del cells, padded
     columns = [last - first, *keys.T[::-1]]
     by = np.lexsort(columns)
     new = np.zeros(len(by), bool)
@@ -158,12 +159,15 @@ def solve(regions: Regions) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         going = going[regions.data[a[going] + step[going] + k] == regions.data[b[going] + step[going] + k]]
         length[going] += 1
     length = np.concatenate(([0], np.minimum(length, step + np.maximum(room, 0))))
-    total = sums(BYTE_VALUES[regions.data])
+    # Hash of the bytes before each block, longer by one each turn.
+    ahead = np.zeros(len(first), np.uint64)
     start = regions.bounds[:-1][owner]
     anchor_at = start + regions.left[owner]
     flags = np.zeros((len(regions.region), WINDOW - GRAM + 1), bool)
     _, group = np.unique(regions.anchor, return_inverse=True)
     for lead in range(BLOCK):
+        if lead:
+            ahead = mix(ahead ^ BYTE_VALUES[regions.data[np.maximum(first - lead, 0)]])
         interval = np.cumsum(length < WINDOW - lead)
         size = np.bincount(interval)
         some = order[size[interval] > 1]
@@ -174,7 +178,7 @@ def solve(regions: Regions) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         some, run, at, offset = some[fits], run[fits], at[fits], offset[fits]
         if len(some) < 2:
             continue
-        key = mix(span_hash(total, at, at + lead) ^ mix(run.astype(np.uint64) << np.uint64(8) | (offset.astype(np.uint64) & np.uint64(255))) + group[owner[some]].astype(np.uint64))
+        key = mix(ahead[some] ^ mix(run.astype(np.uint64) << np.uint64(8) | (offset.astype(np.uint64) & np.uint64(255))) + group[owner[some]].astype(np.uint64))
         _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
         found = count[inverse] > 1
         flags[owner[some][found], offset[found]] = True
@@ -187,8 +191,8 @@ def solve(regions: Regions) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 GRAIN = Grain(WINDOW, GRAM, lambda t: (BYTE_VALUES[t.data], t.bounds), lambda t: t.data, False, solve)
 
 
-def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept, kept_sha256) of every row; `kept` are the remaining bytes.
+def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text", with_kept: bool = True) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept, kept_sha256) of every row; `kept` are the remaining bytes, unless not wanted.
 
     Windows are judged on the input. A null text is empty. Repeated rows are different places, so their windows are all
     found twice; any id, null too, is a document like others. Other columns are not read.
@@ -198,7 +202,7 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
-                out: list[tuple[int, int, int, bytes, str]] = []
+                out: list[tuple] = []
                 for text_, first, last in zip(*(rows.column(i) for i in (1, 2, 3))):
                     raw = (text_.as_py() or "").encode()
                     kept, n = raw, 0
@@ -206,11 +210,11 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
                         away = covered(np.array(first.as_py()), np.array(last.as_py()), len(raw))
                         kept = np.frombuffer(raw, np.uint8)[~away].tobytes()
                         n = int(away[0]) + int((away[1:] & ~away[:-1]).sum())
-                    out.append((len(raw), len(raw) - len(kept), n, kept, hashlib.sha256(kept).hexdigest()))
-                cells = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
-                columns = [rows.column(0), *[pa.array(c, k) for c, k in zip(cells, kinds)]]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
+                    out.append((len(raw), len(raw) - len(kept), n, hashlib.sha256(kept).hexdigest(), *([kept] if with_kept else [])))
+                columns = [rows.column(0), *[pa.array(c, f.type) for c, f in zip(zip(*out), fields)]]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", *[f.name for f in fields]])
 
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+    counts = [pa.field(c, pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")]
+    fields = [*counts, pa.field("kept_sha256", pa.string()), *([pa.field("kept", pa.binary())] if with_kept else [])]
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")
     return applied(docs, spans(docs, GRAIN, doc, text), doc, text, run, schema)
