@@ -3,17 +3,19 @@ check is checked: row counts of the parts, closed forms, and conditions at the o
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabweave.catalog.base import LINE_KEY, query, rounded, scored_lines, table
 from tabweave.catalog.splits import _QUOTAS
 from tabweave.config import SearchConfig
+from tabweave.operators import forecasting as S
 from tabweave.operators import metrics as M
 from tabweave.operators import models as G
 from tabweave.operators import scoring as P
 from tabweave.operators.search import ranking, search
 from tabweave.operators.split import split_stratified, stratified_folds
-from tabweave.session import fresh_dir
+from tabweave.session import fresh_dir, written
 from tabweave.sources.writers import write_splits
 
 # All models are trained with the library's defaults: 100 trees of depth 10, 100 rounds, five folds.
@@ -249,14 +251,70 @@ def saved_model(spark, sf):
     return both.agg(F.count("*").alias("n"), (F.max(F.abs(F.col("p1") - F.col("before"))) < 1e-12).alias("same"))
 
 
+_DAYS_SQL = """WITH d AS (SELECT event_type, date_trunc('day', ts)::timestamp AS period, sum(value) AS v FROM events GROUP BY ALL),
+    last AS (SELECT max(period) AS z FROM d)"""
+
+
 @query(
-    """WITH d AS (SELECT event_type, date_trunc('day', ts)::timestamp AS period, sum(value) AS y FROM events GROUP BY ALL)
-       SELECT event_type, count(*) AS n, round(sum(y), 6) AS total, true AS in_range FROM d
-       WHERE period > (SELECT max(period) FROM d) - INTERVAL 7 DAY GROUP BY 1"""
+    f"""{_DAYS_SQL}, mean AS (SELECT event_type, avg(v) AS m FROM d, last WHERE period <= z - INTERVAL 7 DAY GROUP BY 1)
+       SELECT event_type, count(*) AS n, round(sum(v), 6) AS total, true AS in_range, true AS near_the_mean
+       FROM d, last WHERE period > z - INTERVAL 7 DAY GROUP BY 1"""
 )
 def forecast_values(spark, sf):
-    """Daily value per event type: boosted trees on lags, scored on the last week, within twice the values seen."""
-    _, scored = G.forecast(table(spark, sf, "events"), "event_type", "ts", "value")
-    most = scored.agg(F.max(F.abs("y"))).first()[0]
-    fair = F.every(F.abs("prediction") <= F.lit(2 * (most or 0.0)))
-    return rounded(scored.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("y").alias("total"), fair.alias("in_range")), "total")
+    """Daily value per event type, boosted trees, seven days ahead of the cut-off: of the size of the days before it."""
+    events = table(spark, sf, "events")
+    _, scored = G.forecast(events, "event_type", "ts", "value")
+    day = F.to_date("ts")
+    last = events.agg(F.max(day)).first()[0]
+    before = events.where(day <= F.date_sub(F.lit(last), 7)).groupBy("event_type", day.alias("d")).agg(F.sum("value").alias("v"))
+    known = before.groupBy("event_type").agg(F.avg("v").alias("m"), F.min("v").alias("low"), F.max("v").alias("high"))
+    fair = F.every(F.col("prediction").between(F.col("low") / 2, F.col("high") * 2))
+    out = scored.join(known, "event_type").groupBy("event_type").agg(
+        F.count("*").alias("n"), F.sum("y").alias("total"), fair.alias("in_range"), (F.abs(F.avg("prediction") / F.first("m") - 1) < 0.5).alias("near_the_mean")
+    )
+    return rounded(out, "total")
+
+
+def _running_totals(spark, sf):
+    """Value of each event type summed up to each day: series with a trend, which their last values do not tell."""
+    day = F.to_date("ts").cast("timestamp_ntz")
+    days = table(spark, sf, "events").groupBy("event_type", day.alias("day")).agg(F.sum("value").alias("v"))
+    return days.withColumn("total", F.sum("v").over(Window.partitionBy("event_type").orderBy("day"))).select("event_type", "day", "total")
+
+
+_TOTALS_SQL = f"""{_DAYS_SQL}, t AS (SELECT event_type, period, sum(v) OVER (PARTITION BY event_type ORDER BY period) AS total FROM d)"""
+
+
+@query(
+    f"""{_TOTALS_SQL}, f AS (SELECT unnest([1, 2, 3]) AS fold),
+       c AS (SELECT fold, z - to_days(7 * fold) AS cut FROM f, last),
+       b AS (SELECT fold, event_type, avg(total) AS m FROM t, c WHERE period <= cut AND period > cut - INTERVAL 7 DAY GROUP BY ALL)
+       SELECT fold, count(*) AS n, round(avg(abs(total - m)), 4) + 0.0 AS mean_error, true AS below_a_third_of_it
+       FROM t JOIN c ON period > cut AND period <= cut + INTERVAL 7 DAY JOIN b USING (fold, event_type) GROUP BY fold"""
+)
+def forecast_rolling(spark, sf):
+    """Three cut-offs, seven days ahead from each; the last week's mean, computed in SQL, errs more than three times as much."""
+    totals = _running_totals(spark, sf)
+    said = written(S.rolling(totals, "event_type", "day", "total", folds=3, kind="linear_regression", lags=(1, 2), windows=()), "rolling")
+    last = totals.agg(F.max("day")).first()[0]
+    cut = F.date_sub(F.lit(last.date()), 7 * F.col("fold"))
+    weeks = totals.join(F.broadcast(spark.createDataFrame([(i,) for i in (1, 2, 3)], "fold int")), F.to_date("day").between(F.date_sub(cut, 6), cut))
+    means = weeks.groupBy("fold", "event_type").agg(F.avg("total").alias("m"))
+    out = said.join(means, ["fold", "event_type"]).groupBy("fold").agg(
+        F.count("*").alias("n"),
+        (F.round(F.avg(F.abs(F.col("y") - F.col("m"))), 4) + 0.0).alias("mean_error"),
+        (F.avg(F.abs(F.col("y") - F.col("prediction"))) * 3 < F.avg(F.abs(F.col("y") - F.col("m")))).alias("below_a_third_of_it"),
+    )
+    return out
+
+
+@query(
+    f"""{_TOTALS_SQL}, s AS (SELECT unnest(range(1, 15)) AS step), e AS (SELECT event_type, max(total) AS newest FROM t GROUP BY 1)
+       SELECT event_type, step::int AS step, z + to_days(step::int) AS period, true AS above_the_newest FROM e, s, last"""
+)
+def forecast_future(spark, sf):
+    """Fourteen days beyond the table, each built on the forecasts before it: totals go on to grow."""
+    totals = _running_totals(spark, sf)
+    said = S.fit_forecaster(totals, "event_type", "day", "total", kind="linear_regression", lags=(1, 2), windows=()).ahead(totals, 14)
+    newest = totals.groupBy("event_type").agg(F.max("total").alias("newest"))
+    return said.join(newest, "event_type").select("event_type", "step", "period", (F.col("prediction") > F.col("newest")).alias("above_the_newest"))

@@ -544,21 +544,15 @@ def split_by_time(df: DataFrame, time: str, horizon: str = "7 days") -> DataFram
     return df.withColumn("split", F.when(quoted(time) > cut, F.lit("test")).otherwise(F.lit("train")))
 
 
-
 def forecast(
-    df: DataFrame, series: str, time: str, value: str, period: str = "day", horizon: str = "7 days", **params
+    df: DataFrame, series: str, time: str, value: str, period: str = "day", horizon: str = "7 days", kind: str = "gradient_boosting", **params
 ) -> tuple[Trained, DataFrame]:
-    """Boosted trees on lags and calendar parts; returns the model and the scored last part.
-
-    The model is fitted on the periods before the horizon; gaps in the history of a series
-    get the training median.
-    """
-    made = split_by_time(series_features(df, series, time, value, period), "period", horizon)
-    dated = made.withColumn("month", F.month("period")).withColumn("weekday", F.weekday("period"))
-    past = dated.where("split = 'train'")
-    lagged = [c for c in made.columns if c.startswith(("lag_", "mean_"))]
-    fill = FillStep({c: v for c, v in impute_values(past, lagged).items() if v is not None})
-    known = [c for c in lagged if c in fill.values]
-    feats = [*known, "month", "weekday"]
-    t = train(past, feats, "y", "gradient_boosting", "regression", preparation=FittedFeatures([fill]), **params)
-    return t, t.score(dated.where("split = 'test'"), [series, "period", "y"])
+    """The model fitted on all but the last ``horizon``, and (series, period, y, prediction) of that part, forecast step by step."""
+    from tabweave.operators import forecasting as S
+
+    n = S.periods_in(horizon, period)
+    cutoff = (df.agg(F.max(S.period_index(quoted(time), period))).first()[0] or 0) - n
+    fitted = S.fit_forecaster(df, series, time, value, period, kind, cutoff=cutoff, **params)
+    truth = series_features(df, series, time, value, period, (1,), ()).select(quoted(series), "period", "y")
+    said = fitted.ahead(df, n, cutoff).join(truth, [series, "period"])
+    return fitted.model, said.select(quoted(series), "period", "y", "prediction")

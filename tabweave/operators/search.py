@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -93,13 +93,15 @@ def search(
     time_column: str | None = None,
     horizon: str = "7 days",
     split: str | None = None,
+    judge: Callable[[DataFrame, Candidate], DataFrame] | None = None,
 ) -> SearchResult:
     """Judge every candidate on rows it was not trained on, then refit the best on all rows.
 
     Folds win over a validation part if both are set. After the time limit, or without
     progress over PATIENCE candidates under early stopping, no further candidate starts.
     Forecasting is regression judged on the last ``horizon`` of ``time_column``. ``split`` names a
-    column that says ``train`` or ``test`` already. With ``vote_members`` the mean of that many best
+    column that says ``train`` or ``test`` already; ``judge`` gives a candidate's scores of rows it has not seen by a way of its
+    own. With ``vote_members`` the mean of that many best
     candidates is judged too, on the scores they have; it needs keys that identify a row.
     """
     if cfg.primary_metric not in METRIC_NAMES:
@@ -109,7 +111,9 @@ def search(
     todo = choose(candidates or default_candidates(task), cfg)
     if not todo:
         raise ValueError("no candidate is allowed")
-    if cfg.task == "forecasting":
+    if judge is not None:
+        marked = df
+    elif cfg.task == "forecasting":
         if time_column is None:
             raise ValueError("forecasting needs the time column")
         marked, judge = split_by_time(df, time_column, horizon), _on_held_out(keys, features, label, task)

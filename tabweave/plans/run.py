@@ -13,6 +13,7 @@ from tabweave.config import SearchConfig, check_config
 from tabweave.functions.columns import quoted
 from tabweave.operators.explain import attribute_model, explain_all
 from tabweave.operators.features import FittedFeatures
+from tabweave.operators.forecasting import fit_forecaster, rolling
 from tabweave.operators.models import Trained, auto_features, numeric_label, save_trained, series_features
 from tabweave.operators.search import Candidate, SearchResult, search
 from tabweave.operators.split import split_by_bucket
@@ -78,6 +79,7 @@ def run_training(
     if how.task == "forecasting":
         if how.series_column is None:
             table, how = table.withColumn("series", F.lit("all")), replace(how, series_column="series")
+        history = table
         made = series_features(table, how.series_column, how.time_column, label, how.period)
         table = made.withColumns({"month": F.month("period"), "weekday": F.weekday("period")}).withColumnRenamed("y", label)
         keep = [how.series_column, "period"]
@@ -88,9 +90,19 @@ def run_training(
     auto = FittedFeatures() if how.featurization == "off" else auto_features(fit_rows, label, [*keep, *extra], how)
     ready = auto.transform(table)
     features = [c for c in ready.columns if c != label and c not in keep and c not in extra]
-    found = search(
-        ready, keep, features, label, how, candidates, "period" if how.task == "forecasting" else None, how.horizon, "split" if parted else None
-    )
+    judge = None
+    if how.task == "forecasting":
+        where = (how.series_column, how.time_column, label, how.period)
+
+        def judge(rows: DataFrame, c: Candidate) -> DataFrame:
+            """Forecasts from rolling cut-offs; lags of a period ahead are the forecasts before it, never its true past."""
+            return rolling(history, *where, how.horizon, how.folds or 1, kind=c.kind, **c.params).withColumnRenamed("y", label)
+
+    found = search(ready, keep, features, label, how, candidates, split="split" if parted else None, judge=judge)
+    if how.task == "forecasting" and out.get("forecast_path"):
+        best_kind = found.best
+        ahead = fit_forecaster(history, *where, kind=best_kind.kind, **best_kind.params).ahead(history, how.horizon)
+        paths["forecast"] = write_prepared(ahead, out["forecast_path"], stamp=stamp)
     ready, table = ready.drop(*extra), table.drop(*extra)
     best = found.model
     if out.get("register_model", True) and out.get("model_path"):
