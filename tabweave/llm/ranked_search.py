@@ -2,7 +2,8 @@
 
 The index cuts the documents into shards. A shard is a grid of terms (rows, frequent ones first) by documents (columns, by
 length); a cell holds the impact of its term on its document. The grid is stored as a quadtree by level: one nibble per
-inner node says which of its quadrants hold anything, and every node keeps the largest impact below it. A search for an item
+inner node says which of its quadrants hold anything, and every node knows the largest impact below it; it is written down
+once, for the highest node that has it. A search for an item
 walks down the paths of all its rows at once: a state is a range of documents with one node per term, its bound the sum of
 the terms' weights times their nodes' maxima. States are taken in the order of their bounds, some at a time, until none left
 can reach the item's best results so far. Maxima are free of the terms' weights, which depend on counts over all documents and
@@ -35,7 +36,7 @@ AT_ONCE = 32
 PASS_TERMS = 1 << 20
 TERM = np.zeros(256, bool)
 TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-INDEX = "docs array<long>, terms binary, counts binary, height int, nibbles binary, maxima binary"
+INDEX = "docs array<long>, terms binary, counts binary, height int, nodes binary, maxima binary"
 COUNT = np.array([bin(i).count("1") for i in range(16)], np.int32)
 #: Children before quadrant q of a node with a nibble.
 BEFORE = np.array([[bin(i & ((1 << q) - 1)).count("1") for q in range(4)] for i in range(16)], np.int32)
@@ -90,19 +91,44 @@ def spread(x: np.ndarray) -> np.ndarray:
 
 
 def treap(row: np.ndarray, column: np.ndarray, value: np.ndarray, height: int) -> tuple[np.ndarray, np.ndarray]:
-    """Nibbles of the inner nodes and maxima of all nodes of a grid of 2^height by 2^height, level by level from the root."""
+    """Inner nodes and maxima of a grid of 2^height by 2^height with at least one cell, level by level from the root.
+
+    A byte per inner node: its nibble, and above it the quadrant that has its maximum. Of the maxima only the root's and those
+    of the other quadrants are kept.
+    """
     code = spread(row) << np.uint64(1) | spread(column)
     by = np.argsort(code)
     code, most = code[by], value[by].astype(np.int32)
-    nibbles, maxima = [], [most]
+    nodes, maxima = [], []
     for _ in range(height):
-        parent = code >> np.uint64(2)
+        parent, quadrant = code >> np.uint64(2), (code & np.uint64(3)).astype(np.uint8)
         start = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1])))
-        nibbles.append(np.bitwise_or.reduceat(np.uint8(1) << (code & np.uint64(3)).astype(np.uint8), start).astype(np.uint8))
-        most = np.maximum.reduceat(most, start)
-        maxima.append(most)
-        code = parent[start]
-    return np.concatenate(nibbles[::-1] or [np.zeros(0, np.uint8)]), np.concatenate(maxima[::-1])
+        above = np.maximum.reduceat(most, start)
+        group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(code))))
+        equal = np.flatnonzero(most == above[group])
+        best = equal[np.concatenate(([True], group[equal][1:] != group[equal][:-1]))]
+        nodes.append(np.bitwise_or.reduceat(np.uint8(1) << quadrant, start).astype(np.uint8) | quadrant[best] << np.uint8(4))
+        maxima.append(np.delete(most, best))
+        code, most = parent[start], above
+    return np.concatenate(nodes[::-1]), np.concatenate([most, *maxima[::-1]])
+
+
+def unfolded(nodes: np.ndarray, kept: np.ndarray, height: int) -> np.ndarray:
+    """Maxima of all nodes, level by level from the root, from what `treap` keeps."""
+    nibbles, best = nodes & 15, nodes >> 4
+    levels, at, used, above = [kept[:1]], 0, 1, kept[:1]
+    for _ in range(height):
+        nibble = nibbles[at : at + len(above)]
+        count = COUNT[nibble]
+        first = np.cumsum(count) - count
+        most = np.repeat(above, count)
+        other = np.ones(len(most), bool)
+        other[first + BEFORE[nibble, best[at : at + len(above)]]] = False
+        n = len(most) - len(above)
+        most[other] = kept[used : used + n]
+        levels.append(most)
+        at, used, above = at + len(above), used + n, most
+    return np.concatenate(levels)
 
 
 class Shard:
@@ -139,7 +165,7 @@ class Shard:
         m = 50 + (50 * n * self.n) // max(1, self.total)
         value = (1_000_000_000 * tf) // (1000 * tf + 20 * m[at])
         height = max(1, int(max(len(terms), len(n)) - 1).bit_length())
-        nibbles, maxima = treap(place[term], column[at], value, height)
+        nodes, maxima = treap(place[term], column[at], value, height)
         # Terms in the order of their rows; the rows' counts are what the shard adds to df.
         by = np.argsort(place)
         return {
@@ -147,7 +173,7 @@ class Shard:
             "terms": terms[by].tobytes(),
             "counts": counts[by].astype(np.int32).tobytes(),
             "height": height,
-            "nibbles": nibbles.tobytes(),
+            "nodes": nodes.tobytes(),
             "maxima": maxima.tobytes(),
         }
 
@@ -163,7 +189,7 @@ def build(docs: DataFrame, doc: str = "doc_id", text: str = "text", counted: tup
     source = docs.select(docs[doc].cast("bigint").alias("id"), docs[text].cast("string").alias("_text")).where("_text IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("docs", pa.list_(pa.int64())), *[(c, pa.binary()) for c in ("terms", "counts")], ("height", pa.int32()), *[(c, pa.binary()) for c in ("nibbles", "maxima")]])
+        schema = pa.schema([("docs", pa.list_(pa.int64())), *[(c, pa.binary()) for c in ("terms", "counts")], ("height", pa.int32()), *[(c, pa.binary()) for c in ("nodes", "maxima")]])
         shard = Shard(n_docs, n_terms)
         for batch in batches:
             for t in texts(batch.column(1)):
@@ -187,10 +213,11 @@ def write_index(index: DataFrame) -> DataFrame:
 class Treap:
     """One shard of the index, ready for searches."""
 
-    def __init__(self, docs: np.ndarray, missing: np.ndarray, terms: bytes, height: int, nibbles: bytes, maxima: bytes) -> None:
+    def __init__(self, docs: np.ndarray, missing: np.ndarray, terms: bytes, height: int, nodes: bytes, maxima: bytes) -> None:
         self.docs, self.missing, self.height = docs, missing, height
         self.terms = np.frombuffer(terms, np.uint64)
-        self.nibbles, self.maxima = np.frombuffer(nibbles, np.uint8), np.frombuffer(maxima, np.int32)
+        nodes = np.frombuffer(nodes, np.uint8)
+        self.nibbles, self.maxima = nodes & 15, unfolded(nodes, np.frombuffer(maxima, np.int32), height)
         #: Number of the first child; children of a level's nodes follow each other in the next level.
         self.first = np.concatenate(([0], np.cumsum(COUNT[self.nibbles], dtype=np.int32)))[:-1].astype(np.int32) + 1
 
@@ -363,7 +390,7 @@ def search(
                 gone = np.concatenate([b.missing for b in best])
                 yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(ids, mask=gone), pa.array(score)], names=["at", "doc", "score"])
 
-        found = index.select("docs", "terms", "height", "nibbles", "maxima").mapInArrow(run, "at int, doc long, score long")
+        found = index.select("docs", "terms", "height", "nodes", "maxima").mapInArrow(run, "at int, doc long, score long")
         named = spark.createDataFrame(list(enumerate(names)), f"at int, item {kind}")
         found = found.join(F.broadcast(named), "at").select("item", "doc", "score")
         out = found if out is None else out.unionByName(found)

@@ -10,7 +10,7 @@ import pytest
 from odd_texts import odd_texts
 
 from tabweave.llm import ranked_search
-from tabweave.llm.ranked_search import Best, Treap, treap
+from tabweave.llm.ranked_search import Best, Treap, treap, unfolded
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -82,7 +82,8 @@ def test_treap_holds_maxima_of_quadrants():
         grid = np.where(rng.random((side, side)) < 0.2, rng.integers(1, 1000, (side, side)), 0)
         grid[0, 0] = 5
         row, column = np.nonzero(grid)
-        nibbles, maxima = treap(row, column, grid[row, column], height)
+        nodes, kept = treap(row, column, grid[row, column], height)
+        maxima = unfolded(nodes, kept, height)
         want = [[int(grid.max())]]
         for level in range(1, height + 1):
             half = side >> level
@@ -90,11 +91,12 @@ def test_treap_holds_maxima_of_quadrants():
             # Morton order of the cells of a level.
             order = sorted(np.ndindex(cells.shape), key=lambda c: [((c[0] >> b & 1) << 1 | c[1] >> b & 1) for b in reversed(range(level))])
             want.append([int(cells[c]) for c in order if cells[c]])
-        assert maxima.tolist() == sum(want, []) and len(nibbles) == sum(map(len, want[:-1]))
+        assert maxima.tolist() == sum(want, []) and len(nodes) == sum(map(len, want[:-1]))
+        assert len(kept) == 1 + sum(map(len, want[1:])) - len(nodes)
         # Searching with every row as a term gives the sums of columns.
         best = Best(3)
         hashes = np.arange(side, dtype=np.uint64)
-        found = Treap(np.arange(side), np.zeros(side, bool), hashes.tobytes(), height, nibbles.tobytes(), maxima.tobytes())
+        found = Treap(np.arange(side), np.zeros(side, bool), hashes.tobytes(), height, nodes.tobytes(), kept.tobytes())
         weights = rng.integers(1, 9, side)
         found.search(found.rows(hashes), weights, best)
         sums = (grid * weights[:, None]).sum(axis=0)
