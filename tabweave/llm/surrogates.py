@@ -31,6 +31,8 @@ PARTS = {
     "latin": "bar ben cor dal dor fen gal har jor kel lan mar nel nor per ral ros sel tam ver vin wal wes zan".split(),
     "cyrillic": "бар бел вал вер гор дан дор ел жар зим кал кор лан лес мал мир нов ол пет рог сем тар фед ян".split(),
 }
+#: Attempts from which a replacement is longer or leaves its first range, and from which its format gives way.
+EARLY, LATE = 6, 12
 ENDINGS = {"latin_m": "", "latin_f": "", "cyrillic_m": "ов", "cyrillic_f": "ова"}
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -124,11 +126,15 @@ def replacement(key: str, shared: str = "0") -> Column:
     h = hashed("canon")
     domain, local = "substring_index(canon, '@', -1)", "substring_index(canon, '@', 1)"
     labels = f"substring({domain}, 1, length({domain}) - length(substring_index({domain}, '.', -1)) - 1)"
-    # Short parts have few replacements; late attempts are longer.
+    # Every kind has more replacements the more attempts it takes: longer ones, or where the format fixes the length, with
+    # letters for digits, so that different entities get different ones however many there are.
     more = {h: "concat(" + ", ".join(f"char(97 + {_byte(str(k), h)} % 26)" for k in range(50, 56)) + ")" for h in ("h", "dh")}
-    longer = {h: f"IF({a} < 6, '', {more[h]})" for h, a in (("h", "attempt"), ("dh", shared))}
+    longer = {h: f"IF({a} < {EARLY}, '', {more[h]})" for h, a in (("h", "attempt"), ("dh", shared))}
     email = f"concat({_alike(local)}, {longer['h']}, '@', {_alike(labels, 0, 'dh')}, {longer['dh']}, '.example')"
-    ip = "concat_ws('.', '10', " + ", ".join(f"cast({_byte(str(k))} AS string)" for k in range(3)) + ")"
+    octets = ", ".join(f"cast({_byte(str(k))} AS string)" for k in range(3))
+    wide = ", ".join(f"substring(h, {4 * k + 1}, 4)" for k in range(6))
+    ip = f"CASE WHEN attempt < {EARLY} THEN concat_ws('.', '10', {octets}) WHEN attempt < {LATE} THEN concat_ws('.', cast(240 + {_byte('3')} % 16 AS string), {octets}) ELSE concat_ws(':', '2001', 'db8', {wide}) END"
+    lettered = f"array_join(transform(sequence(1, length(canon)), i -> char(97 + {_byte('i')} % 26)), '')"
     body = f"concat(substring(canon, 1, 1), substring({_alike('canon')}, 2, length(canon) - 2))"
     card = f"concat({body}, cast((10 - {luhn_sum(f'concat({body}, 0)')} % 10) % 10 AS string))"
     far = "greatest(0, length(canon) - 10)"
@@ -138,7 +144,9 @@ def replacement(key: str, shared: str = "0") -> Column:
     raw = f"concat(substring(canon, 1, 2), '00', substring({_alike('canon')}, 5))"
     iban = f"concat(substring(canon, 1, 2), lpad(cast(98 - {iban_rest(raw)} AS string), 2, '0'), substring({raw}, 5))"
     prefix = r"regexp_extract(canon, '^(AKIA|ASIA|gh[pousr]_|sk-)', 1)"
+    phone, card, ssn, iban = (f"IF(attempt < {LATE}, {v}, {lettered})" for v in (phone, card, ssn, iban))
     secret = f"IF(canon RLIKE '^[0-9a-f]+$', {_alike('canon', letters=6)}, concat({prefix}, substring({_alike('canon')}, length({prefix}) + 1)))"
+    secret = f"concat({secret}, {longer['h']})"
     person = "substring(canon, 3)"
     latin = f"NOT ({person} RLIKE '\\\\p{{IsCyrillic}}')"
     given, family = f"IF({person} LIKE '% %', substring_index({person}, ' ', 1), '')", f"substring_index({person}, ' ', -1)"
@@ -146,10 +154,10 @@ def replacement(key: str, shared: str = "0") -> Column:
     for script, condition in (("latin", latin), ("cyrillic", f"NOT ({latin})")):
         for sex in "mf":
             names, parts = _lit(GIVEN[f"{script}_{sex}"]), _lit(PARTS[script])
-            made = [f"element_at({parts}, 1 + {_byte(str(k), 'fh')} % 24)" for k in range(4)]
-            own = [f"element_at({parts}, 1 + {_byte(str(k), 'h')} % 24)" for k in range(9, 12)]
-            first = f"IF({given} = '', '', concat(IF(attempt < 6, element_at({names}, 1 + {_byte('8', 'h')} % 16), initcap(concat({', '.join(own)}))), ' '))"
-            cases.append(f"WHEN {condition} AND canon LIKE '{sex}|%' THEN concat({first}, initcap(concat({', '.join(made)})), '{ENDINGS[f'{script}_{sex}']}')")
+            made = _joined(parts, len(PARTS[script]), 4, 0, shared, "fh")
+            own = _joined(parts, len(PARTS[script]), 3, 9, "attempt", "h")
+            first = f"IF({given} = '', '', concat(IF(attempt < {EARLY}, element_at({names}, 1 + {_byte('8', 'h')} % {len(GIVEN[f'{script}_{sex}'])}), {own}), ' '))"
+            cases.append(f"WHEN {condition} AND canon LIKE '{sex}|%' THEN concat({first}, {made}, '{ENDINGS[f'{script}_{sex}']}')")
     name = "CASE " + " ".join(cases) + " END"
     kinds = {"email": email, "ip": ip, "card": card, "phone": phone, "ssn": ssn, "iban": iban, "secret": secret, "name": name}
     whole = "CASE kind " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in kinds.items()) + " END"
@@ -157,6 +165,11 @@ def replacement(key: str, shared: str = "0") -> Column:
     return F.expr(f"element_at(transform(array(struct({h} AS h, {hashed(domain, shared)} AS dh, {hashed(family, shared)} AS fh)), v -> {_bound(whole)}), 1)")
 
 
+def _joined(parts: str, n: int, least: int, first: int, attempt: str, h: str) -> str:
+    """SQL: a name of `least` parts, and of one more with every third attempt."""
+    return f"initcap(array_join(transform(sequence(1, {least} + cast({attempt} AS int) div 3), i -> element_at({parts}, 1 + {_byte(f'i + {first - 1}', h)} % {n})), ''))"
+
+
 def _bound(sql: str) -> str:
     for name in ("dh", "fh", "h"):
         sql = sql.replace(f"substring({name}, ", f"substring(v.{name}, ")
@@ -164,19 +177,29 @@ def _bound(sql: str) -> str:
 
 
 def _settled(base: DataFrame, made: Column) -> DataFrame:
-    """`base` with attempt and made, as soon as no two rows of a kind (and title) share one and none is real."""
+    """`base` with attempt and made, such that no two rows of a kind (and title) share one and none is real.
+
+    A row that shares its replacement with another of the same round (but for the first), with a settled one or with an
+    entity tries again; only such rows are made anew. Replacements grow with the attempts, so the rounds end.
+    """
     title = F.when(F.col("kind") == "name", F.substring("canon", 1, 2)).otherwise("").alias("title")
-    now = base
+    own = F.when(F.col("kind") == "name", F.substring("canon", 3, 1 << 30)).otherwise(F.col("canon"))
+    real = written(base.select("kind", own.alias("made"), F.lit(True).alias("real")).distinct(), "entities")
+    now, done = base, None
     while True:
-        now = written(now.withColumn("made", made), "replacements")
-        shared = now.groupBy("kind", title, "made").agg(F.min("canon").alias("first"), F.count("*").alias("n")).where("n > 1").select("kind", "title", "made", "first")
-        real = base.select("kind", F.when(F.col("kind") == "name", F.substring("canon", 3, 1 << 30)).otherwise(F.col("canon")).alias("made"), F.lit(True).alias("real")).distinct()
-        judged = now.select("*", title).join(shared, ["kind", "title", "made"], "left").join(real, ["kind", "made"], "left")
-        again = F.coalesce("real", F.lit(False)) | F.coalesce(F.col("first") != F.col("canon"), F.lit(False))
-        judged = written(judged.select(*now.columns, again.alias("again")), "judged")
-        if judged.where("again").isEmpty():
-            return now
-        now = judged.withColumn("attempt", F.col("attempt") + F.col("again").cast("int")).select(*base.columns)
+        tried = written(now.withColumn("made", made).select("*", title), "replacements")
+        first = tried.groupBy("kind", "title", "made").agg(F.min("canon").alias("first"))
+        judged = tried.join(first, ["kind", "title", "made"]).join(real, ["kind", "made"], "left")
+        again = F.col("real").isNotNull() | (F.col("first") != F.col("canon"))
+        if done is not None:
+            judged = judged.join(done.select("kind", "title", "made", F.lit(True).alias("taken")), ["kind", "title", "made"], "left")
+            again = again | F.col("taken").isNotNull()
+        judged = written(judged.select(*tried.columns, again.alias("again")), "judged")
+        good = judged.where("NOT again").drop("again")
+        done = good if done is None else done.unionByName(good)
+        now = judged.where("again").select(*[F.col("attempt") + 1 if c == "attempt" else F.col(c) for c in base.columns]).toDF(*base.columns)
+        if now.isEmpty():
+            return done.drop("title")
 
 
 def distinct_replacements(entities: DataFrame, key: str) -> DataFrame:

@@ -227,6 +227,31 @@ def test_family_names_and_domains_stay_shared(spark):
     assert all(re.fullmatch(rf"Mr \w+ {family[0]} left\.", new[n + k]) for k in (2, 3))
 
 
+def test_small_pools_end(spark, monkeypatch):
+    """More entities than short replacements: all kinds get longer ones, still distinct and never real."""
+    monkeypatch.setattr(surrogates, "PARTS", {"latin": ["bar", "ben"], "cyrillic": ["бар", "бел"]})
+    monkeypatch.setattr(surrogates, "GIVEN", {k: v[:2] for k, v in surrogates.GIVEN.items()})
+    monkeypatch.setattr(surrogates, "EARLY", 1)
+    monkeypatch.setattr(surrogates, "LATE", 2)
+    names = [("name", f"m|Name{i}") for i in range(1500)] + [("name", f"f|Ann Name{i % 3}{'x' * (i // 3)}") for i in range(30)]
+    fixed = [("ssn", f"{100 + i // 100}{10 + i % 90}{1000 + i}") for i in range(400)] + [("ip", f"10.0.{i // 250}.{i % 250}") for i in range(300)]
+    entities = spark.createDataFrame(names + fixed + [("email", f"a{i}@b.org") for i in range(200)], "kind string, canon string").distinct()
+    made = surrogates.distinct_replacements(entities, "k").collect()
+    assert len(made) == entities.count()
+    assert len({(r.kind, r.canon[:2] if r.kind == "name" else "", r.made) for r in made}) == len(made)
+    real = {(r.kind, r.canon[2:] if r.kind == "name" else r.canon) for r in made}
+    assert not real & {(r.kind, r.made) for r in made}
+
+
+def test_late_replacements(spark):
+    rows = [("ip", "8.8.8.8", 13), ("ip", "8.8.8.8", 7), ("ssn", "123456789", 12), ("phone", "5551234567", 12), ("name", "m|John Smith", 9), ("secret", "abcd1234", 6)]
+    frame = spark.createDataFrame(rows, "kind string, canon string, attempt int")
+    got = [r.made for r in frame.withColumn("made", surrogates.replacement("k", "attempt")).collect()]
+    assert re.fullmatch(r"2001:db8(:[0-9a-f]{4}){6}", got[0]) and 240 <= int(got[1].split(".")[0]) <= 255
+    assert re.fullmatch("[a-z]{9}", got[2]) and re.fullmatch("[a-z]{10}", got[3])
+    assert len(got[4].split()[1]) > 18 and len(got[5]) == 14
+
+
 def test_surrogates_of_odd_rows(odd, odd_rows, no_docs):
     got = surrogates.replace_entities(odd)
     assert got.columns == [*odd.columns, "n_entities"]
