@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tabweave.catalog.base import LINE_KEY, query, rounded, scored_lines, table
+from tabweave.catalog.base import LINE_KEY, hash_sql, query, rounded, scored_lines, table
 from tabweave.catalog.splits import _QUOTAS
 from tabweave.config import SearchConfig
 from tabweave.operators import forecasting as S
 from tabweave.operators import metrics as M
 from tabweave.operators import models as G
 from tabweave.operators import scoring as P
-from tabweave.operators.search import ranking, search
+from tabweave.operators.search import Candidate, on_rung, ranking, sample_candidates, search, successive_halving
 from tabweave.operators.split import split_stratified, stratified_folds
 from tabweave.session import fresh_dir, written
 from tabweave.sources.writers import write_splits
@@ -202,6 +202,49 @@ def validated_search(spark, sf):
     )
 
 
+_RUNG_HASH = hash_sql(*LINE_KEY)
+
+
+@query(
+    f"""WITH h AS (SELECT {_RUNG_HASH} % 1048576 AS a, {_RUNG_HASH.replace("'42'", "'43'")} % 1048576 AS b FROM lineitem),
+       r AS (SELECT * FROM (VALUES (0, 24, ceil(1048576 / 9.0)), (1, 8, ceil(1048576 / 3.0)), (2, 2, 1048576)) v(rung, candidates, cut))
+       SELECT rung, candidates::bigint AS candidates, count(*) FILTER (WHERE b >= 262144) AS n_train, count(*) FILTER (WHERE b < 262144) AS n_test,
+              true AS best_went_on, true AS recomputed FROM r JOIN h ON a < cut GROUP BY rung, candidates"""
+)
+def halving_leaderboard(spark, sf):
+    """24 parameter samples on nested shares of the lines: 24, 8 and 2 of them; the best value of a rung is computed again."""
+    rows = _lines(spark, sf)
+    spaces = {"logistic_regression": {"C": (1e-4, 1e2)}, "random_forest": {"numTrees": [3, 5, 10], "maxDepth": [2, 4, 6]}}
+    cfg = SearchConfig(primary_metric="AUC_weighted", validation_size=0.25, parallel_trials=4)
+    todo = sample_candidates(24, ["random_forest", "logistic_regression", "random_forest"], spaces=spaces)
+    found = successive_halving(rows, LINE_KEY, _FEATS, "label", cfg, todo, rungs=3, keep=3)
+    board = found.rungs
+    rung = board.where("rung = 1").orderBy(F.desc("value"), "model").first()
+    again = next(c for c in todo if c.name == rung["model"])
+    part = rows.where(on_rung(LINE_KEY, rung["share"])).withColumn("held", on_rung(LINE_KEY, 0.25, 43))
+    t = G.train(part.where("NOT held").drop("held"), _FEATS, "label", again.kind, **again.params)
+    auc = M.auc_weighted(t.score(part.where("held"), ["label"]), "label", {0: "p0", 1: "p1"}).first()[0]
+    worst = F.min(F.when(F.col("went_on"), F.col("value"))) >= F.coalesce(F.max(F.when(~F.col("went_on"), F.col("value"))), F.lit(0.0))
+    return board.groupBy("rung").agg(
+        F.count("*").alias("candidates"),
+        F.max("n_train").alias("n_train"),
+        F.max("n_test").alias("n_test"),
+        worst.alias("best_went_on"),
+        F.lit(abs(auc - rung["value"]) < 1e-9).alias("recomputed"),
+    )
+
+
+@query("SELECT * FROM (VALUES ('logistic_regression', 'done', true), ('random_forest', 'cancelled', false)) v(model, status, has_value), (SELECT count(*) AS n_rows FROM lineitem)")
+def search_limits(spark, sf):
+    """A forest far too large for the limit of a trial is cancelled while it trains; the other candidate wins."""
+    rows = _lines(spark, sf)
+    todo = [Candidate("random_forest", "random_forest", {"numTrees": 3000, "maxDepth": 14}), Candidate("logistic_regression", "logistic_regression", {})]
+    cfg = SearchConfig(primary_metric="AUC_weighted", validation_size=0.25, trial_timeout_minutes=0.75)
+    board = ranking(search(rows, LINE_KEY, _FEATS, "label", cfg, todo).leaderboard, "AUC_weighted")
+    n = rows.count()
+    return board.select("model", "status", F.col("value").isNotNull().alias("has_value"), F.lit(n).cast("bigint").alias("n_rows"))
+
+
 @query("SELECT (l_returnflag = 'R')::int::double AS label, count(*) AS n, count(*) AS n_in_range, count(*) AS n_decided FROM lineitem GROUP BY 1")
 def out_of_fold(spark, sf):
     """Each row is predicted once, by a model that never saw its fold."""

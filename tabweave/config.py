@@ -130,6 +130,7 @@ class SearchConfig:
     allowed: Sequence[str] = ()
     blocked: Sequence[str] = ()
     timeout_minutes: float | None = None
+    trial_timeout_minutes: float | None = None
     max_trials: int | None = None
     parallel_trials: int = 1
     early_stopping: bool = False
@@ -157,6 +158,7 @@ class SearchConfig:
             allowed=tuple(models.get("allowed") or ()),
             blocked=tuple(models.get("blocked") or ()),
             timeout_minutes=training.get("experiment_timeout_minutes"),
+            trial_timeout_minutes=training.get("iteration_timeout_minutes"),
             max_trials=training.get("max_trials"),
             parallel_trials=training.get("max_concurrent_iterations", 1),
             early_stopping=training.get("enable_early_stopping", False),

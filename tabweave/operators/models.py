@@ -33,7 +33,7 @@ from tabweave.operators.quality import (
     require_columns,
     text_columns,
 )
-from tabweave.session import enable_checkpoints
+from tabweave.session import enable_checkpoints, written
 
 # Columns that carry no feature in the explanation dialect.
 NON_FEATURES = (
@@ -422,7 +422,10 @@ class Stack:
 def stack(
     df: DataFrame, features: Sequence[str], label: str, members: Sequence[tuple[str, dict]], fold: str, k: int, task: str = "classification"
 ) -> Stack:
-    """A linear model on out-of-fold scores of the members, then members refitted on all rows."""
+    """A linear model on out-of-fold scores of the members, then members refitted on all rows.
+
+    The scores of each fold are written once: training the model on top reads them many times.
+    """
     parts, names = [], []
     keep = [label, fold]
     for i in range(k):
@@ -430,7 +433,7 @@ def stack(
         fitted = [train(rest, features, label, kind, task, scale=False, **p) for kind, p in members]
         scored = member_scores(fitted, held.select(*[quoted(c) for c in dict.fromkeys([*keep, *features])]), keep)
         wide, names = _member_columns(fitted, scored, task)
-        parts.append(wide.select(*names, quoted(label)))
+        parts.append(written(wide.select(*names, quoted(label)), "fold-scores"))
     level1 = reduce(DataFrame.unionByName, parts)
     top_kind = "logistic_regression" if task == "classification" else "linear_regression"
     top = train(level1, names, label, top_kind, task)

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import math
+import random
+import threading
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabweave.config import SearchConfig
-from tabweave.functions.columns import quoted
+from tabweave.functions.columns import hash_key, quoted
 from tabweave.operators import metrics as M
 from tabweave.operators.models import Trained, out_of_fold, split_by_time, train
 from tabweave.operators.split import plain_folds, split_random, split_stratified, stratified_folds
@@ -70,6 +74,47 @@ def choose(candidates: Sequence[Candidate], cfg: SearchConfig) -> list[Candidate
     return kept[: cfg.max_trials] if cfg.max_trials else kept
 
 
+class Cancelled(Exception):
+    """A trial that took longer than it may."""
+
+
+def within(spark: SparkSession, seconds: float | None, work: Callable[[], Any]) -> Any:
+    """The result of ``work``, whose Spark jobs are cancelled once it takes longer; then ``Cancelled`` is raised.
+
+    The jobs carry a tag of this call, so that those of other threads go on. What runs between two jobs is not stopped, but
+    no further job gets through.
+    """
+    if seconds is None:
+        return work()
+    context = spark.sparkContext
+    tag, over, done = f"trial-{uuid.uuid4().hex}", threading.Event(), threading.Event()
+
+    def watch() -> None:
+        if done.wait(max(0.0, seconds)):
+            return
+        over.set()
+        while not done.wait(0.5):
+            context.cancelJobsWithTag(tag)
+
+    context.addJobTag(tag)
+    context.setInterruptOnCancel(True)
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        found = work()
+    except Exception as e:
+        if over.is_set():
+            raise Cancelled(f"cancelled after {seconds:.0f} s") from e
+        raise
+    finally:
+        done.set()
+        watcher.join()
+        context.removeJobTag(tag)
+    if over.is_set():
+        raise Cancelled(f"cancelled after {seconds:.0f} s")
+    return found
+
+
 def evaluate(scored: DataFrame, label: str, task: str) -> dict[str, float]:
     """All metrics of one set of predictions; several passes, so the caller writes them first."""
     if task == "classification":
@@ -98,7 +143,9 @@ def search(
     """Judge every candidate on rows it was not trained on, then refit the best on all rows.
 
     Folds win over a validation part if both are set. After the time limit, or without
-    progress over PATIENCE candidates under early stopping, no further candidate starts.
+    progress over PATIENCE candidates under early stopping, no further candidate starts. The jobs of a
+    candidate that takes longer than a trial may, or than the whole search has left once there is a
+    result, are cancelled; the leaderboard has it with the status ``cancelled`` and no value.
     Forecasting is regression judged on the last ``horizon`` of ``time_column``. ``split`` names a
     column that says ``train`` or ``test`` already; ``judge`` gives a candidate's scores of rows it has not seen by a way of its
     own. With ``vote_members`` the mean of that many best
@@ -125,6 +172,7 @@ def search(
     deadline = time.monotonic() + 60 * cfg.timeout_minutes if cfg.timeout_minutes else None
     better = (lambda a, b: a < b) if metric in SMALLER_IS_BETTER else (lambda a, b: a > b)
     results: list[tuple[Candidate, dict[str, float], float]] = []
+    cut_off: list[tuple[Candidate, float]] = []
     scores: dict[str, DataFrame] = {}
     best: float | None = None
     stale = 0
@@ -137,12 +185,26 @@ def search(
                     break
                 batch = todo[i : i + max(1, cfg.parallel_trials)]
 
+                limits = [60 * cfg.trial_timeout_minutes] if cfg.trial_timeout_minutes else []
+                if results and deadline is not None:
+                    limits.append(deadline - time.monotonic())
+
                 def trial(c: Candidate):
                     start = time.monotonic()
-                    scores[c.name] = written(judge(marked, c), "scores")
-                    return c, evaluate(scores[c.name], label, task), time.monotonic() - start
+
+                    def work() -> dict[str, float]:
+                        scores[c.name] = written(judge(marked, c), "scores")
+                        return evaluate(scores[c.name], label, task)
+
+                    try:
+                        return c, within(df.sparkSession, min(limits, default=None), work), time.monotonic() - start
+                    except Cancelled:
+                        return c, None, time.monotonic() - start
 
                 for c, found, took in pool.map(trial, batch):
+                    if found is None:
+                        cut_off.append((c, took))
+                        continue
                     results.append((c, found, took))
                     value = found[metric]
                     if best is None or better(value, best):
@@ -151,15 +213,18 @@ def search(
                         stale += 1
     finally:
         marked.unpersist()
+    if not results:
+        raise TimeoutError("no candidate ended within the limit of a trial")
     ranked = sorted(results, key=lambda r: r[1][metric] * (1 if metric in SMALLER_IS_BETTER else -1))
     winner, chosen = ranked[0], ranked[: cfg.vote_members]
     if len(chosen) > 1:
         start = time.monotonic()
         found = evaluate(written(mean_scores([scores[c.name] for c, _, _ in chosen], keys, label, task), "scores"), label, task)
         results.append((Candidate("voting_ensemble", "vote", {}), found, time.monotonic() - start))
-    rows = [(c.name, c.kind, m, float(v), took) for c, found, took in results for m, v in found.items() if v is not None]
+    rows = [(c.name, c.kind, m, float(v), took, "done") for c, found, took in results for m, v in found.items() if v is not None]
+    rows += [(c.name, c.kind, metric, None, took, "cancelled") for c, took in cut_off]
     board = df.sparkSession.createDataFrame(
-        rows, "model string, kind string, metric string, value double, seconds double"
+        rows, "model string, kind string, metric string, value double, seconds double, status string"
     )
     rest = df if split is None else df.drop(split)
     members = [train(rest, features, label, c.kind, task, **c.params) for c, _, _ in chosen] if len(chosen) > 1 else []
@@ -167,6 +232,109 @@ def search(
     return SearchResult(board, winner[0], model, members)
 
 
+# What parameter samples of each kind of model are drawn from; a pair is a range on a logarithmic scale.
+SPACES: dict[str, dict[str, Any]] = {
+    "random_forest": {"numTrees": [10, 20, 50, 100], "maxDepth": [3, 5, 8, 10], "minInstancesPerNode": [1, 2, 5, 20]},
+    "gradient_boosting": {"maxIter": [10, 20, 50, 100], "maxDepth": [2, 3, 5], "stepSize": (0.02, 0.5)},
+    "logistic_regression": {"C": (1e-4, 1e2)},
+    "linear_regression": {"regParam": (1e-6, 1e1)},
+}
+
+
+def sample_candidates(n: int, kinds: Sequence[str], seed: int = 42, spaces: Mapping[str, Mapping[str, Any]] = SPACES) -> list[Candidate]:
+    """n candidates, kinds in turn, their parameters drawn from the spaces of their kinds; the same for the same seed."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        kind = kinds[i % len(kinds)]
+        drawn = {}
+        for name, values in spaces[kind].items():
+            if isinstance(values, tuple):
+                drawn[name] = math.exp(rng.uniform(math.log(values[0]), math.log(values[1])))
+            else:
+                drawn[name] = rng.choice(values)
+        out.append(Candidate(f"{kind}_{i}", kind, drawn))
+    return out
+
+
+#: Steps in which shares of rows are told apart; the hash of a row is below its share on every rung that has it.
+SHARE_STEPS = 1 << 20
+
+
+def on_rung(keys: Sequence[str], share: float, seed: int = 42) -> Column:
+    """Whether a row belongs to a rung of this share: rungs are nested, a row of a smaller one is in every larger one."""
+    return F.pmod(hash_key([quoted(k) for k in keys], seed), F.lit(SHARE_STEPS)) < F.lit(math.ceil(share * SHARE_STEPS))
+
+
+@dataclass
+class HalvingResult:
+    """``rungs``: a row per candidate and rung with its share, rows, value, status and whether it went on."""
+
+    rungs: DataFrame
+    best: Candidate
+    model: Trained
+
+
+def successive_halving(
+    df: DataFrame,
+    keys: Sequence[str],
+    features: Sequence[str],
+    label: str,
+    cfg: SearchConfig,
+    candidates: Sequence[Candidate],
+    rungs: int = 3,
+    keep: int = 3,
+    seed: int = 42,
+) -> HalvingResult:
+    """Judge many candidates on a small share of the rows, the best of them on ``keep`` times more, and so on to all rows.
+
+    A quarter of the rows (``cfg.validation_size``), chosen by hash, is held out; every rung trains and judges on its share
+    of both parts. Of each rung the best 1/``keep`` go on, one at least; ties go by name. Limits of a trial hold for each
+    rung; a candidate that is cancelled does not go on. The winner of the last rung is refitted on all rows.
+    """
+    metric, task = METRIC_NAMES[cfg.primary_metric], cfg.task
+    left = choose(candidates, cfg)
+    if not left or rungs < 1 or keep < 2:
+        raise ValueError("give a candidate, a rung at least, and keep one of two or more")
+    sign = 1 if metric in SMALLER_IS_BETTER else -1
+    held = on_rung(keys, cfg.validation_size or 0.25, seed + 1)
+    table = written(df.select(*dict.fromkeys([*keys, *features, label]), held.alias("_held")), "halving")
+    rows: list[tuple] = []
+    limit = 60 * cfg.trial_timeout_minutes if cfg.trial_timeout_minutes else None
+    for rung in range(rungs):
+        share = float(keep) ** (rung + 1 - rungs)
+        part = written(table.where(on_rung(keys, share, seed)), "rung")
+        sizes = dict(part.groupBy("_held").count().collect())
+        train_rows, test_rows = part.where("NOT _held").drop("_held"), part.where("_held").drop("_held")
+
+        def trial(c: Candidate) -> float | None:
+            def work() -> float | None:
+                t = train(train_rows, features, label, c.kind, task, **c.params)
+                return evaluate(written(t.score(test_rows, [*keys, label]), "scores"), label, task).get(metric)
+
+            try:
+                return within(df.sparkSession, limit, work)
+            except Cancelled:
+                return None
+
+        with ThreadPoolExecutor(max(1, cfg.parallel_trials)) as pool:
+            found = list(zip(left, pool.map(trial, left)))
+        good = sorted((v * sign, c.name) for c, v in found if v is not None)
+        if not good:
+            raise TimeoutError("no candidate ended within the limit of a trial")
+        going = {name for _, name in good[: max(1, len(left) // keep)]}
+        rows += [
+            (rung, c.name, c.kind, share, sizes.get(False, 0), sizes.get(True, 0), v, "done" if v is not None else "cancelled", c.name in going) for c, v in found
+        ]
+        best = good[0][1]
+        left = [c for c in left if c.name in going]
+    winner = next(c for c in left if c.name == best)
+    board = df.sparkSession.createDataFrame(
+        rows, "rung int, model string, kind string, share double, n_train long, n_test long, value double, status string, went_on boolean"
+    )
+    return HalvingResult(board, winner, train(df, features, label, winner.kind, task, **winner.params))
+
+
 def mean_scores(scored: Sequence[DataFrame], keys: Sequence[str], label: str, task: str) -> DataFrame:
     """The mean of several models' scores of the same rows, and what it predicts."""
     names = [c for c in scored[0].columns if c[:1] == "p" and c[1:].isdigit()] if task == "classification" else ["prediction"]
@@ -206,7 +374,7 @@ def _on_held_out(keys, features, label, task):
 
 
 def ranking(board: DataFrame, metric: str) -> DataFrame:
-    """Candidates ordered by one metric, best first (one row per candidate)."""
+    """Candidates ordered by one metric, best first, cancelled ones last (one row per candidate)."""
     name = METRIC_NAMES.get(metric, metric)
-    value = F.col("value").asc() if name in SMALLER_IS_BETTER else F.col("value").desc()
+    value = F.col("value").asc_nulls_last() if name in SMALLER_IS_BETTER else F.col("value").desc_nulls_last()
     return board.where(quoted("metric") == name).orderBy(value, "model")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tabweave.config import SearchConfig
 from tabweave.operators import models as G
 from tabweave.operators.scoring import predict_proba, proba_or_predict
-from tabweave.operators.search import Candidate, choose, default_candidates, ranking, search
+from tabweave.operators.search import Candidate, choose, default_candidates, on_rung, ranking, sample_candidates, search, successive_halving
 from tabweave.sources.readers import synthetic
 
 
@@ -152,3 +152,67 @@ def test_forecast_scores_only_the_last_part(spark):
     assert found.leaderboard.count() > 3
     with pytest.raises(ValueError):
         search(made, ["k", "period"], ["lag_1"], "y", cfg, one)
+
+
+def test_stack_is_a_linear_model_on_scores_of_other_folds(rows):
+    from tabweave.operators.split import stratified_folds
+
+    members = [("random_forest", SMALL), ("logistic_regression", {})]
+    folded = stratified_folds(rows, ["row_id"], "label", 2).cache()
+    s = G.stack(folded, FEATS, "label", members, "fold", 2)
+    out = {r.row_id: r.p1 for r in s.score(rows, ["row_id"]).collect()}
+    # By hand: level one from models that never saw the row, then the scaled linear model on the refitted members' scores.
+    parts = []
+    for i in range(2):
+        fitted = [G.train(folded.where(f"fold <> {i}"), FEATS, "label", k, scale=False, **p) for k, p in members]
+        scored = G.member_scores(fitted, folded.where(f"fold = {i}"), ["row_id", "label"])
+        parts += [(r.m0[1], r.m1[1], r.label) for r in scored.select("m0", "m1", "label").collect()]
+    level1 = rows.sparkSession.createDataFrame([(float(a), float(b), float(c)) for a, b, c in parts], "m0_1 double, m1_1 double, label double")
+    top = G.train(level1, ["m0_1", "m1_1"], "label", "logistic_regression")
+    again = {r.row_id: r.p1 for r in G.Stack(s.base, top).score(rows, ["row_id"]).collect()}
+    assert out.keys() == again.keys() and len(out) == 400
+    assert max(abs(out[k] - again[k]) for k in out) < 1e-3
+    truth = {r.row_id: r.label for r in rows.select("row_id", "label").collect()}
+    assert np.mean([(out[k] > 0.5) == (truth[k] == 1) for k in out]) > 0.75
+
+
+def test_a_trial_above_its_limit_is_cancelled(rows):
+    import time
+
+    def judge(df, c):
+        if c.name != "slow":
+            return df.select("row_id", "label", F.col("label").cast("double").alias("prediction"))
+
+        def sleep(batches):
+            time.sleep(300)
+            yield from batches
+
+        return df.select("row_id", "label", F.lit(0.0).alias("prediction")).coalesce(1).mapInPandas(sleep, "row_id long, label long, prediction double")
+
+    todo = [Candidate("slow", "logistic_regression", {}), Candidate("quick", "logistic_regression", {})]
+    cfg = SearchConfig(primary_metric="accuracy", trial_timeout_minutes=0.5, parallel_trials=2)
+    start = time.monotonic()
+    found = search(rows, ["row_id"], FEATS, "label", cfg, todo, judge=judge)
+    assert time.monotonic() - start < 200
+    board = [tuple(r) for r in ranking(found.leaderboard, "accuracy").select("model", "value", "status").collect()]
+    assert board == [("quick", 1.0, "done"), ("slow", None, "cancelled")] and found.best.name == "quick"
+    with pytest.raises(TimeoutError):
+        search(rows, ["row_id"], FEATS, "label", cfg, todo[:1], judge=judge)
+
+
+def test_halving_promotes_the_best_of_nested_rungs(rows):
+    todo = sample_candidates(6, ["logistic_regression", "random_forest"], spaces={"logistic_regression": {"C": (1e-3, 1e2)}, "random_forest": {"numTrees": [2, 3], "maxDepth": [2]}})
+    assert todo == sample_candidates(6, ["logistic_regression", "random_forest"], spaces={"logistic_regression": {"C": (1e-3, 1e2)}, "random_forest": {"numTrees": [2, 3], "maxDepth": [2]}})
+    cfg = SearchConfig(primary_metric="accuracy", parallel_trials=3)
+    found = successive_halving(rows, ["row_id"], FEATS, "label", cfg, todo, rungs=2, keep=3)
+    board = found.rungs.collect()
+    assert [r.rung for r in board] == [0] * 6 + [1] * 2
+    first = sorted((-r.value, r.model) for r in board if r.rung == 0)
+    assert {m for _, m in first[:2]} == {r.model for r in board if r.rung == 1} == {r.model for r in board if r.rung == 0 and r.went_on}
+    assert found.best.name == min((-r.value, r.model) for r in board if r.rung == 1)[1] and found.model.kind == found.best.kind
+    sizes = {r.rung: (r.n_train, r.n_test) for r in board}
+    assert sum(sizes[1]) == 400 and 80 < sum(sizes[0]) < 190
+    small, large = (set(r.row_id for r in rows.where(on_rung(["row_id"], s)).collect()) for s in (1 / 3, 2 / 3))
+    assert small < large
+    with pytest.raises(ValueError):
+        successive_halving(rows, ["row_id"], FEATS, "label", cfg, [], rungs=2)
