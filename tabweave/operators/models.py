@@ -411,12 +411,18 @@ def _member_columns(models: Sequence[Trained], scored: DataFrame, task: str) ->
 
 @dataclass
 class Stack:
+    """Members, the model on top of their scores, and the scaling that all members share."""
+
     base: list[Trained]
     top: Trained
+    preparation: FittedFeatures = field(default_factory=FittedFeatures)
 
     def score(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        scored, _ = _member_columns(self.base, member_scores(self.base, df, keep), self.top.task)
-        return self.top.score(scored, keep)
+        # What is kept stays as it was given, also where it is a feature.
+        held = df.withColumn("_kept", F.struct(*[quoted(k) for k in keep])) if keep else df.withColumn("_kept", F.lit(0))
+        scored, _ = _member_columns(self.base, member_scores(self.base, self.preparation.transform(held), ["_kept"]), self.top.task)
+        out = self.top.score(scored, ["_kept"])
+        return out.select(*[F.col("_kept").getField(k).alias(k) for k in keep], *[quoted(c) for c in out.columns if c != "_kept"])
 
 
 def stack(
@@ -424,8 +430,12 @@ def stack(
 ) -> Stack:
     """A linear model on out-of-fold scores of the members, then members refitted on all rows.
 
-    The scores of each fold are written once: training the model on top reads them many times.
+    The scores of each fold are written once: training the model on top reads them many times. All members see features
+    scaled once, without which a linear member needs hundreds of passes.
     """
+    step = fit_scale(df, "standard", list(features))
+    prepared = FittedFeatures([step])
+    df = written(prepared.transform(df.select(*[quoted(c) for c in dict.fromkeys([*features, label, fold])])), "stack-rows")
     parts, names = [], []
     keep = [label, fold]
     for i in range(k):
@@ -437,7 +447,7 @@ def stack(
     level1 = reduce(DataFrame.unionByName, parts)
     top_kind = "logistic_regression" if task == "classification" else "linear_regression"
     top = train(level1, names, label, top_kind, task)
-    return Stack([train(df, features, label, kind, task, scale=False, **p) for kind, p in members], top)
+    return Stack([train(df, features, label, kind, task, scale=False, **p) for kind, p in members], top, prepared)
 
 
 # --------------------------------------------------------- automatic features

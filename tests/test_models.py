@@ -157,11 +157,13 @@ def test_forecast_scores_only_the_last_part(spark):
 def test_stack_is_a_linear_model_on_scores_of_other_folds(rows):
     from tabweave.operators.split import stratified_folds
 
-    members = [("random_forest", SMALL), ("logistic_regression", {})]
+    members = [("gradient_boosting", {"maxIter": 3, "maxDepth": 2}), ("logistic_regression", {})]
     folded = stratified_folds(rows, ["row_id"], "label", 2).cache()
     s = G.stack(folded, FEATS, "label", members, "fold", 2)
     out = {r.row_id: r.p1 for r in s.score(rows, ["row_id"]).collect()}
     # By hand: level one from models that never saw the row, then the scaled linear model on the refitted members' scores.
+    assert s.score(rows, ["row_id", "age"]).select("row_id", "age").exceptAll(rows.select("row_id", "age")).count() == 0
+    folded = s.preparation.transform(folded).cache()
     parts = []
     for i in range(2):
         fitted = [G.train(folded.where(f"fold <> {i}"), FEATS, "label", k, scale=False, **p) for k, p in members]
@@ -169,7 +171,7 @@ def test_stack_is_a_linear_model_on_scores_of_other_folds(rows):
         parts += [(r.m0[1], r.m1[1], r.label) for r in scored.select("m0", "m1", "label").collect()]
     level1 = rows.sparkSession.createDataFrame([(float(a), float(b), float(c)) for a, b, c in parts], "m0_1 double, m1_1 double, label double")
     top = G.train(level1, ["m0_1", "m1_1"], "label", "logistic_regression")
-    again = {r.row_id: r.p1 for r in G.Stack(s.base, top).score(rows, ["row_id"]).collect()}
+    again = {r.row_id: r.p1 for r in G.Stack(s.base, top, s.preparation).score(rows, ["row_id"]).collect()}
     assert out.keys() == again.keys() and len(out) == 400
     assert max(abs(out[k] - again[k]) for k in out) < 1e-3
     truth = {r.row_id: r.label for r in rows.select("row_id", "label").collect()}
