@@ -129,8 +129,9 @@ def pack(rows: dict[str, np.ndarray]) -> bytes:
     return b"".join(np.ascontiguousarray(rows[f], SURVEY[f]).tobytes() for f in SURVEY.names)
 
 
-def unpack(cell: pa.Buffer) -> dict[str, np.ndarray]:
-    n, at, out = cell.size // SURVEY.itemsize, 0, {}
+def unpack(cell: bytes | pa.Buffer) -> dict[str, np.ndarray]:
+    cell = memoryview(cell)
+    n, at, out = cell.nbytes // SURVEY.itemsize, 0, {}
     for f in SURVEY.names:
         out[f] = np.frombuffer(cell, SURVEY[f], n, at)
         at += n * SURVEY[f].itemsize

@@ -227,6 +227,15 @@ def test_family_names_and_domains_stay_shared(spark):
     assert all(re.fullmatch(rf"Mr \w+ {family[0]} left\.", new[n + k]) for k in (2, 3))
 
 
+def test_line_stage_keeps_columns_named_like_its_counters(spark):
+    rows = [(*r, None if r[1] is None else len(r[1]), 777, "x") for r in line_docs()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, n_removed int, N_Lines string")
+    out = corpus_pipeline.boilerplate(spark, docs, "")
+    assert out.columns == docs.columns and out.where("n_removed <> 777 OR n_lines <> 'x' OR n_removed IS NULL").count() == 0
+    plain = corpus_pipeline.boilerplate(spark, docs.drop("n_removed", "N_Lines"), "")
+    assert sorted(map(str, out.select("doc_id", "text", "n_chars").collect())) == sorted(map(str, plain.select("doc_id", "text", "n_chars").collect()))
+
+
 def test_small_pools_end(spark, monkeypatch):
     """More entities than short replacements: all kinds get longer ones, still distinct and never real."""
     monkeypatch.setattr(surrogates, "PARTS", {"latin": ["bar", "ben"], "cyrillic": ["бар", "бел"]})
