@@ -181,7 +181,15 @@ def table_shape(spark, sf):
           (SELECT quality, count(*) AS n FROM labelled WHERE quality IS NOT NULL GROUP BY 1)) AS target_distribution FROM labelled"""
 )
 def data_summary(spark, sf):
-    return Q.data_summary(labelled_documents(spark, sf), "quality")
+    docs = labelled_documents(spark, sf)
+    return Q.data_summary(docs.withColumn("quality", F.col("quality").cast("string")), "quality")
+
+
+@query("SELECT count(*) AS n_rows, count(l_extendedprice) AS n_labelled, 'l_extendedprice' AS target_column, true AS no_distribution FROM lineitem")
+def data_summary_number(spark, sf):
+    """A price as the target: its values are not told one by one."""
+    out = Q.data_summary(table(spark, sf, "lineitem"), "l_extendedprice")
+    return out.select("n_rows", "n_labelled", "target_column", F.col("target_distribution").isNull().alias("no_distribution"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5")

@@ -331,10 +331,16 @@ def describe(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def data_summary(df: DataFrame, label: str) -> DataFrame:
-    """One record: shape, features and target, with the rows of each target value as a JSON object in order of value."""
+    """One record: shape, features and target; of a text target the rows of each value too, a JSON object in order of value.
+
+    A number has no such object (null), as it may have a value for each row; ``value_counts`` gives those as a table.
+    """
     features, _ = features_and_label(df, label)
-    # One entry per target value, and the values of a target are few.
-    counts = {str(r[label]): r["n"] for r in value_counts(df, label).collect()}
+    told = None
+    if isinstance(df.schema[label].dataType, T.StringType):
+        # One entry per class.
+        counts = {str(r[label]): r["n"] for r in value_counts(df, label).collect()}
+        told = json.dumps(counts, sort_keys=True, separators=(",", ":"))
     return df.agg(
         F.count("*").alias("n_rows"),
         F.count_if(quoted(label).isNotNull()).alias("n_labelled"),
@@ -345,5 +351,5 @@ def data_summary(df: DataFrame, label: str) -> DataFrame:
         F.lit(len(features)).cast("bigint").alias("feature_count"),
         F.array_join(F.array(*[F.lit(c) for c in features]), ",").alias("feature_names"),
         F.lit(label).alias("target_column"),
-        F.lit(json.dumps(counts, sort_keys=True, separators=(",", ":"))).alias("target_distribution"),
+        F.lit(told).cast("string").alias("target_distribution"),
     )
