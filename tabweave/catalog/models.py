@@ -14,7 +14,7 @@ from tabweave.operators import metrics as M
 from tabweave.operators import models as G
 from tabweave.operators import scoring as P
 from tabweave.operators.search import Candidate, on_rung, ranking, sample_candidates, search, successive_halving
-from tabweave.operators.split import split_stratified, stratified_folds
+from tabweave.operators.split import split_by_bucket, split_stratified, stratified_folds
 from tabweave.session import fresh_dir, written
 from tabweave.sources.writers import write_splits
 
@@ -120,12 +120,37 @@ def _class_check(out):
 
 @query(_CLASS_SQL)
 def boosted_multiclass(spark, sf):
-    """Coded labels, one boosted model per class against the rest, probabilities of all classes."""
+    """Coded labels, trees of all classes grown together on the residuals of the softmax."""
     coded, _ = _classes(spark, sf)
     t = G.train(coded, _CLASS_FEATS, "y", "gradient_boosting")
     return _class_check(t.score(coded, ["o_orderstatus"]))
 
 
+@query(
+    """WITH share AS (SELECT l_returnflag, count(*) AS n, count(*) / sum(count(*)) OVER () AS s FROM lineitem GROUP BY 1)
+       SELECT round((SELECT -sum(s * ln(s)) FROM share), 6)::double AS first_loss, 10::bigint AS rounds, true AS falls,
+              (SELECT sum(n)::bigint FROM share) AS n, true AS beats_shares"""
+)
+def softmax_rounds(spark, sf):
+    """Three classes of lineitem: the loss starts at the entropy of their shares and falls in each of ten rounds.
+
+    Rows whose key hashes into a fifth are held out; their log loss lies below that entropy.
+    """
+    lines = table(spark, sf, "lineitem").withColumn("shipped", F.unix_date(F.to_date("l_shipdate")).cast("double"))
+    rows, _ = G.numeric_label(lines.select(*LINE_KEY, *_FEATS, "shipped", F.col("l_returnflag").alias("y")), "y")
+    features = [*_FEATS, "shipped"]
+    losses = G.train(rows, features, "y", "gradient_boosting", maxIter=10).model.stages[-1].losses_by_round()
+    falls = all(later < earlier for earlier, later in zip(losses, losses[1:]))
+    parts = written(split_by_bucket(rows, LINE_KEY, 20), "parts")
+    t = G.train(parts.where("split = 'train'").drop("split"), features, "y", "gradient_boosting", maxIter=10)
+    scored = t.score(parts.where("split = 'test'"), ["y"])
+    loss = F.avg(-F.log(F.element_at(F.array("p0", "p1", "p2"), F.col("y").cast("int") + 1)))
+    first = F.round(F.lit(losses[0]), 6).alias("first_loss")
+    told = [first, F.lit(len(losses)).cast("bigint").alias("rounds"), F.lit(falls).alias("falls")]
+    counted = rows.agg(F.count("*").alias("n"))
+    return counted.crossJoin(scored.agg((loss < losses[0]).alias("beats_shares"))).select(*told, "n", "beats_shares")
+
+
 @query(_CLASS_SQL)
 def vote_multiclass(spark, sf):
     coded, _ = _classes(spark, sf)

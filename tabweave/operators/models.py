@@ -9,7 +9,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRestModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tabweave.config import DateParts, SearchConfig
 from tabweave.functions.columns import DATE_PARTS, quoted, typed_lit
+from tabweave.operators.boosting import SoftmaxBoost, SoftmaxBoostModel
 from tabweave.operators.encode import columns_up_to, fit_first_seen_codes, fit_sorted_codes
 from tabweave.operators.features import STEPS, CodeStep, FeatureStep, FittedFeatures, fit_dates, fit_onehot, fit_scale
 from tabweave.operators.quality import (
@@ -168,8 +169,8 @@ def make_estimator(
                 **common, **{"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "seed": 42, **params}
             )
         if kind == "gradient_boosting":
-            boosted = GBTClassifier(**common, **{"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "seed": 42, **params})
-            return boosted if n_classes <= 2 else OneVsRest(classifier=boosted, labelCol=label)
+            settings = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "seed": 42, **params}
+            return (GBTClassifier if n_classes <= 2 else SoftmaxBoost)(**common, **settings)
         if kind == "logistic_regression":
             c = params.pop("C", 1.0)
             # L2 with strength 1/C on the summed loss equals 1/(C n) on the mean loss.
@@ -195,6 +196,8 @@ def with_probabilities(model: PipelineModel, df: DataFrame) -> tuple[DataFrame,
     Of one model per class against the rest, the probabilities of the classes are scaled to sum to 1.
     """
     last = model.stages[-1]
+    if isinstance(last, SoftmaxBoostModel):
+        return model.transform(df), last.numClasses
     if not isinstance(last, OneVsRestModel):
         out = model.transform(df)
         if "probability" not in out.columns:

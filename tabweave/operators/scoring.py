@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.functions.columns import nan_to_null, quoted, risk_level, truthy_label
+from tabweave.operators.boosting import SoftmaxBoostModel
 from tabweave.operators.models import with_probabilities
 
 
@@ -101,7 +102,7 @@ def predict_proba(model: Model | None, df: DataFrame, keep: Sequence[str], task:
 
 def has_probability(model: Model) -> bool:
     last = last_stage(model)
-    return isinstance(last, OneVsRestModel) or hasattr(last, "getProbabilityCol") and hasattr(last, "numClasses")
+    return isinstance(last, (OneVsRestModel, SoftmaxBoostModel)) or hasattr(last, "getProbabilityCol") and hasattr(last, "numClasses")
 
 
 def proba_or_predict(model: Model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
