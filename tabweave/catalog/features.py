@@ -5,11 +5,11 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tabweave.catalog.base import GAPPY_SQL, LABELLED_SQL, gappy_events, labelled_documents, longs, query, r6, rounded, table
+from tabweave.catalog.base import GAPPY_SQL, LABELLED_SQL, gappy_events, hash_sql, labelled_documents, longs, query, r6, rounded, table
 from tabweave.config import Bin, DateParts, Derived, FeatureConfig, ValidationConfig
-from tabweave.functions.columns import bin_code
+from tabweave.functions.columns import bin_code, hash_key
 from tabweave.operators import features as X
-from tabweave.operators.encode import fit_first_seen_codes, fit_sorted_codes, fit_target_means
+from tabweave.operators.encode import fit_first_seen_codes, fit_sorted_codes, fit_target_means, out_of_fold_means
 from tabweave.operators.models import auto_features, fit_dialect, series_features, split_by_time
 from tabweave.plans.flow import prepare
 
@@ -185,6 +185,22 @@ def target_encode(spark, sf):
     return rounded(coder.apply(rows).drop("user_id"), "event_type")
 
 
+@query(
+    f"""WITH {GAPPY_SQL}, f AS (SELECT *, {hash_sql("event_id")} % 5 AS fold FROM gappy),
+        prior AS (SELECT a.fold, (SELECT avg(b.user_id) FROM f b WHERE b.fold <> a.fold) AS p FROM (SELECT DISTINCT fold FROM f) a),
+        part AS (SELECT event_type, fold, sum(user_id) AS s, count(*) AS n FROM f WHERE event_type IS NOT NULL GROUP BY ALL),
+        rest AS (SELECT event_type, fold, sum(s) OVER w - s AS s, sum(n) OVER w - n AS n FROM part WINDOW w AS (PARTITION BY event_type))
+        SELECT event_id, round(coalesce((s + 20 * p) / (n + 20), p), 6)::double AS event_type_te
+        FROM f JOIN prior USING (fold) LEFT JOIN rest USING (event_type, fold)"""
+)
+def target_encode_folds(spark, sf):
+    """Means over the other four folds, smoothed by 20 rows of their mean."""
+    rows = gappy_events(spark, sf).select("event_id", "user_id", "event_type")
+    fold = hash_key([F.col("event_id")]) % 5
+    out = out_of_fold_means(rows, ["event_type"], "user_id", fold, smoothing=20.0)
+    return rounded(out.select("event_id", "event_type_te"), "event_type_te")
+
+
 _LINE = ["l_orderkey", "l_partkey", "l_quantity", "l_discount"]
 
 

@@ -242,6 +242,60 @@ def fit_target_means(
     return out
 
 
+def out_of_fold_means(
+    df: DataFrame, columns: Sequence[str], label: str, fold: Column, smoothing: float = 0.0, suffix: str = "_te"
+) -> DataFrame:
+    """Rows with a column of target means for each of ``columns`` in which no row's own label takes part.
+
+    ``fold`` is a number of few values, for instance a hash bucket of the key. A row sees the sum and the count of its
+    category over all folds but its own, smoothed by ``smoothing`` rows of the mean of those folds. A missing category, one
+    seen in the row's own fold only, and a null label count as what they are: the mean of the other folds, and no label.
+    With a single fold that mean is null. Rows to score take the dictionaries of `fit_target_means` instead.
+
+    One pass sums by category and fold, with partial sums on the map side; the result has folds rows per category and is
+    joined by `lookup_join`, so that a category which a third of the rows share is broadcast and never shuffled.
+    """
+    y, made = quoted(label).cast("double"), [f"{c}{suffix}" for c in columns]
+    clash = set(made) & set(df.columns)
+    if clash:
+        raise ValueError(f"columns exist already: {', '.join(sorted(clash))}")
+    marked = df.withColumn("_fold", fold.cast("int"))
+    totals = marked.groupBy("_fold").agg(F.sum(y).alias("s"), F.count(y).alias("n")).collect()
+    s_all, n_all = sum(r["s"] or 0.0 for r in totals), sum(r["n"] for r in totals)
+    prior: Column = F.lit(None).cast("double")
+    for r in totals:
+        rest = n_all - r["n"]
+        mean = (s_all - (r["s"] or 0.0)) / rest if rest else None
+        prior = F.when(F.col("_fold").eqNullSafe(F.lit(r["_fold"])), F.lit(mean).cast("double")).otherwise(prior)
+    out = marked
+    for part in cells(marked, columns, y.alias("_y"), F.col("_fold")):
+        sums = written(part.groupBy("name", "value", "_fold").agg(F.sum("_y").alias("s"), F.count("_y").alias("n"), F.count("*").alias("_n")), "folds")
+        both = sums.groupBy("name", "value").agg(F.sum("s").alias("sa"), F.sum("n").alias("na"))
+        at = ["name", "value"]
+        rest = sums.join(both, at).select(*at, "_fold", "_n", (F.col("sa") - F.coalesce("s", F.lit(0.0))).alias("s"), (F.col("na") - F.col("n")).alias("n"))
+        rest = written(rest, "folds")
+        for c in sorted({r["name"] for r in rest.select("name").distinct().collect()}):
+            of_c = rest.where(F.col("name") == c).select(_fold_key(F.col("value"), df.schema[c].dataType), F.struct("s", "n").alias("_v"), "_n")
+            size, total = key_bytes(of_c), of_c.agg(F.sum("_n")).first()[0]
+            keyed = out.withColumn("_at", _fold_key(quoted(c), df.schema[c].dataType))
+            out = lookup_join(keyed, of_c, "_at", size, total).drop("_at").withColumnRenamed("_v", f"{c}{suffix}")
+    none = F.lit(None).cast("struct<s:double,n:bigint>")
+    m = F.lit(float(smoothing))
+    values = []
+    for c, name in zip(columns, made):
+        v = quoted(name) if name in out.columns else none
+        weighed = F.when(m > 0, m * prior).otherwise(F.lit(0.0))
+        values.append(F.coalesce(F.try_divide(v["s"] + weighed, v["n"] + m), prior).alias(name))
+    return out.select(*[quoted(c) for c in df.columns], *values)
+
+
+def _fold_key(value: Column, kind: T.DataType) -> Column:
+    """Fold and category as one text; null without a category. NaN is no category, and -0.0 is 0.0."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = nan_to_null(value) + F.lit(0).cast(kind)
+    return F.when(value.isNotNull(), F.to_json(F.struct("_fold", value.alias("value")))).alias("_key")
+
+
 def _as_table(
     codes: DataFrame, value: Column, column: str, kind: T.DataType, value_type: T.DataType, default, fill
 ) -> Dictionary:

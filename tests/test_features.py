@@ -216,3 +216,49 @@ def test_dates_as_categories_ignore_the_session_time_zone(frame, spark):
         assert [r["c"] for r in coded.orderBy("t").collect()] == [0, 1]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _plain_folds(rows, m):
+    """Target means of (category, fold, label) rows over the other folds, by loops."""
+    out = []
+    for c, f, _ in rows:
+        rest = [(k, y) for k, g, y in rows if g != f and y is not None]
+        mean = sum(y for _, y in rest) / len(rest) if rest else None
+        own = [y for k, y in rest if k == c and c is not None]
+        out.append((sum(own) + m * mean) / (len(own) + m) if own else mean)
+    return out
+
+
+@pytest.mark.parametrize("m", [0.0, 3.0])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_out_of_fold_means_equal_loops(frame, monkeypatch, m, broadcast):
+    from tabweave.plans import lookup
+
+    if not broadcast:
+        monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    rows = [("a", 0, 1.0), ("a", 1, 3.0), ("a", 1, None), ("b", 0, 5.0), (None, 2, 7.0), ("a", 2, 2.0), ("", 1, 4.0), ("", 2, 4.5)]
+    df = frame([(i, *r, float(len(r[0] or ""))) for i, r in enumerate(rows)], "id int, k string, f int, y double, d double")
+    out = N.out_of_fold_means(df, ["k", "d"], "y", F.col("f"), m)
+    assert out.columns == [*df.columns, "k_te", "d_te"]
+    got = out.orderBy("id").collect()
+    assert [r["k_te"] for r in got] == pytest.approx(_plain_folds(rows, m))
+    assert [r["d_te"] for r in got] == pytest.approx(_plain_folds([(float(len(k or "")), f, y) for k, f, y in rows], m))
+
+
+def test_out_of_fold_means_of_noise_stay_noise(spark):
+    df = spark.range(4000).select("id", (F.xxhash64("id") % 800).alias("k"), (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(2))).cast("double").alias("y"))
+    folds = N.out_of_fold_means(df, ["k"], "y", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5)))
+    plain = N.fit_target_means(df, ["k"], "y")["k"].apply(df, "k_in")
+    assert abs(folds.agg(F.corr("k_te", "y")).first()[0]) < 0.1
+    assert plain.agg(F.corr("k_in", "y")).first()[0] > 0.3
+
+
+def test_out_of_fold_means_of_odd_tables(frame):
+    schema = "k string, f int, y double"
+    assert N.out_of_fold_means(frame([], schema), ["k"], "y", F.col("f")).count() == 0
+    one = N.out_of_fold_means(frame([("a", 0, 1.0), ("a", 0, 2.0)], schema), ["k"], "y", F.col("f"))
+    assert [r["k_te"] for r in one.collect()] == [None, None]
+    nulls = N.out_of_fold_means(frame([(None, 0, 1.0), (None, 1, 3.0)], schema), ["k"], "y", F.col("f"))
+    assert sorted(r["k_te"] for r in nulls.collect()) == [1.0, 3.0]
+    with pytest.raises(ValueError):
+        N.out_of_fold_means(frame([("a", 0, 1.0, 0.0)], schema + ", k_te double"), ["k"], "y", F.col("f"))
