@@ -330,6 +330,36 @@ def error_cube(spark, sf):
     return longs(rounded(out, "error_rate", "coverage"), "level")
 
 
+_SLICE_CELLS = {
+    "size": "CASE WHEN l_quantity <= 10 THEN 'small' WHEN l_quantity <= 30 THEN 'medium' ELSE 'large' END",
+    "rebate": "CASE WHEN l_discount <= 0.02 THEN 'low' WHEN l_discount <= 0.06 THEN 'middle' ELSE 'high' END",
+    "taxed": "CASE WHEN l_tax <= 0.03 THEN 'low' ELSE 'high' END",
+    "status": "l_linestatus",
+}
+_EFFECT = """SELECT *, e / n AS r, (e_all - e) / nullif(n_all - n, 0) AS o, sqrt((r * (1 - r) + o * (1 - o)) / 2) AS d,
+  CASE WHEN d > 0 THEN (r - o) / d WHEN r > o THEN 'Infinity'::double ELSE 0 END AS effect FROM {0}, t WHERE n >= 0.01 * n_all"""
+_ONE = "SELECT {0} AS f, {1} AS v, '`{1}` = ' || chr(39) || {1} || chr(39) AS slice, count(*) AS n, sum(wrong) AS e FROM c GROUP BY {1}"
+_TWO = """SELECT a.slice || ' AND ' || b.slice AS slice, count(*) AS n, sum(wrong) AS e FROM c
+  JOIN j1 a ON a.f = {0} AND a.v = c.{1} AND a.effect < 0.03 JOIN j1 b ON b.f = {2} AND b.v = c.{3} AND b.effect < 0.03 GROUP BY ALL"""
+_TOLD = "SELECT slice, {0}::bigint AS level, n, e::bigint AS errors, round(r, 6) AS error_rate, round(effect, 6) AS effect FROM j{0} WHERE effect >= 0.03"
+_ONES = " UNION ALL ".join(_ONE.format(i, k) for i, k in enumerate(_SLICE_CELLS))
+_TWOS = " UNION ALL ".join(_TWO.format(i, k, j, m) for i, k in enumerate(_SLICE_CELLS) for j, m in enumerate(_SLICE_CELLS) if i < j)
+
+
+@query(
+    f"""WITH {SCORED_SQL}, c AS (SELECT {", ".join(f"{v} AS {k}" for k, v in _SLICE_CELLS.items())}, (label <> prediction)::int AS wrong FROM scored),
+        t AS (SELECT count(*) AS n_all, sum(wrong) AS e_all FROM c), one AS ({_ONES}), j1 AS ({_EFFECT.format("one")}),
+        two AS ({_TWOS}), j2 AS ({_EFFECT.format("two")})
+        {_TOLD.format(1)} UNION ALL {_TOLD.format(2)}"""
+)
+def error_slices(spark, sf):
+    """Slices of up to two conditions on which the scorer errs more often than elsewhere."""
+    rows = scored_lines(spark, sf)
+    cells = rows.select((F.col("label") != F.col("prediction")).alias("wrong"), *[F.expr(v).alias(k) for k, v in _SLICE_CELLS.items()])
+    out = C.find_slices(cells, F.col("wrong"), list(_SLICE_CELLS), min_share=0.01, min_effect=0.03)
+    return longs(rounded(out, "error_rate", "effect"), "level")
+
+
 @query(f"WITH {SCORED_SQL} SELECT count(*) AS n, sum((label <> prediction)::int)::bigint AS errors, true AS as_told FROM scored")
 def error_tree(spark, sf):
     """The rule of each cohort put to the rows: the cohorts hold every row once, as many and as wrong as the tree says."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tabweave.functions.columns import quoted
 from tabweave.operators.explain import model_leaves
 from tabweave.operators.metrics import binary_counts, binary_ratios, roc_auc
+from tabweave.session import written
 
 
 def error_cube(df: DataFrame, error: Column, dims: Sequence[str]) -> DataFrame:
@@ -56,6 +57,62 @@ def error_tree(df: DataFrame, error: Column, features: Sequence[str], depth: int
     return df.sparkSession.createDataFrame(out, "cohort string, row_share double, error_rate double")
 
 
+def find_slices(
+    df: DataFrame, error: Column, features: Sequence[str], min_share: float = 0.01, min_effect: float = 0.2, depth: int = 2
+) -> DataFrame:
+    """Slices (conditions on up to ``depth`` binned features) whose rows are in error more often than the other rows.
+
+    A slice needs ``min_share`` of all rows and an effect of at least ``min_effect``: the difference of the error rates of
+    slice and other rows, over the root of their mean variance (infinite if both rates are certain). A slice that is
+    told ends its branch: no narrower slice inside it follows. Narrow slices have few rows, so a slice too small ends its
+    branch as well. Null is a value like any other; a null error is none.
+
+    Rows are first counted per full cell, so levels multiply only that table; each level joins the cells with the slices
+    that are still open, and slices of which some part is not open are left out before they are told. Returns ``slice``
+    (a SQL condition), ``level``, ``n``, ``errors``, ``error_rate``, ``effect``.
+    """
+    wrong = F.coalesce(error, F.lit(False)).cast("bigint")
+    rows = df.select(*[quoted(f).cast("string").alias(f"f{i}") for i, f in enumerate(features)], wrong.alias("e"))
+    counted = rows.groupBy(*[f"f{i}" for i in range(len(features))]).agg(F.count("*").alias("n"), F.sum("e").alias("e"))
+    each = [F.struct(F.lit(i).alias("f"), F.col(f"f{i}").alias("v")) for i in range(len(features))]
+    cells = written(counted.select(F.array(*each).alias("all"), "n", "e"), "cells")
+    total, errors = cells.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("e"), F.lit(0))).first()
+    rate = F.col("e") / F.col("n")
+    other = F.try_divide(errors - F.col("e"), total - F.col("n"))
+    spread = F.sqrt((rate * (1 - rate) + other * (1 - other)) / 2)
+    apart = F.when(spread > 0, (rate - other) / spread).when(rate > other, F.lit(float("inf"))).otherwise(F.lit(0.0))
+    told: list[DataFrame] = []
+    held = cells.select("*", F.explode("all").alias("lit")).select("all", "n", "e", F.array("lit").alias("s"))
+    open_ = literals = None
+    for level in range(1, depth + 1):
+        if open_ is not None:
+            # A cell's open slices, each with one more open condition on a later feature.
+            later = F.filter("all", lambda x: x["f"] > F.element_at("s", -1)["f"])
+            longer = held.join(open_, "s", "left_semi").select("all", "n", "e", "s", F.explode(later).alias("lit"))
+            held = longer.join(literals, "lit", "left_semi").select("all", "n", "e", F.concat("s", F.array("lit")).alias("s"))
+        sums = held.groupBy("s").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
+        sums = sums.where(F.col("n") >= F.lit(min_share * total))
+        if level > 2:
+            # Every part with one condition less has to be open.
+            less = F.transform("s", lambda gone: F.filter("s", lambda x: x["f"] != gone["f"]))
+            parts = sums.select("s", F.explode(less).alias("part"))
+            whole = parts.join(open_.select(F.col("s").alias("part")), "part").groupBy("s").count().where(F.col("count") == level)
+            sums = sums.join(whole.select("s"), "s", "left_semi")
+        judged = written(sums.select("s", "n", "e", rate.alias("error_rate"), apart.alias("effect")), "slices")
+        found = F.coalesce(F.col("effect") >= min_effect, F.lit(False))
+        told.append(judged.where(found).withColumn("level", F.lit(level)))
+        open_ = judged.where(~found)
+        if level == 1:
+            literals = open_.select(F.col("s")[0].alias("lit"))
+    names = F.array(*[F.lit("`" + f.replace("`", "``") + "`") for f in features])
+    name = lambda x: F.element_at(names, x["f"] + 1)
+    text = F.transform("s", lambda x: F.when(x["v"].isNull(), F.concat(name(x), F.lit(" IS NULL"))).otherwise(F.concat(name(x), F.lit(" = '"), F.replace(x["v"], F.lit("'"), F.lit("\\'")), F.lit("'"))))
+    out = told[0]
+    for more in told[1:]:
+        out = out.unionByName(more)
+    return out.select(F.array_join(text, " AND ").alias("slice"), "level", "n", F.col("e").alias("errors"), "error_rate", "effect")
+
+
 def cohort_metrics(df: DataFrame, cohort: str, label: str, prediction: str, score: str) -> DataFrame:
     """Size, accuracy, precision, recall, F1 and AUC per cohort."""
     hit = (quoted(label) == quoted(prediction)).cast("double")
