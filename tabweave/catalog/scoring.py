@@ -10,7 +10,7 @@ from tabweave.functions.columns import linear_score, risk_level
 from tabweave.operators import scoring as P
 from tabweave.session import fresh_dir
 from tabweave.sources.readers import parse_requests, parse_split_requests
-from tabweave.streaming.scoring import request_stream, run_available, score_requests
+from tabweave.streaming.scoring import first_requests, request_stream, run_available, score_requests
 
 _KEYS = "l_orderkey, l_linenumber::bigint AS l_linenumber, l_partkey, l_suppkey"
 
@@ -143,3 +143,25 @@ def stream_scoring(spark, sf):
     scored = score_requests(stream, "props", contract, score, ["event_id"])
     run_available(scored, f"{base}/out", f"{base}/checkpoint")
     return rounded(spark.read.parquet(f"{base}/out").drop("error"), "score")
+
+
+@query(
+    """SELECT event_id, (props ->> '$.k')::bigint AS k, NULL::double AS bmi, round(0.01 * (props ->> '$.k')::bigint, 6)::double AS score,
+       CASE WHEN 0.01 * (props ->> '$.k')::bigint > 0.5 THEN 'HIGH RISK' ELSE 'LOW RISK' END AS risk_level FROM events"""
+)
+def stream_answers_once(spark, sf):
+    """Every request arrives twice, the second time after a restart of the stream; each is scored once."""
+    events = table(spark, sf, "events")
+    contract = T.StructType([T.StructField("k", T.LongType()), T.StructField("bmi", T.DoubleType())])
+
+    def score(df):
+        scored = df.withColumn("score", linear_score({"k": 0.01}))
+        return scored.withColumn("risk_level", risk_level(F.col("score")))
+
+    base = fresh_dir(spark, "stream")
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{base}/in")
+        arriving = request_stream(spark, f"{base}/in", events.schema)
+        once = first_requests(arriving, ["user_id", "event_id"], "ts", "3650 days")
+        run_available(score_requests(once, "props", contract, score, ["event_id"]), f"{base}/out", f"{base}/checkpoint")
+    return rounded(spark.read.parquet(f"{base}/out").drop("error"), "score")

@@ -1,13 +1,15 @@
-"""Scoring a stream of JSON requests; stateless, so no watermark is needed."""
+"""Scoring a stream of JSON requests. Scoring keeps no state; answering repeated requests once does, under a watermark."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tabweave.functions.columns import quoted
 from tabweave.operators.scoring import align
 from tabweave.sources.readers import parse_requests
 
@@ -27,6 +29,25 @@ def request_stream(
     return reader.load(folder)
 
 
+def first_requests(requests: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+    """Requests without their repeats: of equal ``keys`` whose times are at most ``delay`` apart, the first to arrive.
+
+    The state store remembers keys over batches and restarts until the watermark, the latest time seen less ``delay``, has
+    passed them; state is bounded by the requests of that span. Requests that arrive behind the watermark are dropped, as
+    nothing can say any more whether they were answered. A request without one of its keys or without a time cannot be told
+    from others, so it passes each time. On a table instead of a stream, equal keys keep one row whatever their times.
+    """
+    told = [quoted(c).isNotNull() for c in (*keys, time)]
+    known = told[0]
+    for t in told[1:]:
+        known = known & t
+    if not requests.isStreaming:
+        return requests.where(known).dropDuplicates(list(keys)).unionByName(requests.where(~known))
+    # Every branch of a stream gets the watermark, so that the branches agree on it; it drops no row by itself.
+    marked = requests.withWatermark(time, delay)
+    return marked.where(known).dropDuplicatesWithinWatermark(list(keys)).unionByName(marked.where(~known))
+
+
 def score_requests(
     requests: DataFrame,
     body: str,
