@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.columns import hash_percent, quoted
-from tabweave.plans.ordered import RowOrder, blocks_before, rank_cutoffs, take_smallest
+from tabweave.plans.ordered import RowOrder, blocks_before, rank_cutoffs, take_by_class, take_smallest
 
 
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42, method: str = "md5") -> DataFrame:
@@ -133,14 +133,14 @@ def quota_sample(
 ) -> DataFrame:
     """At most ``size`` rows, at most a quarter of them positive, negatives fill the rest."""
     y = quoted(label)
-    row = df.agg(F.count("*").alias("n"), F.count_if(y == 1).alias("p"), F.count_if(y == 0).alias("q")).first()
-    total = min(size, row["n"])
-    positives = min(row["p"], total // 4)
-    negatives = min(row["q"], total - positives)
-    order = RowOrder(keys, seed, method)
-    return take_smallest(df.where(y == 1), order, positives).unionByName(
-        take_smallest(df.where(y == 0), order, negatives)
-    )
+
+    def quotas(counts: dict) -> dict:
+        total = min(size, sum(counts.values()))
+        positives = min(counts.get(1, 0), total // 4)
+        return {1: positives, 0: min(counts.get(0, 0), total - positives)}
+
+    cls = F.when(y == 1, F.lit(1)).when(y == 0, F.lit(0))
+    return take_by_class(df, RowOrder(keys, seed, method), cls, quotas)
 
 
 def first_of_each_class(df: DataFrame, label: str, order_by: Sequence[str]) -> DataFrame:

@@ -506,25 +506,34 @@ def _literal(values: tuple, kind: T.StructType) -> Column:
 
 
 def take_smallest(df: DataFrame, order: RowOrder, n: int) -> DataFrame:
-    """Exactly min(n, rows) rows, the first in the given order; a filter, whatever n is.
+    """Exactly min(n, rows) rows, the first in the given order; a filter, whatever n is."""
+    return take_by_class(df, order, F.lit(0), lambda counts: {y: min(n, k) for y, k in counts.items()})
 
-    Rows with equal keys are ordered by a hash of all their columns. Rows that agree in that too
-    are equal, so of those at the cutoff one is taken as often as rows are still wanted.
+
+def take_by_class(df: DataFrame, order: RowOrder, cls: Column, wanted_of: Callable[[dict[Any, int]], dict[Any, int]]) -> DataFrame:
+    """Of each class (an int) so many rows as ``wanted_of`` makes of the counts of all classes, the first in the order.
+
+    One search serves all classes. Rows with equal keys are ordered by a hash of all their columns. Rows that agree in that
+    too are equal, so of those at a cutoff one is taken as often as rows are still wanted.
     """
-    whole = F.xxhash64(*[quoted(c) for c in df.columns])
-    marked = df.withColumn("_row", whole)
-    by_row = RowOrder([*order.keys, "_row"], order.seed, order.method, tuple(order.keys))
-    cut = rank_cutoffs(marked, by_row, lambda c: {y: [min(n, k)] for y, k in c.items()})
     names = [quoted(c) for c in df.columns]
-    point = cut.points.get(0, [None])[0]
-    if point is None:
+    marked = df.withColumn("_row", F.xxhash64(*names)).withColumn("_cls", cls.cast("int"))
+    by_row = RowOrder([*order.keys, "_row"], order.seed, order.method, tuple(order.keys))
+    cut = rank_cutoffs(marked, by_row, lambda c: {y: [k] for y, k in wanted_of(c).items() if k}, "_cls")
+    if not cut.points:
         return df.limit(0)
+    wanted = wanted_of(cut.classes)
     placed = marked.withColumn("_o", by_row.column())
-    last = _literal(point, cut.order_type)
-    before = placed.where(F.col("_o") < last)
-    wanted = min(n, cut.classes[0]) - before.count()
-    at_cut = placed.where(F.col("_o") == last)
-    if wanted == at_cut.count():
-        return placed.where(F.col("_o") <= last).select(*names)
-    copies = at_cut.limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(wanted))))
-    return before.select(*names).unionByName(copies.select(*names))
+    lasts = {y: _literal(points[0], cut.order_type) for y, points in cut.points.items()}
+    at = {y: F.col("_cls").eqNullSafe(F.lit(y)) & (F.col("_o") == last) for y, last in lasts.items()}
+    before = {y: F.col("_cls").eqNullSafe(F.lit(y)) & (F.col("_o") < last) for y, last in lasts.items()}
+    counted = placed.agg(*[F.count_if(c) for y in lasts for c in (before[y], at[y])]).first()
+    left = {y: wanted[y] - counted[2 * i] for i, y in enumerate(lasts)}
+    whole = {y: left[y] == counted[2 * i + 1] for i, y in enumerate(lasts)}
+    taken = reduce(or_, [before[y] | at[y] if whole[y] else before[y] for y in lasts])
+    out = placed.where(taken).select(*names)
+    for y in lasts:
+        if not whole[y]:
+            copies = placed.where(at[y]).limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(left[y]))))
+            out = out.unionByName(copies.select(*names))
+    return out

@@ -43,9 +43,10 @@ def first_requests(requests: DataFrame, keys: Sequence[str], time: str, delay: s
         known = known & t
     if not requests.isStreaming:
         return requests.where(known).dropDuplicates(list(keys)).unionByName(requests.where(~known))
-    # Every branch of a stream gets the watermark, so that the branches agree on it; it drops no row by itself.
-    marked = requests.withWatermark(time, delay)
-    return marked.where(known).dropDuplicatesWithinWatermark(list(keys)).unionByName(marked.where(~known))
+    # A watermark needs an instant; a time without zone is read in the session's. The column itself stays as it is.
+    marked = requests.withColumn("_seen", quoted(time).cast("timestamp")).withWatermark("_seen", delay)
+    once = marked.where(known).dropDuplicatesWithinWatermark(list(keys))
+    return once.unionByName(marked.where(~known)).drop("_seen")
 
 
 def score_requests(
