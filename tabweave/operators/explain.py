@@ -116,6 +116,11 @@ def model_trees(model: Any, target_class: int = 1) -> list[Tree]:
 def _tree(nodes: dict[int, Any], scale: float, classifies: bool, target: int) -> Tree:
     place = {n: i for i, n in enumerate(sorted(nodes))}
     out = Tree([], [], [], [], [], [], [], [1.0] * len(nodes))
+
+    def weight(node: Any) -> float:
+        # Rows by weight: of classes the statistics are their weights, of numbers the first one is the weight.
+        return sum(node["impurityStats"]) if classifies else node["impurityStats"][0]
+
     for n in sorted(nodes):
         node, split = nodes[n], nodes[n]["split"]
         inner = node["leftChild"] >= 0
@@ -130,7 +135,7 @@ def _tree(nodes: dict[int, Any], scale: float, classifies: bool, target: int) ->
         for side, children in (("leftChild", out.left), ("rightChild", out.right)):
             children.append(place[node[side]] if inner else -1)
             if inner:
-                out.shares[place[node[side]]] = nodes[node[side]]["rawCount"] / node["rawCount"] if node["rawCount"] else 0.0
+                out.shares[place[node[side]]] = weight(nodes[node[side]]) / weight(node) if weight(node) else 0.0
     return out
 
 

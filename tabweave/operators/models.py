@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tabweave.config import DateParts, SearchConfig
 from tabweave.functions.columns import DATE_PARTS, quoted, typed_lit
 from tabweave.operators.boosting import SoftmaxBoost, SoftmaxBoostModel
+from tabweave.operators.cells import fit_by_cells
 from tabweave.operators.encode import columns_up_to, fit_first_seen_codes, fit_sorted_codes
 from tabweave.operators.features import STEPS, CodeStep, FeatureStep, FittedFeatures, fit_dates, fit_onehot, fit_scale
 from tabweave.operators.quality import (
@@ -275,15 +276,19 @@ def train(
     if kind in ("gradient_boosting", "random_forest"):
         enable_checkpoints(spark)
     assembler = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="error")
-    # Training reads its rows many times; the vectors are kept, the preparation runs once.
-    vectors = assembler.transform(rows).select("features", label).persist()
+    # Training reads its rows many times; they are kept, the preparation runs once.
+    grows = kind in ("gradient_boosting", "random_forest")
+    kept = _spread(rows if grows else assembler.transform(rows).select("features", label)).persist()
     try:
-        n, classes = vectors.agg(F.count("*"), F.max(label)).first()
+        n, classes = kept.agg(F.count("*"), F.max(label)).first()
         n_classes = int(classes or 0) + 1 if task == "classification" else 0
         estimator = make_estimator(kind, task, label, n, n_classes, **params)
-        fitted = estimator.fit(_spread(vectors))
+        # Trees of a long table are grown on its weighted cells, of a short one on its rows.
+        fitted = fit_by_cells(estimator, kept, feats, label, n, n_classes) if grows else None
+        if fitted is None:
+            fitted = estimator.fit(assembler.transform(kept).select("features", label) if grows else kept)
     finally:
-        vectors.unpersist()
+        kept.unpersist()
     model = PipelineModel(stages=[assembler, fitted])
     return Trained(FittedFeatures(steps), feats, label, task, kind, model, raw_contract)
 
