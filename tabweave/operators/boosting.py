@@ -1,6 +1,7 @@
 """Joint boosting of several classes: per round one regression tree per class on the residuals of the softmax.
 
-Features are cut once into at most ``maxBins`` quantile bins. A level of a round is one Spark job for the trees of all
+Features are cut once into at most ``maxBins`` quantile bins, and rows with equal bins and class are counted into one cell,
+on which all rounds work. A level of a round is one Spark job for the trees of all
 classes: tasks add gradients into histograms, which are summed by cell; the best split of each node comes to the driver. The margins of the classes are a column that is written again every few rounds.
 """
 
@@ -58,13 +59,13 @@ def leaf_of(tree: Tree, x: np.ndarray) -> np.ndarray:
     return walk([numbered], x)[:, 0].astype(np.int64)
 
 
-def _unpack(batch: pa.RecordBatch, n_features: int, n_classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bins, classes and margins of a batch as arrays."""
+def _unpack(batch: pa.RecordBatch, n_features: int, n_classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, classes, margins and numbers of rows of a batch of cells as arrays."""
 
     def flat(k: int, width: int) -> np.ndarray:
         return batch.column(k).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
-    return flat(0, n_features), batch.column(1).to_numpy(zero_copy_only=False), flat(2, n_classes)
+    return flat(0, n_features), batch.column(1).to_numpy(zero_copy_only=False), flat(2, n_classes), batch.column(3).to_numpy(zero_copy_only=False)
 
 
 def best_splits(rows: DataFrame, newer: list[Tree], growing: list[Tree], open_nodes: list[set[int]], bins: int, least: int, sizes: tuple[int, int], with_loss: bool) -> list:
@@ -81,13 +82,13 @@ def best_splits(rows: DataFrame, newer: list[Tree], growing: list[Tree], open_no
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y, margins = _unpack(batch, n_features, n_classes)
+            x, y, margins, n = _unpack(batch, n_features, n_classes)
             for r in range(0, len(newer), n_classes):
                 margins = margins + walk(newer[r : r + n_classes], x)
             p = softmax(margins)
             if with_loss:
-                loss -= np.log(np.maximum(p[np.arange(len(y)), y], 1e-300)).sum()
-                seen += len(y)
+                loss -= (n * np.log(np.maximum(p[np.arange(len(y)), y], 1e-300))).sum()
+                seen += int(n.sum())
             for k, (tree, nodes) in enumerate(zip(growing, place)):
                 if not nodes:
                     continue
@@ -96,10 +97,11 @@ def best_splits(rows: DataFrame, newer: list[Tree], growing: list[Tree], open_no
                 node = number[leaf_of(tree, x)]
                 inside = node >= 0
                 g = (y == k)[inside] - p[inside, k]
-                h = np.abs(g) * (1 - np.abs(g))
+                held = n[inside]
+                h = held * np.abs(g) * (1 - np.abs(g))
                 for f in range(n_features):
                     cell = (node[inside] * n_features + f) * bins + x[inside, f]
-                    for i, w in enumerate((g, h, None)):
+                    for i, w in enumerate((held * g, h, held)):
                         sums[k][i] += np.bincount(cell, w, sums[k].shape[1])
         out: list[list[np.ndarray]] = [[] for _ in _CELL_NAMES]
         for k, nodes in enumerate(place):
@@ -207,7 +209,8 @@ class SoftmaxBoost(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             wide = np.stack(x.to_numpy())
             return pd.Series(list(np.stack([np.searchsorted(e, wide[:, j], "left") for j, e in enumerate(edges)], axis=1).astype(np.int16)))
 
-        return written(rows.select(bins("x").alias("x"), "y", F.array(*[F.lit(p) for p in prior]).alias("margins")), "boosting")
+        cells = rows.select(bins("x").alias("x"), "y").groupBy("x", "y").agg(F.count("*").alias("n"))
+        return written(cells.select("x", "y", F.array(*[F.lit(p) for p in prior]).alias("margins"), "n"), "boosting")
 
     def _round(self, rows: DataFrame, newer: list[Tree], sizes: tuple[int, int]) -> tuple[list[Tree], float]:
         k = sizes[1]
@@ -240,20 +243,20 @@ class SoftmaxBoost(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         return growing, loss
 
     def _advanced(self, rows: DataFrame, newer: list[Tree], sizes: tuple[int, int]) -> DataFrame:
-        """The rows with margins that include the newer trees, written."""
+        """The cells with margins that include the newer trees, written."""
         n_features, k = sizes
 
         def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                x, _, margins = _unpack(batch, n_features, k)
+                x, _, margins, _ = _unpack(batch, n_features, k)
                 for r in range(0, len(newer), k):
                     margins = margins + walk(newer[r : r + k], x)
                 new = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * k), pa.array(margins.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), new], names=["x", "y", "margins"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), new, batch.column(3)], names=["x", "y", "margins", "n"])
 
-        return written(rows.mapInArrow(advance, "x array<smallint>, y int, margins array<double>"), "boosting")
+        return written(rows.mapInArrow(advance, "x array<smallint>, y int, margins array<double>, n long"), "boosting")
 
 
 class SoftmaxBoostModel(Model, DefaultParamsReadable, DefaultParamsWritable):

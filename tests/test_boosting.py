@@ -82,3 +82,14 @@ def test_constant_features_absent_classes_and_bad_labels(frame):
         G.train(frame([(1.0, None), (1.0, 2.0)], "a double, y double"), ["a"], "y", "gradient_boosting")
     with pytest.raises(ValueError):
         B.SoftmaxBoost(maxBins=1)
+
+
+def test_rounds_work_on_cells_of_equal_rows(spark, monkeypatch):
+    seen = []
+    plain = B.SoftmaxBoost._round
+    monkeypatch.setattr(B.SoftmaxBoost, "_round", lambda self, rows, *a: seen.append(rows.count()) or plain(self, rows, *a))
+    df, x, y = _three(spark, 250)
+    many = df.crossJoin(spark.range(8).select(F.col("id").alias("again")))
+    t = G.train(many, ["a", "b"], "y", "gradient_boosting", maxIter=3, maxDepth=2, maxBins=256)
+    assert np.allclose(t.score(df, ["id"]).orderBy("id").toPandas()[["p0", "p1", "p2"]], _plain_rounds(x, y, 3, 3, 2, 0.1))
+    assert max(seen) <= 250
