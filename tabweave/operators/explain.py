@@ -467,7 +467,7 @@ def kernel_attribution(
     x = [quoted(f).cast("double").alias(f"_x{i}") for i, f in enumerate(names)]
     own = [quoted(k).alias(f"_k{i}") for i, k in enumerate(kept)]
     # The number of a row is the same for all its copies, which are made in the same task.
-    base = df.select(*own, *x, F.monotonically_increasing_id().alias("_row"))
+    base = _spread(df.select(*own, *x)).select("*", F.monotonically_increasing_id().alias("_row"))
     held = ["_row", *[f"_k{i}" for i in range(len(kept))], *[f"_x{i}" for i in range(len(names))]]
     cased = base.select("*", F.posexplode(F.arrays_zip(design_col.alias("d"), bits_col.alias("b"))).alias("_i", "_s"))
     mixed = cased.select("*", F.explode(back_col).alias("_b")).select(
@@ -494,9 +494,16 @@ def kernel_attribution(
     return Attribution(wide, kept, names)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows of a few input files or row groups, over several tasks a core: each row costs coalitions x background scores."""
+    tasks = TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
+
+
 BACKGROUND_ROWS = 100
+TASKS_PER_CORE = 4
 #: Bytes of background values that are sent to the tasks, and values a task scores at once.
-BACKGROUND_BYTES, SCORED_AT_ONCE = 8 << 20, 1 << 21
+BACKGROUND_BYTES, SCORED_AT_ONCE = 8 << 20, 1 << 19
 
 
 def background_values(background: DataFrame, features: Sequence[str]) -> np.ndarray:
@@ -535,9 +542,13 @@ class CoalitionScores:
             rows = max(1, some // len(known))
             for r in range(0, len(x), rows):
                 part = x[r : r + rows]
-                mixed = np.where(known[None, :, None, :], part[:, None, None, :], self.background[None, None])
-                scores = np.asarray(self.predict(mixed.reshape(-1, m)), dtype=float)
-                out[r : r + rows, c : c + some] = scores.reshape(len(part), len(known), n).mean(axis=2)
+                # Column by column, so that what is copied and scored lies side by side.
+                mixed = np.empty((m, len(known), len(part), n))
+                for j in range(m):
+                    mixed[j, known[:, j]] = part[:, j, None]
+                    mixed[j, ~known[:, j]] = self.background[:, j]
+                scores = np.asarray(self.predict(mixed.reshape(m, len(known) * len(part) * n).T), dtype=float)
+                out[r : r + rows, c : c + some] = scores.reshape(len(known), len(part), n).mean(axis=2).T
         return out
 
     def phi(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -557,8 +568,8 @@ def array_attribution(
 ) -> Attribution:
     """Attributions for a scorer in array form: a function from rows x features to one score per row.
 
-    Coalitions and background rows are mixed and scored inside the Arrow batches of a task; no row is multiplied in the plan
-    and nothing is shuffled. Only the background (checked, see ``background_values``) and the function are sent to the tasks.
+    Coalitions and background rows are mixed and scored inside the Arrow batches of a task; no row is multiplied in the plan,
+    and rows are shuffled only to have tasks for all cores. Only the background (checked, see ``background_values``) and the function are sent to the tasks.
     A null value is NaN. ``exact`` grows with 2**features; with many features ask for ``sampled`` coalitions.
     """
     names, kept = list(features), list(keys)
@@ -582,7 +593,7 @@ def array_attribution(
             yield pa.RecordBatch.from_arrays([*parts, *[pa.array(np.ascontiguousarray(c)) for c in (*phi.T, base, output)]], names=columns)
 
     inputs = df.select(*[quoted(k) for k in kept], *[quoted(f).cast("double").alias(f"_x{i}") for i, f in enumerate(names)])
-    return Attribution(inputs.mapInArrow(run, schema), kept, names)
+    return Attribution(_spread(inputs).mapInArrow(run, schema), kept, names)
 
 
 @dataclass

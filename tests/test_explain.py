@@ -321,3 +321,20 @@ def test_models_in_array_form(frame):
     score = E.array_form(line.model.stages[-1])
     assert score(np.array([[2.0]]))[0] == pytest.approx(line.model.stages[-1].predict(Vectors.dense(2.0)))
     assert E.array_form(object()) is None
+
+
+def test_few_input_partitions_become_tasks_for_all_cores(spark):
+    df = spark.range(40).select("id", F.col("id").cast("double").alias("x"), (F.col("id") % 3).cast("double").alias("z")).coalesce(1)
+    back = df.limit(5)
+    tasks = E.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    seen = []
+
+    def score(rows):
+        seen.append(rows.rdd.getNumPartitions())
+        return rows.withColumn("score", F.col("x") * F.col("z"))
+
+    by_rows = E.kernel_attribution(df, ["id"], ["x", "z"], back, score)
+    arrays = E.array_attribution(df, ["id"], ["x", "z"], back, lambda v: v[:, 0] * v[:, 1])
+    assert seen == [tasks] and arrays.df.rdd.getNumPartitions() == tasks
+    each = [[tuple(round(v, 9) for v in r) for r in a.df.select("id", "phi_x", "phi_z", "base_value").orderBy("id").collect()] for a in (by_rows, arrays)]
+    assert each[0] == each[1] and len(each[0]) == 40
