@@ -10,8 +10,8 @@ distinct counts. Boilerplate lines leave every document; everything else of a te
 
 The SQL fixes that rule for the query. With `by_content` (the pipeline), copies of a document are one document on one site,
 a run of widespread lines is judged by what surrounds the run, and short lines count too, from `min_sites_short` sites.
-Where widespread lines are more than half of a document, as in near copies, its lines keep their own neighbours. All of
-that is counted exactly.
+Where widespread lines are more than half of a document, as in near copies, its lines keep their own neighbours. Sites and
+surroundings are estimated by the same sketches, and counted exactly near the thresholds.
 """
 
 from __future__ import annotations
@@ -97,11 +97,17 @@ def runs_of_lines(docs: DataFrame, doc: str, text: str, site: str, spread: Sprea
 
 def boilerplate_by_content(counted: DataFrame, spread: Spread) -> DataFrame:
     """The line hashes that are boilerplate (one column), each document content counted once."""
-    once = counted.groupBy("line", "content").agg(F.min("site").alias("site"), F.first("short").alias("short"))
-    sites = once.groupBy("line", "site").agg(F.count("*").alias("n"), F.first("short").alias("short"))
-    sites = sites.groupBy("line").agg(F.count("*").alias("sites"), F.sum("n").alias("contents"), F.first("short").alias("short"))
-    wide = written(sites.where(F.col("sites") >= F.when(F.col("short"), spread.min_sites_short).otherwise(spread.min_sites)).select("line", "contents"), "widespread")
-    places = counted.join(wide.select("line"), "line", "left_semi").dropDuplicates(["content", "rank"])
+    by_content = [F.min("site").alias("site"), F.first("short").alias("short")]
+    least = F.when(F.col("short"), spread.min_sites_short).otherwise(spread.min_sites)
+    sketches = counted.groupBy("line", "content").agg(*by_content).groupBy("line").agg(
+        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(spread.log_size))).alias("sites"), F.first("short").alias("short")
+    )
+    near = _near(F.col("sites"), least, spread)
+    judged = written(sketches.where(near | (F.col("sites") >= least)).select("line", near.alias("near")), "spread")
+    close = counted.join(judged.where("near").select("line"), "line", "left_semi").groupBy("line", "content").agg(*by_content)
+    sites = close.groupBy("line", "site").agg(F.first("short").alias("short")).groupBy("line").agg(F.count("*").alias("sites"), F.first("short").alias("short"))
+    wide = written(judged.where("NOT near").select("line").unionByName(sites.where(F.col("sites") >= least).select("line")), "widespread")
+    places = counted.join(wide, "line", "left_semi").dropDuplicates(["content", "rank"])
     # Neighbouring widespread lines have one difference of rank and number, and are one run.
     places = places.withColumn("run", F.col("rank") - F.row_number().over(W.partitionBy("content").orderBy("rank")))
     run = W.partitionBy("content", "run")
@@ -109,8 +115,17 @@ def boilerplate_by_content(counted: DataFrame, spread: Spread) -> DataFrame:
     ends = [F.min_by("before", "rank").over(run), F.max_by("after", "rank").over(run)]
     around = F.when(mostly, F.xxhash64("before", "after")).otherwise(F.xxhash64(*ends))
     seen = places.select("content", "line", around.alias("around")).groupBy("line", "content").agg(F.min("around").alias("around"))
-    contexts = seen.groupBy("line", "around").agg(F.lit(1).alias("one")).groupBy("line").agg(F.count("*").alias("contexts"))
-    return contexts.join(wide, "line").where(F.col("contexts") * 100 >= F.col("contents") * spread.min_contexts_percent).select("line")
+    seen = written(seen.select("line", "around"), "surroundings")
+    sketches = seen.groupBy("line").agg(
+        F.count("*").alias("contents"), F.hll_sketch_estimate(F.hll_sketch_agg("around", F.lit(spread.log_size))).alias("contexts")
+    )
+    least = F.col("contents") * spread.min_contexts_percent / 100
+    near = _near(F.col("contexts"), least, spread)
+    judged = written(sketches.where(near | (F.col("contexts") >= least)).select("line", "contents", near.alias("near")), "spread")
+    close = seen.join(judged.where("near").select("line"), "line", "left_semi")
+    contexts = close.groupBy("line", "around").agg(F.lit(1).alias("one")).groupBy("line").agg(F.count("*").alias("contexts"))
+    exact = contexts.join(judged, "line").where(F.col("contexts") * 100 >= F.col("contents") * spread.min_contexts_percent)
+    return judged.where("NOT near").select("line").unionByName(exact.select("line"))
 
 
 def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source", spread: Spread = Spread()) -> DataFrame:

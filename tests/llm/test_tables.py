@@ -367,3 +367,22 @@ def test_stages_take_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0 and quality_rules.Limits().min_words == 50
+
+
+def test_lines_by_content_are_judged_by_sketches_and_exactly_near_thresholds(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"unique opening number {i} here\nthe same footer line is found everywhere\nshared by a few sites only {i // 3}", f"s{i}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    asked = []
+
+    def cut(near, percent=20):
+        monkeypatch.setattr(line_spread, "_near", lambda *a: asked.append(a) or near(*a))
+        out = line_spread.dedup(docs, spread=line_spread.Spread(by_content=True, near_percent=percent))
+        return sorted((r["doc_id"], r["n_removed"], r["text"]) for r in out.collect())
+
+    plain = line_spread._near
+    sketched = cut(lambda *a: F.lit(False))
+    assert len(asked) == 2
+    assert all(n == 1 and "footer" not in t and "few sites" in t for _, n, t in sketched)
+    assert sketched == cut(plain) == cut(plain, 10**6)
