@@ -177,6 +177,8 @@ def search(
     best: float | None = None
     stale = 0
     try:
+        # All candidates are judged on these rows; making them is no part of the first one's trial.
+        marked.count()
         with ThreadPoolExecutor(max(1, cfg.parallel_trials)) as pool:
             for i in range(0, len(todo), max(1, cfg.parallel_trials)):
                 if results and deadline is not None and time.monotonic() >= deadline:

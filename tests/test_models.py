@@ -181,6 +181,8 @@ def test_stack_is_a_linear_model_on_scores_of_other_folds(rows):
 def test_a_trial_above_its_limit_is_cancelled(rows):
     import time
 
+    import pandas as pd
+
     def judge(df, c):
         if c.name != "slow":
             return df.select("row_id", "label", F.col("label").cast("double").alias("prediction"))
@@ -218,3 +220,25 @@ def test_halving_promotes_the_best_of_nested_rungs(rows):
     assert small < large
     with pytest.raises(ValueError):
         successive_halving(rows, ["row_id"], FEATS, "label", cfg, [], rungs=2)
+
+
+def test_making_the_rows_is_no_part_of_a_trial(spark):
+    import time
+
+    import pandas as pd
+
+    @F.pandas_udf("double")
+    def slow(v: pd.Series) -> pd.Series:
+        time.sleep(9)
+        return v.astype(float)
+
+    base = spark.range(40).select("id", (F.col("id") % 2).cast("double").alias("label")).coalesce(1)
+    df = base.withColumn("x", slow("id"))
+
+    def judge(rows, c):
+        return rows.select("id", "label", F.col("label").alias("prediction"), (1 - F.col("label")).alias("p0"), (F.col("label") + 0 * F.col("x")).alias("p1"))
+
+    todo = [Candidate("lr", "logistic_regression", {})]
+    cfg = SearchConfig(primary_metric="AUC_weighted", trial_timeout_minutes=0.12)
+    board = search(df, ["id"], ["x"], "label", cfg, todo, judge=judge).leaderboard
+    assert {r["status"] for r in board.collect()} == {"done"}
