@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import math
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import astuple, dataclass
 from functools import reduce
@@ -17,6 +18,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -363,7 +365,8 @@ def tree_attribution(df: DataFrame, keys: Sequence[str], features: Sequence[str]
     """Tree attributions of every row, in Arrow batches; only the model, or a table of its cells, is sent to the tasks."""
     shares = tree_shares(model_trees(model, target_class))
     base = float(shares.base)
-    shared = df.sparkSession.sparkContext.broadcast(shares)
+    # By value, as functions are: executors need no copy of this package.
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(shares))
     names, kept = list(features), list(keys)
     schema = T.StructType(
         [df.schema[k] for k in kept]
@@ -374,10 +377,11 @@ def tree_attribution(df: DataFrame, keys: Sequence[str], features: Sequence[str]
     columns = [f.name for f in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shares = pickle.loads(shared.value)
         for batch in batches:
             own = [batch.column(i) for i in range(len(kept), batch.num_columns)]
             x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in own], axis=1) if own else np.zeros((batch.num_rows, 0))
-            phi = shared.value.phi(x)
+            phi = shares.phi(x)
             parts = [*[batch.column(i) for i in range(len(kept))], *own, *[pa.array(phi[:, i]) for i in range(len(names))]]
             yield pa.RecordBatch.from_arrays([*parts, pa.array(np.full(batch.num_rows, base))], names=columns)
 
