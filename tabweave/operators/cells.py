@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +21,13 @@ from pyspark import SparkContext, TaskContext, inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.columns import quoted
+from tabweave.session import fresh_dir
 
 #: Tables shorter than this, or with more cells, are trained on as rows.
 CELLS_FROM, MAX_CELLS = 50_000, 500_000
@@ -110,7 +113,7 @@ class Cells:
         self.features, self.label = list(features), label
         self.rows = rows.select(*[quoted(c) for c in self.features], quoted(label))
         self.values = [values[c] for c in self.features]
-        self.strides = [math.prod(len(v) for v in self.values[:i]) for i in range(len(self.values))]
+        self.strides = _strides(self.values)
         self.size = math.prod(len(v) for v in self.values)
 
     def _codes(self):
@@ -191,20 +194,6 @@ class Cells:
         return out.select("code", "features", *more).repartition(max(1, tasks), "code").sortWithinPartitions("code", *[c for c in more if c == "y"])
 
 
-def _drawn(cells: DataFrame, trees: range, seed: int) -> DataFrame:
-    """Cells of classes with ``w``: the rows that the bootstrap of each tree draws from a cell of n rows, Poisson(n)."""
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng([seed, trees.start, TaskContext.get().partitionId()])
-        for batch in batches:
-            n = batch.column(2).to_numpy()
-            w = rng.poisson(np.repeat(n, len(trees))).astype(float)
-            held = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * len(trees)), pa.array(w))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held], names=["code", "y", "w"])
-
-    return cells.mapInArrow(draw, "code long, y double, w array<double>")
-
-
 # ------------------------------------------------------------------------ fits
 
 
@@ -227,8 +216,15 @@ def fit_by_cells(estimator: Estimator, rows: DataFrame, features: Sequence[str],
     least = estimator.getMinInstancesPerNode()
     estimator = estimator.copy()
     estimator.setParams(weightCol="w", maxBins=ALL_VALUES, minInstancesPerNode=1)
+    model = _fit(estimator, cells, classes, least, n, forest)
+    model.cell_values = cells.values
+    return model
+
+
+def _fit(estimator: Estimator, cells: Cells, classes: int, least: int, n: int, forest: bool) -> Model:
+    label = cells.label
     if forest:
-        return _forest(estimator, cells, classes, least)
+        return _forest_of_classes(estimator, cells, classes, least) if classes else _forest(estimator, cells, least)
     if least > 1:
         estimator.setMinWeightFractionPerNode((least - 0.5) / n)
     held = cells.placed(cells.by_class(classes) if classes else cells.means(), "y", "n")
@@ -256,66 +252,279 @@ def _ends(rows: DataFrame, features: Sequence[str], label: str, classes: int) ->
     return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(features)}
 
 
-def _forest(estimator: Estimator, cells: Cells, classes: int, least: int) -> Model:
-    """A forest whose trees are grown on the cells, each with the weights of its own bootstrap."""
+def _forest(estimator: Estimator, cells: Cells, least: int) -> Model:
+    """A forest of numbers whose trees are grown on the cells, each with the weights of its own bootstrap."""
     spark = cells.rows.sparkSession
     total, seed, label = estimator.getNumTrees(), estimator.getSeed(), cells.label
     subset = estimator.getFeatureSubsetStrategy()
     if subset == "auto":
-        subset = "all" if total == 1 else "sqrt" if classes else "onethird"
-    counted = cells.placed(cells.by_class(classes), "y", "n").select("code", "y", "n").persist() if classes else None
-    step = TREES_PER_DRAW if classes else max(1, min(TREES_PER_DRAW, SUMS_HELD // cells.size))
+        subset = "all" if total == 1 else "onethird"
+    step = max(1, min(TREES_PER_DRAW, SUMS_HELD // cells.size))
     grown: list[Model] = []
-    try:
-        for start in range(0, total, step):
-            trees = range(start, min(total, start + step))
-            if classes:
-                held = cells.placed(_drawn(counted, trees, seed), "y", "w")
-            else:
-                held = cells.placed(cells.drawn_means(trees, seed), "w", "m")
-            held = held.persist()
-            try:
-                drawn = held.agg(F.array(*[F.sum(F.col("w")[i]) for i in range(len(trees))])).first()[0]
-
-                @inheritable_thread_target(spark)
-                def grow(i: int) -> Model:
-                    y = F.col("y") if classes else F.col("m")[i]
-                    mine = held.where(F.col("w")[i] > 0).select("features", _label(y, label, classes), F.col("w")[i].alias("w"))
-                    one = estimator.copy()
-                    one.setParams(numTrees=1, bootstrap=False, featureSubsetStrategy=subset, seed=seed + trees[i])
-                    if least > 1:
-                        one.setMinWeightFractionPerNode((least - 0.5) / max(drawn[i], 2.0 * least))
-                    return one.fit(mine)
-
-                with ThreadPoolExecutor(TREES_AT_ONCE) as pool:
-                    waiting = [pool.submit(grow, i) for i in range(len(trees))]
-                    try:
-                        grown += [w.result() for w in waiting]
-                    except BaseException:
-                        pool.shutdown(wait=True, cancel_futures=True)
-                        raise
-            finally:
-                held.unpersist()
-    finally:
-        if counted is not None:
-            counted.unpersist()
-    return _joined(estimator, grown, classes)
-
-
-def _joined(estimator: Estimator, grown: Sequence[Model], classes: int) -> Model:
+    for start in range(0, total, step):
+        trees = range(start, min(total, start + step))
+        held = cells.placed(cells.drawn_means(trees, seed), "w", "m").persist()
+        try:
+            drawn = held.agg(F.array(*[F.sum(F.col("w")[i]) for i in range(len(trees))])).first()[0]
+
+            @inheritable_thread_target(spark)
+            def grow(i: int) -> Model:
+                mine = held.where(F.col("w")[i] > 0).select("features", F.col("m")[i].alias(label), F.col("w")[i].alias("w"))
+                one = estimator.copy()
+                one.setParams(numTrees=1, bootstrap=False, featureSubsetStrategy=subset, seed=seed + trees[i])
+                if least > 1:
+                    one.setMinWeightFractionPerNode((least - 0.5) / max(drawn[i], 2.0 * least))
+                return one.fit(mine)
+
+            with ThreadPoolExecutor(TREES_AT_ONCE) as pool:
+                waiting = [pool.submit(grow, i) for i in range(len(trees))]
+                try:
+                    grown += [w.result() for w in waiting]
+                except BaseException:
+                    pool.shutdown(wait=True, cancel_futures=True)
+                    raise
+        finally:
+            held.unpersist()
+    return _joined(estimator, grown)
+
+
+def _joined(estimator: Estimator, grown: Sequence[Model]) -> Model:
     """One forest of the trees of many."""
     context = SparkContext._active_spark_context
-    width = grown[0].numFeatures
     ml = context._jvm.org.apache.spark.ml
-    kind = ml.classification.DecisionTreeClassificationModel if classes else ml.regression.DecisionTreeRegressionModel
-    trees = context._gateway.new_array(kind, len(grown))
+    trees = context._gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(grown))
     for i, one in enumerate(grown):
         trees[i] = one._java_obj.trees()[0]
-    if classes:
-        made = ml.classification.RandomForestClassificationModel(estimator.uid, trees, width, classes)
-        model = RandomForestClassificationModel(made)
-    else:
-        made = ml.regression.RandomForestRegressionModel(estimator.uid, trees, width)
-        model = RandomForestRegressionModel(made)
+    model = RandomForestRegressionModel(ml.regression.RandomForestRegressionModel(estimator.uid, trees, grown[0].numFeatures))
+    estimator._copyValues(model)._transfer_params_to_java()
+    return model
+
+
+# --------------------------------------------------------------------- scoring
+
+
+def score_by_cells(model: Model, df: DataFrame) -> DataFrame:
+    """The model's ``prediction`` and, of classes, ``_proba`` for vectors of features, looked up by their cells.
+
+    A model grown on cells says the same of all rows of a cell, so it is asked once per cell, in tasks; the table is bounded
+    by MAX_CELLS and kept with the model. A row then costs a search among the bins instead of a walk down every tree.
+    """
+    values = model.cell_values
+    if getattr(model, "cell_table", None) is None:
+        model.cell_table = _cell_table(model, df.sparkSession, values)
+    table, meets, strides = model.cell_table, [(v[:-1] + v[1:]) / 2 for v in values], _strides(values)
+
+    @F.arrow_udf("array<double>")
+    def look_up(vectors: pa.Array) -> pa.Array:
+        x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), len(meets))
+        at = sum(np.searchsorted(e, x[:, i], "left") * s for i, (e, s) in enumerate(zip(meets, strides)))
+        ends = np.arange(len(x) + 1, dtype=np.int32) * table.shape[1]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(table[at].ravel()))
+
+    told = df.withColumn("_told", look_up(vector_to_array(model.getFeaturesCol())))
+    out = told.withColumn(model.getPredictionCol(), F.col("_told")[0])
+    if table.shape[1] > 1:
+        out = out.withColumn("_proba", F.slice("_told", 2, table.shape[1] - 1))
+    return out.drop("_told")
+
+
+def _strides(values: Sequence[np.ndarray]) -> list[int]:
+    return [math.prod(len(v) for v in values[:i]) for i in range(len(values))]
+
+
+def _cell_table(model: Model, spark, values: Sequence[np.ndarray]) -> np.ndarray:
+    """Prediction and probabilities of each cell, by its code."""
+    size = math.prod(len(v) for v in values)
+    tasks = max(1, min(spark.sparkContext.defaultParallelism, size // 1000))
+    at = [F.array(*[F.lit(float(x)) for x in v])[(F.floor(F.col("id") / s) % len(v)).cast("int")] for v, s in zip(values, _strides(values))]
+    said = model.transform(spark.range(0, size, 1, tasks).select("id", array_to_vector(F.array(*at)).alias(model.getFeaturesCol())))
+    proba = [vector_to_array(model.getProbabilityCol()).alias("p")] if hasattr(model, "numClasses") else []
+    told = said.select("id", model.getPredictionCol(), *proba).toArrow()
+    columns = [told.column(1).to_numpy()[:, None]]
+    if proba:
+        columns.append(told.column(2).combine_chunks().flatten().to_numpy().reshape(size, -1))
+    return np.hstack(columns)[np.argsort(told.column(0).to_numpy())]
+
+
+# ----------------------------------------------------------- forests of classes
+
+
+class Growing:
+    """A tree of bins: nodes in the order they were made, children side by side, and the features that open nodes try."""
+
+    def __init__(self, classes: int):
+        self.feature, self.cut, self.left = (np.full(1, -1) for _ in range(3))
+        self.gain, self.stats = np.zeros(1), np.zeros((1, classes))
+        self.open, self.tried = np.zeros(1, np.int64), np.zeros((1, 0), np.int64)
+
+    def node_of(self, x: np.ndarray) -> np.ndarray:
+        """Node that each row of bins has come to."""
+        rows, at = np.arange(len(x)), np.zeros(len(x), np.int64)
+        while (inner := self.feature[at] >= 0).any():
+            right = x[rows, np.maximum(self.feature[at], 0)] > self.cut[at]
+            at = np.where(inner, self.left[at] + right, at)
+        return at
+
+    def split(self, best: dict, least: float, impurity: str) -> None:
+        """Split the open nodes that gain by it; children that may split again are open then."""
+        slot, cut, gain = (np.array(best[c]) for c in ("slot", "cut", "gain"))
+        whole, below = (np.array(best[c]).reshape(len(gain), -1) for c in ("whole", "below"))
+        self.stats[self.open] = whole
+        good = gain > 0
+        ids, size = self.open[good], len(self.feature)
+        first = size + 2 * np.arange(len(ids))
+        self.feature[ids], self.cut[ids], self.left[ids], self.gain[ids] = self.tried[good, slot[good]], cut[good], first, gain[good]
+        new = np.stack([below[good], (whole - below)[good]], axis=1).reshape(2 * len(ids), -1)
+        none = np.full(len(new), -1)
+        self.feature, self.cut, self.left = (np.concatenate([v, none]) for v in (self.feature, self.cut, self.left))
+        self.gain, self.stats = np.concatenate([self.gain, np.zeros(len(new))]), np.concatenate([self.stats, new])
+        self.open = size + np.flatnonzero((new.sum(axis=1) >= 2 * least) & (_impurity(new, impurity) > 0))
+
+    def pruned(self) -> list[np.ndarray]:
+        """(feature, cut, left, right, gain, stats) without leaves that predict the same as their siblings, as Spark leaves them out."""
+        said, feature = self.stats.argmax(axis=1), self.feature.copy()
+        for i in np.flatnonzero(feature >= 0)[::-1]:
+            a = self.left[i]
+            if feature[a] < 0 and feature[a + 1] < 0 and said[a] == said[a + 1]:
+                feature[i] = -1
+        kept = np.zeros(len(feature), bool)
+        kept[0] = True
+        for i in np.flatnonzero(feature >= 0):
+            kept[self.left[i]] = kept[self.left[i] + 1] = kept[i]
+        number, inner = np.cumsum(kept) - 1, feature >= 0
+        left, right = (np.where(inner, number[np.maximum(self.left, 0) + side], -1) for side in (0, 1))
+        return [v[kept] for v in (feature, self.cut, left, right, np.where(inner, self.gain, -1.0), self.stats)]
+
+
+def _impurity(stats: np.ndarray, kind: str) -> np.ndarray:
+    """Gini impurity or entropy of class weights along the last axis; 0 of none."""
+    p = stats / np.maximum(stats.sum(axis=-1, keepdims=True), 1e-300)
+    if kind == "gini":
+        return np.where(stats.sum(axis=-1) > 0, 1 - (p * p).sum(axis=-1), 0.0)
+    return -(p * np.log2(np.where(p > 0, p, 1.0))).sum(axis=-1)
+
+
+def _tried(strategy: str, width: int, trees: int) -> int:
+    """Number of features that a node tries, by Spark's names."""
+    if strategy == "auto":
+        strategy = "all" if trees == 1 else "sqrt"
+    known = {"all": width, "sqrt": math.ceil(math.sqrt(width)), "log2": max(1, math.ceil(math.log2(width))), "onethird": math.ceil(width / 3)}
+    if strategy in known:
+        return known[strategy]
+    return min(width, int(strategy)) if strategy.isdigit() else max(1, math.ceil(float(strategy) * width))
+
+
+def _forest_of_classes(estimator: Estimator, cells: Cells, classes: int, least: int) -> Model:
+    """A forest whose bootstraps draw Poisson(n) of a cell's n rows; a level of up to a hundred trees is one job.
+
+    A task has a part of the cells and a block of trees, and adds the drawn weights by node, feature and bin. The sums of a
+    tree meet in a group, which picks its nodes' splits. What a cell is drawn depends on seed, tree and cells alone.
+    """
+    width, seed, total = len(cells.features), estimator.getSeed(), estimator.getNumTrees()
+    tried, bins, impurity = _tried(estimator.getFeatureSubsetStrategy(), width, total), max(map(len, cells.values)), estimator.getImpurity()
+    cores = cells.rows.sparkSession.sparkContext.defaultParallelism
+    parts = -(-cells.size // CELLS_PER_TASK)
+    counted = cells.by_class(classes).repartition(parts, "code").sortWithinPartitions("code", "y").persist()
+    strides, sizes = np.array(cells.strides), np.array([len(v) for v in cells.values])
+    least_share, least_gain = estimator.getMinWeightFractionPerNode(), estimator.getMinInfoGain()
+
+    def sums_of(growing: list[Growing], trees: range, first: int):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [_columns(b) for b in batches if b.num_rows]
+            if not held:
+                return
+            code, y, n = (np.concatenate(c) for c in zip(*held))
+            x = code[:, None] // strides % sizes
+            # The parts of the cells are the partitions of each block of the union.
+            rng = np.random.default_rng([seed, trees.start, TaskContext.get().partitionId() % parts])
+            drawn = rng.poisson(n[:, None], (len(n), len(trees)))
+            for t, w in zip(trees, drawn.T):
+                g = growing[t - first]
+                if not len(g.open):
+                    continue
+                place = np.full(len(g.feature), -1)
+                place[g.open] = np.arange(len(g.open))
+                node = place[g.node_of(x)]
+                inside = np.flatnonzero((node >= 0) & (w > 0))
+                node, mine, some = node[inside], w[inside], x[inside]
+                sums = np.zeros(len(g.open) * tried * bins * classes)
+                for s in range(tried):
+                    b = some[np.arange(len(some)), g.tried[node, s]]
+                    at = ((node * tried + s) * bins + b) * classes + y[inside].astype(np.int64)
+                    sums += np.bincount(at, mine, len(sums))
+                at = np.flatnonzero(sums)
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), pa.array(v)) for v in (at, sums[at])]
+                yield pa.RecordBatch.from_arrays([pa.array([t], pa.int64()), *lists], names=["t", "at", "w"])
+
+        return add
+
+    def best_of(growing: list[Growing], first: int):
+        opened, roots = [len(g.open) for g in growing], [g.stats[0].sum() for g in growing]
+
+        def pick(table: pa.Table) -> pa.Table:
+            t = table["t"][0].as_py()
+            shape = (opened[t - first], tried, bins, classes)
+            at, w = (table[c].combine_chunks().flatten().to_numpy() for c in ("at", "w"))
+            below = np.cumsum(np.bincount(at, w, math.prod(shape)).reshape(shape), axis=2)
+            whole = below[:, :1, -1:]
+            above, n = whole - below, whole.sum(axis=-1)
+            n_below, n_above = below.sum(axis=-1), above.sum(axis=-1)
+            floor = max(least, least_share * (roots[t - first] or whole[0].sum()))
+            fall = _impurity(whole, impurity) - (n_below * _impurity(below, impurity) + n_above * _impurity(above, impurity)) / np.maximum(n, 1)
+            fall = np.where((n_below >= floor) & (n_above >= floor) & (n_below > 0) & (n_above > 0) & (fall >= least_gain), fall, -1.0)
+            fall = fall.reshape(len(fall), -1)
+            lead = fall.argmax(axis=1)
+            rows = np.arange(len(fall))
+            left = below.reshape(len(fall), -1, classes)[rows, lead]
+            out = (lead // bins, lead % bins, fall[rows, lead], whole.reshape(-1), left.reshape(-1))
+            return pa.table([pa.array([t], pa.int64()), *[pa.array([v.tolist()]) for v in out]], names=["t", "slot", "cut", "gain", "whole", "below"])
+
+        return pick
+
+    grown: list[Growing] = []
+    try:
+        for start in range(0, total, TREES_PER_DRAW):
+            some = range(start, min(total, start + TREES_PER_DRAW))
+            block = max(1, -(-len(some) // max(1, -(-cores // parts))))
+            growing = [Growing(classes) for _ in some]
+            for level in range(estimator.getMaxDepth()):
+                for t, g in zip(some, growing):
+                    chance = np.random.default_rng([seed, t, level]).random((len(g.open), width))
+                    g.tried = np.sort(np.argsort(chance, axis=1)[:, :tried], axis=1)
+                if not any(len(g.open) for g in growing):
+                    break
+                blocks = [some[i : i + block] for i in range(0, len(some), block)]
+                met = [counted.mapInArrow(sums_of(growing, trees, start), "t long, at array<long>, w array<double>") for trees in blocks]
+                met = reduce(DataFrame.unionAll, met).groupBy("t")
+                best = met.applyInArrow(best_of(growing, start), "t long, slot array<long>, cut array<long>, gain array<double>, whole array<double>, below array<double>")
+                for r in best.collect():
+                    growing[r["t"] - start].split(r.asDict(), least, impurity)
+            grown += growing
+    finally:
+        counted.unpersist()
+    return _as_spark(estimator, cells, grown, classes)
+
+
+def _as_spark(estimator: Estimator, cells: Cells, grown: Sequence[Growing], classes: int) -> Model:
+    """The trees as Spark's forest, by way of a saved model: one of a single leaf per tree is saved, and its nodes replaced."""
+    spark = cells.rows.sparkSession
+    stub = estimator.copy()
+    stub.setParams(numTrees=len(grown), maxDepth=0, bootstrap=False)
+    rows = spark.range(1).select(
+        array_to_vector(F.array(*[F.lit(0.0) for _ in cells.features])).alias("features"), _label(F.lit(0.0), cells.label, classes), F.lit(1.0).alias("w")
+    )
+    old, new = fresh_dir(spark, "stub"), fresh_dir(spark, "forest")
+    stub.fit(rows).save(old)
+    spark.read.text(f"{old}/metadata").coalesce(1).write.text(f"{new}/metadata")
+    spark.read.parquet(f"{old}/treesMetadata").coalesce(1).write.parquet(f"{new}/treesMetadata")
+    meets = [((v[:-1] + v[1:]) / 2).tolist() for v in cells.values]
+    nodes = []
+    for t, g in enumerate(grown):
+        feature, cut, left, right, gain, stats = g.pruned()
+        told = (stats.argmax(axis=1).astype(float), _impurity(stats, estimator.getImpurity()), stats, stats.sum(axis=1).astype(int), gain, left, right)
+        splits = [(f, [meets[f][c]], -1) if f >= 0 else (-1, [], -1) for f, c in zip(feature.tolist(), cut.tolist())]
+        nodes += [(t, (i, *node)) for i, node in enumerate(zip(*[v.tolist() for v in told], splits))]
+    spark.createDataFrame(nodes, spark.read.parquet(f"{old}/data").schema, verifySchema=False).write.parquet(f"{new}/data")
+    model = RandomForestClassificationModel.load(new)
     estimator._copyValues(model)._transfer_params_to_java()
     return model

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tabweave.config import DateParts, SearchConfig
 from tabweave.functions.columns import DATE_PARTS, quoted, typed_lit
 from tabweave.operators.boosting import SoftmaxBoost, SoftmaxBoostModel
-from tabweave.operators.cells import fit_by_cells
+from tabweave.operators.cells import fit_by_cells, score_by_cells
 from tabweave.operators.encode import columns_up_to, fit_first_seen_codes, fit_sorted_codes
 from tabweave.operators.features import STEPS, CodeStep, FeatureStep, FittedFeatures, fit_dates, fit_onehot, fit_scale
 from tabweave.operators.quality import (
@@ -199,6 +199,11 @@ def with_probabilities(model: PipelineModel, df: DataFrame) -> tuple[DataFrame,
     last = model.stages[-1]
     if isinstance(last, SoftmaxBoostModel):
         return model.transform(df), last.numClasses
+    if hasattr(last, "cell_values"):
+        out = df
+        for stage in model.stages[:-1]:
+            out = stage.transform(out)
+        return score_by_cells(last, out), getattr(last, "numClasses", 0)
     if not isinstance(last, OneVsRestModel):
         out = model.transform(df)
         if "probability" not in out.columns:

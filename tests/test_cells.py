@@ -1,3 +1,8 @@
+import os
+import pickle
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +83,42 @@ def test_values_that_are_missing_are_still_an_error(frame, on_cells):
     df = frame([(1.0, 0.0), (None, 1.0)], "a double, y double")
     with pytest.raises(Exception):
         G.train(df, ["a"], "y", "random_forest", numTrees=2)
+
+
+def test_a_level_of_all_trees_is_one_job(spark, on_cells):
+    df = _rows(spark).select("id", "a", "b", (F.col("a") % 2).alias("y"))
+    spark.sparkContext.setJobGroup("grown", "")
+    try:
+        t = G.train(df, ["a", "b"], "y", "random_forest", numTrees=24, maxDepth=3)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("grown"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert t.model.stages[-1].getNumTrees == 24 and 0 < jobs < 24 * 3
+    assert max(tree.depth for tree in t.model.stages[-1].trees) == 3
+    assert abs(sum(t.model.stages[-1].featureImportances.toArray()) - 1) < 1e-9
+
+
+@pytest.mark.parametrize("kind,size", [("random_forest", {"numTrees": 5}), ("gradient_boosting", {"maxIter": 5})])
+def test_rows_score_by_cells_as_by_the_trees(spark, on_cells, kind, size):
+    df = _rows(spark).select("id", "a", "b", "y")
+    t = G.train(df, ["a", "b"], "y", kind, maxDepth=4, **size)
+    odd = df.select("id", (F.col("a") * 1.3 - 2).alias("a"), (F.col("b") + F.col("id") % 3 / 8).alias("b"))
+    plain = t.transform(odd).select("id", "prediction", G.vector_to_array("probability")[0], G.vector_to_array("probability")[1])
+    out = t.score(odd, ["id"])
+    assert "arrow" in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+    assert t.score(odd.limit(0), ["id"]).count() == 0
+
+
+def test_attributions_reach_workers_without_this_package(spark, monkeypatch, tmp_path):
+    df = spark.range(60).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("y"))
+    model = G.train(df, ["a"], "y", "random_forest", numTrees=2, maxDepth=2).model.stages[-1]
+    sent = []
+    context = type(spark.sparkContext)
+    kept = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append(value) or kept(self, value))
+    E.tree_attribution(df, ["id"], ["a"], model)
+    load = "import pickle, sys; v = pickle.loads(sys.stdin.buffer.read()); pickle.loads(v) if isinstance(v, bytes) else v"
+    for value in sent:
+        subprocess.run([sys.executable, "-c", load], input=pickle.dumps(value), cwd=tmp_path, env={"PATH": os.environ["PATH"]}, check=True)
+    assert sent
