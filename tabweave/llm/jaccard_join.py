@@ -2,11 +2,12 @@
 
 Two texts link when their shingle sets have a Jaccard similarity of at least `percent`. The steps:
 
-1. Order. All shingles of all texts are counted, four bytes each, in buckets by their leading bits. Three bitmaps of
-   bounded size say which are found in 2, 8 and 64 texts or more. Rare shingles come first, then by hash; any order that
-   is the same for all texts keeps the result right, a good one keeps the groups small.
+1. Order. The shingles of one text of each set are counted exactly: sent by their leading bits, four bytes each, with the
+   place of their text, and those found in several sets are sent back to the texts with a level of how often. Rare shingles
+   come first, then by hash; any order that is the same for all texts keeps the result right, a good one keeps the groups
+   small. A shingle of one set comes first of all and can tie it to nothing, so it goes no further.
 2. Blocks. Two sets that link share one of their first n - ceil(percent * n) + 1 shingles. Those are sent with a
-   fingerprint of their set (equal sets summed up by chunk); the sets that meet at a shingle are tied to one of them, and
+   fingerprint of their set; the sets that meet at a shingle are tied to one of them, and
    connected components of these ties are blocks: links never leave a block.
 3. Trees. One copy of each set of a block is sent to it. A signature tree holds the OR of token bitmaps, the size range and
    the largest number of tokens beyond the bits for every node. Trees are traversed in pairs: a pair of nodes is left when
@@ -14,7 +15,7 @@ Two texts link when their shingle sets have a Jaccard similarity of at least `pe
    both hold. What remains is compared exactly.
 
 A block too large for one task is settled against one of its sets first; what does not link to it is compared with the
-whole block, cut into parts by size. Copies are one row per chunk from the second step on.
+whole block, cut into parts by size. Of equal sets one takes part.
 """
 
 from __future__ import annotations
@@ -25,19 +26,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.arrays import BASE, Texts, mix, per_text, runs, text_of, texts
+from tabweave.llm.arrays import BASE, Texts, mix, runs, text_of, texts
 from tabweave.llm.components import components
 from tabweave.llm.repeats import LAST, Bitmap, as_requests, bitmap, keyed, pack, request, row_key, summed, unpack
 from tabweave.session import written
 
 SHINGLE, PERCENT = 5, 80
-LEVELS = (2, 8, 64)
-COUNT_BYTES = 12 << 20
-MOST_BITS = 26
+LEVELS = (2, 3, 5, 9, 17, 33, 64)
+#: Bytes of text whose shingles are counted together; shingles that a task sends together.
+COUNT_BYTES, SENT_TOKENS = 12 << 20, 1 << 19
 #: Tokens of one block in one task; above, a block is cut. Tokens of blocks that share a task.
 BLOCK_TOKENS, TASK_TOKENS = 4 << 20, 1 << 20
 #: Ways in which sets that meet at a shingle of the last level are dealt.
@@ -101,70 +102,78 @@ def pieces(bucket: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array([bucket[p[0]] for p in parts], np.int64), parts
 
 
-@dataclass
-class Order:
-    """Bitmaps of the shingles found in many texts, by their leading bits."""
+#: What a part knows of its texts.
+TEXTS = np.dtype([("n", "u4"), ("print", "u8"), ("doc", "i8")])
+
 
-    bits: int
-    data: list[np.ndarray]
+def pack_places(text: np.ndarray, *values: np.ndarray) -> bytes:
+    """Ascending places of texts, as steps of a byte if all fit into one, and values of fixed width for each."""
+    step = np.diff(text, prepend=0)
+    kind = np.dtype(np.uint8 if not len(step) or step.max() < 256 else np.uint32)
+    return b"".join((bytes([kind.itemsize]), step.astype(kind).tobytes(), *[v.tobytes() for v in values]))
 
-    def level(self, tokens: np.ndarray) -> np.ndarray:
-        at = (tokens >> np.uint64(64 - self.bits)).astype(np.int64)
-        byte, bit = at >> 3, (at & 7).astype(np.uint8)
-        return sum(((d[byte] >> bit) & 1).astype(np.int8) for d in self.data)
 
+def unpack_places(cell: pa.Buffer, *kinds: type) -> list[np.ndarray]:
+    data = memoryview(cell)
+    kinds = [np.dtype(np.uint8 if data[0] == 1 else np.uint32), *map(np.dtype, kinds)]
+    n, at, out = (data.nbytes - 1) // sum(k.itemsize for k in kinds), 1, []
+    for k in kinds:
+        out.append(np.frombuffer(data, k, n, at))
+        at += n * k.itemsize
+    out[0] = np.cumsum(out[0], dtype=np.int64)
+    return out
 
-def count_shingles(source: DataFrame, size: int) -> Order:
-    """Which shingles are found in at least as many texts as LEVELS say; some more may be marked, the same for all texts."""
-    bits = min(MOST_BITS, max(16, math.ceil(math.log2(max(1, size) / 6))))
-    log = min(bits - 3, max(3, math.ceil(math.log2(max(1, size / COUNT_BYTES)))))
+
+def shared_shingles(source: DataFrame, wanted: Broadcast[Bitmap], size: int) -> tuple[DataFrame, int]:
+    """(part, bucket, cell, about): shingles found in several of the sets asked for, back at the texts they came from.
+
+    A part is some texts of one task, told by `about` (in one of its rows); a cell has places of texts, levels and the lower
+    32 bits of shingles whose leading bits are the bucket. Also returned: the number of leading bits.
+    """
+    log = min(30, max(3, math.ceil(math.log2(max(1, size / COUNT_BYTES)))))
+
+    def cells(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], part: int) -> pa.RecordBatch:
+        about, text, token = (np.concatenate(v) for v in zip(*held))
+        bucket, parts = pieces((token >> np.uint64(64 - log)).astype(np.int64))
+        low = ((token >> np.uint64(32 - log)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        sent = pa.array([pack_places(text[p], low[p]) for p in parts], pa.binary())
+        told = pa.array([about.tobytes(), *[None] * (len(parts) - 1)], pa.binary())
+        return pa.RecordBatch.from_pydict({"part": np.full(len(parts), part), "bucket": bucket, "cell": sent, "about": told})
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets, _ in chunks(batches):
-            if not len(sets.tokens):
+        part = TaskContext.get().partitionId() << 32
+        held, n_texts, n_tokens = [], 0, 0
+        for sets, doc in chunks(batches):
+            n = sets.sizes
+            some = (n > 0) & wanted.value.has(request(sets.prints, doc))
+            if not some.any():
                 continue
-            bucket, parts = pieces((sets.tokens >> np.uint64(64 - log)).astype(np.int64))
-            low = ((sets.tokens >> np.uint64(32 - log)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            yield pa.RecordBatch.from_pydict({"bucket": bucket, "cell": pa.array([low[p].tobytes() for p in parts], pa.binary())})
+            about = np.zeros(int(some.sum()), TEXTS)
+            about["n"], about["print"], about["doc"] = n[some], sets.prints[some], doc[some]
+            token = sets.tokens[np.repeat(some, n)]
+            held.append((about, n_texts + np.repeat(np.arange(len(about)), n[some]), token))
+            n_texts, n_tokens = n_texts + len(about), n_tokens + len(token)
+            if n_tokens >= SENT_TOKENS:
+                yield cells(held, part)
+                part, held, n_texts, n_tokens = part + 1, [], 0, 0
+        if held:
+            yield cells(held, part)
 
     def mark(table: pa.Table) -> pa.Table:
-        values = np.sort(np.concatenate([np.frombuffer(c.as_py(), np.uint32) for c in table.column("cell")]))
-        at = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-        n = np.diff(np.append(at, len(values)))
-        place = values[at] >> np.uint32(32 + log - bits) if bits - log < 32 else values[at]
-        cells = []
-        for least in LEVELS:
-            flags = np.zeros(1 << (bits - log), np.uint8)
-            flags[place[n >= least]] = 1
-            cells.append(np.packbits(flags, bitorder="little").tobytes())
-        first = table.column("bucket").slice(0, 1)
-        return pa.table({"bucket": first, **{f"level{i}": pa.array([c], pa.binary()) for i, c in enumerate(cells)}})
-
-    columns = ", ".join(f"level{i} binary" for i in range(len(LEVELS)))
-    marked = source.mapInArrow(send, "bucket long, cell binary").groupBy("bucket").applyInArrow(mark, f"bucket long, {columns}")
-    data = [np.zeros(1 << (bits - 3), np.uint8) for _ in LEVELS]
-    width = 1 << (bits - log - 3)
-    for row in marked.toLocalIterator():
-        for i, d in enumerate(data):
-            d[row.bucket * width : (row.bucket + 1) * width] = np.frombuffer(row[f"level{i}"], np.uint8)
-    return Order(bits, data)
-
-
-def prefixes(sets: Sets, order: Order) -> tuple[np.ndarray, np.ndarray]:
-    """Which shingles are among the first of their set that a link must share one of, and their levels."""
-    level = order.level(sets.tokens)
-    n = sets.sizes
-    length = np.repeat(n - needed_share(n) + 1, n)
-    rank = np.zeros(len(level), np.int64)
-    before = np.zeros(len(n), np.int64)
-    for k in range(len(LEVELS) + 1):
-        own = level == k
-        running = np.cumsum(own)
-        count = per_text(own, sets.bounds)
-        start = np.concatenate(([0], running))[sets.bounds[:-1]]
-        rank = np.where(own, running - 1 - np.repeat(start - before, n), rank)
-        before = before + count
-    return rank < length, level
+        found = [unpack_places(c.as_buffer(), np.uint32) for c in table.column("cell")]
+        _, at, n = np.unique(np.concatenate([low for _, low in found]), return_inverse=True, return_counts=True)
+        n, bounds = n[at], np.concatenate(([0], np.cumsum([len(low) for _, low in found])))
+        level = np.searchsorted(LEVELS, n, "right").astype(np.uint8)
+        out = []
+        for (text, low), a, b in zip(found, bounds[:-1].tolist(), bounds[1:].tolist()):
+            some = n[a:b] > 1
+            out.append(pack_places(text[some], level[a:b][some], low[some]))
+        marked = table.set_column(table.column_names.index("cell"), "cell", pa.array(out, pa.binary()))
+        used = [len(c) > 1 or a.is_valid for c, a in zip(out, table.column("about"))]
+        return marked.filter(pa.array(used, pa.bool_()))
+
+    columns = "part long, bucket long, cell binary, about binary"
+    return source.mapInArrow(send, columns).groupBy("bucket").applyInArrow(mark, columns), log
 
 
 def needed_share(n):
@@ -172,24 +181,36 @@ def needed_share(n):
     return -((-PERCENT * n) // 100)
 
 
-def meetings(source: DataFrame, order: Order, size: int) -> DataFrame:
+def prefixes(n: np.ndarray, text: np.ndarray, level: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Which shared shingles are among the first of their set that a link must share one of, given the sizes of all sets."""
+    by = np.lexsort((token, level, text))
+    held = np.bincount(text, minlength=len(n))
+    rank = np.arange(len(by)) - np.repeat(np.cumsum(held) - held, held)
+    alone = n - held
+    return by[rank + alone[text[by]] < (n - needed_share(n) + 1)[text[by]]]
+
+
+def meetings(source: DataFrame, wanted: Broadcast[Bitmap], size: int) -> DataFrame:
     """Ties (a, b) of sets that share a prefix shingle, through one of them for each shingle; with the document of a."""
     spark = source.sparkSession
-    shared = spark.sparkContext.broadcast(order)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / COUNT_BYTES))
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets, doc in chunks(batches):
-            if not len(sets.tokens):
-                continue
-            first, level = prefixes(sets, shared.value)
-            text = np.repeat(np.arange(len(doc)), sets.sizes)[first]
-            token = sets.tokens[first]
-            rows = summed({"anchor": token, "region": sets.prints[text], "low": doc[text], "high": level[first].astype(np.int64), "n": np.ones(len(token), np.int64)})
-            salt = np.where(rows["high"] == len(LEVELS), rows["region"] % np.uint64(SALTS), np.uint64(0))
-            bucket, parts = pieces(((mix(rows["anchor"]) + salt * BASE) % np.uint64(buckets)).astype(np.int64))
-            cells = [pack({k: v[p] for k, v in rows.items()}) for p in parts]
-            yield pa.RecordBatch.from_pydict({"bucket": bucket, "cell": pa.array(cells, pa.binary())})
+    shared, log = shared_shingles(source, wanted, size)
+
+    def send(table: pa.Table) -> pa.Table:
+        about = np.concatenate([np.frombuffer(c.as_buffer(), TEXTS) for c in table.column("about") if c.is_valid])
+        cells = [unpack_places(c.as_buffer(), np.uint8, np.uint32) for c in table.column("cell")]
+        text, level, low = (np.concatenate(v) for v in zip(*cells))
+        bucket = np.repeat(table.column("bucket").to_numpy().astype(np.uint64), [len(c[0]) for c in cells])
+        token = (bucket << np.uint64(64 - log)) | (low.astype(np.uint64) << np.uint64(32 - log))
+        first = prefixes(about["n"].astype(np.int64), text, level, token)
+        if not len(first):
+            return pa.table({"bucket": pa.array([], pa.int64()), "cell": pa.array([], pa.binary())})
+        text, level, token = text[first], level[first].astype(np.int64), token[first]
+        rows = summed({"anchor": token, "region": about["print"][text], "low": about["doc"][text], "high": level, "n": np.ones(len(token), np.int64)})
+        salt = np.where(rows["high"] == len(LEVELS), rows["region"] % np.uint64(SALTS), np.uint64(0))
+        to, parts = pieces(((mix(rows["anchor"]) + salt * BASE) % np.uint64(buckets)).astype(np.int64))
+        packed = [pack({k: v[p] for k, v in rows.items()}) for p in parts]
+        return pa.table({"bucket": to, "cell": pa.array(packed, pa.binary())})
 
     def tie(table: pa.Table) -> pa.Table:
         cells = [unpack(c.as_py()) for c in table.column("cell")]
@@ -205,9 +226,8 @@ def meetings(source: DataFrame, order: Order, size: int) -> DataFrame:
         # Heads of a salted shingle are tied to each other later, by the shingle.
         return pa.table({**out, "token": pa.array(token.view(np.int64)[keep], mask=~(salted & new)[keep])})
 
-    sent = source.mapInArrow(send, "bucket long, cell binary")
+    sent = shared.groupBy("part").applyInArrow(send, "bucket long, cell binary")
     tied = written(sent.groupBy("bucket").applyInArrow(tie, "a long, b long, low long, head_low long, token long"), "ties")
-    shared.destroy()
     heads = tied.where("token IS NOT NULL").select("token", "a", "low")
     least = heads.groupBy("token").agg(F.min(F.struct("a", "low")).alias("m"))
     across = heads.join(least, "token").select("a", F.col("m.a").alias("b"), "low", F.col("m.low").alias("head_low"))
@@ -448,9 +468,12 @@ def near_copies(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
 
     rows = written(source.mapInArrow(describe, "doc long, key long, n_shingles long, print long"), "rows")
     plain = source.select("doc", "text")
-    ties = written(meetings(plain, count_shingles(plain, size), size), "meetings")
+    least = written(rows.where("n_shingles > 0").groupBy("print").agg(F.min(F.struct("doc", "key")).alias("least")), "least")
+    ones = least.select(F.col("print").alias("region"), F.col("least.doc").alias("low"))
+    wanted = spark.sparkContext.broadcast(bitmap(as_requests(ones), least.count()))
+    ties = written(meetings(plain, wanted, size), "meetings")
+    wanted.destroy()
     roots = components(blocks(spark, plain, ties))
-    least = rows.where("n_shingles > 0").groupBy("print").agg(F.min(F.struct("doc", "key")).alias("least"))
     least = least.join(roots, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     of_root = least.groupBy("root").agg(F.min("least").alias("lead"))
     named = least.join(of_root, "root").select("print", "lead")

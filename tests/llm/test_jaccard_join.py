@@ -4,6 +4,7 @@ import numpy as np
 
 from tabweave.llm import jaccard_join
 from tabweave.llm.components import components
+from tabweave.session import written
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -108,3 +109,30 @@ def test_components_of_chains_stars_and_loops(spark):
     assert {got[i] for i in range(61)} == {0} and {got[1000 + i] for i in range(300)} == {1000} and got[5000] == 1000
     assert len(got) == 61 + 300 + 1
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_shingles_of_one_set_come_first_however_many_there_are(spark, monkeypatch):
+    rng = random.Random(6)
+
+    def words(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = []
+    for i in range(0, 60, 2):
+        phrase = words(30)
+        rows += [(i + k, " ".join(words(170) + phrase)) for k in range(2)]
+    base = words(200)
+    rows += [(100, " ".join(base)), (101, " ".join([*base[:-1], "changed"]))]
+    seen = {}
+
+    def spy(df, name):
+        seen[name] = written(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(jaccard_join, "written", spy)
+    # Bitmaps of the shingles in several texts, if there are any, as full as they get on a long table.
+    monkeypatch.setattr(jaccard_join, "MOST_BITS", 6, raising=False)
+    got = result(jaccard_join.near_copies(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == sorted(str(p[:3]) for p in plain(rows))
+    # Only the near copies meet; a phrase of two texts ties neither, as each has enough shingles of its own.
+    assert seen["meetings"].count() == 1 and seen["sets"].count() == 2
