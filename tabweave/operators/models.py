@@ -23,6 +23,7 @@ from tabweave.operators.boosting import SoftmaxBoost, SoftmaxBoostModel
 from tabweave.operators.cells import fit_by_cells, score_by_cells
 from tabweave.operators.encode import columns_up_to, fit_first_seen_codes, fit_sorted_codes
 from tabweave.operators.features import STEPS, CodeStep, FeatureStep, FittedFeatures, fit_dates, fit_onehot, fit_scale
+from tabweave.operators.logistic import MOST_FEATURES, fit_by_newton
 from tabweave.operators.quality import (
     boolean_columns,
     cast_columns,
@@ -262,9 +263,14 @@ def train(
     task: str = "classification",
     preparation: FittedFeatures | None = None,
     scale: bool | None = None,
+    keep: bool = True,
     **params,
 ) -> Trained:
-    """Fit a model on all rows of ``df``. Logistic regression scales its features first."""
+    """Fit a model on all rows of ``df``. Logistic regression scales its features first.
+
+    Rows are kept for the passes over them; ``keep=False`` reads those of a long table anew, which costs no memory and no disk
+    and is as fast where they come straight from files.
+    """
     spark = df.sparkSession
     raw_contract = T.StructType([df.schema[c] for c in df.columns if c != label])
     steps = list(preparation.steps) if preparation else []
@@ -281,17 +287,23 @@ def train(
     if kind in ("gradient_boosting", "random_forest"):
         enable_checkpoints(spark)
     assembler = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="error")
-    # Training reads its rows many times; they are kept, the preparation runs once.
+    # Training reads its rows many times; they are kept unless reading is cheap, so that the preparation runs once.
     grows = kind in ("gradient_boosting", "random_forest")
-    kept = _spread(rows if grows else assembler.transform(rows).select("features", label)).persist()
+    as_columns = grows or (kind == "logistic_regression" and len(feats) <= MOST_FEATURES)
+    kept = rows if as_columns else assembler.transform(rows).select("features", label)
+    held = keep or not as_columns
+    kept = _spread(kept).persist() if held else kept
     try:
         n, classes = kept.agg(F.count("*"), F.max(label)).first()
         n_classes = int(classes or 0) + 1 if task == "classification" else 0
         estimator = make_estimator(kind, task, label, n, n_classes, **params)
-        # Trees of a long table are grown on its weighted cells, of a short one on its rows.
-        fitted = fit_by_cells(estimator, kept, feats, label, n, n_classes) if grows else None
+        # Trees of a long table are grown on its weighted cells, of a short one on its rows; a long logistic regression goes by Newton's steps.
+        by_all = fit_by_cells if grows else fit_by_newton if as_columns else None
+        fitted = by_all(estimator, kept, feats, label, n, n_classes) if by_all else None
         if fitted is None:
-            fitted = estimator.fit(assembler.transform(kept).select("features", label) if grows else kept)
+            # Spark's own training has many passes.
+            kept = kept if held else _spread(kept).persist()
+            fitted = estimator.fit(assembler.transform(kept).select("features", label) if as_columns else kept)
     finally:
         kept.unpersist()
     model = PipelineModel(stages=[assembler, fitted])
@@ -364,12 +376,17 @@ def load_trained(spark: SparkSession, path: str, verify: bool = True) -> Trained
 
 
 def out_of_fold(
-    df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str, kind: str, task: str, fold: str, k: int, **params
+    df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str, kind: str, task: str, fold: str, k: int, keep: bool = True, **params
 ) -> DataFrame:
-    """Predictions for every row by a model that never saw its fold."""
+    """Predictions for every row by a model that never saw its fold.
+
+    The rows are written once, without other columns, and every fold reads them from there; with ``keep=False`` from ``df``.
+    """
+    if keep:
+        df = written(df.select(*[quoted(c) for c in dict.fromkeys([*keys, *features, label, fold])]), "folds")
     parts = []
     for i in range(k):
-        t = train(df.where(quoted(fold) != i), features, label, kind, task, **params)
+        t = train(df.where(quoted(fold) != i), features, label, kind, task, keep=False, **params)
         held = df.where(quoted(fold) == i)
         parts.append(t.score(held, [*keys, label, fold]))
     return reduce(DataFrame.unionByName, parts)

@@ -168,7 +168,8 @@ def search(
         marked, judge = df.withColumnRenamed(split, "split"), _on_held_out(keys, features, label, task)
     else:
         marked, judge = _judge(df, keys, features, label, cfg)
-    marked = marked.persist()
+    # All candidates are judged on these rows; making them is no part of the first one's trial.
+    marked = written(marked, "marked")
     deadline = time.monotonic() + 60 * cfg.timeout_minutes if cfg.timeout_minutes else None
     better = (lambda a, b: a < b) if metric in SMALLER_IS_BETTER else (lambda a, b: a > b)
     results: list[tuple[Candidate, dict[str, float], float]] = []
@@ -176,45 +177,40 @@ def search(
     scores: dict[str, DataFrame] = {}
     best: float | None = None
     stale = 0
-    try:
-        # All candidates are judged on these rows; making them is no part of the first one's trial.
-        marked.count()
-        with ThreadPoolExecutor(max(1, cfg.parallel_trials)) as pool:
-            for i in range(0, len(todo), max(1, cfg.parallel_trials)):
-                if results and deadline is not None and time.monotonic() >= deadline:
-                    break
-                if cfg.early_stopping and stale >= PATIENCE:
-                    break
-                batch = todo[i : i + max(1, cfg.parallel_trials)]
-
-                limits = [60 * cfg.trial_timeout_minutes] if cfg.trial_timeout_minutes else []
-                if results and deadline is not None:
-                    limits.append(deadline - time.monotonic())
-
-                def trial(c: Candidate):
-                    start = time.monotonic()
-
-                    def work() -> dict[str, float]:
-                        scores[c.name] = written(judge(marked, c), "scores")
-                        return evaluate(scores[c.name], label, task)
-
-                    try:
-                        return c, within(df.sparkSession, min(limits, default=None), work), time.monotonic() - start
-                    except Cancelled:
-                        return c, None, time.monotonic() - start
-
-                for c, found, took in pool.map(trial, batch):
-                    if found is None:
-                        cut_off.append((c, took))
-                        continue
-                    results.append((c, found, took))
-                    value = found[metric]
-                    if best is None or better(value, best):
-                        best, stale = value, 0
-                    else:
-                        stale += 1
-    finally:
-        marked.unpersist()
+    with ThreadPoolExecutor(max(1, cfg.parallel_trials)) as pool:
+        for i in range(0, len(todo), max(1, cfg.parallel_trials)):
+            if results and deadline is not None and time.monotonic() >= deadline:
+                break
+            if cfg.early_stopping and stale >= PATIENCE:
+                break
+            batch = todo[i : i + max(1, cfg.parallel_trials)]
+
+            limits = [60 * cfg.trial_timeout_minutes] if cfg.trial_timeout_minutes else []
+            if results and deadline is not None:
+                limits.append(deadline - time.monotonic())
+
+            def trial(c: Candidate):
+                start = time.monotonic()
+
+                def work() -> dict[str, float]:
+                    scores[c.name] = written(judge(marked, c), "scores")
+                    return evaluate(scores[c.name], label, task)
+
+                try:
+                    return c, within(df.sparkSession, min(limits, default=None), work), time.monotonic() - start
+                except Cancelled:
+                    return c, None, time.monotonic() - start
+
+            for c, found, took in pool.map(trial, batch):
+                if found is None:
+                    cut_off.append((c, took))
+                    continue
+                results.append((c, found, took))
+                value = found[metric]
+                if best is None or better(value, best):
+                    best, stale = value, 0
+                else:
+                    stale += 1
     if not results:
         raise TimeoutError("no candidate ended within the limit of a trial")
     ranked = sorted(results, key=lambda r: r[1][metric] * (1 if metric in SMALLER_IS_BETTER else -1))
@@ -228,9 +224,9 @@ def search(
     board = df.sparkSession.createDataFrame(
         rows, "model string, kind string, metric string, value double, seconds double, status string"
     )
-    rest = df if split is None else df.drop(split)
-    members = [train(rest, features, label, c.kind, task, **c.params) for c, _, _ in chosen] if len(chosen) > 1 else []
-    model = members[0] if members else train(rest, features, label, winner[0].kind, task, **winner[0].params)
+    rest = marked.select(*[quoted(c) for c in df.columns if c != split])
+    members = [train(rest, features, label, c.kind, task, keep=False, **c.params) for c, _, _ in chosen] if len(chosen) > 1 else []
+    model = members[0] if members else train(rest, features, label, winner[0].kind, task, keep=False, **winner[0].params)
     return SearchResult(board, winner[0], model, members)
 
 
@@ -355,7 +351,7 @@ def _judge(df, keys, features, label, cfg):
         fold = stratified_folds(df, keys, label, cfg.folds) if cfg.task == "classification" else plain_folds(df, keys, cfg.folds)
 
         def by_folds(rows: DataFrame, c: Candidate) -> DataFrame:
-            return out_of_fold(rows, keys, features, label, c.kind, cfg.task, "fold", cfg.folds, **c.params)
+            return out_of_fold(rows, keys, features, label, c.kind, cfg.task, "fold", cfg.folds, keep=False, **c.params)
 
         return fold, by_folds
     size = cfg.validation_size or 0.2
@@ -369,7 +365,7 @@ def _judge(df, keys, features, label, cfg):
 
 def _on_held_out(keys, features, label, task):
     def judge(rows: DataFrame, c: Candidate) -> DataFrame:
-        t = train(rows.where("split = 'train'"), features, label, c.kind, task, **c.params)
+        t = train(rows.where("split = 'train'"), features, label, c.kind, task, keep=False, **c.params)
         return t.score(rows.where("split = 'test'"), [*keys, label])
 
     return judge
